@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..checks import require_columns
 from ..durable import durable
-from ..skew import hot_keys, pieces, skew_join
+from ..skew import hot_keys, key_profile, pieces, skew_join
 
 
 @dataclass(frozen=True)
@@ -39,19 +39,22 @@ class Graph:
             raise ValueError("edges point to unknown vertices")
         return graph
 
-    def _flagged(self):
+    def linked_edges(self):
+        """The edges whose two ends are vertices."""
+        known = self.vertices.select("id")
+        linked = self.edges
+        for end in ("src", "dst"):
+            linked = skew_join(linked, known.withColumnRenamed("id", end), [end])
+        return linked.select(*self.edges.columns)
+
+    def dangling_edges(self):
+        """The edges with an end that is no vertex."""
         known = self.vertices.select("id").withColumn("__known", F.lit(True))
         flagged = self.edges
         for end in ("src", "dst"):
             side = known.select(F.col("id").alias(end), F.col("__known").alias(f"__{end}"))
             flagged = skew_join(flagged, side, [end], "left")
-        return flagged
-
-    def linked_edges(self):
-        return self._flagged().filter("__src AND __dst").select(*self.edges.columns)
-
-    def dangling_edges(self):
-        return self._flagged().filter("__src IS NULL OR __dst IS NULL").select(*self.edges.columns)
+        return flagged.filter("__src IS NULL OR __dst IS NULL").select(*self.edges.columns)
 
 
 def _partitions(spark):
@@ -72,12 +75,11 @@ def pagerank(vertices, edges, reset=0.15, max_iter=10, checkpoint_every=5):
         raise ValueError("need 0 < reset <= 1 and max_iter >= 1")
     spark = vertices.sparkSession
     parts = _partitions(spark)
-    ids = vertices.select("id").distinct()
-    links = Graph(ids, edges).linked_edges()
-    links = durable(links.groupBy("src", "dst").agg(F.count("*").alias("n")))
+    ids = durable(vertices.select("id").distinct())
+    links = durable(edges.groupBy("src", "dst").agg(F.count("*").alias("n")))
+    links = durable(Graph(ids, links).linked_edges())
 
-    hot = hot_keys(links, ["src"])
-    count = pieces(["src"], hot)
+    count = pieces(["src"], hot_keys(links, ["src"]))
     placed = links.withColumn("piece", F.pmod(F.xxhash64("src", "dst"), count).cast("int"))
     placed = placed.repartition(parts, "src", "piece").persist()
     out_links = links.groupBy(F.col("src").alias("id")).agg(F.sum("n").alias("out"))
@@ -110,39 +112,44 @@ def pagerank(vertices, edges, reset=0.15, max_iter=10, checkpoint_every=5):
     return ranks.select("id", (F.col("pagerank") * F.lit(scale)).alias("pagerank"))
 
 
-def _priority(column, step):
-    """A fresh pseudo-random order of the vertices for each round."""
-    return F.struct(
-        F.xxhash64(F.lit(step), F.col(column)).alias("turn"), F.col(column).alias("vertex")
-    )
+def _turn(vertex, step):
+    """A column's vertices in a pseudo-random order that is fresh to each round."""
+    return F.struct(F.xxhash64(F.lit(step), F.col(vertex)).alias("turn"), F.col(vertex).alias("v"))
 
 
 def connected_components(vertices, edges, max_rounds=200):
     """(id, component) with the smallest vertex id as the component's label.
 
-    Randomised contraction: each round every vertex joins the neighbour (or
-    itself) first in a fresh random order, and edges are rewritten to the
-    representatives; loops and copies fall away. A constant share of the
-    vertices is gone after each round, whatever the shape of the graph. The
-    rounds' small maps are then followed back from the last to the first.
+    Randomised contraction: in each round every vertex joins the first vertex,
+    in a fresh random order, that it can reach in two steps. Edges are
+    rewritten to those representatives; loops and copies fall away. The number
+    of vertices shrinks by a constant factor per round whatever the shape of
+    the graph, and a hub with its leaves is gone in one. The rounds' maps are
+    then followed back from the last to the first.
     """
-    ids = vertices.select("id").distinct()
-    links = Graph(ids, edges).linked_edges().select("src", "dst").filter("src <> dst")
+    ids = durable(vertices.select("id").distinct())
+    links = durable(edges.select("src", "dst").filter("src <> dst").distinct())
+    links = Graph(ids, links).linked_edges()
     both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     live = durable(both.distinct())
 
     maps = []
-    while not live.isEmpty():
+    while True:
+        # Edges go both ways, so sources and targets have the same hot keys.
+        rows, hot = key_profile(live, ["src"])
+        if not rows:
+            break
         step = len(maps)
         if step == max_rounds:
             raise RuntimeError("components did not converge")
-        nearest = live.groupBy("src").agg(F.min(_priority("dst", step)).alias("near"))
-        first = F.least("near", _priority("src", step))
-        chosen = durable(nearest.select("src", first["vertex"].alias("rep")))
+        near = live.groupBy(F.col("src").alias("dst")).agg(F.min(_turn("dst", step)).alias("near"))
+        near = near.select("dst", F.least("near", _turn("dst", step)).alias("near"))
+        reach = skew_join(live, near, ["dst"], hot=hot).groupBy("src").agg(F.min("near").alias("near"))
+        chosen = durable(reach.select("src", F.col("near.v").alias("rep")))
         maps.append(chosen)
-        moved = skew_join(live, chosen, ["src"]).select(F.col("rep").alias("src"), "dst")
+        moved = skew_join(live, chosen, ["src"], hot=hot).select(F.col("rep").alias("src"), "dst")
         far = chosen.select(F.col("src").alias("dst"), F.col("rep").alias("far"))
-        moved = skew_join(moved, far, ["dst"]).select("src", F.col("far").alias("dst"))
+        moved = skew_join(moved, far, ["dst"], hot=hot).select("src", F.col("far").alias("dst"))
         live = durable(moved.filter("src <> dst").distinct())
 
     # Follow the maps back: (vertex, representative) of ever earlier rounds.
@@ -158,7 +165,6 @@ def connected_components(vertices, edges, max_rounds=200):
         found = durable(found)
     if found is None:
         return ids.select("id", F.col("id").alias("component"))
-    # A representative that never joined another vertex later maps to itself.
     labels = found.groupBy("rep").agg(F.min("id").alias("component"))
     named = skew_join(found, labels, ["rep"]).select("id", "component")
     return ids.join(named, "id", "left").select(

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from .checks import hashable_columns, require_choice, require_columns
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is hot when it holds more than this share of the rows, or more than one
-# shuffle partition's fair share, whichever is larger.
+# A key is hot when it holds more than this share of the rows, more than one
+# shuffle partition's fair share, and more rows than one task takes with ease.
 HOT_SHARE = 1 / 256
+HOT_ROWS = 100_000
 _TRACKED = 10_000
 
 
@@ -27,8 +28,8 @@ def _partitions(spark):
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def hot_keys(df, keys):
-    """{hash of key: number of pieces} for the hot keys of ``df``.
+def key_profile(df, keys, min_rows=None):
+    """(rows, {hash of key: number of pieces} for the hot keys) of ``df``.
 
     One mergeable frequent-items sketch over the key hash: a single pass, one
     small row to the driver, at most ``1 / HOT_SHARE`` entries. The estimate
@@ -37,21 +38,27 @@ def hot_keys(df, keys):
     require_columns(df, *keys)
     parts = _partitions(df.sparkSession)
     limit = int(1 / HOT_SHARE)
-    key_hash = F.xxhash64(*keys)
     row = (
-        df.select(key_hash.alias("h"))
+        df.select(F.xxhash64(*keys).alias("h"))
         .agg(
             F.count("*").alias("n"),
             F.expr(f"approx_top_k(h, {limit}, {_TRACKED})").alias("top"),
         )
         .first()
     )
-    share = max(HOT_SHARE, 1 / parts)
-    return {
-        item["item"]: -(-item["count"] * parts // row["n"])
+    rows = row["n"]
+    least = max(HOT_SHARE * rows, rows / parts, HOT_ROWS if min_rows is None else min_rows)
+    hot = {
+        item["item"]: -(-item["count"] * parts // rows)
         for item in row["top"] or []
-        if item["count"] > share * row["n"]
+        if item["count"] > least
     }
+    return rows, hot
+
+
+def hot_keys(df, keys, min_rows=None):
+    """{hash of key: number of pieces} for the hot keys of ``df``."""
+    return key_profile(df, keys, min_rows)[1]
 
 
 def pieces(keys, hot):

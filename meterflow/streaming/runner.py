@@ -27,30 +27,25 @@ def _start(writer, checkpoint, name, mode, interval, available_now):
 
 def run_batches(df, process, checkpoint, name=None, mode="append", interval=INTERVAL,
                 available_now=False, bound=None):
-    """Hand every non-empty micro-batch to ``process(batch, batch_id, **bound)``.
+    """Hand each micro-batch with rows to ``process(batch, batch_id, **bound)``.
 
     A failing ``process`` fails the batch, which is run again from the
     checkpoint; so its writes must replace themselves (see ``sinks``).
     ``interval=None`` starts batches as fast as they come.
 
-    Batches of stateful queries are computed once, in full, before they are
-    looked at: their state is only kept when every partition has run.
+    Batches of stateful queries (update and complete mode) are handed over
+    unseen: their state is kept only when every partition has run, so a look at
+    a few rows would be a second, partial run. ``process`` should write such a
+    batch in one job; an empty one writes nothing to partitioned folders.
     """
     bound = dict(bound or {})
     stateful = mode != "append"
 
     def handle(batch, batch_id):
-        if stateful:
-            batch = batch.persist()
-        try:
-            empty = batch.count() == 0 if stateful else batch.isEmpty()
-            if empty:
-                log.info("%s batch %s: no data", name or "query", batch_id)
-                return
-            process(batch, batch_id, **bound)
-        finally:
-            if stateful:
-                batch.unpersist()
+        if not stateful and batch.isEmpty():
+            log.info("%s batch %s: no data", name or "query", batch_id)
+            return
+        process(batch, batch_id, **bound)
 
     return _start(df.writeStream.foreachBatch(handle), checkpoint, name, mode, interval, available_now)
 

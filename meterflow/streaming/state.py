@@ -7,6 +7,16 @@ from ..operators import usage
 from ..operators.latest import grain_columns, latest_at
 
 
+def _with_local_clock(df, ts, expire_after):
+    """``__at``: the session's wall clock read as UTC, with the watermark on it.
+
+    Time windows start at whole UTC hours and days, so windows over this column
+    are calendar hours and days of the session.
+    """
+    local = F.from_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone())
+    return df.withColumn("__at", local).withWatermark("__at", expire_after)
+
+
 def latest_stream(df, keys, grain, ts="timestamp", tiebreak=(), expire_after=None):
     """The latest reading per key and time slot over everything seen so far.
 
@@ -18,12 +28,11 @@ def latest_stream(df, keys, grain, ts="timestamp", tiebreak=(), expire_after=Non
     require_columns(df, *keys, ts, *grain_columns(grain))
     if expire_after is None:
         return latest_at(df, keys, grain, ts, tiebreak)
-    # Slots on the local clock, so that a day is a calendar day of the session.
     columns = df.columns
     group = [*keys, *grain_columns(grain)]
     rest = [c for c in columns if c not in group]
     order = [ts, *(tiebreak or [c for c in sorted(rest) if c != ts])]
-    local = df.withColumn("__at", F.col(ts).cast("timestamp_ntz")).withWatermark("__at", expire_after)
+    local = _with_local_clock(df, ts, expire_after)
     newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("row")
     slots = local.groupBy(*group, F.window("__at", f"1 {grain}").alias("__slot")).agg(newest)
     return slots.select(*[F.col(c) if c in group else F.col(f"row.{c}").alias(c) for c in columns])
@@ -39,10 +48,11 @@ def running_profile(df, keys, measures, ts=None, expire_after=None):
     if expire_after is None:
         return usage.profile(df, keys, measures)
     require_columns(df, *keys, *measures, ts)
-    local = df.withColumn("__at", F.col(ts).cast("timestamp_ntz")).withWatermark("__at", expire_after)
-    daily = local.withColumn("day_window", F.window("__at", "1 day"))
+    daily = _with_local_clock(df, ts, expire_after)
+    daily = daily.withColumn("day_window", F.window("__at", "1 day"))
     out = usage.profile(daily, [*keys, "day_window"], measures)
-    return out.withColumn("day", F.to_date("day_window.start")).drop("day_window")
+    start = F.to_utc_timestamp("day_window.start", F.current_timezone())
+    return out.withColumn("day", F.to_date(start)).drop("day_window")
 
 
 def running_total(df, keys, measure, name=None):
