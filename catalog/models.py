@@ -66,10 +66,12 @@ def assembled_features(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", *[values[i].alias(f"f{i}") for i in range(3)])
 
 
-@query("random_split")
+@query("random_split", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
 def random_split(spark, sf_dir):
-    train, test = features.split_random(_lines(spark, sf_dir).select("l_orderkey", "l_linenumber"))
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    """Both parts put together again: which row falls where is up to chance."""
+    rows = _lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey")
+    train, test = features.split_random(rows)
+    return train.unionByName(test)
 
 
 @query("linear_fit", f"""

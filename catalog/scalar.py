@@ -289,6 +289,16 @@ def key_filter(spark, sf_dir):
     return found.select("reading_id", "household_id")
 
 
+@query("day_range", f"""
+WITH {READINGS_SQL}
+SELECT reading_id, district, date_part FROM parts
+WHERE "timestamp" >= TIMESTAMP '2024-01-10' AND "timestamp" < TIMESTAMP '2024-01-13'
+""")
+def day_range(spark, sf_dir):
+    rows = filters.on_days(readings(spark, sf_dir), "2024-01-10", "2024-01-12")
+    return enrich.add_time_parts(rows).select("reading_id", "district", "date_part")
+
+
 @query("project_kind", f"""
 WITH {READINGS_SQL}
 SELECT household_id, device_id, reading_id, electricity_usage_kwh, voltage,

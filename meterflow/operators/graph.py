@@ -68,8 +68,8 @@ def pagerank(vertices, edges, reset=0.15, max_iter=10, checkpoint_every=5):
     neighbours' rank / out-links``. Parallel edges count as several out-links.
     Edges with an end that is not a vertex do not take part.
 
-    Edges are laid out once by source (hubs in pieces) and kept, so a round
-    shuffles ranks and pre-summed contributions, never the edges.
+    Edges are laid out and sorted once by source (hubs in pieces) and kept, so
+    a round shuffles ranks and pre-summed contributions, never the edges.
     """
     if not 0 < reset <= 1 or max_iter < 1:
         raise ValueError("need 0 < reset <= 1 and max_iter >= 1")
@@ -81,10 +81,13 @@ def pagerank(vertices, edges, reset=0.15, max_iter=10, checkpoint_every=5):
 
     count = pieces(["src"], hot_keys(links, ["src"]))
     placed = links.withColumn("piece", F.pmod(F.xxhash64("src", "dst"), count).cast("int"))
-    placed = placed.repartition(parts, "src", "piece").persist()
+    placed = placed.repartition(parts, "src", "piece").sortWithinPartitions("src", "piece").persist()
     out_links = links.groupBy(F.col("src").alias("id")).agg(F.sum("n").alias("out"))
-    base = ids.join(out_links, "id", "left").repartition(parts, "id").persist()
-    placed.count(), base.count()
+    base = ids.join(out_links, "id", "left")
+    base = base.repartition(parts, "id").sortWithinPartitions("id").persist()
+    # Filled before the rounds are planned, so that their layout is known.
+    placed.count()
+    base.count()
 
     ranks = base.select("id", "out", F.lit(1.0).alias("pagerank"))
     try:

@@ -50,12 +50,13 @@ def neighbour_edges(readings, household="household_id", usage="electricity_usage
     Every household links to the next higher user of its ward (by its latest
     reading). These edges are a minimum spanning tree of the ward's complete
     neighbour graph: the same components and the same closest neighbours, with
-    one edge per household instead of one per pair.
+    one edge per household instead of one per pair. Households without a known
+    ward or usage have no neighbours.
     """
     require_columns(readings, household, usage, ts, *on)
     columns = list(dict.fromkeys([household, *on, usage, ts, *tiebreak]))
     newest = latest_per_group(readings.select(*columns), [household], ts, tiebreak)
-    newest = newest.filter(F.col(usage).isNotNull()).select(household, *on, usage)
+    newest = newest.dropna(subset=[usage, *on]).select(household, *on, usage)
     linked = with_next(newest, on, [usage, household], [household, usage])
     linked = linked.filter(F.col(f"next_{household}").isNotNull())
     return linked.select(

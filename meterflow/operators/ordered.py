@@ -1,5 +1,8 @@
 """Neighbouring rows in a sorted group, for groups too large for one task."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -32,6 +35,10 @@ def with_next(df, group, order, columns, prefix="next_"):
     across = Window.partitionBy(*group).orderBy("__slice")
     firsts = firsts.withColumn("__first", F.lead("__first").over(across))
 
-    out = linked.join(firsts, [*group, "__slice"])
+    # Null group values form a group like any other.
+    keys = [*group, "__slice"]
+    firsts = firsts.withColumnsRenamed({k: f"{k}__of" for k in keys})
+    same = [linked[k].eqNullSafe(firsts[f"{k}__of"]) for k in keys]
+    out = linked.join(firsts, reduce(and_, same))
     out = out.withColumn("__ahead", F.coalesce("__ahead", "__first"))
     return out.select(*df.columns, "__ahead.*")

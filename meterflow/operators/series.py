@@ -10,5 +10,7 @@ def date_indexed(df, date_column, value_column, layout="MM-dd-yyyy", name="Date"
     """(date, value) sorted by date. Text that is no date gives a null date."""
     require_columns(df, date_column, value_column)
     day = parse_date(date_column, layout)
-    # The value takes part in the sort so that one busy day can span slices.
-    return df.select(day.alias(name), value_column).orderBy(name, value_column)
+    rows = df.select(day.alias(name), value_column, F.spark_partition_id().alias("__part"))
+    # The value and input partition take part in the sort, so that a busy day
+    # or many equal rows can span slices.
+    return rows.orderBy(name, value_column, "__part").drop("__part")

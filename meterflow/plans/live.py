@@ -1,9 +1,15 @@
 """Live readings: messages to enriched rows to the latest state per device."""
 
+import time
+from datetime import datetime
+
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from ..operators import decode, enrich
 from ..operators.latest import latest_at
 from ..schemas import AREA, HOUSEHOLD
-from ..sinks.files import write_batch, write_latest, write_latest_log
+from ..sinks.files import write_batch, write_latest, write_latest_log, write_partitioned
 from ..streaming.runner import run_batches
 
 SCHEMAS = {"household": HOUSEHOLD, "area": AREA}
@@ -54,15 +60,39 @@ def write_latest_state(batch, batch_id, path, keys=("device_id",), layout="log",
         minute.unpersist()
 
 
+LOG_SCHEMA = (
+    "type string, batch_id long, ts timestamp, records long, valid long, refused long, duration_ms long"
+)
+
+
 def process_messages(batch, batch_id, kind, path, layout="log"):
-    """One micro-batch of raw messages: latest state and quarantine."""
-    rows = marked(batch, kind).persist()
+    """One micro-batch of raw messages: latest state, quarantine, progress row.
+
+    The counts are taken while the batch is decoded, not by another pass.
+    """
+    begun = time.time()
+    counts = Observation(f"{kind}_{batch_id}")
+    good = F.col("quarantine_reason").isNull()
+    rows = marked(batch, kind).observe(
+        counts, F.count(F.lit(1)).alias("records"), F.count_if(good).alias("valid"),
+        F.count_if(~good).alias("refused"),
+    ).persist()
     try:
         write_latest_state(accepted(rows, kind), batch_id, f"{path}/{kind}", layout=layout)
         bad = refused(rows).select("raw", "quarantine_reason")
         write_batch(bad, batch_id, f"{path}/quarantine/{kind}")
     finally:
         rows.unpersist()
+    seen = counts.get
+    entry = (
+        kind, batch_id, datetime.fromtimestamp(begun), seen["records"], seen["valid"], seen["refused"],
+        round((time.time() - begun) * 1000),
+    )
+    log = batch.sparkSession.createDataFrame([entry], LOG_SCHEMA)
+    write_partitioned(
+        log.withColumn("batch", F.lit(batch_id)), f"{path}/progress", ["type", "batch"],
+        mode="overwrite_partitions",
+    )
 
 
 def start(streams, path, checkpoint, process=process_messages, **run):

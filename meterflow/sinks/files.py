@@ -19,9 +19,11 @@ FORMATS = ("parquet", "csv", "json", "orc")
 MODES = ("append", "overwrite", "overwrite_partitions", "errorifexists")
 
 
-def write_partitioned(df, path, keys=(), fmt="parquet", mode="append", header=True):
+def write_partitioned(df, path, keys=(), fmt="parquet", mode="append", header=True, rebalance=True):
     """Write ``df`` below ``path``, one folder per combination of ``keys``.
 
+    ``rebalance=False`` saves the shuffle when rows already lie by folder.
+
     ``overwrite_partitions`` replaces only the folders that ``df`` has rows
     for, so running the same write again changes nothing.
     """
@@ -31,7 +33,7 @@ def write_partitioned(df, path, keys=(), fmt="parquet", mode="append", header=Tr
     require_columns(df, *keys)
     if mode == "overwrite_partitions" and not keys:
         raise ValueError("overwrite_partitions needs partition keys")
-    if keys:
+    if keys and rebalance:
         df = df.hint("rebalance", *keys)
     writer = df.write.format(fmt)
     if fmt == "csv":

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterflow.operators import enrich, latest, network, usage
+from meterflow.operators.progress import summary
 from meterflow.plans import live, monthly
 from meterflow.sinks import files as sinks
 from meterflow.sources.files import file_stream
@@ -237,5 +238,10 @@ def test_live_plan(spark, tmp_path):
     bad = spark.read.parquet(f"{out}/quarantine/household").collect()
     assert [r.raw for r in bad] == ["not json"]
     assert spark.read.parquet(f"{out}/area/day").first().bucket_name == "hcmc-q1"
+    rows = {r.type: r for r in spark.read.parquet(f"{out}/progress").collect()}
+    assert (rows["household"].records, rows["household"].valid, rows["household"].refused) == (4, 3, 1)
+    assert rows["area"].records == 1 and rows["area"].duration_ms > 0
+    totals = {r.type: r.records for r in summary(spark.read.parquet(f"{out}/progress")).collect()}
+    assert totals == {"household": 4, "area": 1, "total": 5}
     with pytest.raises(ValueError, match="unknown kinds"):
         live.start({"city": streams["area"]}, out, "x")
