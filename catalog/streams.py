@@ -16,7 +16,7 @@ from meterflow.streaming import runner, state
 
 from .network import BASE_SQL
 from .registry import ORACLES, query
-from .tables import READINGS_SQL, as_readings, places, table, transformers
+from .tables import READINGS_SQL, as_readings, places, readings, table, transformers
 from .usage import TIE, _latest_sql, _shown, enriched, household_ward_month_profile
 
 PLACE_COLUMNS = ["house_number", "ward", "district", "city"]
@@ -175,8 +175,8 @@ FROM parts QUALIFY row_number() OVER (
   PARTITION BY device_id, date_part, "hour" ORDER BY "timestamp" DESC, reading_id DESC) = 1
 """)
 def latest_objects(spark, sf_dir):
-    newest = latest.latest_at(enriched(spark, sf_dir), ["device_id"], "hour", tiebreak=TIE)
-    objects = sinks.latest_objects(newest, "hour")
+    newest = latest.latest_at(readings(spark, sf_dir), ["device_id"], "hour", tiebreak=TIE)
+    objects = sinks.latest_objects(enrich.add_time_parts(newest), "hour")
     fields = "reading_id long, electricity_usage_kwh double, timestamp string"
     return objects.select("object_key", F.from_json("json", fields).alias("d")).select(
         "object_key", "d.reading_id", "d.electricity_usage_kwh",

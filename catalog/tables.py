@@ -6,6 +6,8 @@ and region the ward, district and city. The SQL strings build the same views.
 
 from pyspark.sql import functions as F
 
+from meterflow.skew import join_dimension
+
 CUSTOMER_PLACE_SQL = """
 place AS (
   SELECT c.c_custkey, CAST(c.c_custkey AS VARCHAR) AS house_number,
@@ -73,8 +75,9 @@ def places(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(
-        region, nation.n_regionkey == region.r_regionkey
+    # Nations and regions are fixed small tables.
+    joined = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey).join(
+        F.broadcast(region), nation.n_regionkey == region.r_regionkey
     )
     return joined.select(
         "c_custkey",
@@ -87,13 +90,13 @@ def places(spark, sf_dir):
 
 def as_readings(events, place, keep=()):
     """Events as household readings; works on batch and streaming events."""
-    joined = events.join(place, events.user_id == place.c_custkey)
+    joined = join_dimension(events.withColumnRenamed("user_id", "c_custkey"), place, ["c_custkey"])
     voltage = 200 + F.col("event_id") % 51
     device = F.concat_ws("-", F.lit("household"), "city", "district", "house_number")
     return joined.select(
         F.col("event_id").alias("reading_id"),
         F.lit("household").alias("type"),
-        F.concat(F.lit("H"), F.col("user_id")).alias("household_id"),
+        F.concat(F.lit("H"), F.col("c_custkey")).alias("household_id"),
         device.alias("device_id"),
         F.col("ts").alias("timestamp"),
         F.col("value").alias("electricity_usage_kwh"),

@@ -6,6 +6,7 @@ from meterflow.functions import keys
 from meterflow.functions.timeparts import stamp
 from meterflow.operators import enrich, filters, latest, progress, usage
 from meterflow.plans import monthly
+from meterflow.skew import join_dimension
 
 from .registry import query
 from .tables import (
@@ -30,7 +31,7 @@ FROM parts QUALIFY row_number() OVER (
 
 
 def _shown(rows, grain, path=("device_id",)):
-    return rows.select(
+    return enrich.add_time_parts(rows).select(
         "device_id", "reading_id", "formatted_timestamp", "electricity_usage_kwh", "voltage",
         keys.object_key(*path, *SLOTS[grain]).alias("object_key"),
     )
@@ -42,27 +43,27 @@ def enriched(spark, sf_dir):
 
 @query("latest_minute", _latest_sql("minute"))
 def latest_minute(spark, sf_dir):
-    return _shown(latest.latest_at(enriched(spark, sf_dir), ["device_id"], "minute", tiebreak=TIE), "minute")
+    return _shown(latest.latest_at(readings(spark, sf_dir), ["device_id"], "minute", tiebreak=TIE), "minute")
 
 
 @query("latest_hour", _latest_sql("hour"))
 def latest_hour(spark, sf_dir):
-    return _shown(latest.latest_at(enriched(spark, sf_dir), ["device_id"], "hour", tiebreak=TIE), "hour")
+    return _shown(latest.latest_at(readings(spark, sf_dir), ["device_id"], "hour", tiebreak=TIE), "hour")
 
 
 @query("latest_day", _latest_sql("day"))
 def latest_day(spark, sf_dir):
-    return _shown(latest.latest_at(enriched(spark, sf_dir), ["device_id"], "day", tiebreak=TIE), "day")
+    return _shown(latest.latest_at(readings(spark, sf_dir), ["device_id"], "day", tiebreak=TIE), "day")
 
 
 @query("latest_hour_of_minutes", _latest_sql("hour"))
 def latest_hour_of_minutes(spark, sf_dir):
-    return _shown(latest.latest_rollup(enriched(spark, sf_dir), ["device_id"], tiebreak=TIE)["hour"], "hour")
+    return _shown(latest.latest_rollup(readings(spark, sf_dir), ["device_id"], tiebreak=TIE)["hour"], "hour")
 
 
 @query("latest_day_of_hours", _latest_sql("day"))
 def latest_day_of_hours(spark, sf_dir):
-    return _shown(latest.latest_rollup(enriched(spark, sf_dir), ["device_id"], tiebreak=TIE)["day"], "day")
+    return _shown(latest.latest_rollup(readings(spark, sf_dir), ["device_id"], tiebreak=TIE)["day"], "day")
 
 
 _DEEP = ["type", "device_id", "city", "district"]
@@ -72,7 +73,7 @@ _DEEP = ["type", "device_id", "city", "district"]
     "hour", '"type", device_id, city, district', "\"type\", '/', device_id, '/', city, '/', district"
 ))
 def latest_by_location(spark, sf_dir):
-    rows = latest.latest_at(enriched(spark, sf_dir), _DEEP, "hour", tiebreak=TIE)
+    rows = latest.latest_at(readings(spark, sf_dir), _DEEP, "hour", tiebreak=TIE)
     return _shown(rows, "hour", _DEEP)
 
 
@@ -84,9 +85,8 @@ FROM area QUALIFY row_number() OVER (
   PARTITION BY device_id, date_trunc('hour', "timestamp") ORDER BY "timestamp" DESC, ward DESC) = 1
 """)
 def latest_area_hour(spark, sf_dir):
-    rows = enrich.enrich_area(area_totals(spark, sf_dir), measure_type="double")
-    newest = latest.latest_at(rows, ["device_id"], "hour", tiebreak=["ward"])
-    return newest.select(
+    newest = latest.latest_at(area_totals(spark, sf_dir), ["device_id"], "hour", tiebreak=["ward"])
+    return enrich.enrich_area(newest, measure_type="double").select(
         "device_id", "ward", "formatted_timestamp", F.round("total_electricity_usage_kwh", 6).alias("total_kwh")
     )
 
@@ -133,7 +133,7 @@ parts AS (
 
 
 def _order_parts(spark, sf_dir):
-    rows = order_readings(spark, sf_dir).join(places(spark, sf_dir), "c_custkey")
+    rows = join_dimension(order_readings(spark, sf_dir), places(spark, sf_dir), ["c_custkey"])
     return enrich.add_time_parts(rows)
 
 

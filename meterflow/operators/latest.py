@@ -32,26 +32,37 @@ def _newest_order(df, ts, tiebreak, group):
 def latest_per_group(df, group, ts="timestamp", tiebreak=()):
     """The newest row of each group by event time, then by ``tiebreak``.
 
-    Each task keeps one row per group before the shuffle, so a group of any
-    size sends at most one row per input task. Streams use an aggregate, since
-    ranking is a batch-only operation; both give the same rows.
+    One aggregate with one shuffle, for tables and streams alike. Each task
+    keeps one row per group before the shuffle, so a group of any size sends at
+    most one row per task. Tables group by a hash of the keys first: the sort
+    under the aggregate then compares numbers and rarely the keys themselves.
     """
     group = list(group)
     require_columns(df, *group)
     order = _newest_order(df, ts, tiebreak, group)
-    if df.isStreaming:
-        rest = [c for c in df.columns if c not in group]
-        newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("row")
-        return df.groupBy(*group).agg(newest).select(*[
-            F.col(c) if c in group else F.col(f"row.{c}").alias(c) for c in df.columns
-        ])
-    window = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
+    rest = [c for c in df.columns if c not in group]
+    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
+    keys = group if df.isStreaming else [F.xxhash64(*group).alias("__hash"), *group]
+    return df.groupBy(*keys).agg(newest).select(*[
+        F.col(c) if c in group else F.col(f"__row.{c}").alias(c) for c in df.columns
+    ])
+
+
+def time_slot(ts, grain):
+    """Start of the minute, hour or day on the session's clock."""
+    require_choice("grain", grain, GRAINS)
+    return F.date_trunc(grain, ts).cast("timestamp_ntz")
 
 
 def latest_at(df, keys, grain, ts="timestamp", tiebreak=()):
-    """The latest reading per key and minute, hour or day."""
-    return latest_per_group(df, [*keys, *grain_columns(grain)], ts, tiebreak)
+    """The latest reading per key and minute, hour or day.
+
+    Needs the event time only; add the text forms of the time to the few rows
+    that remain rather than to the input.
+    """
+    require_columns(df, *keys, ts)
+    slotted = df.withColumn("__slot", time_slot(ts, grain))
+    return latest_per_group(slotted, [*keys, "__slot"], ts, tiebreak).drop("__slot")
 
 
 def latest_rollup(df, keys, ts="timestamp", tiebreak=()):

@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from ..checks import require_columns
+from ..checks import require_choice, require_columns
 from ..operators import usage
-from ..operators.latest import grain_columns, latest_at
+from ..operators.latest import GRAINS, latest_at
 
 
 def _with_local_clock(df, ts, expire_after):
@@ -25,17 +25,17 @@ def latest_stream(df, keys, grain, ts="timestamp", tiebreak=(), expire_after=Non
     is given: then slots that long past the newest event are closed and later
     readings for them are dropped.
     """
-    require_columns(df, *keys, ts, *grain_columns(grain))
     if expire_after is None:
         return latest_at(df, keys, grain, ts, tiebreak)
-    columns = df.columns
-    group = [*keys, *grain_columns(grain)]
-    rest = [c for c in columns if c not in group]
+    require_columns(df, *keys, ts)
+    require_choice("grain", grain, GRAINS)
+    slotted = _with_local_clock(df, ts, expire_after).withColumn("__slot", F.window("__at", f"1 {grain}"))
+    rest = [c for c in df.columns if c not in keys]
     order = [ts, *(tiebreak or [c for c in sorted(rest) if c != ts])]
-    local = _with_local_clock(df, ts, expire_after)
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("row")
-    slots = local.groupBy(*group, F.window("__at", f"1 {grain}").alias("__slot")).agg(newest)
-    return slots.select(*[F.col(c) if c in group else F.col(f"row.{c}").alias(c) for c in columns])
+    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
+    return slotted.groupBy(*keys, "__slot").agg(newest).select(*[
+        F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns
+    ])
 
 
 def running_profile(df, keys, measures, ts=None, expire_after=None):
