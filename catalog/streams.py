@@ -62,6 +62,36 @@ def stream_month_profile(spark, sf_dir):
     return rows.select(*household_ward_month_profile(spark, sf_dir).columns)
 
 
+@query("stream_month_profile_log", ORACLES["household_ward_month_profile"])
+def stream_month_profile_log(spark, sf_dir):
+    home = work_dir(spark, "stream_month_profile_log")
+    _finish(monthly.start(
+        _reading_stream(spark, sf_dir), f"{home}/out", f"{home}/state", layout="log", available_now=True,
+    ))
+    rows = monthly.read_profile_log(spark, f"{home}/out").withColumns({
+        c: F.round(c, 9) for c in ("avg_electricity_usage_kwh", "avg_voltage")
+    })
+    return rows.select(*household_ward_month_profile(spark, sf_dir).columns)
+
+
+@query("stream_raw_json", f"""
+WITH {READINGS_SQL}
+SELECT household_id, device_id, ward, electricity_usage_kwh, voltage, round("current", 9) AS "current",
+       formatted_timestamp, date_part, "hour", "minute" FROM parts
+""")
+def stream_raw_json(spark, sf_dir):
+    """Readings appended as JSON rows by ward and day, in their output columns."""
+    home = work_dir(spark, "stream_raw_json")
+    rows = enrich.project_for(_reading_stream(spark, sf_dir), "household", ["ward"])
+
+    def append(batch, batch_id):
+        sinks.write_batch(batch, batch_id, f"{home}/out", ["ward", "date_part"], "json")
+
+    _finish(runner.run_batches(rows, append, f"{home}/state", available_now=True))
+    back = sources.read_json(spark, f"{home}/out", rows.schema).withColumn("current", F.round("current", 9))
+    return back.select(*rows.columns)
+
+
 @query("stream_transformers", f"""
 WITH {BASE_SQL}
 SELECT r.reading_id, coalesce(t.transformer_id, 'Unknown_Transformer') AS transformer_id,

@@ -1,7 +1,9 @@
 """Running monthly usage per household, written by storage key."""
 
+from ..checks import require_choice
 from ..operators import enrich, usage
-from ..sinks.files import with_fallback, write_partitioned
+from ..operators.latest import latest_per_group
+from ..sinks.files import with_fallback, write_batch, write_partitioned
 from ..streaming.runner import run_batches
 from ..streaming.state import running_profile
 
@@ -34,13 +36,32 @@ def write_profiles(batch, batch_id, path, fallback=None, fmt="csv"):
     return with_fallback(write, path, fallback) if fallback else write(path)
 
 
-def start(readings, path, checkpoint, fallback=None, fmt="csv", **run):
+def write_profile_log(batch, batch_id, path):
+    """Append the changed profiles of one batch; a repeated batch replaces itself."""
+    write_batch(batch, batch_id, path, ("year", "month"))
+
+
+def read_profile_log(spark, path, schema=None):
+    """The newest logged profile of every household, ward and month."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    newest = latest_per_group(reader.parquet(path), HOUSEHOLD_WARD_MONTH, "batch_id")
+    return newest.drop("batch_id")
+
+
+def start(readings, path, checkpoint, fallback=None, fmt="csv", layout="folders", **run):
     """Running profile of a stream of enriched readings.
 
-    A folder holds all households of its ward and month, so each batch must
-    bring whole folders: complete mode.
+    A folder of the ``folders`` layout holds all households of its ward and
+    month, so each batch must bring whole folders: complete mode, which writes
+    everything again. The ``log`` layout writes only changed profiles (update
+    mode); read it with ``read_profile_log``.
     """
+    require_choice("layout", layout, ("folders", "log"))
     profile = enrich.with_month_key(running_profile(readings, HOUSEHOLD_WARD_MONTH, MEASURES))
+    if layout == "log":
+        return run_batches(
+            profile, write_profile_log, checkpoint, mode="update", bound={"path": path}, **run
+        )
     return run_batches(
         profile, write_profiles, checkpoint, mode="complete",
         bound={"path": path, "fallback": fallback, "fmt": fmt}, **run,

@@ -130,6 +130,20 @@ def test_monthly_plan_writes_key_folders(spark, data, tmp_path):
     assert total == want.agg(F.sum("max_voltage")).first()[0]
 
 
+def test_monthly_log_keeps_the_newest_profile(spark, data, tmp_path):
+    folder, batch = data
+    rename = {"kwh": "electricity_usage_kwh"}
+    place = {"district": F.lit("Quan 10"), "ward": F.lit("Phuong 14")}
+    stream = source(spark, folder).withColumnsRenamed(rename).withColumns(place)
+    runner.run_all([monthly.start(
+        stream, str(tmp_path / "out"), str(tmp_path / "s"), layout="log", available_now=True,
+    )])
+    got = monthly.read_profile_log(spark, str(tmp_path / "out"))
+    want = monthly.household_ward_month(batch.withColumnsRenamed(rename).withColumns(place))
+    assert spark.read.parquet(str(tmp_path / "out")).count() > want.count()
+    assert shown(got.select(*want.columns)) == shown(want)
+
+
 def test_stream_static_join(spark, data, tmp_path):
     folder, _ = data
     mapping = spark.createDataFrame([("T", "d0")], "transformer_id string, device_id string")
