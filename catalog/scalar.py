@@ -8,14 +8,14 @@ from meterflow.operators import clean, decode, encode, enrich, features, filters
 from meterflow.schemas import HOUSEHOLD, widened
 
 from .registry import query
-from .tables import AREA_SQL, READINGS_SQL, area_totals, as_readings, places, readings, table
+from .tables import AREA_SQL, READINGS_SQL, area_totals, as_readings, readings, table
 
 PROPS = StructType([StructField("k", IntegerType(), True)])
 
 
 def _messages(spark, sf_dir):
     """Readings as JSON messages in bytes; those of error events are cut short."""
-    rows = as_readings(table(spark, sf_dir, "events"), places(spark, sf_dir), keep=["event_type"])
+    rows = as_readings(table(spark, sf_dir, "events"), spark, sf_dir, keep=["event_type"])
     location = F.struct("house_number", "ward", "district", "city").alias("location")
     names = [f.name for f in HOUSEHOLD.fields if f.name != "location"]
     whole = F.to_json(

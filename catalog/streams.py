@@ -16,7 +16,7 @@ from meterflow.streaming import runner, state
 
 from .network import BASE_SQL
 from .registry import ORACLES, query
-from .tables import READINGS_SQL, as_readings, places, readings, table, transformers
+from .tables import READINGS_SQL, as_readings, readings, table, transformers
 from .usage import TIE, _latest_sql, _shown, enriched, household_ward_month_profile
 
 PLACE_COLUMNS = ["house_number", "ward", "district", "city"]
@@ -30,7 +30,7 @@ def _event_stream(spark, sf_dir):
 
 def _reading_stream(spark, sf_dir):
     """Enriched readings; places are a static lookup."""
-    rows = as_readings(_event_stream(spark, sf_dir), places(spark, sf_dir))
+    rows = as_readings(_event_stream(spark, sf_dir), spark, sf_dir)
     return enrich.enrich_household(rows, measure_type="double")
 
 
@@ -123,7 +123,7 @@ def stream_messages(spark, sf_dir):
     """JSON messages, some of them broken, through the whole live plan."""
     home = work_dir(spark, "stream_messages")
     events = _event_stream(spark, sf_dir)
-    rows = as_readings(events, places(spark, sf_dir), keep=["event_type"])
+    rows = as_readings(events, spark, sf_dir, keep=["event_type"])
     location = F.struct(*PLACE_COLUMNS).alias("location")
     fields = ["type", "household_id", "device_id", "timestamp", "electricity_usage_kwh", "voltage",
               "current", location, "price_per_kwh", "total_cost"]

@@ -70,17 +70,20 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def places(spark, sf_dir):
-    """One row per customer: house number, ward, district, city."""
-    customer = table(spark, sf_dir, "customer")
+def with_place(facts, spark, sf_dir):
+    """Facts of customers (``c_custkey``) with house number, ward, district, city.
+
+    Nations and regions join after the customers, so that each side's size is
+    known from its own files.
+    """
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    # Nations and regions are fixed small tables.
-    joined = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey).join(
-        F.broadcast(region), nation.n_regionkey == region.r_regionkey
-    )
+    joined = join_dimension(facts, customer, ["c_custkey"])
+    joined = joined.join(nation, joined.c_nationkey == nation.n_nationkey)
+    joined = joined.join(region, nation.n_regionkey == region.r_regionkey)
     return joined.select(
-        "c_custkey",
+        *facts.columns,
         F.col("c_custkey").cast("string").alias("house_number"),
         F.col("c_mktsegment").alias("ward"),
         F.col("n_name").alias("district"),
@@ -88,9 +91,9 @@ def places(spark, sf_dir):
     )
 
 
-def as_readings(events, place, keep=()):
+def as_readings(events, spark, sf_dir, keep=()):
     """Events as household readings; works on batch and streaming events."""
-    joined = join_dimension(events.withColumnRenamed("user_id", "c_custkey"), place, ["c_custkey"])
+    joined = with_place(events.withColumnRenamed("user_id", "c_custkey"), spark, sf_dir)
     voltage = 200 + F.col("event_id") % 51
     device = F.concat_ws("-", F.lit("household"), "city", "district", "house_number")
     return joined.select(
@@ -110,7 +113,7 @@ def as_readings(events, place, keep=()):
 
 
 def readings(spark, sf_dir):
-    return as_readings(table(spark, sf_dir, "events"), places(spark, sf_dir))
+    return as_readings(table(spark, sf_dir, "events"), spark, sf_dir)
 
 
 def area_totals(spark, sf_dir):

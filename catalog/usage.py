@@ -6,12 +6,11 @@ from meterflow.functions import keys
 from meterflow.functions.timeparts import stamp
 from meterflow.operators import enrich, filters, latest, progress, usage
 from meterflow.plans import monthly
-from meterflow.skew import join_dimension
 
 from .registry import query
 from .tables import (
     AREA_SQL, BATCH_LOG_SQL, CUSTOMER_PLACE_SQL, READINGS_SQL, area_totals, batch_log, order_readings,
-    places, readings, table,
+    readings, table, with_place,
 )
 
 TIE = ["reading_id"]
@@ -133,7 +132,7 @@ parts AS (
 
 
 def _order_parts(spark, sf_dir):
-    rows = join_dimension(order_readings(spark, sf_dir), places(spark, sf_dir), ["c_custkey"])
+    rows = with_place(order_readings(spark, sf_dir), spark, sf_dir)
     return enrich.add_time_parts(rows)
 
 
