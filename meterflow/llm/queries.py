@@ -1,9 +1,24 @@
 """The dealt operators over their whole tables: one query each."""
 
-from . import pii
+from . import langid, line_rules, pii, quality
 from .registry import ORACLES, QUERIES, query, read  # noqa: F401
 
 
 @query("op7_pii")
 def op7_pii(spark, sf_dir):
     return pii.op_digest(read(spark, sf_dir, "documents"))
+
+
+@query("op3_langid")
+def op3_langid(spark, sf_dir):
+    return langid.op_languages(read(spark, sf_dir, "documents"))
+
+
+@query("op5_quality")
+def op5_quality(spark, sf_dir):
+    return quality.op_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op9_line_rules")
+def op9_line_rules(spark, sf_dir):
+    return line_rules.op_rules(read(spark, sf_dir, "documents"))
