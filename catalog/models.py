@@ -3,7 +3,10 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from meterflow.durable import work_dir
 from meterflow.operators import classify, features, regression, series, stats
+from meterflow.plans import consumption
+from meterflow.sources.files import read_delimited
 
 from .registry import query
 from .tables import table
@@ -66,12 +69,23 @@ def assembled_features(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", *[values[i].alias(f"f{i}") for i in range(3)])
 
 
-@query("random_split", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
+@query("random_split", """
+SELECT count(*) AS n, 0 AS in_both, 0 AS lost, true AS share_fits
+FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem)
+""")
 def random_split(spark, sf_dir):
-    """Both parts put together again: which row falls where is up to chance."""
-    rows = _lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey")
+    """Which row falls where is up to chance; that the parts are whole, apart and of their size is not."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    rows = _lines(spark, sf_dir).select(*keys).distinct()
     train, test = features.split_random(rows)
-    return train.unionByName(test)
+    tagged = train.withColumn("a", F.lit(1)).unionByName(test.withColumn("b", F.lit(1)), allowMissingColumns=True)
+    parts = tagged.groupBy(*keys).agg(F.count("a").alias("a"), F.count("b").alias("b"))
+    parts = rows.withColumn("of", F.lit(1)).join(parts, keys, "left")
+    return parts.agg(
+        F.count("*").alias("n"), F.count_if(F.col("a") + F.col("b") > 1).cast("int").alias("in_both"),
+        F.count_if(F.col("a").isNull()).cast("int").alias("lost"),
+        (F.abs(F.avg("a") - 0.7) < 0.03).alias("share_fits"),
+    )
 
 
 @query("linear_fit", f"""
@@ -152,20 +166,88 @@ def excess_predictions(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "excess_usage")
 
 
-@query("logistic_predict")
+def _logistic_sql(reg=0.1, steps=12):
+    """Newton's steps for the regularised logistic fit, a chain of sums and 3 x 3 solutions."""
+    parts = [f"""
+WITH d AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS x1, l_discount AS x2,
+                  CASE WHEN l_extendedprice > 50000 THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM lineitem),
+s AS (SELECT {reg} * var_samp(x1) AS r1, {reg} * var_samp(x2) AS r2 FROM d),
+b0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS c)"""]
+    for k in range(steps):
+        parts.append(f"""
+p{k} AS (SELECT x1, x2, y, 1 / (1 + exp(-(a + b * x1 + c * x2))) AS p FROM d CROSS JOIN b{k}),
+m{k} AS (
+  SELECT a, b, c, g0, g1 + r1 * b AS g1, g2 + r2 * c AS g2, h00, h01, h02, h11 + r1 AS h11, h12, h22 + r2 AS h22
+  FROM (SELECT avg(p - y) AS g0, avg((p - y) * x1) AS g1, avg((p - y) * x2) AS g2, avg(p * (1 - p)) AS h00,
+               avg(p * (1 - p) * x1) AS h01, avg(p * (1 - p) * x2) AS h02, avg(p * (1 - p) * x1 * x1) AS h11,
+               avg(p * (1 - p) * x1 * x2) AS h12, avg(p * (1 - p) * x2 * x2) AS h22 FROM p{k})
+  CROSS JOIN b{k} CROSS JOIN s),
+b{k + 1} AS (
+  SELECT a - ((h11 * h22 - h12 * h12) * g0 + (h02 * h12 - h01 * h22) * g1 + (h01 * h12 - h02 * h11) * g2) / det AS a,
+         b - ((h02 * h12 - h01 * h22) * g0 + (h00 * h22 - h02 * h02) * g1 + (h01 * h02 - h00 * h12) * g2) / det AS b,
+         c - ((h01 * h12 - h02 * h11) * g0 + (h01 * h02 - h00 * h12) * g1 + (h00 * h11 - h01 * h01) * g2) / det AS c
+  FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h02 * h12) + h02 * (h01 * h12 - h02 * h11) AS det FROM m{k}))""")
+    return ",".join(parts) + f"""
+SELECT l_orderkey, l_linenumber, l_partkey, y AS label, round(p, 4) AS probability,
+       CASE WHEN p > 0.55 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+FROM (SELECT *, 1 / (1 + exp(-(a + b * x1 + c * x2))) AS p FROM d CROSS JOIN b{steps})"""
+
+
+@query("logistic_predict", _logistic_sql())
 def logistic_predict(spark, sf_dir):
-    """Large orders from their day and priority, with overridden parameters."""
+    """Dear lines from their quantity and discount, with overridden parameters."""
     rows = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_discount",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount",
         (F.col("l_extendedprice") > 50000).cast("double").alias("label"),
     )
     inputs = ["l_quantity", "l_discount"]
     model = classify.fit_logistic(
         rows, inputs, params={"maxIter": 10, "regParam": 0.01},
-        overrides={"maxIter": 30, "regParam": 0.1, "threshold": 0.55, "probabilityCol": "myProbability"},
+        overrides={"maxIter": 200, "tol": 1e-13, "regParam": 0.1, "threshold": 0.55, "probabilityCol": "positive"},
     )
     scored = classify.predict_class(rows, model, inputs)
     return scored.select(
-        "l_orderkey", "l_linenumber", "label", F.round("positive_probability", 6).alias("probability"),
+        "l_orderkey", "l_linenumber", "l_partkey", "label", F.round("positive_probability", 4).alias("probability"),
         "prediction",
     )
+
+
+_METERED = ["Date", "Voltage", "Global_intensity", "Global_active_power"]
+_METERED_SQL = """
+rows AS (
+  SELECT l_orderkey AS k, l_quantity AS x1, l_discount AS x2, l_extendedprice AS y FROM lineitem WHERE l_linenumber <> 6),
+train AS (SELECT * FROM rows WHERE k % 10 < 7), test AS (SELECT * FROM rows WHERE k % 10 >= 7),
+s AS (
+  SELECT avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS v1, var_pop(x2) AS v2, covar_pop(x1, x2) AS c12,
+         covar_pop(x1, y) AS c1y, covar_pop(x2, y) AS c2y FROM train),
+b AS (SELECT *, (c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12) AS b1, (c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12) AS b2 FROM s),
+p AS (SELECT y, my + b1 * (x1 - m1) + b2 * (x2 - m2) AS f FROM test CROSS JOIN b)"""
+
+
+def _metered(spark, sf_dir):
+    """Lines as a consumption table in a ``;`` file, with gaps written as a question mark."""
+    path = work_dir(spark, "metered")
+    gap = F.col("l_linenumber") == 6
+    rows = _lines(spark, sf_dir).select(
+        F.col("l_orderkey").alias("Date"), F.when(gap, "?").otherwise(F.col("l_quantity").cast("string")).alias("Voltage"),
+        F.col("l_discount").alias("Global_intensity"), F.col("l_extendedprice").alias("Global_active_power"),
+    )
+    rows.write.option("header", True).option("sep", ";").csv(path)
+    schema = "Date long, Voltage string, Global_intensity string, Global_active_power string"
+    return read_delimited(spark, path, ";", schema)
+
+
+@query("consumption_table", f"WITH {_METERED_SQL} SELECT x1 AS voltage, x2 AS intensity, y AS power FROM rows")
+def consumption_table(spark, sf_dir):
+    rows = consumption.cleaned(_metered(spark, sf_dir), _METERED[1:])
+    return rows.toDF("voltage", "intensity", "power")
+
+
+@query("consumption_fit", f"""
+WITH {_METERED_SQL}
+SELECT count(*) AS n, round(avg((y - f) * (y - f)), 1) AS mse, round(1 - avg((y - f) * (y - f)) / var_pop(y), 8) AS r2 FROM p
+""")
+def consumption_fit(spark, sf_dir):
+    """The consumption job end to end: scan, clean, split, fit, judge."""
+    fitted = consumption.fit(_metered(spark, sf_dir), _METERED[1:3], _METERED[3], key="Date")
+    return fitted.metrics.select("n", F.round("mse", 1).alias("mse"), F.round("r2", 8).alias("r2"))

@@ -81,7 +81,8 @@ FROM edges
 """)
 def failure_whatif(spark, sf_dir):
     g = supply.supply_graph(readings(spark, sf_dir), transformers(spark, sf_dir))
-    return network.simulate_failure(g.edges, FAILED)
+    failed = spark.createDataFrame([(t,) for t in FAILED], "transformer_id string")
+    return network.simulate_failure(g.edges, failed)
 
 
 @query("supply_summary", f"""
@@ -174,12 +175,76 @@ def pagerank_trade(spark, sf_dir):
     )
 
 
-@query("components_trade")
+@query("components_trade", """
+WITH RECURSIVE pairs AS (
+  SELECT DISTINCT concat('C', o_custkey) AS src, concat('S', l_suppkey) AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+both AS (SELECT src, dst FROM pairs UNION ALL SELECT dst, src FROM pairs),
+lone AS (SELECT min(src) AS id FROM both),
+reach(id) AS (SELECT id FROM lone UNION SELECT b.dst FROM reach r JOIN both b ON b.src = r.id)
+SELECT DISTINCT src AS id, CASE WHEN src IN (SELECT id FROM reach) THEN (SELECT id FROM lone) END AS component FROM both
+""")
 def components_trade(spark, sf_dir):
     vertices, edges = _trade(spark, sf_dir)
     return graph.component_table(graph.connected_components(vertices, edges))
 
 
+def _mixed_key(column):
+    """Customer keys in an order unlike their own, so that a path's smallest id lies anywhere."""
+    return (F.col(column).cast("long") * 48271) % 2147483647
+
+
+@query("components_islands", """
+WITH c AS (SELECT (c_custkey::BIGINT * 48271) % 2147483647 AS id, (c_custkey - 1) // 60 AS island FROM customer)
+SELECT id, min(id) OVER (PARTITION BY island) AS component FROM c
+""")
+def components_islands(spark, sf_dir):
+    """Customers in paths of sixty: many components of large diameter."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey")
+    ends = customer.filter("c_custkey % 60 <> 0").withColumn("next", F.col("c_custkey") + 1)
+    known = customer.withColumnRenamed("c_custkey", "next")
+    edges = ends.join(known, "next").select(_mixed_key("c_custkey").alias("src"), _mixed_key("next").alias("dst"))
+    return graph.component_table(graph.connected_components(customer.select(_mixed_key("c_custkey").alias("id")), edges))
+
+
+_HOPS_EDGES_SQL = """
+edges AS (
+  SELECT concat('C', c_custkey) AS src, concat('N', c_nationkey) AS dst FROM customer
+  UNION ALL SELECT concat('S', s_suppkey), concat('N', s_nationkey) FROM supplier
+  UNION ALL SELECT concat('N', n_nationkey), concat('R', n_regionkey) FROM nation
+  UNION ALL SELECT concat('R', n_regionkey), concat('S', s_suppkey) FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+
+
+def _hops_sql(rounds=10):
+    steps = ["r0 AS (SELECT id, 1.0::DOUBLE AS r FROM ids)"] + [
+        f"r{k} AS (SELECT ids.id, 0.15 + 0.85 * coalesce(sum(r / o), 0) AS r FROM ids LEFT JOIN edges ON dst = ids.id "
+        f"LEFT JOIN outs USING (src) LEFT JOIN r{k - 1} p ON p.id = src GROUP BY ids.id)"
+        for k in range(1, rounds + 1)
+    ]
+    return f"""
+WITH {_HOPS_EDGES_SQL},
+ids AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges),
+outs AS (SELECT src, count(*) AS o FROM edges GROUP BY src),
+{", ".join(steps)}
+SELECT id, round(r * (SELECT count(*) / sum(r) FROM r{rounds}), 6) AS pagerank FROM r{rounds}"""
+
+
+@query("pagerank_hops", _hops_sql())
+def pagerank_hops(spark, sf_dir):
+    """Customers to nations to regions to suppliers to nations: ranks that change every round."""
+    customer, supplier, nation = (table(spark, sf_dir, t) for t in ("customer", "supplier", "nation"))
+
+    def named(letter, column):
+        return F.concat(F.lit(letter), F.col(column))
+
+    edges = customer.select(named("C", "c_custkey").alias("src"), named("N", "c_nationkey").alias("dst"))
+    edges = edges.unionByName(supplier.select(named("S", "s_suppkey").alias("src"), named("N", "s_nationkey").alias("dst")))
+    edges = edges.unionByName(nation.select(named("N", "n_nationkey").alias("src"), named("R", "n_regionkey").alias("dst")))
+    placed = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+    edges = edges.unionByName(placed.select(named("R", "n_regionkey").alias("src"), named("S", "s_suppkey").alias("dst")))
+    ids = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id"))).distinct()
+    return graph.rank_table(graph.pagerank(ids, edges)).withColumn("pagerank", F.round("pagerank", 6))
+
+
 @query("unlinked_edges", f"""
 WITH {EDGES_SQL}
 SELECT src, dst FROM edges WHERE dst IN ({FAILED_SQL})

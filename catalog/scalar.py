@@ -54,7 +54,7 @@ def decode_readings(spark, sf_dir):
 
 
 @query("quarantine_readings", """
-SELECT event_id AS reading_id, 'household_id,timestamp' AS quarantine_reason
+SELECT event_id AS reading_id, 'malformed' AS quarantine_reason
 FROM events WHERE event_type = 'error'
 """)
 def quarantine_readings(spark, sf_dir):
@@ -63,6 +63,34 @@ def quarantine_readings(spark, sf_dir):
     return bad.select("reading_id", "quarantine_reason")
 
 
+@query("partly_bad_readings", f"""
+WITH {READINGS_SQL}
+SELECT reading_id, CASE WHEN reading_id % 5 <> 0 THEN voltage END AS voltage, household_id, total_cost
+FROM readings JOIN events e ON e.event_id = reading_id WHERE e.event_type <> 'error'
+""")
+def partly_bad_readings(spark, sf_dir):
+    """A record with one bad optional field is kept with that field null."""
+    spoilt = F.regexp_replace(F.col("value").cast("string"), '"voltage":[0-9]+', '"voltage":"high"')
+    value = F.when(F.col("reading_id") % 5 == 0, spoilt.cast("binary")).otherwise(F.col("value"))
+    rows = _messages(spark, sf_dir).withColumn("value", value)
+    rows = decode.decode_json(rows, widened(HOUSEHOLD), keep=["reading_id"], corrupt="raw")
+    valid, _ = decode.split_valid(rows, ["household_id", "timestamp"], corrupt="raw")
+    return valid.select("reading_id", "voltage", "household_id", "total_cost")
+
+
+@query("area_projection", f"""
+WITH {AREA_SQL}
+SELECT device_id, ward, round(total_electricity_usage_kwh, 6) AS kwh,
+       strftime("timestamp", '%Y-%m-%d %H-%M-%S') AS formatted_timestamp, strftime("timestamp", '%Y-%m-%d') AS date_part,
+       CAST(hour("timestamp") AS INTEGER) AS "hour", CAST(minute("timestamp") AS INTEGER) AS "minute"
+FROM area
+""")
+def area_projection(spark, sf_dir):
+    rows = enrich.enrich_area(area_totals(spark, sf_dir), measure_type="double")
+    out = enrich.project_for(rows, "area", ["ward"])
+    return out.withColumn("kwh", F.round("total_electricity_usage_kwh", 6)).drop("total_electricity_usage_kwh")
+
+
 @query("required_fields", """
 SELECT event_id, CASE WHEN event_type <> 'view' AND value <= 400 THEN 'valid'
        ELSE concat_ws(',', CASE WHEN event_type = 'view' THEN 'event_type' END,
@@ -338,13 +366,18 @@ def row_json_fields(spark, sf_dir):
     return rows.select(F.from_json("json", _ROW_JSON_FIELDS).alias("d")).select("d.*")
 
 
-@query("group_json_fields", "SELECT event_type, event_id, user_id, value FROM events")
+@query("group_json_fields", """
+SELECT nullif(event_type, 'view') AS event_type, event_id, user_id, value, true AS bounded FROM events
+""")
 def group_json_fields(spark, sf_dir):
-    packed = encode.group_json(
-        table(spark, sf_dir, "events"), ["event_type"], "event_id", columns=["event_id", "user_id", "value"]
-    )
+    """Events as bounded JSON arrays per type, one of the types without a name."""
+    per_array = 200
+    rows = table(spark, sf_dir, "events").withColumn("event_type", F.nullif("event_type", F.lit("view")))
+    packed = encode.group_json(rows, ["event_type"], "event_id", per_array, ["event_id", "user_id", "value"])
     kind = "array<struct<event_id: bigint, user_id: bigint, value: double>>"
-    return packed.select("event_type", F.inline(F.from_json("json", kind)))
+    # Arrays part by a hash: about the size asked for, never far beyond it.
+    bounded = (F.col("rows") == F.json_array_length("json")) & (F.col("rows") < 2 * per_array)
+    return packed.select("event_type", bounded.alias("bounded"), F.inline(F.from_json("json", kind)))
 
 
 @query("split_by_key", f"""

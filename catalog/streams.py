@@ -19,6 +19,11 @@ from .registry import ORACLES, query
 from .tables import READINGS_SQL, as_readings, readings, table, transformers
 from .usage import TIE, _latest_sql, _shown, enriched, household_ward_month_profile
 
+# The columns of the monthly profile, fixed here so that no other plan is built for them.
+PROFILE = [
+    "household_id", "year", "month", "district", "ward", "min_electricity_usage_kwh", "max_electricity_usage_kwh",
+    "avg_electricity_usage_kwh", "min_voltage", "max_voltage", "avg_voltage", "bucket_name",
+]
 PLACE_COLUMNS = ["house_number", "ward", "district", "city"]
 
 
@@ -53,13 +58,13 @@ def stream_latest_hour(spark, sf_dir):
 def stream_month_profile(spark, sf_dir):
     home = work_dir(spark, "stream_month_profile")
     _finish(monthly.start(
-        _reading_stream(spark, sf_dir), f"{home}/out", f"{home}/state", fmt="parquet", available_now=True,
+        _reading_stream(spark, sf_dir), f"{home}/out", f"{home}/state", fmt="parquet", layout="folders", available_now=True,
     ))
     rows = spark.read.parquet(f"{home}/out").withColumns({
         "year": F.col("year").cast("int"), "month": F.col("month").cast("int"),
         **{c: F.round(c, 9) for c in ("avg_electricity_usage_kwh", "avg_voltage")},
     })
-    return rows.select(*household_ward_month_profile(spark, sf_dir).columns)
+    return rows.select(*PROFILE)
 
 
 @query("stream_month_profile_log", ORACLES["household_ward_month_profile"])
@@ -71,7 +76,7 @@ def stream_month_profile_log(spark, sf_dir):
     rows = monthly.read_profile_log(spark, f"{home}/out").withColumns({
         c: F.round(c, 9) for c in ("avg_electricity_usage_kwh", "avg_voltage")
     })
-    return rows.select(*household_ward_month_profile(spark, sf_dir).columns)
+    return rows.select(*PROFILE)
 
 
 @query("stream_raw_json", f"""

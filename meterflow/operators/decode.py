@@ -23,7 +23,9 @@ def decode_json(df, schema, value="value", keep=(), corrupt=None):
         schema = StructType([*schema.fields, StructField(corrupt, StringType(), True)])
         options["columnNameOfCorruptRecord"] = corrupt
     parsed = F.from_json(F.col(value).cast("string"), schema, options)
-    return df.select(*keep, parsed.alias("data")).select(*keep, "data.*")
+    # A generator is a barrier: later filters read its columns instead of
+    # parsing the text again for each of them.
+    return df.select(*keep, F.inline(F.array(parsed)))
 
 
 def flatten_location(df, column="location"):
@@ -50,18 +52,24 @@ def complete(required):
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
 
 
-def mark_valid(df, required, corrupt=None, reason="quarantine_reason"):
-    """Add why a record is refused (null for valid ones), in the same pass."""
+def mark_valid(df, required, corrupt=None, reason="quarantine_reason", strict=False):
+    """Add why a record is refused (null for valid ones), in the same pass.
+
+    Records that lack a required field are refused: as ``malformed`` if their
+    text did not fit the schema, else with the names of the fields. A record
+    with a bad optional field is kept with that field null, unless ``strict``.
+    """
     why = missing_fields(df, required)
     if corrupt:
         require_columns(df, corrupt)
-        why = F.coalesce(why, F.when(F.col(corrupt).isNotNull(), F.lit("malformed")))
+        bad = F.col(corrupt).isNotNull()
+        why = F.when(bad & (F.lit(strict) | why.isNotNull()), F.lit("malformed")).otherwise(why)
     return df.withColumn(reason, why)
 
 
-def split_valid(df, required, corrupt=None, reason="quarantine_reason"):
+def split_valid(df, required, corrupt=None, reason="quarantine_reason", strict=False):
     """(valid rows, quarantined rows with the reason); together the whole input."""
-    marked = mark_valid(df, required, corrupt, reason)
+    marked = mark_valid(df, required, corrupt, reason, strict)
     drop = [reason] + ([corrupt] if corrupt else [])
     valid = marked.filter(F.col(reason).isNull()).drop(*drop)
     return valid, marked.filter(F.col(reason).isNotNull())

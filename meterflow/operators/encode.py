@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..checks import require_columns
 from ..functions.text import row_json
-from ..skew import skew_join
+from ..skew import join_dimension
 
 
 def with_row_json(df, columns=None, name="json"):
@@ -14,21 +14,24 @@ def with_row_json(df, columns=None, name="json"):
     return df.withColumn(name, row_json(columns))
 
 
-def group_json(df, keys, row_id, rows_per_array=1000, columns=None, name="json"):
+def group_json(df, keys, row_id, rows_per_array, columns=None, name="json"):
     """JSON arrays of the rows of each key group: (keys, part, rows, json).
 
-    A group beyond ``rows_per_array`` becomes several arrays of about that
-    size, parted by a hash of the unique ``row_id``, so that no array outgrows
-    a task. Small groups are one array.
+    ``rows_per_array`` is the caller's choice. With a number, a group becomes
+    ``ceil(rows / rows_per_array)`` arrays of about that size, parted by a hash
+    of the unique ``row_id``; (keys, part) then name an array. With ``None``
+    every group is one array, which must fit a task. Null keys form groups
+    like any other.
     """
     keys = list(keys)
     columns = list(columns or df.columns)
     require_columns(df, *keys, row_id, *columns)
     rows = df.select(*keys, F.col(row_id).alias("__id"), row_json(columns).alias("__json"))
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / rows_per_array).cast("int").alias("__parts"))
-    large = sizes.filter("__parts > 1")
-    rows = skew_join(rows, large, keys, "left")
-    part = F.pmod(F.xxhash64("__id"), F.coalesce("__parts", F.lit(1))).cast("int")
+    part = F.lit(0)
+    if rows_per_array is not None:
+        sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / rows_per_array).cast("int").alias("__parts"))
+        rows = join_dimension(rows, sizes.filter("__parts > 1"), keys, "left", null_safe=True)
+        part = F.pmod(F.xxhash64("__id"), F.coalesce("__parts", F.lit(1))).cast("int")
     packed = rows.groupBy(*keys, part.alias("part")).agg(
         F.count("*").alias("rows"), F.sort_array(F.collect_list("__json")).alias("__all")
     )

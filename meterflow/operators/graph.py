@@ -9,9 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..checks import require_columns
+from ..checks import hashable_columns, require_columns
 from ..durable import durable
-from ..skew import hot_keys, key_profile, pieces, skew_join
+from ..skew import hot_keys, key_profile, skew_join, small_enough, with_pieces
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ class Graph:
 
         ``dangling`` edges raise an error, or are removed with ``"drop"``.
         """
-        graph = cls(vertices.dropDuplicates(["id"]), edges)
+        graph = cls(_one_per_id(vertices), edges)
         if dangling == "drop":
             return cls(graph.vertices, graph.linked_edges())
         bad = graph.dangling_edges().limit(1).count()
@@ -39,22 +39,42 @@ class Graph:
             raise ValueError("edges point to unknown vertices")
         return graph
 
+    def _flagged(self):
+        """The edges with ``__src`` and ``__dst``: is that end a vertex?
+
+        Vertex ids that are measured small are broadcast. Beyond the bound the
+        edges are stored first, so that finding their hot keys and joining them
+        twice does not run their plan again.
+        """
+        known = durable(self.vertices.select("id").distinct())
+        small = small_enough(known)
+        flagged = self.edges if small else durable(self.edges)
+        hot = {} if small else {end: hot_keys(flagged, [end]) for end in ("src", "dst")}
+        for end in ("src", "dst"):
+            side = known.select(F.col("id").alias(end), F.lit(True).alias(f"__{end}"))
+            if small:
+                flagged = flagged.join(F.broadcast(side), [end], "left")
+            else:
+                flagged = skew_join(flagged, side, [end], "left", hot=hot[end])
+        return flagged
+
     def linked_edges(self):
         """The edges whose two ends are vertices."""
-        known = self.vertices.select("id")
-        linked = self.edges
-        for end in ("src", "dst"):
-            linked = skew_join(linked, known.withColumnRenamed("id", end), [end])
-        return linked.select(*self.edges.columns)
+        return self._flagged().filter("__src AND __dst").select(*self.edges.columns)
 
     def dangling_edges(self):
         """The edges with an end that is no vertex."""
-        known = self.vertices.select("id").withColumn("__known", F.lit(True))
-        flagged = self.edges
-        for end in ("src", "dst"):
-            side = known.select(F.col("id").alias(end), F.col("__known").alias(f"__{end}"))
-            flagged = skew_join(flagged, side, [end], "left")
-        return flagged.filter("__src IS NULL OR __dst IS NULL").select(*self.edges.columns)
+        return self._flagged().filter("__src IS NULL OR __dst IS NULL").select(*self.edges.columns)
+
+
+def _one_per_id(vertices):
+    """One row per id: the greatest by its other columns, the same on every run."""
+    rest = [c for c in vertices.columns if c != "id"]
+    if not rest:
+        return vertices.distinct()
+    order = [c for c in hashable_columns(vertices) if c != "id"] or rest
+    kept = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
+    return vertices.groupBy("id").agg(kept).select("id", "__row.*").select(*vertices.columns)
 
 
 def _partitions(spark):
@@ -76,12 +96,12 @@ def pagerank(vertices, edges, reset=0.15, max_iter=10, checkpoint_every=5):
     spark = vertices.sparkSession
     parts = _partitions(spark)
     ids = durable(vertices.select("id").distinct())
-    links = durable(edges.groupBy("src", "dst").agg(F.count("*").alias("n")))
+    links = edges.groupBy("src", "dst").agg(F.count("*").alias("n"))
     links = durable(Graph(ids, links).linked_edges())
 
-    count = pieces(["src"], hot_keys(links, ["src"]))
-    placed = links.withColumn("piece", F.pmod(F.xxhash64("src", "dst"), count).cast("int"))
-    placed = placed.repartition(parts, "src", "piece").sortWithinPartitions("src", "piece").persist()
+    hot = hot_keys(links, ["src"])
+    placed = with_pieces(links, ["src"], hot).withColumn("piece", F.pmod(F.xxhash64("src", "dst"), F.col("__pieces")).cast("int"))
+    placed = placed.drop("__pieces").repartition(parts, "src", "piece").sortWithinPartitions("src", "piece").persist()
     out_links = links.groupBy(F.col("src").alias("id")).agg(F.sum("n").alias("out"))
     base = ids.join(out_links, "id", "left")
     base = base.repartition(parts, "id").sortWithinPartitions("id").persist()
@@ -95,7 +115,8 @@ def pagerank(vertices, edges, reset=0.15, max_iter=10, checkpoint_every=5):
             share = ranks.filter(F.col("out").isNotNull()).select(
                 F.col("id").alias("src"), (F.col("pagerank") / F.col("out")).alias("share")
             )
-            share = share.withColumn("piece", F.explode(F.sequence(F.lit(0), count - 1)))
+            share = with_pieces(share, ["src"], hot)
+            share = share.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("__pieces") - 1))).drop("__pieces")
             gained = (
                 placed.join(share, ["src", "piece"])
                 .groupBy(F.col("dst").alias("id"))

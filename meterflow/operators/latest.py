@@ -1,5 +1,7 @@
 """Latest rows per group, newest-first history and top-k."""
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,6 @@ GRAINS = {
 }
 # Above this many rows per group Spark no longer trims groups before a shuffle.
 _TRIM_LIMIT = 1000
-_SPREAD = 64
 
 
 def grain_columns(grain):
@@ -54,13 +55,16 @@ def time_slot(ts, grain):
     return F.date_trunc(grain, ts).cast("timestamp_ntz")
 
 
-def latest_at(df, keys, grain, ts="timestamp", tiebreak=()):
+def latest_at(df, keys, grain, ts="timestamp", tiebreak=(), columns=None):
     """The latest reading per key and minute, hour or day.
 
     Needs the event time only; add the text forms of the time to the few rows
-    that remain rather than to the input.
+    that remain rather than to the input. ``columns`` names the columns wanted
+    besides the keys, the time and the tiebreak; only these are carried.
     """
     require_columns(df, *keys, ts)
+    if columns is not None:
+        df = df.select(*dict.fromkeys([*keys, ts, *tiebreak, *columns]))
     slotted = df.withColumn("__slot", time_slot(ts, grain))
     return latest_per_group(slotted, [*keys, "__slot"], ts, tiebreak).drop("__slot")
 
@@ -81,7 +85,8 @@ def top_n_per_group(df, group, order, n, rank="rank"):
 
     ``order`` lists columns, newest or largest first; end it with a unique
     column for a fixed result. Large ``n`` is trimmed in hash pieces of each
-    group first, so that no task sorts a whole large group.
+    group first, in two rounds, so that no task sorts a whole large group: as
+    many pieces as there are shuffle partitions, then the root of that number.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -89,10 +94,14 @@ def top_n_per_group(df, group, order, n, rank="rank"):
     require_columns(df, *group, *order)
     descending = [F.col(c).desc() for c in order]
     if n > _TRIM_LIMIT:
-        piece = F.pmod(F.xxhash64(*hashable_columns(df), F.spark_partition_id()), F.lit(_SPREAD))
-        first = Window.partitionBy(*group, "__piece").orderBy(*descending)
-        df = df.withColumn("__piece", piece).withColumn("__rank", F.row_number().over(first))
-        df = df.filter(F.col("__rank") <= n).drop("__rank", "__piece")
+        parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        piece = F.pmod(F.xxhash64(*hashable_columns(df), F.spark_partition_id()), F.lit(parts))
+        df = df.withColumn("__piece", piece)
+        for pieces in (parts, math.isqrt(parts)):
+            first = Window.partitionBy(*group, "__piece").orderBy(*descending)
+            df = df.withColumn("__piece", F.pmod("__piece", F.lit(pieces)))
+            df = df.withColumn("__rank", F.row_number().over(first)).filter(F.col("__rank") <= n).drop("__rank")
+        df = df.drop("__piece")
     window = Window.partitionBy(*group).orderBy(*descending)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 

@@ -1,5 +1,6 @@
 """Households and the transformers that feed them."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..checks import require_columns
@@ -26,11 +27,12 @@ def connect(readings, transformers, household="household_id", transformer="trans
 def assign_transformer(df, mapping, default=UNKNOWN, transformer="transformer_id", on=PLACE):
     """Rows with the transformer of their place, or a default name.
 
-    ``mapping`` must hold a place at most once, so no row is repeated. Works on
-    streaming ``df`` with a static mapping.
+    Of several transformers of a place the one with the smallest id counts, so
+    no row is repeated. Works on streaming ``df`` with a static mapping.
     """
     require_columns(mapping, transformer, *on)
-    joined = join_dimension(df, mapping.select(transformer, *on), on, "left")
+    single = mapping.groupBy(*on).agg(F.min(transformer).alias(transformer))
+    joined = join_dimension(df, single, on, "left")
     return joined.withColumn(transformer, F.coalesce(transformer, F.lit(default))).select(
         *df.columns, transformer
     )
@@ -80,8 +82,17 @@ def combine_vertices(households, transformers, household="household_id", transfo
 
 
 def simulate_failure(edges, failed_ids, dst="dst", flag="availability"):
-    """Edges with the supply of the failed transformers switched off."""
+    """Edges with the supply of the failed transformers switched off.
+
+    ``failed_ids`` is a short list, or for outages of any size a DataFrame
+    whose first column holds the ids.
+    """
     require_columns(edges, dst, flag)
+    if isinstance(failed_ids, DataFrame):
+        listed = failed_ids.select(F.col(failed_ids.columns[0]).alias(dst)).distinct()
+        marked = join_dimension(edges, listed.withColumn("__failed", F.lit(True)), [dst], "left")
+        off = F.when(F.col("__failed"), 0).otherwise(F.col(flag))
+        return marked.withColumn(flag, off).select(*edges.columns)
     failed = F.col(dst).isin(list(failed_ids))
     return edges.withColumn(flag, F.when(failed, 0).otherwise(F.col(flag)))
 

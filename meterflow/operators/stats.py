@@ -48,12 +48,3 @@ def normality(df, column):
     return moments.withColumn("jarque_bera", statistic).withColumn(
         "p_value", F.exp(-F.col("jarque_bera") / 2)
     )
-
-
-def ks_normality(df, column, mean=0.0, std=1.0):
-    """Kolmogorov-Smirnov test of a column against a given normal distribution."""
-    from pyspark.ml.stat import KolmogorovSmirnovTest
-
-    require_columns(df, column)
-    values = df.select(F.col(column).cast("double").alias(column)).dropna()
-    return KolmogorovSmirnovTest.test(values, column, "norm", mean, std)

@@ -20,15 +20,19 @@ class Fitted:
     normality: DataFrame
 
 
-def cleaned(table, columns=(*FEATURES, TARGET)):
-    """Numeric columns, rows with a gap removed."""
-    return clean.drop_incomplete(clean.to_numeric(table, columns), columns).select(*columns)
+def cleaned(table, columns=(*FEATURES, TARGET), keep=()):
+    """Numeric columns, rows with a gap removed; ``keep`` carries other columns along."""
+    return clean.drop_incomplete(clean.to_numeric(table, columns), columns).select(*keep, *columns)
 
 
-def fit(table, columns=FEATURES, target=TARGET, weights=(0.7, 0.3), seed=42):
-    """A model of the target, judged on the held-out part."""
-    rows = cleaned(table, (*columns, target))
-    train, test = features.split_random(rows, weights, seed)
+def fit(table, columns=FEATURES, target=TARGET, weights=(0.7, 0.3), seed=42, key=None):
+    """A model of the target, judged on the held-out part.
+
+    The split is random, or by an integer ``key`` column (7 of 10 for training),
+    which gives the same parts however the data is laid out.
+    """
+    rows = cleaned(table, (*columns, target), () if key is None else (key,))
+    train, test = features.split_random(rows, weights, seed) if key is None else features.split_by_key(rows, key)
     model = regression.fit_linear(train, list(columns), target)
     predicted = regression.residuals(regression.predict(test, model, list(columns)), target)
     return Fitted(

@@ -20,7 +20,10 @@ REQUIRED = {
 
 
 def marked(messages, kind):
-    """Decoded messages with why a record is refused (null for good ones)."""
+    """Decoded messages with why a record is refused (null for good ones).
+
+    A bad optional field becomes null; only bad required ones refuse a record.
+    """
     rows = decode.decode_json(messages, SCHEMAS[kind], corrupt="raw")
     return decode.mark_valid(rows, REQUIRED[kind], corrupt="raw")
 

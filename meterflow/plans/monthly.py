@@ -3,7 +3,7 @@
 from ..checks import require_choice
 from ..operators import enrich, usage
 from ..operators.latest import latest_per_group
-from ..sinks.files import with_fallback, write_batch, write_partitioned
+from ..sinks.files import compact_batches, with_fallback, write_batch, write_partitioned
 from ..streaming.runner import run_batches
 from ..streaming.state import running_profile
 
@@ -48,13 +48,19 @@ def read_profile_log(spark, path, schema=None):
     return newest.drop("batch_id")
 
 
-def start(readings, path, checkpoint, fallback=None, fmt="csv", layout="folders", **run):
+def compact_profile_log(spark, path):
+    """Fold the batches of every month that has several into one."""
+    return compact_batches(spark, path, ("year", "month"), "batch_id", HOUSEHOLD_WARD_MONTH, "batch_id")
+
+
+def start(readings, path, checkpoint, fallback=None, fmt="csv", layout="log", **run):
     """Running profile of a stream of enriched readings.
 
-    A folder of the ``folders`` layout holds all households of its ward and
-    month, so each batch must bring whole folders: complete mode, which writes
-    everything again. The ``log`` layout writes only changed profiles (update
-    mode); read it with ``read_profile_log``.
+    The ``log`` layout writes only changed profiles (update mode); read it with
+    ``read_profile_log`` and fold it now and then with ``compact_profile_log``. A folder
+    of the ``folders`` layout holds all households of its ward and month, so
+    each batch must bring whole folders: complete mode, which writes everything
+    again.
     """
     require_choice("layout", layout, ("folders", "log"))
     profile = enrich.with_month_key(running_profile(readings, HOUSEHOLD_WARD_MONTH, MEASURES))

@@ -3,13 +3,15 @@
 from ..operators import graph, network
 
 
-def supply_graph(readings, transformers):
+def supply_graph(readings, transformers, check=True):
     """The graph of households and the transformers that feed them.
 
-    Readings repeat a household over time; its edge is kept once.
+    Readings repeat a household over time; its edge is kept once. ``check``
+    makes sure that no edge points to an unknown vertex, which takes a pass.
     """
     edges = network.connect(readings.select("household_id", "district", "ward").distinct(), transformers)
-    return graph.Graph(network.vertices(readings, transformers), edges.distinct())
+    make = graph.Graph.of if check else graph.Graph
+    return make(network.vertices(readings, transformers), edges.distinct())
 
 
 def ranked(g, reset=0.15, max_iter=10):

@@ -9,9 +9,11 @@ import logging
 from pyspark.sql import functions as F
 
 from ..checks import require_choice, require_columns
+from ..durable import durable, remove_folders, work_dir
 from ..functions import keys as key_functions
 from ..functions.text import delimited_line, flat_columns, row_json
 from ..operators.latest import grain_columns, latest_per_group
+from ..skew import join_dimension
 
 log = logging.getLogger(__name__)
 
@@ -101,6 +103,46 @@ def read_latest_log(spark, path, grain, keys=("device_id",), ts="timestamp", tie
     return latest_per_group(logged, [*keys, *grain_columns(grain)], ts, tiebreak)
 
 
+def compact_latest_log(spark, path, grain, keys=("device_id",), ts="timestamp", tiebreak=()):
+    """Fold the logged batches of every day that has several into one.
+
+    Afterwards a day is one batch folder with one row per key and slot, however
+    many batches wrote it. Returns the number of days folded.
+    """
+    return compact_batches(spark, path, ("log_day",), "log_batch", [*keys, *grain_columns(grain)], ts, tiebreak)
+
+
+def compact_batches(spark, path, days, batch, group, ts, tiebreak=()):
+    """Fold the batches of each ``days`` folder that has several; returns how many.
+
+    Safe to run again after a failure at any point, and beside a stream that
+    appends newer batches: the newest rows replace the highest batch folded, and
+    only then do the older ones go. Until then readers see rows twice at
+    most, which a latest-row read ignores.
+    """
+    days = list(days)
+    logged = spark.read.parquet(path)
+    listed = logged.select(*days, F.col(batch).cast("long").alias(batch)).distinct()
+    spans = listed.groupBy(*days).agg(F.max(batch).alias("__last"), F.count("*").alias("__n")).filter("__n > 1")
+    spans = durable(spans)
+    folders = spans.count()
+    if not folders:
+        return 0
+    old = join_dimension(logged, spans.drop("__n"), days).filter(F.col(batch) <= F.col("__last"))
+    newest = latest_per_group(old.drop("__last"), list(dict.fromkeys([*days, *group])), ts, tiebreak)
+    newest = join_dimension(newest.drop(batch), spans.drop("__n"), days).withColumnRenamed("__last", batch)
+    staged = work_dir(spark, "compacted")
+    write_partitioned(newest, staged, [*days, batch])
+    rows = spark.read.schema(newest.schema).parquet(staged)
+    write_partitioned(rows, path, [*days, batch], mode="overwrite_partitions")
+    folded = listed.join(F.broadcast(spans), days).filter(F.col(batch) < F.col("__last"))
+    names = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in [*days, batch]]
+    # One folder name per batch and day folded away.
+    gone = folded.select(F.concat_ws("/", *names).alias("f")).toLocalIterator()
+    remove_folders(spark, [f"{path}/{r.f}" for r in gone] + [staged])
+    return folders
+
+
 def with_fallback(write, primary, fallback):
     """Run ``write(path)`` on the primary path, else on the fallback path.
 

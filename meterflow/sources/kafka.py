@@ -5,12 +5,14 @@ from ..checks import require_choice
 STARTS = ("earliest", "latest")
 
 
-def kafka_options(servers, topic, start="earliest", max_per_trigger=500,
+def kafka_options(servers, topic, start="earliest", max_per_trigger=None,
                   fail_on_data_loss=True, group_id=None):
     """Reader options. ``start=None`` leaves the source's own default.
 
     Defaults lose nothing: a first start reads from the beginning, and missing
-    offsets stop the query unless ``fail_on_data_loss`` is switched off.
+    offsets stop the query unless ``fail_on_data_loss`` is switched off. Nothing
+    is throttled unless ``max_per_trigger`` says so; with a 10-second trigger
+    500 messages a batch are at most 50 a second.
     """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
     if start is not None:

@@ -1,13 +1,15 @@
-"""Progress of streaming queries as rows and tables."""
+"""Progress of streaming queries as rows of an append-only table."""
 
 import json
-from collections import deque
+import threading
+import time
 
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 SCHEMA = (
-    "type string, batch_id long, ts string, records long, input_rate double, "
-    "processing_rate double, duration_ms long"
+    "query_id string, type string, batch_id long, ts string, records long, input_rate double, "
+    "processing_rate double, duration_ms long, error string"
 )
 
 
@@ -16,6 +18,7 @@ def progress_row(progress):
     if not isinstance(progress, dict):
         progress = json.loads(progress.json)
     return (
+        progress.get("id"),
         progress.get("name"),
         progress["batchId"],
         progress["timestamp"],
@@ -23,34 +26,86 @@ def progress_row(progress):
         float(progress.get("inputRowsPerSecond") or 0.0),
         float(progress.get("processedRowsPerSecond") or 0.0),
         progress.get("durationMs", {}).get("triggerExecution", 0),
+        None,
     )
 
 
-def progress_table(spark, query):
-    """The kept progress of a query; Spark keeps a bounded number of batches."""
+def recent_progress(spark, query):
+    """A query's last batches. Spark keeps a bounded number of them: this is for
+    a look at the present; totals come from ``read_progress``."""
     return spark.createDataFrame([progress_row(p) for p in query.recentProgress], SCHEMA)
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the newest batches of all queries of a session."""
+    """Appends every batch and failure of a session's queries to a table at ``path``.
 
-    def __init__(self, keep=1000):
-        self.rows = deque(maxlen=keep)
-        self.failures = deque(maxlen=keep)
+    Rows wait in memory until ``flush_rows`` of them are there, a query ends or
+    ``flush`` is called; then they are written and forgotten. A batch that is
+    run again, or reported again, is one row when read.
+    """
+
+    def __init__(self, spark, path, flush_rows=100):
+        self.spark, self.path, self.flush_rows = spark, path, flush_rows
+        self._rows, self._lock, self._names, self._last = [], threading.Lock(), {}, {}
+
+    def _add(self, row, write):
+        with self._lock:
+            self._rows.append(row)
+            write = write or len(self._rows) >= self.flush_rows
+        if write:
+            self.flush()
 
     def onQueryStarted(self, event):
-        pass
+        self._names[str(event.id)] = event.name
 
     def onQueryProgress(self, event):
-        self.rows.append(progress_row(event.progress))
+        row = progress_row(event.progress)
+        self._last[row[0]] = row[2]
+        self._add(row, False)
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
+        name = self._names.pop(str(event.id), None)
         if event.exception:
-            self.failures.append((str(event.id), event.exception))
+            self._add((str(event.id), name, None, None, 0, 0.0, 0.0, 0, event.exception), True)
+        else:
+            self.flush()
+
+    def wait_for(self, queries, seconds=30):
+        """Wait until the last batch of every ended query has been reported."""
+        until = time.time() + seconds
+        for query in queries:
+            last = query.lastProgress
+            while last is not None and self._last.get(str(query.id), -1) < last["batchId"]:
+                if time.time() > until:
+                    raise TimeoutError(f"no report of batch {last['batchId']} of {query.name}")
+                time.sleep(0.05)
+
+    def flush(self):
+        """Write the waiting rows; they stay if the write fails."""
+        with self._lock:
+            if not self._rows:
+                return
+            self.spark.createDataFrame(self._rows, SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            self._rows = []
+
+    def table(self):
+        """One row per batch so far: the log the ``operators.progress`` functions read."""
+        self.flush()
+        return read_progress(self.spark, self.path)
+
+    def failures(self):
+        """(query_id, type, error) of the queries that failed."""
+        self.flush()
+        rows = self.spark.read.schema(SCHEMA).parquet(self.path)
+        return rows.filter(F.col("error").isNotNull()).select("query_id", "type", "error")
+
 
-    def table(self, spark):
-        """One row per batch: the log the ``operators.progress`` functions read."""
-        return spark.createDataFrame(list(self.rows), SCHEMA)
+def read_progress(spark, path):
+    """One row per query and batch over all that was logged; the last report of a batch counts."""
+    rows = spark.read.schema(SCHEMA).parquet(path).filter(F.col("batch_id").isNotNull())
+    rest = [f for f in rows.columns if f not in ("query_id", "batch_id")]
+    last = F.max_by(F.struct(*rest), F.struct("ts", "duration_ms")).alias("r")
+    return rows.groupBy("query_id", "batch_id").agg(last).select("query_id", "batch_id", "r.*").drop("error")

@@ -26,20 +26,22 @@ def _start(writer, checkpoint, name, mode, interval, available_now):
 
 
 def run_batches(df, process, checkpoint, name=None, mode="append", interval=INTERVAL,
-                available_now=False, bound=None):
+                available_now=False, bound=None, stateful=None):
     """Hand each micro-batch with rows to ``process(batch, batch_id, **bound)``.
 
     A failing ``process`` fails the batch, which is run again from the
     checkpoint; so its writes must replace themselves (see ``sinks``).
     ``interval=None`` starts batches as fast as they come.
 
-    Batches of stateful queries (update and complete mode) are handed over
-    unseen: their state is kept only when every partition has run, so a look at
-    a few rows would be a second, partial run. ``process`` should write such a
-    batch in one job; an empty one writes nothing to partitioned folders.
+    Batches of stateful queries are handed over unseen: their state is kept
+    only when every partition has run, so a look at a few rows would be a second,
+    partial run. ``process`` should write such a batch in one job; an empty one
+    writes nothing to partitioned folders. ``stateful`` defaults to update and
+    complete mode; set it for append queries with a watermark.
     """
     bound = dict(bound or {})
-    stateful = mode != "append"
+    if stateful is None:
+        stateful = mode != "append"
 
     def handle(batch, batch_id):
         if not stateful and batch.isEmpty():

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..checks import require_choice, require_columns
 from ..operators import usage
-from ..operators.latest import GRAINS, latest_at
+from ..operators.latest import GRAINS, _newest_order, latest_at
 
 
 def _with_local_clock(df, ts, expire_after):
@@ -31,7 +31,7 @@ def latest_stream(df, keys, grain, ts="timestamp", tiebreak=(), expire_after=Non
     require_choice("grain", grain, GRAINS)
     slotted = _with_local_clock(df, ts, expire_after).withColumn("__slot", F.window("__at", f"1 {grain}"))
     rest = [c for c in df.columns if c not in keys]
-    order = [ts, *(tiebreak or [c for c in sorted(rest) if c != ts])]
+    order = _newest_order(df, ts, tiebreak, keys)
     newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
     return slotted.groupBy(*keys, "__slot").agg(newest).select(*[
         F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns

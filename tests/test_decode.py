@@ -38,11 +38,25 @@ def test_bad_records_are_kept_apart(spark):
     no_key = json.dumps({k: v for k, v in GOOD.items() if k != "device_id"})
     rows = parsed(spark, json.dumps(GOOD), "not json", wrong_type, no_key)
     valid, refused = decode.split_valid(rows, REQUIRED, corrupt="raw")
-    assert valid.count() == 1 and "raw" not in valid.columns
+    assert sorted(r.voltage or 0 for r in valid.collect()) == [0, 230] and "raw" not in valid.columns
     reasons = {r.raw: r.quarantine_reason for r in refused.collect()}
-    assert reasons == {
-        "not json": "household_id,device_id,timestamp", wrong_type: "malformed", None: "device_id",
-    }
+    assert reasons == {"not json": "malformed", None: "device_id"}
+    strict, refused = decode.split_valid(rows, REQUIRED, corrupt="raw", strict=True)
+    assert strict.count() == 1 and wrong_type in {r.raw for r in refused.collect()}
+
+
+def test_a_message_is_parsed_once(spark):
+    rows = parsed(spark, json.dumps(GOOD))
+    for part in decode.split_valid(rows, REQUIRED, corrupt="raw"):
+        plan = part._sc._jvm.PythonSQLUtils.explainString(part._jdf.queryExecution(), "simple")
+        physical = plan[plan.index("Physical Plan"):] if "Physical Plan" in plan else plan
+        assert physical.count("from_json") == 1
+
+
+def test_null_and_empty_messages_are_refused(spark):
+    df = spark.createDataFrame([(None,), (bytearray(b""),)], "value binary")
+    valid, refused = decode.split_valid(decode.decode_json(df, HOUSEHOLD, corrupt="raw"), REQUIRED, corrupt="raw")
+    assert valid.count() == 0 and refused.count() == 2
 
 
 def test_nested_null_keeps_the_struct(spark):
@@ -73,6 +87,15 @@ def test_row_json_keeps_floats_and_nesting(spark):
     assert out["timestamp"] == "2024-09-29T10:00:00.000000"
 
 
+def test_group_json_splits_null_keys_too(spark):
+    df = spark.range(5000).selectExpr("id", "if(id % 5 = 0, 'a', NULL) AS k")
+    packed = encode.group_json(df, ["k"], "id", 100, ["id"]).collect()
+    assert sum(p.rows for p in packed) == 5000
+    assert max(p.rows for p in packed) < 200 and {p.k for p in packed} == {"a", None}
+    whole = encode.group_json(df, ["k"], "id", None, ["id"]).collect()
+    assert sorted(p.rows for p in whole) == [1000, 4000]
+
+
 @pytest.mark.parametrize("per_array", [1000, 10])
 def test_group_json_is_whole(spark, per_array):
     df = spark.range(300).selectExpr("id", "if(id < 250, 'hot', concat('k', id % 5)) AS k")

@@ -9,7 +9,7 @@ from meterflow.operators import enrich, latest
 from meterflow.sinks import files as sinks
 from meterflow.sources import files, kafka
 
-ROWS = [("test1", 1), ("test2", 2), ("test3", 3)]
+ROWS = [("east", 4), ("north", 9), ("west", 16)]
 
 
 @pytest.fixture
@@ -41,7 +41,7 @@ def test_append_by_key(spark, rows, tmp_path, fmt):
     path = str(tmp_path / fmt)
     for _ in range(2):
         sinks.write_partitioned(rows, path, ["name"], fmt)
-    assert (tmp_path / fmt / "name=test1").is_dir()
+    assert (tmp_path / fmt / "name=east").is_dir()
     back = spark.read.schema("value int, name string").option("header", True).format(fmt).load(path)
     assert back.count() == 6
 
@@ -49,11 +49,11 @@ def test_append_by_key(spark, rows, tmp_path, fmt):
 def test_overwriting_one_folder_leaves_the_others(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_partitioned(rows, path, ["name"], mode="overwrite_partitions")
-    new = spark.createDataFrame([("test2", 20)], "name string, value int")
+    new = spark.createDataFrame([("north", 90)], "name string, value int")
     for _ in range(2):
         sinks.write_partitioned(new, path, ["name"], mode="overwrite_partitions")
     assert sorted(map(tuple, spark.read.parquet(path).select("name", "value").collect())) == [
-        ("test1", 1), ("test2", 20), ("test3", 3)
+        ("east", 4), ("north", 90), ("west", 16)
     ]
 
 
@@ -75,13 +75,21 @@ def test_bad_arguments(spark, rows, tmp_path):
 
 def test_hot_folder_is_split_and_small_ones_are_not(spark, tmp_path):
     path = str(tmp_path / "t")
-    key = F.when(F.col("id") < 900, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 3))
-    sinks.write_partitioned(spark.range(0, 1000, 1, 8).select(key.alias("k"), "id"), path, ["k"])
+    key = F.when(F.col("id") < 90_000, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 3))
+    rows = spark.range(0, 100_000, 1, 8).select(key.alias("k"), "id", F.xxhash64("id").alias("v"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    try:
+        spark.conf.set(size, "100k")
+        sinks.write_partitioned(rows, path, ["k"])
+    finally:
+        spark.conf.set(size, before)
     counts = files.list_objects(spark, path, "*.parquet").select(
         F.regexp_extract("path", "k=([^/]+)/", 1).alias("k")
     ).groupBy("k").count().collect()
-    assert all(r["count"] <= 1 for r in counts if r.k != "hot")
-    assert spark.read.parquet(path).count() == 1000
+    assert all(r["count"] <= 2 for r in counts if r.k != "hot")
+    assert all(r["count"] >= 4 for r in counts if r.k == "hot")
+    assert spark.read.parquet(path).count() == 100_000
 
 
 def readings(spark, *rows):
@@ -118,6 +126,28 @@ def test_latest_log_keeps_the_newest_over_batches(spark, tmp_path):
     assert sorted(r.kwh for r in rows) == [3.0, 5.0]
 
 
+def test_compacted_log_is_the_current_state(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in range(6):
+        at = f"2024-09-29 10:0{(batch * 7) % 6}:01"
+        sinks.write_latest_log(readings(spark, ("d1", at, float(batch)), (f"e{batch}", at, 1.0)), batch, path)
+    sinks.write_latest_log(readings(spark, ("d1", "2024-09-30 10:00:00", 9.0)), 6, path)
+    want = sorted(map(tuple, sinks.read_latest_log(spark, path, "hour").collect()))
+    assert sinks.compact_latest_log(spark, path, "hour") == 1
+    assert sorted(p.name for p in (tmp_path / "t/log_day=2024-09-29").iterdir()) == ["log_batch=5"]
+    plain = spark.read.parquet(path).drop("log_day", "log_batch")
+    assert sorted(map(tuple, plain.collect())) == want == sorted(map(tuple, sinks.read_latest_log(spark, path, "hour").collect()))
+    assert sinks.compact_latest_log(spark, path, "hour") == 0
+    sinks.write_latest_log(readings(spark, ("d1", "2024-09-29 10:59:00", 7.0)), 7, path)
+    assert sinks.compact_latest_log(spark, path, "hour") == 1
+    assert [r.kwh for r in spark.read.parquet(path).filter("device_id = 'd1' AND log_day = '2024-09-29'").collect()] == [7.0]
+
+
+def test_fallback_takes_the_rows(spark, rows, tmp_path):
+    taken = sinks.with_fallback(lambda p: sinks.write_partitioned(rows, p), "nostore://nowhere/t", str(tmp_path / "spare"))
+    assert taken == str(tmp_path / "spare") and spark.read.parquet(taken).count() == 3
+
+
 def test_fallback(tmp_path):
     taken = []
 
@@ -134,13 +164,13 @@ def test_fallback(tmp_path):
 
 
 def test_kafka_options():
-    assert kafka.kafka_options("h:9092", "household_data") == {
-        "kafka.bootstrap.servers": "h:9092", "subscribe": "household_data", "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": "500", "failOnDataLoss": "true",
+    assert kafka.kafka_options("h:9092", "meters") == {
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "meters", "startingOffsets": "earliest", "failOnDataLoss": "true",
     }
-    chosen = kafka.kafka_options("h", "t", "latest", 10, False, "analysis-tier-area")
+    assert kafka.kafka_options("h", "t", max_per_trigger=500)["maxOffsetsPerTrigger"] == "500"
+    chosen = kafka.kafka_options("h", "t", "latest", 10, False, "readers-1")
     assert chosen["startingOffsets"] == "latest" and chosen["failOnDataLoss"] == "false"
-    assert chosen["kafka.group.id"] == "analysis-tier-area" and chosen["maxOffsetsPerTrigger"] == "10"
+    assert chosen["kafka.group.id"] == "readers-1" and chosen["maxOffsetsPerTrigger"] == "10"
     assert "startingOffsets" not in kafka.kafka_options("h", "t", None)
     with pytest.raises(ValueError):
         kafka.kafka_options("h", "t", "middle")

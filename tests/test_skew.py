@@ -33,12 +33,43 @@ def test_skew_join_equals_plain_join(spark, how):
 def test_skew_join_spreads_identical_rows(spark):
     left = spark.range(8000).selectExpr("CAST(7 AS BIGINT) AS k").repartition(8)
     hot = skew.hot_keys(left, ["k"], min_rows=10)
-    tagged = left.withColumn(
-        "p", F.pmod(F.xxhash64("k", F.spark_partition_id()), skew.pieces(["k"], hot))
-    )
+    tagged = skew.with_pieces(left, ["k"], hot, "n")
+    tagged = tagged.withColumn("p", F.pmod(F.xxhash64("k", F.spark_partition_id()), F.col("n")))
     assert tagged.select("p").distinct().count() > 1
 
 
+def test_a_small_share_is_hot_once_it_exceeds_a_partition(spark):
+    """0.3 % of the rows in one key, with more partitions than it has shares."""
+    key = F.when(F.col("id") < 300, 7).otherwise(1000 + F.col("id")).cast("long")
+    df = spark.range(100_000).select(key.alias("k"), "id")
+    assert skew.hot_keys(df, ["k"], min_rows=10) == {}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 2000)
+        assert sorted(skew.hot_keys(df, ["k"], min_rows=10).values()) == [6]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_many_hot_keys_are_joined_not_inlined(spark):
+    left = spark.range(2000).selectExpr("id % 100 AS k", "id")
+    hot = {r.h: 3 for r in spark.range(100).select(F.xxhash64("id").alias("h")).collect()}
+    assert len(hot) > skew._INLINE
+    right = spark.range(80).selectExpr("id AS k", "id * 2 AS w")
+    got = sorted(map(tuple, skew.skew_join(left, right, ["k"], "left", hot=hot).fillna(-1).collect()))
+    assert got == sorted(map(tuple, left.join(right, ["k"], "left").fillna(-1).collect()))
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_null_keys_match_when_asked(spark, limit, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 5)
+    left = spark.range(900).selectExpr("if(id % 3 = 0, NULL, id % 30) AS k", "id")
+    right = spark.range(20).selectExpr("id AS k", "id AS w").unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 99L AS w"))
+    joined = skew.join_dimension(left, right, ["k"], "left", max_bytes=limit, null_safe=True)
+    assert joined.columns == ["k", "id", "w"] and joined.count() == 900
+    assert joined.filter("k IS NULL AND w = 99").count() == 300
+
+
 def test_skew_join_refuses_mixed_key_types(spark):
     with pytest.raises(ValueError, match="join key"):
         skew.skew_join(spark.range(1), spark.range(1).selectExpr("CAST(id AS INT) AS id"), ["id"])
@@ -58,7 +89,17 @@ def test_join_dimension_on_both_sides_of_the_bound(spark, limit, monkeypatch):
 
 def test_measured_size(spark):
     rows, size = skew.measured_size(spark.range(10))
-    assert rows == 10 and size > 50
+    assert rows == 10 and 10 * 16 <= size < 10 * 128
+
+
+def test_null_columns_count_with_their_slots(spark):
+    wide = spark.range(1000).select("id", *[F.lit(None).cast("double").alias(f"c{i}") for i in range(20)])
+    assert skew.measured_size(wide)[1] >= 1000 * 8 * 22
+    texts = spark.range(10).select(F.repeat(F.lit("x"), 5000).alias("t"))
+    assert skew.measured_size(texts)[1] >= 50_000
+
+
+def test_nothing_is_measured_as_nothing(spark):
     assert skew.measured_size(spark.range(0)) == (0, 0)
 
 

@@ -121,7 +121,9 @@ def test_monthly_plan_writes_key_folders(spark, data, tmp_path):
     rename = {"kwh": "electricity_usage_kwh"}
     place = {"district": F.lit("Quan 10"), "ward": F.lit("Phuong 14")}
     stream = source(spark, folder).withColumnsRenamed(rename).withColumns(place)
-    runner.run_all([monthly.start(stream, str(tmp_path / "out"), str(tmp_path / "s"), available_now=True)])
+    runner.run_all([monthly.start(
+        stream, str(tmp_path / "out"), str(tmp_path / "s"), layout="folders", available_now=True,
+    )])
     assert (tmp_path / "out/bucket_name=quan-10-phuong-14-2024-9/year=2024/month=9").is_dir()
     got = spark.read.option("header", True).csv(str(tmp_path / "out"))
     want = monthly.household_ward_month(batch.withColumnsRenamed(rename).withColumns(place))
@@ -199,23 +201,103 @@ def test_runner_arguments(spark, data):
 
 def test_console_and_progress(spark, data, tmp_path, capfd):
     folder, _ = data
-    log = progress.ProgressLog()
+    log = progress.ProgressLog(spark, str(tmp_path / "log"), flush_rows=2)
     spark.streams.addListener(log)
     try:
-        query = runner.run_console(source(spark, folder), str(tmp_path), name="shown", available_now=True)
+        query = runner.run_console(source(spark, folder), str(tmp_path / "s"), name="shown", available_now=True)
         runner.run_all([query])
-        rows = progress.progress_table(spark, query)
+        rows = progress.recent_progress(spark, query)
         assert rows.agg(F.sum("records")).first()[0] == 240
         assert rows.filter("type = 'shown' AND duration_ms > 0").count() == 6
-        for _ in range(50):
-            if len(log.rows) >= 6:
+        log.wait_for([query])
+        assert log.table().agg(F.sum("records")).first()[0] == 240
+        assert log.failures().count() == 0
+    finally:
+        spark.streams.removeListener(log)
+
+
+def report(query, batch, rows, ts="2024-01-01T00:00:00Z"):
+    return {"id": query, "name": "n", "batchId": batch, "timestamp": ts, "numInputRows": rows, "durationMs": {"triggerExecution": 1}}
+
+
+def test_progress_log_forgets_nothing(spark, tmp_path):
+    """More batches than any buffer holds, some reported twice."""
+    log = progress.ProgressLog(spark, str(tmp_path / "log"), flush_rows=400)
+    for batch in range(1500):
+        log._add(progress.progress_row(report("q", batch, 2)), False)
+    for batch in range(0, 1500, 100):
+        log._add(progress.progress_row(report("q", batch, 3, "2024-01-01T00:00:01Z")), False)
+    assert len(log._rows) < 400
+    rows = log.table()
+    assert rows.count() == 1500 and rows.agg(F.sum("records")).first()[0] == 3000 + 15
+
+
+def test_failures_are_logged(spark, data, tmp_path):
+    folder, _ = data
+    log = progress.ProgressLog(spark, str(tmp_path / "log"))
+    spark.streams.addListener(log)
+
+    def fail(batch, batch_id):
+        raise RuntimeError("no store")
+
+    try:
+        query = runner.run_batches(source(spark, folder), fail, str(tmp_path / "s"), name="failing", available_now=True)
+        with pytest.raises(Exception, match="no store"):
+            runner.run_all([query])
+        for _ in range(100):
+            if not log._names:
                 break
             time.sleep(0.1)
-        assert log.table(spark).agg(F.sum("records")).first()[0] == 240
+        (row,) = log.failures().collect()
+        assert row.type == "failing" and "no store" in row.error
     finally:
         spark.streams.removeListener(log)
 
 
+def test_late_rows_past_expiry_are_dropped(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    days = [datetime.datetime(2024, 9, d, 12) for d in (1, 20, 2, 20)]
+    for i, at in enumerate(days):
+        spark.createDataFrame([("d", "h", at, i, 1.0, 1)], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    newest = state.latest_stream(source(spark, folder), ["device_id"], "day", tiebreak=["rid"], expire_after="2 days")
+    runner.run_all([runner.run_batches(
+        newest, lambda b, i: sinks.write_latest_log(b, i, str(tmp_path / "log")), str(tmp_path / "s"),
+        mode="update", available_now=True,
+    )])
+    assert ids(sinks.read_latest_log(spark, str(tmp_path / "log"), "day", tiebreak=["rid"])) == [0, 3]
+
+
+def test_expiring_latest_takes_map_columns(spark, data, tmp_path):
+    folder, batch = data
+    tagged = source(spark, folder).withColumn("tags", F.create_map(F.lit("k"), F.col("rid")))
+    newest = state.latest_stream(tagged, ["device_id"], "hour", expire_after="2 days")
+    runner.run_all([runner.run_memory(newest, "tagged_latest", str(tmp_path), "update")])
+    assert spark.table("tagged_latest").count() > 0
+
+
+def test_append_queries_can_be_stateful(spark, data, tmp_path):
+    folder, _ = data
+    counted = source(spark, folder).withColumn("at", F.col("timestamp").cast("timestamp")).withWatermark("at", "1 hour")
+    counted = counted.groupBy(F.window("at", "1 hour")).count()
+    seen = []
+    runner.run_all([runner.run_batches(
+        counted, lambda b, i: seen.append(b.count()), str(tmp_path), mode="append", available_now=True, stateful=True,
+    )])
+    assert len(seen) >= 6 and sum(seen) > 0
+
+
+def test_fixed_interval_runs_until_stopped(spark, data, tmp_path):
+    folder, _ = data
+    taken = []
+    query = runner.run_batches(source(spark, folder), lambda b, i: taken.append(b.count()), str(tmp_path), interval="100 milliseconds")
+    for _ in range(300):
+        if sum(taken) == 240:
+            break
+        time.sleep(0.1)
+    assert query.isActive and sum(taken) == 240
+    query.stop()
+
+
 def test_live_plan(spark, tmp_path):
     home = tmp_path / "in"
     home.mkdir()
