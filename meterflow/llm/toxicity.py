@@ -3,21 +3,23 @@
 Sentences are cut into letter units: a token without its non-letters, or a run
 of single letters taken together, so ``i.d.i.o.t`` and ``i d i o t`` are units
 like the plain word. Two units are compared by the gap-weighted kernel over
-common subsequences of three letters: a subsequence counts ``DECAY`` per letter
-skipped, so inserted or left out letters cost little.
+common subsequences of ``ORDER`` letters (a unit's start counts as a letter): a
+subsequence counts ``DECAY`` per letter skipped, so inserted or left out letters
+cost little.
 
 Units are learned from labelled sentences: those that toxic sentences hold far
 too often are positive, those of other sentences negative. Diverse units serve
 as landmarks; a support vector machine in their kernel space weighs them. A
-text's margin is that of its worst unit, and a logistic fitted on labelled
-texts turns margins into scores.
+text is judged by the margins of its worst units and the number of units with a
+positive one; a logistic fitted on labelled texts turns these into a score.
 
-Null texts, empty texts and texts without letters have the least margin, so
-the least score. Rows are scored alone, so repeated rows and ties agree.
+Null texts, empty texts and texts without letters have the least margins. Rows are scored alone, so repeated rows and ties agree.
 Without labels of both classes the score is the share of toxic labels (0
 without any).
 """
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -34,9 +36,11 @@ LANDMARKS = 64
 ORDER = 3
 SPAN = 8  # letters that a subsequence may stretch over
 DECAY = 0.6
-LONGEST = 12  # longer units are looked at through windows
+LONGEST = 13  # start and letters; longer units are looked at through windows
 STEP = 4
 CODES = 64
+START = 63
+WORST = 3  # units whose margins count one by one
 PENALTY = 10.0
 SLICE = 1 << 21
 
@@ -44,8 +48,8 @@ _TABLES = {}
 
 
 def _code(c):
-    """1 to 63 for a letter; letters beyond a-z share the upper codes."""
-    return ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 37
+    """1 to 62 for a letter; letters beyond a-z share the upper codes."""
+    return START if c == "^" else ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 36
 
 
 def _code_table():
@@ -79,7 +83,10 @@ class Units:
         joined = np.zeros(len(start), bool)
         joined[1:] = (size[1:] == 1) & (size[:-1] == 1) & (owner[1:] == owner[:-1])
         start, owner = start[~joined], owner[~joined]
-        size = np.diff(np.append(start, len(letter)))
+        # Every unit gets its start as a letter of its own.
+        self.codes = np.insert(self.codes, start, START)
+        start = start + np.arange(len(start))
+        size = np.diff(np.append(start, len(self.codes)))
         # Long units become windows that overlap.
         windows = np.where(size > LONGEST, -(-(size - LONGEST) // STEP) + 1, 1)
         nth = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -100,17 +107,28 @@ class Units:
         return np.where(held, self.codes[np.minimum(at, max(len(self.codes) - 1, 0))], 0).astype(np.int32)
 
 
-def _triples():
+def _patterns():
+    """(places, weight) of all subsequences within a unit, by last place."""
     return [
-        (i, j, k, DECAY ** (k - i - 2)) for k in range(2, LONGEST) for i in range(max(0, k - SPAN + 1), k - 1) for j in range(i + 1, k)
+        ((*places, k), DECAY ** (k - places[0] - ORDER + 1))
+        for k in range(ORDER - 1, LONGEST)
+        for places in itertools.combinations(range(max(0, k - SPAN + 1), k), ORDER - 1)
     ]
 
 
+def _key(columns):
+    """One number per subsequence from its letters' codes."""
+    key = columns[0]
+    for c in columns[1:]:
+        key = key * CODES + c
+    return key
+
+
 def _norms():
     """Length of the weighted occurrence vector, by unit length."""
     out = np.zeros(LONGEST + 1)
-    for _, _, k, weight in _triples():
-        out[k + 1 :] += weight * weight
+    for places, weight in _patterns():
+        out[places[-1] + 1 :] += weight * weight
     return np.sqrt(np.maximum(out, 1e-12))
 
 
@@ -127,10 +145,10 @@ def kernel_features(matrix):
     size = (matrix > 0).sum(1)
     norm = _norms()[size]
     rows, keys, weights = [], [], []
-    for i, j, k, weight in _triples():
-        on = np.flatnonzero(size > k)
+    for places, weight in _patterns():
+        on = np.flatnonzero(size > places[-1])
         rows.append(on)
-        keys.append((matrix[on, i] * CODES + matrix[on, j]) * CODES + matrix[on, k])
+        keys.append(_key([matrix[on, p] for p in places]))
         weights.append(weight / norm[on])
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(weights)
 
@@ -182,16 +200,17 @@ def support_vector_machine(z, y, cost, rounds=30):
 
 
 class Model:
-    """``weights`` per three-letter subsequence, ``bias``, and the logistic (slope, offset)."""
+    """``weights`` per subsequence, ``bias``, and the logistic over a text's evidence."""
 
     def __init__(self, weights, bias, share):
         self.weights, self.bias, self.share = weights, bias, share
-        self.slope, self.offset = 1.0, 0.0
+        self.logistic = None
 
-    def margins(self, texts):
-        """The largest unit margin of every text."""
+    def evidence(self, texts):
+        """Per text: the largest unit margins, then the logs of its positive and of all units."""
         least = self.bias - 1.0
-        out = np.full(len(texts), least)
+        out = np.full((len(texts), WORST + 2), least)
+        out[:, WORST:] = 0
         units = Units(texts)
         if self.weights is None or not len(units.start):
             return out
@@ -201,37 +220,46 @@ class Model:
         size = units.size[chosen[order]]
         active = np.searchsorted(-size, -np.arange(LONGEST), "left")
         total = np.zeros(len(size))
-        pairs = {}
-        for i, j, k, weight in _triples():
-            n = active[k]
+        for places, weight in _patterns():
+            n = active[places[-1]]
             if n:
-                if (i, j) not in pairs:
-                    pairs[i, j] = (m[i] * CODES + m[j]) * CODES
-                total[:n] += weight * self.weights[pairs[i, j][:n] + m[k, :n]]
+                total[:n] += weight * self.weights[_key([m[p, :n] for p in places])]
         total /= _norms()[size]
         score = np.empty(len(size))
         score[order] = total + self.bias
-        per_unit = score[back.ravel()]
+        margin = np.maximum(score[back.ravel()], least)
         first = np.flatnonzero(np.concatenate([[True], units.text[1:] != units.text[:-1]]))
-        out[units.text[first]] = np.maximum(np.maximum.reduceat(per_unit, first), least)
+        owner = units.text[first]
+        size = np.diff(np.append(first, len(margin)))
+        out[owner, WORST] = np.log1p(np.add.reduceat((margin > 0).astype(np.int64), first))
+        out[owner, WORST + 1] = np.log1p(size)
+        # The worst units one after another: take each text's largest margin, blank it, repeat.
+        margin = margin.copy()
+        for k in range(WORST):
+            best = np.maximum.reduceat(margin, first)
+            out[owner, k] = best
+            at = np.flatnonzero(margin == np.repeat(best, size))
+            lead = at[np.unique(units.text[at], return_index=True)[1]]
+            margin[lead] = least
         return out
 
-    def calibrate(self, margins, toxic, rounds=50):
+    def calibrate(self, evidence, toxic, rounds=60):
         """Fit the logistic by damped Newton steps with a little shrinkage."""
-        x = np.column_stack([margins, np.ones(len(margins))])
-        w = np.zeros(2)
+        x = np.column_stack([evidence, np.ones(len(evidence))])
+        w, shrink = np.zeros(x.shape[1]), 0.1 * np.eye(x.shape[1])
+        shrink[-1, -1] = 1e-3
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2), x.T @ (toxic - p) - 1e-2 * w)
+            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + shrink, x.T @ (toxic - p) - shrink @ w)
             w = w + np.clip(step, -2, 2)
             if np.abs(step).max() < 1e-6:
                 break
-        self.slope, self.offset = (w[0], w[1]) if w[0] > 0 else (0.0, np.log((self.share + 1e-6) / (1 - self.share + 1e-6)))
+        self.logistic = w
 
     def score(self, texts):
-        if self.weights is None:
+        if self.weights is None or self.logistic is None:
             return np.full(len(texts), float(self.share))
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(texts) + self.offset, -60, 60)))
+        return 1 / (1 + np.exp(-np.clip(self.evidence(texts) @ self.logistic[:-1] + self.logistic[-1], -60, 60)))
 
 
 def sentence_units(text):
@@ -246,7 +274,7 @@ def sentence_units(text):
             if len(letters) == 1:
                 run += letters
                 continue
-            for unit in (run, letters):
+            for unit in (f"^{run}", f"^{letters}"):
                 size = len(unit)
                 if size >= ORDER:
                     found.update(unit[a : a + LONGEST] for a in range(0, max(size - LONGEST, 0) + STEP, STEP) if a == 0 or a < size - LONGEST + STEP)
@@ -309,17 +337,18 @@ def train(documents, labels, label_col="toxic", id_col="doc_id", text_col="text"
         return Model(None, 0.0, float(base))
     positive = {r["unit"]: r["gain"] for r in found}
     model = fit_units(positive, negative, base)
-    shared = model
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    def margins(batches):
+    def evidence(batches):
         for batch in batches:
-            m = [shared.margins(piece.to_pylist()) for _, piece in slices(batch.column(1), SLICE)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(m) if m else np.empty(0))], names=["y", "m"])
+            for first, piece in slices(batch.column(1), SLICE):
+                found = shared.value.evidence(piece.to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(piece)), pa.array(found.tolist())], names=["y", "x"])
 
-    rows = sample.mapInArrow(margins, "y int, m double").collect()
+    rows = sample.mapInArrow(evidence, "y int, x array<double>").collect()  # bounded like the sample
     y = np.array([r["y"] for r in rows], float)
     model.share = float(y.mean())
-    model.calibrate(np.array([r["m"] for r in rows]), y)
+    model.calibrate(np.array([r["x"] for r in rows]), y)
     return model
 
 
