@@ -53,12 +53,14 @@ def source_targets(sizes, weights=WEIGHTS, most=MOST):
     rate = (F.sum("source_size").over(everything) - most * F.coalesce(F.sum("source_size").over(tightest), F.lit(0))) / (
         F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(tightest), F.lit(0))
     )
-    listed = listed.withColumn("__rate", rate)
+    order = F.row_number().over(Window.orderBy(F.col("source_size") / F.col("weight"), "__s"))
+    listed = listed.withColumn("__rate", rate).withColumn("__order", order)
     full = F.col("__rate") * F.col("weight") >= most * F.col("source_size")
-    level = F.min(F.when(~full, F.col("__rate"))).over(everything)
-    return listed.withColumn("__level", level).withColumn(
-        "target", F.when(full, (most * F.col("source_size")).cast("double")).otherwise(F.col("__level") * F.col("weight"))
-    ).drop("__rate", "__level")
+    # The rate of the first source that does not run full holds for it and all after it.
+    level = F.min(F.when(~full, F.struct("__order", "__rate"))).over(everything)["__rate"]
+    listed = listed.withColumn("__level", level)
+    ceiling = (most * F.col("source_size")).cast("double")
+    return listed.withColumn("target", F.least(ceiling, F.col("__level") * F.col("weight"))).drop("__rate", "__level", "__order")
 
 
 def plan_blocks(targets, block_words=BLOCK_WORDS, least_slots=LEAST_SLOTS, source_slots=SOURCE_SLOTS):
@@ -158,14 +160,14 @@ listed AS (
   FROM sizes GROUP BY s),
 rated AS (
   SELECT *, ((sum(source_size) OVER () - {MOST} * coalesce(sum(source_size) OVER w, 0))::DOUBLE
-             / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0))::DOUBLE) AS rate
+             / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0))::DOUBLE) AS rate,
+         row_number() OVER (ORDER BY source_size::DOUBLE / weight, s) AS o
   FROM listed
   WINDOW w AS (ORDER BY source_size::DOUBLE / weight, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 levelled AS (
-  SELECT *, min(CASE WHEN rate * weight < {MOST} * source_size THEN rate END) OVER () AS lvl FROM rated),
+  SELECT *, (SELECT arg_min(rate, o) FROM rated WHERE rate * weight < {MOST} * source_size) AS lvl FROM rated),
 targets AS (
-  SELECT s, source_size, CASE WHEN rate * weight >= {MOST} * source_size THEN ({MOST} * source_size)::DOUBLE
-                              ELSE lvl * weight END AS target FROM levelled),
+  SELECT s, source_size, least(({MOST} * source_size)::DOUBLE, lvl * weight) AS target FROM levelled),
 common AS (
   SELECT *, greatest(1, least({BLOCK_WORDS}, floor((sum(source_size) OVER ())::DOUBLE / {LEAST_SLOTS}))) AS c FROM targets),
 blocked AS (
