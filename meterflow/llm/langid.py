@@ -160,7 +160,7 @@ def references(documents, id_col="doc_id", text_col="text", lang_col="lang"):
     if not held:
         return {}
     # The share of each language's hash range that holds about REFERENCE_DOCS documents.
-    limits = [(lang, int(min(1.0, REFERENCE_DOCS / n) * (2**63 - 1) * 2) - 2**63 + 1) for lang, n in held.items()]
+    limits = [(lang, min(2**63 - 1, int(min(1.0, REFERENCE_DOCS / n) * 2**64) - 2**63)) for lang, n in held.items()]
     limits = documents.sparkSession.createDataFrame(limits, "lang string, most long")
     taken = (
         rows.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("most"))

@@ -21,15 +21,16 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
-from .blobs import BUCKETS_PER_PARTITION, bucket_of, partitions_for, rows_by_bucket, runs, unpack
+from .blobs import BUCKETS_PER_PARTITION, all_blobs, bucket_of, partitions_for, rows_by_bucket, runs, unpack
 from .store import stored
-from .text import SLICE_BYTES, Words, mix, slices, whole, windows
+from .text import Words, mix, slices, whole, windows
 
 WINDOW = 20
 PERIOD = 13
 COVER = (0, 1, 3, 9)  # every difference modulo 13 is one of two members
 ANCHOR = WINDOW - PERIOD + 1
-FLUSH = 1 << 20  # records sorted together before they leave a task
+FLUSH = 1 << 19  # records sorted together before they leave a task
+SLICE_BYTES = 1 << 20
 _NULL_ID = np.int64(-(2**63))
 _RECORD = (np.uint64, np.int64, np.int64, np.int32)  # hash, row key, id, word position
 
@@ -120,8 +121,9 @@ def _flush(held, buckets, earliest):
             )
 
 
-def _hits(batches, earliest):
-    """Positions per row key: anchors of repeated hashes, or windows that start later than an equal one."""
+def _hits(batches, earliest, parts):
+    """(row key, position) records by bucket of the key: anchors of repeated
+    hashes, or windows that start later than an equal one."""
     open_blobs, known = [], []
     for batch in batches:
         for flag, value in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -137,6 +139,13 @@ def _hits(batches, earliest):
         hit = np.repeat(end - first > 1, end - first)
     _, known_key, _, known_place = unpack(known, _RECORD)
     key, place = np.concatenate([key[hit], known_key]), np.concatenate([place[hit], known_place])
+    if len(key):
+        yield rows_by_bucket(bucket_of(mix(key.view(np.uint64)), parts), [key, place])
+
+
+def _places(batches):
+    """One row per row key with its distinct positions in order."""
+    key, place = unpack(all_blobs(batches, "data"), (np.int64, np.int32))
     if len(key):
         order = np.lexsort((place, key))
         key, place = key[order], place[order]
@@ -166,10 +175,10 @@ def _unpressed(batches):
                 size += len(texts[last])
                 last += 1
             w = Words(pa.array(texts[first:last], pa.binary()))
-            lists = batch.column(3).slice(first, last - first).to_pylist()
+            lists = batch.column(3).slice(first, last - first)
             yield (
                 batch.column(0).to_numpy()[first:last], batch.column(1).to_numpy()[first:last], w,
-                [np.concatenate([np.frombuffer(b, np.int32) for b in row]) for row in lists],
+                [np.frombuffer(v.as_buffer(), np.int32) for v in lists],
             )
             first = last
 
@@ -232,8 +241,8 @@ def remove_repeats(df, text_col="text", id_col="doc_id", with_text=False):
     shape = "bucket int, known boolean, data binary"
 
     def hits(records, earliest):
-        dealt = records.repartition(parts, "bucket").mapInArrow(lambda it: _hits(it, earliest), "key long, places binary")
-        return dealt.groupBy("key").agg(F.collect_list("places").alias("places"))
+        found = records.repartition(parts, "bucket").mapInArrow(lambda it: _hits(it, earliest, parts), "bucket int, data binary")
+        return found.repartition(parts, "bucket").mapInArrow(_places, "key long, places binary")
 
     anchors = hits(rows.mapInArrow(lambda it: _first_pass(it, buckets), shape), False)
     texts = rows.mapInArrow(_texts, "key long, own long, text binary")
