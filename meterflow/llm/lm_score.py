@@ -29,7 +29,8 @@ SIDE = 3
 HIDDEN = 24
 MASK = 8
 ROUNDS = 2
-BATCH = 4096
+BATCH = 4096  # words scored at once
+STEP = 512  # masked words of a training step
 RATE = 0.05
 CHUNK = 1024  # parameters per row when copies are averaged
 SLICE = 1 << 20
@@ -210,8 +211,8 @@ def _train_copy(batches, words, start, turn, rate):
 
     def step():
         around, ids = (np.concatenate(x) for x in zip(*held, strict=True))
-        for a in range(0, len(ids), BATCH):
-            _step(w, squares, around[a : a + BATCH], ids[a : a + BATCH], rate)
+        for a in range(0, len(ids), STEP):
+            _step(w, squares, around[a : a + STEP], ids[a : a + STEP], rate)
         return len(ids)
 
     for batch in batches:

@@ -26,6 +26,7 @@ TO_IDENTITY = 0.02
 # Shares count this many neutral words (or so many characters) besides a text's
 # own, so that a handful of words is not taken for a pattern.
 NEUTRAL_WORDS = 30
+LEAST_VARIANCE = 1e-6
 NEUTRAL_CHARS = 150
 REJECT_BELOW = 0.3
 
@@ -113,13 +114,14 @@ class Model:
         p = len(FEATURES)
         scatter = {k: s2 - np.outer(s1, s1) / n for k, (n, s1, s2) in moments.items()}
         pooled = sum(scatter.values()) / max(total - 2, 1)
-        self.scale = np.sqrt(np.maximum(np.diag(pooled), 1e-12))
+        # Statistics that never vary get a small spread instead of none.
+        self.scale = np.sqrt(np.maximum(np.diag(pooled), LEAST_VARIANCE))
         self.parts = {}
         for k, (n, s1, _) in moments.items():
             # Small classes lean on the pooled covariance more.
             own = (1 - to_pooled) * n / (n + p)
             cov = (own * scatter[k] / max(n - 1, 1) + (1 - own) * pooled) / np.outer(self.scale, self.scale)
-            cov = (1 - to_identity) * cov + to_identity * np.trace(cov) / p * np.eye(p)
+            cov = (1 - to_identity) * cov + (to_identity * np.trace(cov) / p + 1e-6) * np.eye(p)
             factor = np.linalg.cholesky(cov)
             self.parts[k] = (s1 / n / self.scale, np.linalg.inv(factor), 2 * np.log(np.diag(factor)).sum(), np.log(n / total))
 

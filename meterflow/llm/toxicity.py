@@ -208,7 +208,7 @@ class Model:
 
     def evidence(self, texts):
         """Per text: the largest unit margins, then the logs of its positive and of all units."""
-        least = self.bias - 1.0
+        least = -1.0
         out = np.full((len(texts), WORST + 2), least)
         out[:, WORST:] = 0
         units = Units(texts)
@@ -237,7 +237,8 @@ class Model:
         margin = margin.copy()
         for k in range(WORST):
             best = np.maximum.reduceat(margin, first)
-            out[owner, k] = best
+            # Beyond the support vectors' margin a unit is no stronger evidence.
+            out[owner, k] = np.clip(best, -1.0, 1.0)
             at = np.flatnonzero(margin == np.repeat(best, size))
             lead = at[np.unique(units.text[at], return_index=True)[1]]
             margin[lead] = least

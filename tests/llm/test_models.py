@@ -148,7 +148,7 @@ def test_toxicity_finds_disguised_words(spark):
     rng = random.Random(2)
     plain = text(rng, 40)
     disguised = ["blockhead", "BLOCKHEAD", "b.l.o.c.k.h.e.a.d", "b l o c k h e a d", "blockxhead", "nitxwit", "s-c-o-u-n-drel"]
-    bad = model.score([f"{plain} {w} {plain}" for w in disguised])
+    bad = model.score([f"{plain} {w} {plain} {w}" for w in disguised])
     good = model.score([plain, text(rng, 500), "", "...", "12 34"])
     assert bad.min() > 0.5 > good.max()
 
