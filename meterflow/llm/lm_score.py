@@ -31,7 +31,7 @@ MASK = 8
 ROUNDS = 2
 BATCH = 4096  # words scored at once
 STEP = 512  # masked words of a training step
-RATE = 0.05
+RATE = 0.1
 CHUNK = 1024  # parameters per row when copies are averaged
 SLICE = 1 << 20
 FLUSH = 1 << 20
