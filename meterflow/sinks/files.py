@@ -131,15 +131,15 @@ def compact_batches(spark, path, days, batch, group, ts, tiebreak=()):
     old = join_dimension(logged, spans.drop("__n"), days).filter(F.col(batch) <= F.col("__last"))
     newest = latest_per_group(old.drop("__last"), list(dict.fromkeys([*days, *group])), ts, tiebreak)
     newest = join_dimension(newest.drop(batch), spans.drop("__n"), days).withColumnRenamed("__last", batch)
+    # Folder names per batch and day to fold away, listed before anything changes.
+    folded = listed.join(F.broadcast(spans), days).filter(F.col(batch) < F.col("__last"))
+    names = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in [*days, batch]]
+    gone = durable(folded.select(F.concat_ws("/", *names).alias("f")))
     staged = work_dir(spark, "compacted")
     write_partitioned(newest, staged, [*days, batch])
     rows = spark.read.schema(newest.schema).parquet(staged)
     write_partitioned(rows, path, [*days, batch], mode="overwrite_partitions")
-    folded = listed.join(F.broadcast(spans), days).filter(F.col(batch) < F.col("__last"))
-    names = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in [*days, batch]]
-    # One folder name per batch and day folded away.
-    gone = folded.select(F.concat_ws("/", *names).alias("f")).toLocalIterator()
-    remove_folders(spark, [f"{path}/{r.f}" for r in gone] + [staged])
+    remove_folders(spark, [f"{path}/{r.f}" for r in gone.toLocalIterator()] + [staged])
     return folders
 
 
