@@ -5,8 +5,9 @@ at least 3/4. Documents with equal sets form one class and are joined
 once. The rest goes in exact steps:
 
 * Linked sets share a shingle among the first quarter of either, in any common
-  order. Classes meet in a group per such shingle; shingles that a sample
-  shows to be common come last in the order, which keeps groups small.
+  order. Classes meet in a group per such shingle; shingles that a sample of
+  the classes shows to repeat come last in the order, so that a passage many
+  documents share makes no groups of its own.
 * Groups with the same members are looked at once. From groups of a class's
   very first shingles a few pairs are checked at once, and linked classes get
   a common label. That settles large families of copies.
@@ -28,7 +29,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from ..durable import durable
-from .blobs import BUCKETS_PER_PARTITION, bucket_of, partitions_for, rows_by_bucket, runs, unpack
+from .blobs import BUCKETS_PER_PARTITION, all_blobs, bucket_of, partitions_for, rows_by_bucket, runs, unpack
 from .components import components
 from .store import stored
 from .text import SLICE_BYTES, Words, mix, per_text_sum, slices, whole, windows
@@ -36,9 +37,9 @@ from .text import SLICE_BYTES, Words, mix, per_text_sum, slices, whole, windows
 SHINGLE = 5
 FLUSH = 1 << 20
 LEADS = 3  # first shingles whose groups are searched for large families
-SAMPLE = 64  # one class in so many shows which shingles are common
-COMMON = 8  # occurrences in the sample
-COMMON_SHINGLES = 50_000  # most of them that are put last (a plan choice, not a limit)
+SAMPLE = 8  # one class in so many shows which shingles are common
+COMMON = 2  # occurrences in the sample
+COMMON_SHINGLES = 500_000  # most of them that are put last (a plan choice, not a limit)
 FAMILY = 64  # classes of a family compared with one of them
 BLOCK = 4096  # members of a group handled together
 LEAF = 32
@@ -84,25 +85,43 @@ def _profile(batches):
             yield pa.RecordBatch.from_arrays([*kept, pa.array(s.n), pa.array(s.cls)], names=["id", "h", "n", "cls"])
 
 
-def _sampled(batches):
-    """Counts of the shingles of sampled classes, each class once per task."""
-    seen = set()
+def _sampled(batches, buckets):
+    """The shingles of sampled classes by bucket, each class once per task."""
+    seen, held, size = set(), [], 0
     for batch in batches:
         for _, texts in slices(batch.column(0), SLICE_BYTES):
             s = Sets(texts)
             on = [d for d in np.flatnonzero((s.n > 0) & (mix(s.cls.view(np.uint64)) % np.uint64(SAMPLE) == 0)) if s.cls[d] not in seen]
             seen.update(s.cls[on].tolist())
-            if on:
-                keys, counts = np.unique(np.concatenate([s.keys[s.ptr[d] : s.ptr[d + 1]] for d in on]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
+            for d in on:
+                held.append((s.keys[s.ptr[d] : s.ptr[d + 1]], np.full(s.n[d], s.cls[d])))
+                size += s.n[d]
+            if size >= FLUSH:
+                yield _dealt(held, buckets)
+                held, size = [], 0
+    if size:
+        yield _dealt(held, buckets)
 
 
-def _common(documents, text_col):
-    rows = (
-        documents.select(text_col).mapInArrow(_sampled, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= COMMON).orderBy(F.desc("n"), "key").limit(COMMON_SHINGLES).collect()
-    )
-    return np.sort(np.array([r["key"] for r in rows], np.int64).view(np.uint64))
+def _repeated(batches):
+    """(shingle, classes) of the sampled shingles that several classes hold."""
+    key, cls = unpack(all_blobs(batches, "data"), (np.uint64, np.int64))
+    order = np.lexsort((cls, key))
+    key, cls = key[order], cls[order]
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
+    first, end = runs(key[fresh])
+    on = end - first >= COMMON
+    yield pa.RecordBatch.from_arrays([pa.array(key[fresh][first[on]].view(np.int64)), pa.array((end - first)[on])], names=["key", "n"])
+
+
+def _common(documents, text_col, shingles):
+    """The most common shingles of the sample, at most COMMON_SHINGLES, sorted."""
+    parts = partitions_for(documents.sparkSession, shingles // SAMPLE)
+    posted = documents.select(text_col).mapInArrow(lambda it: _sampled(it, parts), "bucket int, data binary")
+    counted = posted.repartition(parts, "bucket").mapInArrow(_repeated, "key long, n long")
+    top = counted.orderBy(F.desc("n"), "key").limit(COMMON_SHINGLES).select("key").toArrow()
+    return np.sort(top.column(0).to_numpy().view(np.uint64))
 
 
 def _postings(batches, buckets, common):
@@ -230,27 +249,46 @@ def _signatures(batches):
     press = zstandard.ZstdDecompressor()
     for batch in batches:
         n, maps = [], []
-        for value in batch.column(1):
-            s = Sets(pa.array([press.decompress(value.as_buffer())], pa.binary()))
-            n.append(len(s.keys))
-            maps.append(_bitmap(s.keys).tobytes())
+        texts = pa.array([press.decompress(v.as_buffer()) for v in batch.column(1)], pa.binary())
+        for _, piece in slices(texts, SLICE_BYTES):
+            s = Sets(piece)
+            n += s.n.tolist()
+            maps += [_bitmap(s.keys[s.ptr[d] : s.ptr[d + 1]]).tobytes() for d in range(len(s.n))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(maps, pa.binary())], names=["cls", "n", "bits"])
 
 
+def _similar(pairs, texts):
+    """Which (left, right) pairs of classes are similar enough, from {class: text}."""
+    place = {c: k for k, c in enumerate(texts)}
+    s = Sets(pa.array(list(texts.values()), pa.binary()))
+    out = []
+    for a, b in pairs:
+        x, y = (s.keys[s.ptr[place[c]] : s.ptr[place[c] + 1]] for c in (a, b))
+        small, large = (x, y) if len(x) < len(y) else (y, x)
+        at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+        shared = int((large[at] == small).sum())
+        out.append(100 * shared >= 75 * (len(x) + len(y) - shared))
+    return out
+
+
 def _linked(batches):
     """The pairs whose sets are similar enough: 100 * shared >= 75 * union."""
     press = zstandard.ZstdDecompressor()
     for batch in batches:
-        keep = np.zeros(batch.num_rows, bool)
-        kept, last = None, None
-        for r in range(batch.num_rows):
-            if batch.column(0)[r] != last:
-                last = batch.column(0)[r]
-                kept = Sets(pa.array([press.decompress(batch.column(2)[r].as_buffer())], pa.binary())).keys
-            other = Sets(pa.array([press.decompress(batch.column(3)[r].as_buffer())], pa.binary())).keys
-            shared = len(np.intersect1d(kept, other, assume_unique=True))
-            keep[r] = 100 * shared >= 75 * (len(kept) + len(other) - shared)
-        yield batch.filter(pa.array(keep)).select([0, 1])
+        left, right = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        keep, pairs, texts, size = [], [], {}, 0
+        for r, pair in enumerate(zip(left, right, strict=True)):
+            for c, column in zip(pair, (2, 3), strict=True):
+                if c not in texts:
+                    texts[c] = press.decompress(batch.column(column)[r].as_buffer())
+                    size += len(texts[c])
+            pairs.append(pair)
+            if size >= SLICE_BYTES:
+                keep += _similar(pairs, texts)
+                pairs, texts, size = [], {}, 0
+        if pairs:
+            keep += _similar(pairs, texts)
+        yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
 
 def verified(pairs, texts):
@@ -371,7 +409,7 @@ def shared_groups(df, shingles, text_col="text"):
     """(gid, lead, members): distinct lists of classes that share a prefix shingle."""
     spark = df.sparkSession
     rows = df.select(text_col)
-    common = spark.sparkContext.broadcast(_common(df, text_col))
+    common = spark.sparkContext.broadcast(_common(df, text_col, shingles))
     parts = partitions_for(spark, shingles // 4)
     buckets = parts * BUCKETS_PER_PARTITION
     posted = rows.mapInArrow(lambda it: _postings(it, buckets, common.value), "bucket int, data binary")

@@ -48,9 +48,9 @@ def slices(column, size=SLICE_BYTES):
     """(first row, string array without nulls) pieces of a column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if not pa.types.is_string(column.type):
+    if not (pa.types.is_string(column.type) or pa.types.is_binary(column.type)):
         column = column.cast(pa.string())
-    column = pc.fill_null(column, "")
+    column = pc.fill_null(column, "" if pa.types.is_string(column.type) else b"")
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
     first = 0
     while first < len(column):
