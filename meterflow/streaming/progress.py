@@ -18,7 +18,7 @@ def progress_row(progress):
     if not isinstance(progress, dict):
         progress = json.loads(progress.json)
     return (
-        progress.get("id"),
+        str(progress.get("id")),
         progress.get("name"),
         progress["batchId"],
         progress["timestamp"],

@@ -256,7 +256,8 @@ def test_failures_are_logged(spark, data, tmp_path):
 
 def test_late_rows_past_expiry_are_dropped(spark, tmp_path):
     folder = str(tmp_path / "in")
-    days = [datetime.datetime(2024, 9, d, 12) for d in (1, 20, 2, 20)]
+    # A batch drops what was late before the batch ahead of it; hence two of the 20th.
+    days = [datetime.datetime(2024, 9, d, 12) for d in (1, 20, 20, 2)]
     for i, at in enumerate(days):
         spark.createDataFrame([("d", "h", at, i, 1.0, 1)], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
     newest = state.latest_stream(source(spark, folder), ["device_id"], "day", tiebreak=["rid"], expire_after="2 days")
@@ -264,7 +265,7 @@ def test_late_rows_past_expiry_are_dropped(spark, tmp_path):
         newest, lambda b, i: sinks.write_latest_log(b, i, str(tmp_path / "log")), str(tmp_path / "s"),
         mode="update", available_now=True,
     )])
-    assert ids(sinks.read_latest_log(spark, str(tmp_path / "log"), "day", tiebreak=["rid"])) == [0, 3]
+    assert ids(sinks.read_latest_log(spark, str(tmp_path / "log"), "day", tiebreak=["rid"])) == [0, 2]
 
 
 def test_expiring_latest_takes_map_columns(spark, data, tmp_path):
