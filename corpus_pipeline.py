@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterflow.llm import decontaminate, jaccard_join, mixing, pii, quality
 from meterflow.llm.registry import read
-from meterflow.llm.store import stored
+from meterflow.llm.store import discard, stored
 
 # The quality model and the near duplicate search cannot be put in SQL.
 ORACLE_SQL = None
@@ -58,7 +58,10 @@ STAGES = [
 
 
 def run(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents")
+    docs, made = read(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        made.append(docs)
+        discard(*made[:-1])
+        del made[:-1]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..durable import durable
 from .blobs import BUCKETS_PER_PARTITION, all_blobs, bucket_of, partitions_for, rows_by_bucket, runs, unpack
 from .components import components
-from .store import stored
+from .store import discard, stored
 from .text import SLICE_BYTES, Words, mix, per_text_sum, slices, whole, windows
 
 SHINGLE = 5
@@ -445,6 +445,7 @@ def families(df, text_col="text", id_col="doc_id"):
     more = several.join(signs, "cls").groupBy("gid").applyInArrow(_search, "a long, b long").distinct()
     more = more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = durable(links.unionByName(verified(more, texts)))
+    discard(texts, groups)
 
     roots = components(links).withColumnRenamed("node", "cls")
     return profile.join(roots, "cls", "left").withColumn("family", F.coalesce("root", "cls")).drop("root"), links
