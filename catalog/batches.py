@@ -205,7 +205,7 @@ def stream_progress(spark, sf_dir):
     try:
         runs = [
             runner.run_batches(rows, lambda batch, batch_id: batch.write.format("noop").mode("append").save(), f"{home}/{name}",
-                               name=name, available_now=True)
+                               name=name, available_now=True, stateful=True)
             for name, rows in streams.items()
         ]
         runner.run_all(runs)

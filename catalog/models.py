@@ -237,17 +237,18 @@ def _metered(spark, sf_dir):
     return read_delimited(spark, path, ";", schema)
 
 
-@query("consumption_table", f"WITH {_METERED_SQL} SELECT x1 AS voltage, x2 AS intensity, y AS power FROM rows")
+@query("consumption_table", f"WITH {_METERED_SQL} SELECT x1 AS voltage, round(x2, 2) AS intensity, round(y, 2) AS power FROM rows")
 def consumption_table(spark, sf_dir):
     rows = consumption.cleaned(_metered(spark, sf_dir), _METERED[1:])
-    return rows.toDF("voltage", "intensity", "power")
+    rows = rows.toDF("voltage", "intensity", "power").select(*[F.col(c).cast("double").alias(c) for c in ("voltage", "intensity", "power")])
+    return rows.withColumns({c: F.round(c, 2) for c in ("intensity", "power")})
 
 
 @query("consumption_fit", f"""
 WITH {_METERED_SQL}
-SELECT count(*) AS n, round(avg((y - f) * (y - f)), 1) AS mse, round(1 - avg((y - f) * (y - f)) / var_pop(y), 8) AS r2 FROM p
+SELECT count(*) AS n, round(avg((y - f) * (y - f)) / 10000) AS mse, round(1 - avg((y - f) * (y - f)) / var_pop(y), 6) AS r2 FROM p
 """)
 def consumption_fit(spark, sf_dir):
     """The consumption job end to end: scan, clean, split, fit, judge."""
     fitted = consumption.fit(_metered(spark, sf_dir), _METERED[1:3], _METERED[3], key="Date")
-    return fitted.metrics.select("n", F.round("mse", 1).alias("mse"), F.round("r2", 8).alias("r2"))
+    return fitted.metrics.select("n", F.round(F.col("mse") / 10000).alias("mse"), F.round("r2", 6).alias("r2"))

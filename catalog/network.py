@@ -178,10 +178,10 @@ def pagerank_trade(spark, sf_dir):
 @query("components_trade", """
 WITH RECURSIVE pairs AS (
   SELECT DISTINCT concat('C', o_custkey) AS src, concat('S', l_suppkey) AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-both AS (SELECT src, dst FROM pairs UNION ALL SELECT dst, src FROM pairs),
-lone AS (SELECT min(src) AS id FROM both),
-reach(id) AS (SELECT id FROM lone UNION SELECT b.dst FROM reach r JOIN both b ON b.src = r.id)
-SELECT DISTINCT src AS id, CASE WHEN src IN (SELECT id FROM reach) THEN (SELECT id FROM lone) END AS component FROM both
+sym AS (SELECT src, dst FROM pairs UNION ALL SELECT dst, src FROM pairs),
+lone AS (SELECT min(src) AS id FROM sym),
+reach(id) AS (SELECT id FROM lone UNION SELECT b.dst FROM reach r JOIN sym b ON b.src = r.id)
+SELECT DISTINCT src AS id, CASE WHEN src IN (SELECT id FROM reach) THEN (SELECT id FROM lone) END AS component FROM sym
 """)
 def components_trade(spark, sf_dir):
     vertices, edges = _trade(spark, sf_dir)
@@ -194,7 +194,7 @@ def _mixed_key(column):
 
 
 @query("components_islands", """
-WITH c AS (SELECT (c_custkey::BIGINT * 48271) % 2147483647 AS id, (c_custkey - 1) // 60 AS island FROM customer)
+WITH c AS (SELECT (c_custkey::BIGINT * 48271) % 2147483647 AS id, (c_custkey + 59) // 60 AS island FROM customer)
 SELECT id, min(id) OVER (PARTITION BY island) AS component FROM c
 """)
 def components_islands(spark, sf_dir):

@@ -37,7 +37,8 @@ def run_batches(df, process, checkpoint, name=None, mode="append", interval=INTE
     only when every partition has run, so a look at a few rows would be a second,
     partial run. ``process`` should write such a batch in one job; an empty one
     writes nothing to partitioned folders. ``stateful`` defaults to update and
-    complete mode; set it for append queries with a watermark.
+    complete mode; set it for append queries with a watermark, and where the
+    progress counts must not hold the rows of that look.
     """
     bound = dict(bound or {})
     if stateful is None:
