@@ -467,11 +467,10 @@ def keep_one(df, text_col="text", id_col="doc_id"):
     first = rows.where("n > 0").groupBy("family").agg(F.min_by(F.struct("id", "h"), F.struct(F.col("id").isNull(), "id", "h")).alias("x"))
     chosen = first.select(F.col("x.id").alias("__id"), F.col("x.h").alias("__h"))
     empty = rows.where("n = 0").select(F.col("id").alias("__id"), F.col("h").alias("__h"))
-    chosen = chosen.unionByName(empty).withColumn("__none", F.col("__id").isNull()).withColumn("__id", F.coalesce("__id", F.lit(0))).distinct()
-    marked = df.withColumns({
-        "__id": F.coalesce(F.col(id_col), F.lit(0).cast(df.schema[id_col].dataType)), "__none": F.col(id_col).isNull(), "__h": F.xxhash64(text_col),
-    })
+    zero = F.lit(0).cast(df.schema[id_col].dataType)
     keys = ["__id", "__none", "__h"]
+    chosen = chosen.unionByName(empty).select(F.coalesce("__id", zero).alias("__id"), F.col("__id").isNull().alias("__none"), "__h").distinct()
+    marked = df.withColumns({"__id": F.coalesce(F.col(id_col), zero), "__none": F.col(id_col).isNull(), "__h": F.xxhash64(text_col)})
     return marked.join(chosen, keys, "left_semi").dropDuplicates(keys).select(*df.columns)
 
 
