@@ -10,7 +10,7 @@ once. The rest goes in exact steps:
   documents share makes no groups of its own.
 * Groups with the same members are looked at once. From groups of a class's
   very first shingles a few pairs are checked at once, and linked classes get
-  a common label. That settles large families of copies.
+  a common label; then a few pairs across labels. That settles large families.
 * In every group that still holds several labels a signature tree is built:
   leaves hold classes close in size, inner nodes the OR of their bitmaps and
   their size range. Pairs of nodes are followed down together, and dropped if the
@@ -35,7 +35,7 @@ from .store import discard, stored
 from .text import SLICE_BYTES, Words, mix, per_text_sum, slices, whole, windows
 
 SHINGLE = 5
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 LEADS = 3  # first shingles whose groups are searched for large families
 SAMPLE = 8  # one class in so many shows which shingles are common
 COMMON = 2  # occurrences in the sample
@@ -397,11 +397,39 @@ def tree_pairs(cls, n, bits, labels):
     return np.minimum(left, right), np.maximum(left, right)
 
 
-def _search(table):
-    """Candidate pairs of one group's rows (gid, cls, label, n, bits)."""
-    cls = table.column("cls").to_numpy()
+def across_pairs(gid, cls, n, bits, labels):
+    """For every row the next one of another label, in an order of the group's
+    own, unless sizes or bitmaps rule the pair out: no more pairs than rows."""
+    order = np.argsort(mix(cls.view(np.uint64) ^ mix(np.array([gid]).view(np.uint64))), kind="stable")
+    after, left, right = None, [], []
+    for i, j in zip(order[-2::-1].tolist(), order[:0:-1].tolist(), strict=True):
+        # The nearest row behind i whose label differs from i's.
+        after = j if labels[j] != labels[i] else after
+        if after is None or labels[after] == labels[i]:
+            continue
+        width = min(len(bits[i]), len(bits[after]))
+        x, y = _fold(bits[i], width), _fold(bits[after], width)
+        most = min(n[i] - _ones(x), n[after] - _ones(y)) + _ones(x & y)
+        if 7 * most >= 3 * (n[i] + n[after]):
+            left.append(min(cls[i], cls[after]))
+            right.append(max(cls[i], cls[after]))
+    return np.array(left, np.int64), np.array(right, np.int64)
+
+
+def _columns(table):
     bits = [np.frombuffer(v.as_buffer(), np.uint64) for chunk in table.column("bits").chunks for v in chunk]
-    a, b = tree_pairs(cls, table.column("n").to_numpy(), bits, table.column("label").to_numpy())
+    return table.column("cls").to_numpy(), table.column("n").to_numpy(), bits, table.column("label").to_numpy()
+
+
+def _across(table):
+    """A few candidate pairs of one group's rows (gid, cls, label, n, bits)."""
+    a, b = across_pairs(table.column("gid")[0].as_py(), *_columns(table))
+    return pa.table({"a": a, "b": b})
+
+
+def _search(table):
+    """All candidate pairs of one group's rows (gid, cls, label, n, bits)."""
+    a, b = tree_pairs(*_columns(table))
     return pa.table({"a": a, "b": b})
 
 
@@ -431,20 +459,21 @@ def families(df, text_col="text", id_col="doc_id"):
     texts = df.select(text_col).mapInArrow(_class_texts, "cls long, text binary")
     texts = stored(texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")), "texts")
 
-    pairs = durable(groups.select("lead", "members").mapInArrow(_first_pairs, "a long, b long").distinct())
-    links = durable(verified(pairs, texts))
-    labels = components(links)
-
-    several = groups.where(F.octet_length("members") > 16).select("gid", "members").mapInArrow(_members, "gid long, cls long")
-    several = several.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "gid", "cls", F.coalesce("root", "cls").alias("label")
-    )
-    mixed = several.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gid")
-    several = durable(several.join(mixed, "gid"))
-    signs = texts.join(several.select("cls").distinct(), "cls", "left_semi").mapInArrow(_signatures, "cls long, n long, bits binary")
-    more = several.join(signs, "cls").groupBy("gid").applyInArrow(_search, "a long, b long").distinct()
-    more = more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = durable(links.unionByName(verified(more, texts)))
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    tried = durable(groups.select("lead", "members").mapInArrow(_first_pairs, "a long, b long").select(*ordered).distinct())
+    links = durable(verified(tried, texts))
+    members = groups.where(F.octet_length("members") > 16).select("gid", "members").mapInArrow(_members, "gid long, cls long")
+    signs = texts.join(members.select("cls").distinct(), "cls", "left_semi")
+    signs = durable(signs.mapInArrow(_signatures, "cls long, n long, bits binary"))
+    # A few pairs across labels first, then every pair that is still open.
+    for search in (_across, _search):
+        labels = components(links).withColumnRenamed("node", "cls")
+        several = members.join(labels, "cls", "left").select("gid", "cls", F.coalesce("root", "cls").alias("label"))
+        mixed = several.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gid")
+        found = several.join(mixed, "gid").join(signs, "cls").groupBy("gid").applyInArrow(search, "a long, b long")
+        more = durable(found.distinct().join(tried, ["a", "b"], "left_anti"))
+        links = durable(links.unionByName(verified(more, texts)))
+        tried = tried.unionByName(more)
     discard(texts, groups)
 
     roots = components(links).withColumnRenamed("node", "cls")
