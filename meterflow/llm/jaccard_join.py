@@ -15,7 +15,8 @@ once. The rest goes in exact steps:
   leaves hold classes close in size, inner nodes the OR of their bitmaps and
   their size range. Pairs of nodes are followed down together, and dropped if the
   sizes, the bitmaps' largest possible overlap or the labels rule out a new link.
-* Remaining pairs are compared shingle by shingle.
+* Remaining pairs are compared shingle by shingle: those of large groups at once
+  and only while their labels are apart, those of others one by one.
 
 Words are lower-cased (A-Z). A text of fewer words than a shingle is one shingle;
 null and blank texts have an empty set and link with nothing. Repeated rows
@@ -41,6 +42,7 @@ SAMPLE = 8  # one class in so many shows which shingles are common
 COMMON = 2  # occurrences in the sample
 COMMON_SHINGLES = 500_000  # most of them that are put last (a plan choice, not a limit)
 FAMILY = 64  # classes of a family compared with one of them
+LARGE = 128  # members of a group from which its open pairs are compared where they are found
 BLOCK = 4096  # members of a group handled together
 LEAF = 32
 FAN = 8
@@ -263,14 +265,18 @@ def _similar(pairs, texts):
     s = Sets(pa.array(list(texts.values()), pa.binary()))
     out = []
     for a, b in pairs:
-        x, y = (s.keys[s.ptr[place[c]] : s.ptr[place[c] + 1]] for c in (a, b))
-        small, large = (x, y) if len(x) < len(y) else (y, x)
-        at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-        shared = int((large[at] == small).sum())
-        out.append(100 * shared >= 75 * (len(x) + len(y) - shared))
+        out.append(_enough(*(s.keys[s.ptr[place[c]] : s.ptr[place[c] + 1]] for c in (a, b))))
     return out
 
 
+def _enough(x, y):
+    """100 * shared >= 75 * union for two sorted sets."""
+    small, large = (x, y) if len(x) < len(y) else (y, x)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    shared = int((large[at] == small).sum())
+    return 100 * shared >= 75 * (len(x) + len(y) - shared)
+
+
 def _linked(batches):
     """The pairs whose sets are similar enough: 100 * shared >= 75 * union."""
     press = zstandard.ZstdDecompressor()
@@ -360,14 +366,11 @@ def _may_link(x, ux, y, uy):
     return 7 * most >= 3 * (x.least + y.least)
 
 
-def tree_pairs(cls, n, bits, labels):
-    """Pairs of rows with different labels that the tree cannot rule out."""
-    order = np.lexsort((cls, n))
-    cls, n, labels = cls[order], n[order], labels[order]
-    bits = [bits[k] for k in order]
-    todo, left, right = [], [], []
+def open_pairs(n, bits, labels):
+    """(rows, rows) arrays, leaf by leaf, of the pairs with different labels that
+    the tree over rows sorted by size cannot rule out."""
     root = signature_tree(n, bits, labels)
-    todo.append((root, root))
+    todo = [(root, root)]
     while todo:
         (x, ux), (y, uy) = todo.pop()
         if x is not y and not _may_link(x, ux, y, uy):
@@ -383,20 +386,45 @@ def tree_pairs(cls, n, bits, labels):
             fit = (7 * most >= 3 * (nx + ny)) & (4 * np.minimum(nx, ny) >= 3 * np.maximum(nx, ny))
             fit &= labels[x.lo : x.hi, None] != labels[None, y.lo : y.hi]
             i, j = np.nonzero(np.triu(fit, 1) if x is y else fit)
-            left.append(cls[x.lo + i])
-            right.append(cls[y.lo + j])
+            if len(i):
+                yield x.lo + i, y.lo + j
         elif x is y:
             todo += [(x.children[a], x.children[b]) for a in range(len(x.children)) for b in range(a, len(x.children))]
         elif y.children is None or x.children is not None and x.hi - x.lo >= y.hi - y.lo:
             todo += [(c, (y, uy)) for c in x.children]
         else:
             todo += [((x, ux), c) for c in y.children]
-    if not left:
+
+
+def tree_pairs(cls, n, bits, labels):
+    """Pairs of classes with different labels that the tree cannot rule out."""
+    order = np.lexsort((cls, n))
+    cls = cls[order]
+    found = list(open_pairs(n[order], [bits[k] for k in order], labels[order]))
+    if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    left, right = np.concatenate(left), np.concatenate(right)
+    left, right = (cls[np.concatenate(side)] for side in zip(*found, strict=True))
     return np.minimum(left, right), np.maximum(left, right)
 
 
+def spanning_links(cls, sets, labels):
+    """Links among the rows that join all labels that any link joins, each pair
+    compared in full as long as its labels are apart: fewer links than rows."""
+    n = np.array([len(s) for s in sets])
+    order = np.lexsort((cls, n))
+    cls, n, labels = cls[order], n[order], labels[order].copy()
+    sets = [sets[k] for k in order]
+    left, right = [], []
+    for rows, others in open_pairs(n, [_bitmap(s).view(np.uint64) for s in sets], labels.copy()):
+        apart = labels[rows] != labels[others]
+        for i, j in zip(rows[apart].tolist(), others[apart].tolist(), strict=True):
+            if labels[i] != labels[j] and _enough(sets[i], sets[j]):
+                left.append(min(cls[i], cls[j]))
+                right.append(max(cls[i], cls[j]))
+                labels[labels == labels[j]] = labels[i]
+    return np.array(left, np.int64), np.array(right, np.int64)
+
+
 def across_pairs(gid, cls, n, bits, labels):
     """For every row the next one of another label, in an order of the group's
     own, unless sizes or bitmaps rule the pair out: no more pairs than rows."""
@@ -427,6 +455,18 @@ def _across(table):
     return pa.table({"a": a, "b": b})
 
 
+def _settle(table):
+    """The links of a large group's rows (gid, cls, label, text) that join its labels."""
+    press = zstandard.ZstdDecompressor()
+    texts = pa.array([press.decompress(v.as_buffer()) for chunk in table.column("text").chunks for v in chunk], pa.binary())
+    sets = []
+    for _, piece in slices(texts, SLICE_BYTES):
+        s = Sets(piece)
+        sets += [s.keys[s.ptr[d] : s.ptr[d + 1]].copy() for d in range(len(s.n))]
+    a, b = spanning_links(table.column("cls").to_numpy(), sets, table.column("label").to_numpy())
+    return pa.table({"a": a, "b": b})
+
+
 def _search(table):
     """All candidate pairs of one group's rows (gid, cls, label, n, bits)."""
     a, b = tree_pairs(*_columns(table))
@@ -469,8 +509,14 @@ def families(df, text_col="text", id_col="doc_id"):
     for search in (_across, _search):
         labels = components(links).withColumnRenamed("node", "cls")
         several = members.join(labels, "cls", "left").select("gid", "cls", F.coalesce("root", "cls").alias("label"))
-        mixed = several.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gid")
-        found = several.join(mixed, "gid").join(signs, "cls").groupBy("gid").applyInArrow(search, "a long, b long")
+        mixed = several.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
+        several = several.join(mixed.where("lo <> hi").select("gid", "m"), "gid")
+        if search is _search:
+            # Open pairs of a large group would be many: it is settled whole, and yields links only.
+            large = several.where(F.col("m") > LARGE).drop("m").join(texts, "cls").select("gid", "cls", "label", "text")
+            links = durable(links.unionByName(large.groupBy("gid").applyInArrow(_settle, "a long, b long").distinct()))
+            several = several.where(F.col("m") <= LARGE)
+        found = several.drop("m").join(signs, "cls").groupBy("gid").applyInArrow(search, "a long, b long")
         more = durable(found.distinct().join(tried, ["a", "b"], "left_anti"))
         links = durable(links.unionByName(verified(more, texts)))
         tried = tried.unionByName(more)

@@ -73,6 +73,13 @@ def test_jaccard_large_groups_are_cut(spark, monkeypatch):
     assert found(jaccard_join.jaccard_components(frame(spark, rows))) == families(rows)
 
 
+def test_jaccard_large_groups_are_settled_whole(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LARGE", 2)
+    monkeypatch.setattr(jaccard_join, "LEADS", 0)
+    rows = copies(4, 2, 50) + [(1000 + k, t, s, u) for k, t, s, u in copies(5, 3, 20)]
+    assert found(jaccard_join.jaccard_components(frame(spark, rows))) == families(rows)
+
+
 def test_jaccard_blocks_of_a_group():
     import numpy as np
     import pyarrow as pa
