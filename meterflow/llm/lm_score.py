@@ -1,14 +1,21 @@
 """Masked pseudo-likelihood from a bidirectional window network.
 
 Every word is predicted from the ``SIDE`` words on either side. The network
-adds up one embedding per neighbouring place, applies tanh, and predicts the
-word's class and, given the class, the word. A text's score is the sum over all
-its words of the log-probability given both sides.
-
-The vocabulary holds the most frequent words of the whole corpus; all other
-words share hash buckets. Every task trains a copy of the network on its part
-of all documents, on a rotating mask of one position in ``MASK``; the copies
-are averaged, weighted by trained words, on the cluster, once per round.
+sends one embedding per neighbouring place through that place's matrix, adds
+them up, applies tanh, and predicts the three digits of the word's id, each
+given those before. A text's score is the sum over all its words of the
+log-probability given both sides.
+
+Every word with at least sqrt(words of the corpus) / ``RARE`` occurrences has
+an id, and so do the ``KNOWN`` most frequent ones; the vocabulary and the grid
+of its digits grow with the corpus. All other words share hash buckets. Such a
+word has its bucket's probability times its exact share of the bucket's
+occurrences, from a join with the counts of all words; per bucket, one
+occurrence stands for all words that the corpus does not hold.
+
+Every task trains a copy of the network on its part of all documents, on a
+rotating mask of one position in ``MASK``; the copies are averaged, weighted by
+trained words, on the cluster, once per round.
 
 Null, empty and blank texts have no words: log-likelihood 0, null per word.
 Rows are scored alone, so repeated rows agree. On an empty table the network
@@ -19,12 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ..durable import durable
 from .blobs import runs
 from .text import Words, mix, per_text_sum, slices
 
-KNOWN = 1920  # words with an id of their own
-CLASSES, MEMBERS = 32, 64
-VOCABULARY = CLASSES * MEMBERS
+KNOWN = 1920  # words with an id of their own, however rare
+RARE = 200  # the larger, the rarer the words with an id
+BUCKETS = 128  # for the other words, at least
+VOCABULARY = KNOWN + BUCKETS  # the smallest
 SIDE = 3
 HIDDEN = 24
 MASK = 8
@@ -35,16 +44,10 @@ RATE = 0.1
 CHUNK = 1024  # parameters per row when copies are averaged
 SLICE = 1 << 20
 FLUSH = 1 << 20
+COPIES_PER_CORE = 4
+LOG_ONE = 1 << 32  # logarithms are summed as integers, so that their order does not matter
 
 _PLACES = [k for k in range(-SIDE, SIDE + 1) if k]
-_SHAPES = {
-    "embed": (len(_PLACES), VOCABULARY + 1, HIDDEN),
-    "hidden_bias": (HIDDEN,),
-    "to_class": (HIDDEN, CLASSES),
-    "class_bias": (CLASSES,),
-    "to_member": (HIDDEN, MEMBERS),
-    "member_bias": (CLASSES, MEMBERS),
-}
 
 
 def _word_counts(batches):
@@ -76,130 +79,193 @@ def _word_counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], names=["word", "n"])
 
 
+def grid(size):
+    """Digits (s / 2, s, s) of the smallest such grid that holds ``size`` ids."""
+    s = 2
+    while s**3 // 2 < size:
+        s += 2
+    return s // 2, s, s
+
+
 class Vocabulary:
-    """Word hash to id: frequent words first, by falling count; others by bucket."""
+    """Word hash to id: frequent words first, by falling count; others by bucket.
+
+    ``rest`` is a table (word, n) of the words without an id that occur more
+    than once; tasks get the vocabulary without it.
+    """
 
     def __init__(self, words):
         self.words = np.array(words, np.int64).view(np.uint64)
         self.order = np.argsort(self.words, kind="stable")
         self.sorted = self.words[self.order]
+        self.known = max(KNOWN, len(self.words))
+        self.size = int(np.prod(grid(self.known + BUCKETS)))
+        self.log_bucket = np.zeros(self.size - self.known)
+        self.rest = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"rest": None}
 
     def ids(self, hashes):
-        other = KNOWN + (mix(hashes) % np.uint64(VOCABULARY - KNOWN)).astype(np.int64)
+        other = self.known + (mix(hashes) % np.uint64(self.size - self.known)).astype(np.int64)
         if not len(self.words):
             return other
         at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.words) - 1)
         return np.where(self.sorted[at] == hashes, self.order[at], other)
 
 
+def _bucket_counts(batches, words):
+    """(bucket, count) of the words without an id."""
+    total = np.zeros(words.size - words.known, np.int64)
+    for batch in batches:
+        np.add.at(total, words.ids(batch.column(0).to_numpy().view(np.uint64)) - words.known, batch.column(1).to_numpy())
+    held = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["bucket", "n"])
+
+
 def vocabulary(df, text_col="text"):
     """(Vocabulary, log-frequency per id) from the counts of all words of ``df``."""
-    counts = df.select(text_col).mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).persist()
-    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
+    spark = df.sparkSession
+    counts = durable(df.select(text_col).mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    counts.unpersist()
-    n = np.ones(VOCABULARY)
-    n[: len(top)] += [r["n"] for r in top]
-    n[KNOWN:] += max(total - sum(r["n"] for r in top), 0) / (VOCABULARY - KNOWN)
-    return Vocabulary([r["word"] for r in top]), np.log(n / n.sum())
+    least = total**0.5 / RARE
+    frequent = counts.where(F.col("n") >= least)
+    if frequent.count() < KNOWN:
+        frequent = counts.orderBy(F.desc("n"), "word").limit(KNOWN)
+    top = frequent.toArrow()
+    word, n_word = (top.column(k).to_numpy() for k in range(2))
+    order = np.lexsort((word, -n_word))
+    word, n_word = word[order], n_word[order]
+    words = Vocabulary(word)
+    n = np.ones(words.size)
+    n[: len(word)] += n_word
+    if len(word):
+        others = counts.where((F.col("n") < int(n_word[-1])) | ((F.col("n") == int(n_word[-1])) & (F.col("word") > int(word[-1]))))
+        shared = spark.sparkContext.broadcast(words)
+        sums = others.mapInArrow(lambda it: _bucket_counts(it, shared.value), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+        n[words.known + sums.column(0).to_numpy()] += sums.column(1).to_numpy()
+        words.rest = others.where("n > 1")
+    # One occurrence of a bucket is left to words that the corpus does not hold.
+    words.log_bucket = np.log(n[words.known :])
+    return words, np.log(n / n.sum())
 
 
 def start_weights(log_frequency, seed=7):
     """Weights that predict by frequency alone, with small random embeddings."""
     rng = np.random.default_rng(seed)
-    by_class = np.exp(log_frequency).reshape(CLASSES, MEMBERS)
+    by_digit = np.exp(log_frequency).reshape(grid(len(log_frequency)))
+    a, b, c = by_digit.shape
+    first, second = by_digit.sum((1, 2)), by_digit.sum(2)
     weights = {
-        "embed": rng.normal(0, 0.1, _SHAPES["embed"]),
+        "embed": rng.normal(0, 0.1, (len(log_frequency) + 1, HIDDEN)),
+        "place": rng.normal(0, HIDDEN**-0.5, (len(_PLACES) * HIDDEN, HIDDEN)),
         "hidden_bias": np.zeros(HIDDEN),
-        "to_class": rng.normal(0, 0.05, _SHAPES["to_class"]),
-        "class_bias": np.log(by_class.sum(1)),
-        "to_member": rng.normal(0, 0.05, _SHAPES["to_member"]),
-        "member_bias": np.log(by_class / by_class.sum(1, keepdims=True)),
+        "to_0": rng.normal(0, 0.05, (HIDDEN, a)),
+        "to_1": rng.normal(0, 0.05, (HIDDEN, b)),
+        "to_2": rng.normal(0, 0.05, (HIDDEN, c)),
+        "bias_0": np.log(first)[None],
+        "bias_1": np.log(second / first[:, None]),
+        "bias_2": np.log(by_digit / second[:, :, None]).reshape(a * b, c),
     }
     return {k: v.astype(np.float32) for k, v in weights.items()}
 
 
-def neighbours(ids, ptr):
-    """Ids around every word, by place; VOCABULARY stands beyond the text's ends."""
+def neighbours(ids, ptr, edge):
+    """Ids around every word, by place; ``edge`` stands beyond the text's ends."""
     n = len(ids)
     text = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
-    out = np.full((n, len(_PLACES)), VOCABULARY, np.int64)
+    out = np.full((n, len(_PLACES)), edge, np.int64)
     for column, k in enumerate(_PLACES):
         if abs(k) >= n:
             continue
         here = slice(max(0, -k), n - max(0, k))
         there = slice(max(0, k), n + min(0, k))
         same = text[here] == text[there]
-        out[here, column] = np.where(same, ids[there], VOCABULARY)
+        out[here, column] = np.where(same, ids[there], edge)
     return out
 
 
-def _softmax(x):
-    x = x - x.max(1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    return x
+def _hidden(w, around):
+    """(embeddings of all places side by side, hidden units)."""
+    near = w["embed"][around].reshape(len(around), -1)
+    return near, np.tanh(near @ w["place"] + w["hidden_bias"])
+
 
+def _digits(w, ids):
+    """(bias row, digit) per level."""
+    b, c = w["to_1"].shape[1], w["to_2"].shape[1]
+    top, middle = ids // (b * c), ids // c
+    return [(np.zeros_like(ids), top), (top, middle % b), (middle, ids % c)]
 
-def forward(w, around, ids):
-    """(hidden, class and member probabilities, classes, members)."""
-    total = w["hidden_bias"] + w["embed"][0][around[:, 0]]
-    for k in range(1, len(_PLACES)):
-        total += w["embed"][k][around[:, k]]
-    hidden = np.tanh(total)
-    c, m = ids // MEMBERS, ids % MEMBERS
-    return hidden, _softmax(hidden @ w["to_class"] + w["class_bias"]), _softmax(hidden @ w["to_member"] + w["member_bias"][c]), c, m
+
+def _exp(w, hidden, level, row):
+    """Logits of a level and their exponentials, both less the row's maximum."""
+    x = hidden @ w[f"to_{level}"]
+    x += w[f"bias_{level}"][row]
+    x -= x.max(1, keepdims=True)
+    return x, np.exp(x)
 
 
 def log_probabilities(w, around, ids):
-    """Log-probability of every word given its neighbours."""
-    out = np.empty(len(ids), np.float64)
+    """Log-probability of every id given its neighbours."""
+    out = np.zeros(len(ids), np.float64)
     for a in range(0, len(ids), BATCH):
         b = min(a + BATCH, len(ids))
-        _, pc, pm, c, m = forward(w, around[a:b], ids[a:b])
-        row = np.arange(b - a)
-        out[a:b] = np.log(pc[row, c].astype(np.float64) * pm[row, m] + 1e-30)
+        _, hidden = _hidden(w, around[a:b])
+        at = np.arange(b - a)
+        for level, (row, digit) in enumerate(_digits(w, ids[a:b])):
+            x, e = _exp(w, hidden, level, row)
+            out[a:b] += x[at, digit] - np.log(e @ np.ones(e.shape[1], np.float32))
     return out
 
 
+def _adagrad(w, squares, name, g, rate):
+    squares[name] += g * g
+    w[name] -= rate * g / np.sqrt(squares[name] + 1e-8)
+
+
+def _adagrad_rows(w, squares, name, key, g, rate):
+    """Sum the gradients of equal rows, then touch each row once."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first, _ = runs(key)
+    g = np.add.reduceat(g[order], first, axis=0)
+    at = key[first]
+    new = squares[name][at] + g * g
+    squares[name][at] = new
+    w[name][at] -= rate * g / np.sqrt(new + 1e-8)
+
+
 def _step(w, squares, around, ids, rate):
     """One Adagrad step on a batch of masked words."""
-    hidden, pc, pm, c, m = forward(w, around, ids)
-    row, n = np.arange(len(ids)), len(ids)
-    pc[row, c] -= 1
-    pm[row, m] -= 1
-    pc /= n
-    pm /= n
-    back = (pc @ w["to_class"].T + pm @ w["to_member"].T) * (1 - hidden * hidden)
-    member = np.zeros(_SHAPES["member_bias"], np.float32)
-    np.add.at(member, c, pm)
-    gradients = {
-        "hidden_bias": back.sum(0), "to_class": hidden.T @ pc, "class_bias": pc.sum(0), "to_member": hidden.T @ pm, "member_bias": member,
-    }
-    for name, g in gradients.items():
-        squares[name] += g * g
-        w[name] -= rate * g / np.sqrt(squares[name] + 1e-8)
-    for k in range(len(_PLACES)):
-        # Sum the rows of equal neighbours, then touch each embedding once.
-        order = np.argsort(around[:, k], kind="stable")
-        key = around[order, k]
-        first, _ = runs(key)
-        g = np.add.reduceat(back[order], first, axis=0)
-        at = key[first]
-        squares["embed"][k][at] += g * g
-        w["embed"][k][at] -= rate * g / np.sqrt(squares["embed"][k][at] + 1e-8)
+    near, hidden = _hidden(w, around)
+    at, back, levels = np.arange(len(ids)), 0, []
+    for level, (row, digit) in enumerate(_digits(w, ids)):
+        _, p = _exp(w, hidden, level, row)
+        p /= (p @ np.ones(p.shape[1], np.float32))[:, None]
+        p[at, digit] -= 1
+        p /= np.float32(len(ids))
+        back = back + p @ w[f"to_{level}"].T
+        levels.append((row, p))
+    back *= 1 - hidden * hidden
+    to_near = (back @ w["place"].T).reshape(-1, HIDDEN)
+    for level, (row, p) in enumerate(levels):
+        _adagrad(w, squares, f"to_{level}", hidden.T @ p, rate)
+        _adagrad_rows(w, squares, f"bias_{level}", row, p, rate)
+    _adagrad(w, squares, "hidden_bias", back.sum(0), rate)
+    _adagrad(w, squares, "place", near.T @ back, rate)
+    _adagrad_rows(w, squares, "embed", around.ravel(), to_near, rate)
 
 
 def _flat(w):
-    return np.concatenate([w[name].ravel() for name in _SHAPES])
+    return np.concatenate([value.ravel() for value in w.values()])
 
 
-def _shaped(flat):
+def _shaped(flat, like):
     out, at = {}, 0
-    for name, shape in _SHAPES.items():
-        size = int(np.prod(shape))
-        out[name] = flat[at : at + size].reshape(shape).astype(np.float32)
-        at += size
+    for name, value in like.items():
+        out[name] = flat[at : at + value.size].reshape(value.shape).astype(np.float32)
+        at += value.size
     return out
 
 
@@ -223,7 +289,7 @@ def _train_copy(batches, words, start, turn, rate):
             shift = np.repeat(per_text_sum(ids, t.ptr), t.count)
             place = np.arange(len(ids)) - t.ptr[t.text_of_word()]
             hidden = (place + shift) % MASK == turn
-            held.append((neighbours(ids, t.ptr)[hidden], ids[hidden]))
+            held.append((neighbours(ids, t.ptr, words.size)[hidden], ids[hidden]))
             size += int(hidden.sum())
             if size >= BATCH:
                 trained += step()
@@ -263,15 +329,17 @@ def train(df, text_col="text", rounds=ROUNDS):
     words, log_frequency = vocabulary(df, text_col)
     weights = start_weights(log_frequency)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many copies as keep all cores busy; their weights pass through a shuffle.
+    texts = df.select(text_col).coalesce(COPIES_PER_CORE * spark.sparkContext.defaultParallelism)
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((words, weights))
         rate = RATE / (1 + turn)
-        copies = df.select(text_col).mapInArrow(
+        copies = texts.mapInArrow(
             lambda it, shared=shared, turn=turn, rate=rate: _train_copy(it, *shared.value, turn, rate), "chunk int, n double, weights binary"
         )
         mean = copies.repartition(parts, "chunk").mapInArrow(_average, "chunk int, weights binary").collect()
         if mean:  # the size of one network
-            weights = _shaped(np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(mean, key=lambda r: r["chunk"])]))
+            weights = _shaped(np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(mean, key=lambda r: r["chunk"])]), weights)
     return words, weights
 
 
@@ -281,28 +349,46 @@ def score(df, words, weights, text_col="text"):
     Input columns of these names are replaced.
     """
     df = df.drop("n_words", "log_likelihood", "per_word")
-    names = [f.name for f in df.schema if f.name != text_col]
+    fields = [f for f in df.schema if f.name != text_col]
+    names = [f.name for f in fields]
     shared = df.sparkSession.sparkContext.broadcast((words, weights))
 
     def rows(batches):
         words, weights = shared.value
         for batch in batches:
-            counts, sums = [np.empty(0, np.int64)], [np.empty(0)]
+            counts, sums, rest = [np.empty(0, np.int64)], [np.empty(0)], []
             for _, texts in slices(batch.column(batch.schema.get_field_index(text_col)), SLICE):
                 t = Words(texts)
-                ids = words.ids(t.hashes(lower=True))
+                hashes = t.hashes(lower=True)
+                ids = words.ids(hashes)
+                value = log_probabilities(weights, neighbours(ids, t.ptr, words.size), ids)
+                other = np.flatnonzero(ids >= words.known)
+                value[other] -= words.log_bucket[ids[other] - words.known]
                 counts.append(t.count)
-                sums.append(per_text_sum(log_probabilities(weights, neighbours(ids, t.ptr), ids), t.ptr))
+                sums.append(per_text_sum(value, t.ptr))
+                ends = np.searchsorted(other, t.ptr).astype(np.int32)
+                rest.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[other].view(np.int64))))
             n, total = np.concatenate(counts), np.concatenate(sums)
-            kept = [batch.column(batch.schema.get_field_index(name)) for name in names]
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+            kept = [batch.column(batch.schema.get_field_index(name)) for name in [*names, "__row"]]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(n.astype(np.int64)), pa.array(np.where(n > 0, total, 0.0)), mean],
-                names=[*names, "n_words", "log_likelihood", "per_word"],
+                [*kept, pa.array(n.astype(np.int64)), pa.array(np.where(n > 0, total, 0.0)), pa.concat_arrays(rest) if rest else pa.array([], pa.list_(pa.int64()))],
+                names=[*names, "__row", "n_words", "__sum", "__rest"],
             )
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text_col]
-    return df.mapInArrow(rows, ", ".join([*fields, "n_words long, log_likelihood double, per_word double"]))
+    kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "__row long, n_words long, __sum double, __rest array<long>"])
+    out = durable(df.withColumn("__row", F.monotonically_increasing_id()).mapInArrow(rows, kinds))
+    total = F.col("__sum")
+    if words.rest is not None:
+        # What is missing of the words without an id: the logarithms of their counts.
+        log_n = F.round(F.log("n") * LOG_ONE).cast("long")
+        held = out.select("__row", F.explode("__rest").alias("word")).join(words.rest.select("word", log_n.alias("__log")), "word")
+        held = held.groupBy("__row").agg(F.sum("__log").alias("__log"))
+        out = out.drop("__rest").join(held, "__row", "left")
+        total = total + F.coalesce(F.col("__log"), F.lit(0)) / LOG_ONE
+    total = F.when(F.col("n_words") > 0, total).otherwise(F.lit(0.0))
+    kept = [F.col(f"`{name}`") for name in names]
+    out = out.select(*kept, "n_words", total.alias("log_likelihood"))
+    return out.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
 def op_scores(documents):

@@ -241,6 +241,28 @@ def test_language_model_edge_cases(spark):
     assert lm_score.score(empty, known, weights).count() == 0
 
 
+@pytest.mark.parametrize("rare", [lm_score.RARE, 1])
+def test_every_word_has_its_own_probability(spark, monkeypatch, rare):
+    monkeypatch.setattr(lm_score, "RARE", rare)
+    rng = random.Random(8)
+    own = [f"w{k}" for k in range(4000)]
+    held = [w for k, w in enumerate(own) for _ in range(1 + 40 // (k + 1) + k % 3)]
+    rng.shuffle(held)
+    df = frame(spark, [(k, " ".join(held[a : a + 50]), None, None) for k, a in enumerate(range(0, len(held), 50))])
+    known, log_frequency = lm_score.vocabulary(df)
+    assert len(known.words) == (4000 if rare > 1 else lm_score.KNOWN)
+    weights = lm_score.start_weights(log_frequency)
+    singles = frame(spark, [(k, w, None, None) for k, w in enumerate(own)])
+    got = {r["doc_id"]: r["log_likelihood"] for r in lm_score.score(singles, known, weights).collect()}
+    # Alone in a text, all words together with the unseen ones make up the whole distribution.
+    buckets = np.arange(known.known, known.size)
+    edge = np.full((len(buckets), 2 * lm_score.SIDE), known.size)
+    unseen = np.exp(lm_score.log_probabilities(weights, edge, buckets) - known.log_bucket).sum()
+    unused = np.arange(len(known.words), known.known)
+    unseen += np.exp(lm_score.log_probabilities(weights, edge[:1].repeat(len(unused), 0), unused)).sum()
+    assert abs(sum(map(np.exp, got.values())) + unseen - 1) < 1e-3
+
+
 def grams(w):
     return [tuple(w[k : k + 5]) for k in range(len(w) - 4)] if len(w) >= 5 else ([tuple(w)] if w else [])
 
