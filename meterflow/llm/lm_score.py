@@ -13,9 +13,10 @@ word has its bucket's probability times its exact share of the bucket's
 occurrences, from a join with the counts of all words; per bucket, one
 occurrence stands for all words that the corpus does not hold.
 
-Every task trains a copy of the network on its part of all documents, on a
-rotating mask of one position in ``MASK``; the copies are averaged, weighted by
-trained words, on the cluster, once per round.
+Every task trains a copy of the network on its part of all documents. A round
+masks one position in as many as there are rounds, the next round the next one,
+so that every word is a target exactly once; the copies are averaged, weighted
+by trained words, on the cluster, once per round.
 
 Null, empty and blank texts have no words: log-likelihood 0, null per word.
 Rows are scored alone, so repeated rows agree. On an empty table the network
@@ -36,8 +37,7 @@ BUCKETS = 128  # for the other words, at least
 VOCABULARY = KNOWN + BUCKETS  # the smallest
 SIDE = 3
 HIDDEN = 24
-MASK = 8
-ROUNDS = 2
+ROUNDS = 2  # of training; each takes one position in ROUNDS, together all
 BATCH = 4096  # words scored at once
 STEP = 512  # masked words of a training step
 RATE = 0.1
@@ -269,7 +269,16 @@ def _shaped(flat, like):
     return out
 
 
-def _train_copy(batches, words, start, turn, rate):
+def _masked(ids, ptr, turn, rounds):
+    """Which words are targets of this round; over all rounds every word is, once."""
+    # The mask moves with the text, so that it does not fall on the same places of all.
+    count = np.diff(ptr)
+    shift = np.repeat(per_text_sum(ids, ptr), count)
+    place = np.arange(len(ids)) - np.repeat(ptr[:-1], count)
+    return (place + shift) % rounds == turn
+
+
+def _train_copy(batches, words, start, turn, rounds, rate):
     """Rows (chunk, words trained on, weights) of a copy trained on one partition."""
     w = {k: v.copy() for k, v in start.items()}
     squares = {k: np.full(v.shape, 1e-4, np.float32) for k, v in w.items()}
@@ -285,10 +294,7 @@ def _train_copy(batches, words, start, turn, rate):
         for _, texts in slices(batch.column(0), SLICE):
             t = Words(texts)
             ids = words.ids(t.hashes(lower=True))
-            # The mask moves with the text, so that it does not fall on the same places of all.
-            shift = np.repeat(per_text_sum(ids, t.ptr), t.count)
-            place = np.arange(len(ids)) - t.ptr[t.text_of_word()]
-            hidden = (place + shift) % MASK == turn
+            hidden = _masked(ids, t.ptr, turn, rounds)
             held.append((neighbours(ids, t.ptr, words.size)[hidden], ids[hidden]))
             size += int(hidden.sum())
             if size >= BATCH:
@@ -335,7 +341,7 @@ def train(df, text_col="text", rounds=ROUNDS):
         shared = spark.sparkContext.broadcast((words, weights))
         rate = RATE / (1 + turn)
         copies = texts.mapInArrow(
-            lambda it, shared=shared, turn=turn, rate=rate: _train_copy(it, *shared.value, turn, rate), "chunk int, n double, weights binary"
+            lambda it, shared=shared, turn=turn, rate=rate: _train_copy(it, *shared.value, turn, rounds, rate), "chunk int, n double, weights binary"
         )
         mean = copies.repartition(parts, "chunk").mapInArrow(_average, "chunk int, weights binary").collect()
         if mean:  # the size of one network

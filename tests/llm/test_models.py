@@ -263,6 +263,25 @@ def test_every_word_has_its_own_probability(spark, monkeypatch, rare):
     assert abs(sum(map(np.exp, got.values())) + unseen - 1) < 1e-3
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_every_word_is_trained_on_once(spark, monkeypatch, rounds):
+    rows = awkward()
+    df = frame(spark, rows)
+    trained, whole_step = [], lm_score._step
+
+    def counted(w, squares, around, ids, rate):
+        trained.append(len(ids))
+        whole_step(w, squares, around, ids, rate)
+
+    words = lm_score.vocabulary(df)[0]
+    start = lm_score.start_weights(np.log(np.full(words.size, 1 / words.size)))
+    monkeypatch.setattr(lm_score, "_step", counted)
+    batches = df.select("text").toArrow().to_batches()
+    seen = [sum(r["n"][0].as_py() for r in lm_score._train_copy(batches, words, start, turn, rounds, 0.1)) for turn in range(rounds)]
+    assert sum(seen) == sum(trained) == sum(len(space_words(t)) for _, t, *_ in rows)
+    assert max(seen) < 1.1 * min(seen)
+
+
 def grams(w):
     return [tuple(w[k : k + 5]) for k in range(len(w) - 4)] if len(w) >= 5 else ([tuple(w)] if w else [])
 
