@@ -1,12 +1,13 @@
 """Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact check.
 
 A window of a document has as many words as the benchmark item it is held
-against. Only windows that share a run of shingles with the item, and are
-aligned with it, are looked at; others with a similarity above 0 contain the
-same runs a few words off. Windows and items get 64-bit SimHash fingerprints
-of their weighted shingles. Cutting fingerprints into ``RADIUS + 1`` blocks
-and joining on equal blocks finds every pair within ``RADIUS`` bits. Those
-pairs are confirmed by the exact similarity: the sum of the smaller over the
+against. Every window that holds a shingle of the item is counted: the
+similarity is at most m / (a + b - m) for a window of a shingles, an item of b
+and m places in the window with a shingle of the item. Windows whose bound is
+below the threshold go; this loses none. The others and the items get 64-bit
+SimHash fingerprints of their weighted shingles. Cutting fingerprints into
+``RADIUS + 1`` blocks and joining on equal blocks finds every pair within
+``RADIUS`` bits. Those pairs are confirmed by the exact similarity: the sum of the smaller over the
 sum of the larger shingle counts, at least ``THRESHOLD``.
 
 Words are lower-cased; shingles are five words, or the whole sequence of a
@@ -18,6 +19,7 @@ their own id. Empty tables give no pairs.
 from pyspark.sql import functions as F
 
 from ..durable import durable
+from ..skew import small_enough
 from . import native
 
 SHINGLE = 5
@@ -45,29 +47,26 @@ def _grams(words, size):
 
 
 def item_grams(benchmark, item_col="item_id", text_col="text"):
-    """A row per item and shingle: its hash, the one before, its place and the item's size."""
+    """A row per item and distinct shingle: its hash, its length and the item's words."""
     items = benchmark.select(F.col(item_col).alias("__item"), native.words(F.lower(text_col)).alias("__iw")).where(F.size("__iw") > 0)
     items = items.withColumn("__n", F.size("__iw")).withColumn("__grams", _grams(F.col("__iw"), SHINGLE))
-    return items.select(
-        "__item", "__n", F.least("__n", F.lit(SHINGLE)).alias("__size"), "__grams", F.posexplode("__grams").alias("__o", "__gram")
-    ).withColumn("__before", F.get("__grams", F.col("__o") - 1)).drop("__grams")
+    return items.select("__item", "__n", F.least("__n", F.lit(SHINGLE)).alias("__size"), F.explode(F.array_distinct("__grams")).alias("__gram")).distinct()
 
 
-def _seeds(rows, grams, sizes):
-    """Rows of documents that start a run of shingles shared with an item."""
+def _hits(rows, grams, sizes):
+    """(row, item, place) of every shingle of a document that an item holds."""
     out = None
     for size in sizes:
-        at = rows.select("*", F.posexplode("__words").alias("__p", "__w")).where(F.col("__p") <= F.size("__words") - size)
-        at = at.withColumn("__gram", _gram(F.col("__words"), F.col("__p"), size)).drop("__w")
+        at = rows.select("__id", "__h", "__words", F.size("__words").alias("__len"), F.posexplode("__words").alias("__p", "__w"))
+        at = at.where(F.col("__p") <= F.col("__len") - size)
+        at = at.select("__id", "__h", "__len", "__p", _gram(F.col("__words"), F.col("__p"), size).alias("__gram"))
         part = at.join(grams.where(F.col("__size") == size), "__gram")
-        before = _gram(F.col("__words"), F.col("__p") - 1, size)
-        part = part.where((F.col("__o") == 0) | (F.col("__p") == 0) | (before != F.col("__before")))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def candidate_windows(documents, benchmark, text_col="text", id_col="doc_id", item_col="item_id"):
-    """Distinct (row, item, from, to) with the window's shingle hashes."""
+def candidate_windows(documents, benchmark, text_col="text", id_col="doc_id", item_col="item_id", threshold=THRESHOLD):
+    """Distinct (row, item, from, to) that may reach the threshold, with the window's shingle hashes."""
     grams = durable(item_grams(benchmark, item_col))
     held = {r["__size"]: r["n"] for r in grams.groupBy("__size").agg(F.count("*").alias("n")).collect()}
     rows = documents.select(
@@ -75,27 +74,20 @@ def candidate_windows(documents, benchmark, text_col="text", id_col="doc_id", it
     )
     if not held:
         held = {SHINGLE: 0}
-    if sum(held.values()) <= BROADCAST_SHINGLES:
-        seeds = _seeds(rows, F.broadcast(grams), sorted(held))
-        words = F.col("__words")
-    else:  # a large benchmark: shuffle the shingles, then fetch the words of the rows that hit
-        slim = None
-        for size in sorted(held):
-            at = rows.select("__id", "__h", "__words", F.posexplode("__words").alias("__p", "__w")).where(F.col("__p") <= F.size("__words") - size)
-            part = at.select(
-                "__id", "__h", "__p", _gram(F.col("__words"), F.col("__p"), size).alias("__gram"),
-                _gram(F.col("__words"), F.col("__p") - 1, size).alias("__left"),
-            ).join(grams.where(F.col("__size") == size), "__gram")
-            part = part.where((F.col("__o") == 0) | (F.col("__p") == 0) | (F.col("__left") != F.col("__before")))
-            slim = part if slim is None else slim.unionByName(part)
-        seeds = slim.select("__id", "__h", "__p", "__o", "__n", "__item").join(rows, ["__id", "__h"])
-        words = F.col("__words")
-    start = F.greatest(F.lit(0), F.col("__p") - F.col("__o"))
-    end = F.least(F.size(words), F.col("__p") - F.col("__o") + F.col("__n"))
-    cut = seeds.select(
-        "__id", "__h", "__doc", "__item", start.alias("__from"), end.alias("__to"), F.slice(words, start + 1, end - start).alias("__window")
-    )
-    cut = cut.dropDuplicates(_PAIR)
+    hits = _hits(rows, F.broadcast(grams) if sum(held.values()) <= BROADCAST_SHINGLES else grams, sorted(held))
+    # Every window that holds the hit whole; the hits of a row meet before the shuffle.
+    reach = F.sequence(F.col("__p") + F.col("__size") - F.col("__n"), F.col("__p"))
+    counted = hits.select("__id", "__h", "__len", "__item", "__n", "__size", F.explode(reach).alias("__s"))
+    counted = counted.groupBy(*counted.columns).agg(F.count("*").alias("__m"))
+    start, end = F.greatest(F.lit(0), F.col("__s")), F.least(F.col("__len"), F.col("__s") + F.col("__n"))
+    counted = counted.withColumn("__from", start).withColumn("__to", end)
+    ours = F.col("__to") - F.col("__from") - F.col("__size") + 1
+    theirs = F.col("__n") - F.col("__size") + 1
+    most = F.least(F.col("__m"), ours, theirs)
+    near = durable(counted.where(most / (ours + theirs - most) >= threshold - 1e-9).select(*_PAIR).distinct())
+    cut = rows.join(F.broadcast(near) if small_enough(near) else near, ["__id", "__h"])
+    window = F.slice(F.col("__words"), F.col("__from") + 1, F.col("__to") - F.col("__from"))
+    cut = cut.select(*_PAIR, "__doc", window.alias("__window")).dropDuplicates(_PAIR)
     return cut.withColumn("__wg", _grams(F.col("__window"), SHINGLE)).drop("__window")
 
 
@@ -127,7 +119,7 @@ def _blocks(print_col, radius):
 
 def leaks(documents, benchmark, text_col="text", id_col="doc_id", item_col="item_id", threshold=THRESHOLD, radius=RADIUS):
     """(id, item id, similarity, first word, end word): the best window per row and item."""
-    windows = durable(candidate_windows(documents, benchmark, text_col, id_col, item_col))
+    windows = durable(candidate_windows(documents, benchmark, text_col, id_col, item_col, threshold))
     windows = windows.withColumn("__fp", fingerprint(F.col("__wg")))
     items = benchmark.select(F.col(item_col).alias("__item"), _grams(native.words(F.lower(text_col)), SHINGLE).alias("__ig"))
     items = items.where(F.size("__ig") > 0).withColumn("__ifp", fingerprint(F.col("__ig")))

@@ -330,6 +330,29 @@ def test_leaks_equal_brute_force(spark, monkeypatch, limit):
     assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
 
 
+@pytest.mark.parametrize("limit", [10**9, 0], ids=["small benchmark", "large benchmark"])
+def test_leaks_with_moved_parts(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", limit)
+    rng = random.Random(12)
+    items = [(k, words(rng, 60, 6)) for k in range(4)]
+    rows = []
+    for k, w in items:
+        for turned in (w[30:] + w[:30], w[40:] + w[20:40] + w[:20]):
+            for around in (0, 45):
+                rows.append((len(rows), " ".join(words(rng, around, 6) + turned + words(rng, around, 6)), "en", "a"))
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.leaks(frame(spark, rows), benchmark).collect()}
+    want = {}
+    for k, t, *_ in rows:
+        w = space_words(t)
+        for item, p in items:
+            best = max(similarity(w[max(0, s) : s + len(p)], p) for s in range(-len(p) + 1, len(w)))
+            if best >= 0.75:
+                want[k, item] = best
+    assert len(want) >= 8 and set(got) == set(want)
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
 def test_fingerprint_equals_definition(spark):
     rng = random.Random(8)
     lists = [[rng.getrandbits(63) - 2**62 for _ in range(n)] for n in (1, 2, 7, 40)] + [[]]
