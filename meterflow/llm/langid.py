@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from .text import slices
 
 # Bounds of the fit: characters of reference per language, documents asked for
-# per language (in hash order), characters taken from each, and letters told apart.
+# per language (in hash order), characters taken from each in turn until the
+# reference is full or the documents end, and letters told apart.
 REFERENCE_CHARS = 20_000
 REFERENCE_DOCS = 60
 REFERENCE_DOC_CHARS = 2_000
@@ -164,12 +165,15 @@ def references(documents, id_col="doc_id", text_col="text", lang_col="lang"):
     limits = documents.sparkSession.createDataFrame(limits, "lang string, most long")
     taken = (
         rows.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("most"))
-        .select("lang", "h", F.substring("text", 1, REFERENCE_DOC_CHARS).alias("text")).collect()
+        .select("lang", "h", F.substring("text", 1, REFERENCE_CHARS).alias("text")).collect()
     )
+    taken = sorted(taken, key=lambda r: (r["lang"], r["h"], r["text"]))
     out = {}
-    for r in sorted(taken, key=lambda r: (r["lang"], r["h"], r["text"])):
-        if len(out.setdefault(r["lang"], "")) < REFERENCE_CHARS:
-            out[r["lang"]] = f"{out[r['lang']]} {normalise(r['text'])}".strip()[:REFERENCE_CHARS]
+    for start in range(0, REFERENCE_CHARS, REFERENCE_DOC_CHARS):
+        for r in taken:
+            piece = r["text"][start : start + REFERENCE_DOC_CHARS]
+            if piece and len(out.setdefault(r["lang"], "")) < REFERENCE_CHARS:
+                out[r["lang"]] = f"{out[r['lang']]} {normalise(piece)}".strip()[:REFERENCE_CHARS]
     return {lang: text for lang, text in out.items() if text}
 
 

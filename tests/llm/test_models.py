@@ -91,6 +91,14 @@ def test_automaton_accepts_all_and_only_substrings():
         assert accepted(part) == (part in held)
 
 
+def test_few_long_documents_fill_the_reference(spark):
+    rng = random.Random(3)
+    rows = [(k, text(rng, 4000), "rare", "a") for k in range(3)] + [(9, "kalo " + "mi " * 700, "short", "a")]
+    held = langid.references(frame(spark, rows))
+    assert len(held["rare"]) == langid.REFERENCE_CHARS
+    assert held["short"] == langid.normalise(rows[-1][1])
+
+
 def test_language_edge_cases(spark):
     df = frame(spark, awkward(), **CLASHES)
     model = langid.Model(langid.references(df))
