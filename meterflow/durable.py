@@ -21,7 +21,7 @@ def checkpoint_root(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = context.getCheckpointDir()
-    on_one_machine = context.master.startswith("local")
+    on_one_machine = context.master.startswith("local") and not context.master.startswith("local-cluster")
     if not root:
         if not on_one_machine:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
