@@ -30,6 +30,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from ..durable import durable
+from ..shipping import mapped
 from .blobs import BUCKETS_PER_PARTITION, all_blobs, bucket_of, partitions_for, rows_by_bucket, runs, unpack
 from .components import components
 from .store import discard, stored
@@ -120,8 +121,8 @@ def _repeated(batches):
 def _common(documents, text_col, shingles):
     """The most common shingles of the sample, at most COMMON_SHINGLES, sorted."""
     parts = partitions_for(documents.sparkSession, shingles // SAMPLE)
-    posted = documents.select(text_col).mapInArrow(lambda it: _sampled(it, parts), "bucket int, data binary")
-    counted = posted.repartition(parts, "bucket").mapInArrow(_repeated, "key long, n long")
+    posted = documents.select(text_col).transform(mapped, lambda it: _sampled(it, parts), "bucket int, data binary")
+    counted = posted.repartition(parts, "bucket").transform(mapped, _repeated, "key long, n long")
     top = counted.orderBy(F.desc("n"), "key").limit(COMMON_SHINGLES).select("key").toArrow()
     return np.sort(top.column(0).to_numpy().view(np.uint64))
 
@@ -301,7 +302,7 @@ def verified(pairs, texts):
     """The (a, b) pairs that link, compared on their whole texts."""
     left = texts.select(F.col("cls").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("cls").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(_linked, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").transform(mapped, _linked, "a long, b long")
 
 
 class Node:
@@ -480,8 +481,8 @@ def shared_groups(df, shingles, text_col="text"):
     common = spark.sparkContext.broadcast(_common(df, text_col, shingles))
     parts = partitions_for(spark, shingles // 4)
     buckets = parts * BUCKETS_PER_PARTITION
-    posted = rows.mapInArrow(lambda it: _postings(it, buckets, common.value), "bucket int, data binary")
-    found = posted.repartition(parts, "bucket").mapInArrow(_groups, "gid long, lead boolean, members binary")
+    posted = rows.transform(mapped, lambda it: _postings(it, buckets, common.value), "bucket int, data binary")
+    found = posted.repartition(parts, "bucket").transform(mapped, _groups, "gid long, lead boolean, members binary")
     # The same list comes from many shingles; any lead among them counts.
     return found.groupBy("gid").agg(F.max("lead").alias("lead"), F.first("members").alias("members"))
 
@@ -492,19 +493,19 @@ def families(df, text_col="text", id_col="doc_id"):
     pairs of classes that link; with equal sets they connect all that links connect."""
     kind = df.schema[id_col].dataType.simpleString()
     hashed = df.select(F.col(id_col), F.xxhash64(text_col).alias("h"), F.col(text_col))
-    profile = stored(hashed.mapInArrow(_profile, f"id {kind}, h long, n long, cls long"), "sets")
+    profile = stored(hashed.transform(mapped, _profile, f"id {kind}, h long, n long, cls long"), "sets")
     shingles = profile.agg(F.sum("n")).first()[0] or 0
     groups = stored(shared_groups(df, shingles, text_col), "groups")
-    wanted = groups.select("gid", "members").mapInArrow(_members, "gid long, cls long").select("cls").distinct()
-    texts = df.select(text_col).mapInArrow(_class_texts, "cls long, text binary")
+    wanted = groups.select("gid", "members").transform(mapped, _members, "gid long, cls long").select("cls").distinct()
+    texts = df.select(text_col).transform(mapped, _class_texts, "cls long, text binary")
     texts = stored(texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")), "texts")
 
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    tried = durable(groups.select("lead", "members").mapInArrow(_first_pairs, "a long, b long").select(*ordered).distinct())
+    tried = durable(groups.select("lead", "members").transform(mapped, _first_pairs, "a long, b long").select(*ordered).distinct())
     links = durable(verified(tried, texts))
-    members = groups.where(F.octet_length("members") > 16).select("gid", "members").mapInArrow(_members, "gid long, cls long")
+    members = groups.where(F.octet_length("members") > 16).select("gid", "members").transform(mapped, _members, "gid long, cls long")
     signs = texts.join(members.select("cls").distinct(), "cls", "left_semi")
-    signs = durable(signs.mapInArrow(_signatures, "cls long, n long, bits binary"))
+    signs = durable(signs.transform(mapped, _signatures, "cls long, n long, bits binary"))
     # A few pairs across labels first, then every pair that is still open.
     for search in (_across, _search):
         labels = components(links).withColumnRenamed("node", "cls")

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ..shipping import mapped
 from .text import slices
 
 # Bounds of the fit: characters of reference per language, documents asked for
@@ -212,7 +213,7 @@ def identify(df, model, text_col="text"):
             )
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text_col]
-    return df.mapInArrow(rows, ", ".join([*fields, "lang_pred string, score double"]))
+    return df.transform(mapped, rows, ", ".join([*fields, "lang_pred string, score double"]))
 
 
 def op_languages(documents):

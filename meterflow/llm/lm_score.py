@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..durable import durable
+from ..shipping import mapped
 from .blobs import runs
 from .text import Words, mix, per_text_sum, slices
 
@@ -126,7 +127,7 @@ def _bucket_counts(batches, words):
 def vocabulary(df, text_col="text"):
     """(Vocabulary, log-frequency per id) from the counts of all words of ``df``."""
     spark = df.sparkSession
-    counts = durable(df.select(text_col).mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    counts = durable(df.select(text_col).transform(mapped, _word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
     least = total**0.5 / RARE
     frequent = counts.where(F.col("n") >= least)
@@ -142,7 +143,7 @@ def vocabulary(df, text_col="text"):
     if len(word):
         others = counts.where((F.col("n") < int(n_word[-1])) | ((F.col("n") == int(n_word[-1])) & (F.col("word") > int(word[-1]))))
         shared = spark.sparkContext.broadcast(words)
-        sums = others.mapInArrow(lambda it: _bucket_counts(it, shared.value), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+        sums = others.transform(mapped, lambda it: _bucket_counts(it, shared.value), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
         n[words.known + sums.column(0).to_numpy()] += sums.column(1).to_numpy()
         words.rest = others.where("n > 1")
     # One occurrence of a bucket is left to words that the corpus does not hold.
@@ -340,10 +341,10 @@ def train(df, text_col="text", rounds=ROUNDS):
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((words, weights))
         rate = RATE / (1 + turn)
-        copies = texts.mapInArrow(
-            lambda it, shared=shared, turn=turn, rate=rate: _train_copy(it, *shared.value, turn, rounds, rate), "chunk int, n double, weights binary"
+        copies = texts.transform(
+            mapped, lambda it, shared=shared, turn=turn, rate=rate: _train_copy(it, *shared.value, turn, rounds, rate), "chunk int, n double, weights binary"
         )
-        mean = copies.repartition(parts, "chunk").mapInArrow(_average, "chunk int, weights binary").collect()
+        mean = copies.repartition(parts, "chunk").transform(mapped, _average, "chunk int, weights binary").collect()
         if mean:  # the size of one network
             weights = _shaped(np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(mean, key=lambda r: r["chunk"])]), weights)
     return words, weights
@@ -382,7 +383,7 @@ def score(df, words, weights, text_col="text"):
             )
 
     kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "__row long, n_words long, __sum double, __rest array<long>"])
-    out = durable(df.withColumn("__row", F.monotonically_increasing_id()).mapInArrow(rows, kinds))
+    out = durable(df.withColumn("__row", F.monotonically_increasing_id()).transform(mapped, rows, kinds))
     total = F.col("__sum")
     if words.rest is not None:
         # What is missing of the words without an id: the logarithms of their counts.

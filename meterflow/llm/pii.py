@@ -18,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
+from ..shipping import mapped
+
 KINDS = ("email", "ip", "card", "phone")
 EXTRA = ("iban", "number")
 CONTEXT_CHARS = 40
@@ -191,7 +193,7 @@ def find_pii(df, text_col="text"):
     df = df.drop("pii_spans")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text_col]
     schema = ", ".join([*fields, f"pii_spans array<{_SPAN}>"])
-    return df.mapInArrow(lambda it: _rows(it, text_col, False), schema)
+    return df.transform(mapped, lambda it: _rows(it, text_col, False), schema)
 
 
 def redact_pii(df, text_col="text"):
@@ -199,7 +201,7 @@ def redact_pii(df, text_col="text"):
     df = df.drop("pii_spans")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
     schema = ", ".join([*fields, f"pii_spans array<{_SPAN}>"])
-    return df.mapInArrow(lambda it: _rows(it, text_col, True), schema)
+    return df.transform(mapped, lambda it: _rows(it, text_col, True), schema)
 
 
 def digest(found, id_col="doc_id"):

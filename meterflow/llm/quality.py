@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..durable import durable
+from ..shipping import mapped
 from .text import SLICE_BYTES, Words, mix, per_text_sum, slices, windows
 
 FEATURES = (
@@ -146,7 +147,7 @@ def document_features(df, id_col="doc_id", text_col="text"):
             yield pa.RecordBatch.from_arrays([batch.column(0), listed], names=[id_col, "stats"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(rows, f"`{id_col}` {kind}, stats array<double>")
+    return df.select(id_col, text_col).transform(mapped, rows, f"`{id_col}` {kind}, stats array<double>")
 
 
 def fit(stats, labels, label_col="quality", id_col="doc_id", **shrinkage):
@@ -172,7 +173,7 @@ def fit(stats, labels, label_col="quality", id_col="doc_id", **shrinkage):
             )
 
     rows = (
-        labelled.select("label", "stats").mapInArrow(moments, "label int, at int, value double")
+        labelled.select("label", "stats").transform(mapped, moments, "label int, at int, value double")
         .groupBy("label", "at").agg(F.sum("value").alias("value")).collect()
     )
     flat = {}
@@ -194,7 +195,7 @@ def score_stats(stats, model, id_col="doc_id"):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x))], names=[id_col, "score"])
 
     kind = stats.schema[id_col].dataType.simpleString()
-    return stats.select(id_col, "stats").mapInArrow(rows, f"`{id_col}` {kind}, score double")
+    return stats.select(id_col, "stats").transform(mapped, rows, f"`{id_col}` {kind}, score double")
 
 
 def keep_good(df, model, text_col="text", reject_below=REJECT_BELOW):
@@ -205,7 +206,7 @@ def keep_good(df, model, text_col="text", reject_below=REJECT_BELOW):
             x = _all_features(batch.column(batch.schema.get_field_index(text_col)))
             yield batch.filter(pa.array(model.score(x) >= reject_below))
 
-    return df.mapInArrow(rows, df.schema)
+    return df.transform(mapped, rows, df.schema)
 
 
 def learnable(labels, id_col="doc_id", modulus=5, held_out=0):

@@ -21,6 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
+from ..shipping import mapped
 from .blobs import BUCKETS_PER_PARTITION, all_blobs, bucket_of, partitions_for, rows_by_bucket, runs, unpack
 from .store import stored
 from .text import Words, mix, slices, whole, windows
@@ -234,24 +235,24 @@ def remove_repeats(df, text_col="text", id_col="doc_id", with_text=False):
     spark = df.sparkSession
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col), F.col(text_col))
-    base = stored(rows.mapInArrow(_base, f"key long, id {kind}, n_words long, sha string"), "base")
+    base = stored(rows.transform(mapped, _base, f"key long, id {kind}, n_words long, sha string"), "base")
     total = base.agg(F.sum("n_words")).first()[0] or 0
     parts = partitions_for(spark, total * len(COVER) // PERIOD)
     buckets = parts * BUCKETS_PER_PARTITION
     shape = "bucket int, known boolean, data binary"
 
     def hits(records, earliest):
-        found = records.repartition(parts, "bucket").mapInArrow(lambda it: _hits(it, earliest, parts), "bucket int, data binary")
-        return found.repartition(parts, "bucket").mapInArrow(_places, "key long, places binary")
+        found = records.repartition(parts, "bucket").transform(mapped, lambda it: _hits(it, earliest, parts), "bucket int, data binary")
+        return found.repartition(parts, "bucket").transform(mapped, _places, "key long, places binary")
 
-    anchors = hits(rows.mapInArrow(lambda it: _first_pass(it, buckets), shape), False)
-    texts = rows.mapInArrow(_texts, "key long, own long, text binary")
+    anchors = hits(rows.transform(mapped, lambda it: _first_pass(it, buckets), shape), False)
+    texts = rows.transform(mapped, _texts, "key long, own long, text binary")
     near = stored(texts.join(anchors, "key").select("key", "own", "text", "places"), "anchored")
-    repeats = hits(near.mapInArrow(lambda it: _extend(it, buckets), shape), True)
+    repeats = hits(near.transform(mapped, lambda it: _extend(it, buckets), shape), True)
     fields = "key long, n_removed long, kept_sha string" + ", kept_text string" * with_text
     cut = (
         near.select("key", "own", "text").join(repeats, "key").select("key", "own", "text", "places")
-        .mapInArrow(lambda it: _cut(it, with_text), fields).dropDuplicates(["key"])
+        .transform(mapped, lambda it: _cut(it, with_text), fields).dropDuplicates(["key"])
     )
     return base.join(cut, "key", "left").select(
         F.col("id").alias(id_col), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),

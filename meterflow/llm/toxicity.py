@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ..shipping import mapped
 from .text import _powers, mix, slices
 
 # Bounds of the fit: labelled texts per class (in hash order), units and landmarks.
@@ -312,7 +313,7 @@ def _unit_counts(batches):
 def train(documents, labels, label_col="toxic", id_col="doc_id", text_col="text"):
     """A Model from a bounded sample of the labelled texts."""
     sample = labelled_sample(documents, labels, label_col, id_col, text_col)
-    counts = sample.mapInArrow(_unit_counts, "unit string, pos long, neg long").groupBy("unit").agg(
+    counts = sample.transform(mapped, _unit_counts, "unit string, pos long, neg long").groupBy("unit").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     ).persist()
     total = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count("*").alias("u")).first()
@@ -346,7 +347,7 @@ def train(documents, labels, label_col="toxic", id_col="doc_id", text_col="text"
                 found = shared.value.evidence(piece.to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(piece)), pa.array(found.tolist())], names=["y", "x"])
 
-    rows = sample.mapInArrow(evidence, "y int, x array<double>").collect()  # bounded like the sample
+    rows = sample.transform(mapped, evidence, "y int, x array<double>").collect()  # bounded like the sample
     y = np.array([r["y"] for r in rows], float)
     model.share = float(y.mean())
     model.calibrate(np.array([r["x"] for r in rows]), y)
@@ -386,7 +387,7 @@ def score(df, model, text_col="text"):
             yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate(s) if s else np.empty(0))], names=[*names, "score"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text_col]
-    return df.mapInArrow(rows, ", ".join([*fields, "score double"]))
+    return df.transform(mapped, rows, ", ".join([*fields, "score double"]))
 
 
 def op_scores(documents, labels):

@@ -205,7 +205,7 @@ def test_quality_density_matches_definition():
     for k, sign in ((1, 1), (0, -1)):
         n = len(data[k])
         own = n / (n + p)
-        cov = own * np.cov(data[k].T) + (1 - own) * pooled
+        cov = own * np.cov(data[k].T) + (1 - own) * pooled + 1e-6 * np.diag(np.diag(pooled))  # the ridge on scaled statistics
         z = x - data[k].mean(0)
         # The scale is shared by both classes and cancels out of the difference.
         gap = gap + sign * (np.log(n / 800) - 0.5 * (np.einsum("ij,jk,ik->i", z, np.linalg.inv(cov), z) + np.linalg.slogdet(cov)[1]))
