@@ -1,6 +1,6 @@
 """The dealt operators over their whole tables: one query each."""
 
-from . import decontaminate, jaccard_join, langid, line_rules, lm_score, mixing, pii, quality, substring_dedup, toxicity
+from . import decontaminate, jaccard_join, langid, line_rules, lm_score, mixing, pii, quality, substring_dedup, token_index, toxicity
 from .registry import ORACLES, QUERIES, query, read  # noqa: F401
 
 
@@ -116,3 +116,10 @@ def op4_jaccard_join(spark, sf_dir):
 @query("op10_lm_score")
 def op10_lm_score(spark, sf_dir):
     return lm_score.op_scores(read(spark, sf_dir, "documents"))
+
+
+@query("op11_token_index")
+def op11_token_index(spark, sf_dir):
+    import public_tokenizers
+
+    return token_index.op_index(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
