@@ -1,6 +1,6 @@
 """The dealt operators over their whole tables: one query each."""
 
-from . import decontaminate, jaccard_join, langid, line_rules, lm_score, mixing, pii, quality, substring_dedup, token_index, toxicity
+from . import decontaminate, jaccard_join, langid, line_rules, lm_score, mixing, pii, quality, substring_dedup, token_index, toxicity, whitening
 from .registry import ORACLES, QUERIES, query, read  # noqa: F401
 
 
@@ -123,3 +123,8 @@ def op11_token_index(spark, sf_dir):
     import public_tokenizers
 
     return token_index.op_index(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    return whitening.op_whiten(read(spark, sf_dir, "embeddings"))
