@@ -1,6 +1,8 @@
 """The dealt operators over their whole tables: one query each."""
 
-from . import decontaminate, jaccard_join, langid, line_rules, lm_score, mixing, pii, quality, substring_dedup, token_index, toxicity, whitening
+from pyspark.sql import functions as F
+
+from . import decontaminate, jaccard_join, langid, line_rules, lm_score, mixing, negatives, pii, quality, substring_dedup, token_index, toxicity, whitening
 from .registry import ORACLES, QUERIES, query, read  # noqa: F401
 
 
@@ -128,3 +130,32 @@ def op11_token_index(spark, sf_dir):
 @query("op13_whitening")
 def op13_whitening(spark, sf_dir):
     return whitening.op_whiten(read(spark, sf_dir, "embeddings"))
+
+
+SQL_NEGATIVES = r"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label IS NOT DISTINCT FROM b.label AS same,
+         list_dot_product(a.x, b.x)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (
+  SELECT p.*, other_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+@query("op12_negatives", SQL_NEGATIVES)
+def op12_negatives(spark, sf_dir):
+    df = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.op_negatives(df.withColumn("label", label), F.col("vec_id") % 50 == 0)
