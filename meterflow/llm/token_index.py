@@ -29,6 +29,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -37,12 +38,13 @@ from ..durable import work_dir
 from ..shipping import mapped
 from .text import slices
 
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 END_ID = 2
 BLOCK = 512
 _WORDS = BLOCK // 64
-# Words whose ids a task remembers; the table starts anew when it is full.
-CACHE_WORDS = 300_000
+# Words whose ids a task remembers, and bytes of text that it works on at a time.
+CACHE_WORDS = 150_000
+SLICE = 1 << 21
 # Positions that a shard is asked for at a time.
 CELL = 1 << 18
 SHARD = "part int, seq int, before long, n_tokens long, planes array<binary>, ranks array<binary>, zeros array<long>, doc_id array<{kind}>, doc_start array<long>"
@@ -57,11 +59,11 @@ class WaveletMatrix:
     @classmethod
     def build(cls, ids, depth):
         """The matrix of an array of ids below ``2 ** depth``."""
-        ids = np.asarray(ids, np.uint32)
+        ids = np.asarray(ids).astype(np.uint16 if depth <= 16 else np.uint32)
         n, blocks = len(ids), len(ids) // BLOCK + 1
         planes, ranks, zeros = [], [], []
         for bit in range(depth - 1, -1, -1):
-            on = (ids >> np.uint32(bit)) & np.uint32(1) != 0
+            on = ids & ids.dtype.type(1 << bit) != 0
             packed = np.zeros(blocks * BLOCK // 8, np.uint8)
             bits = np.packbits(on, bitorder="little")
             packed[: len(bits)] = bits
@@ -145,12 +147,12 @@ class WaveletMatrix:
 
     def decode(self):
         """All ids, rebuilt from the last plane upwards."""
-        ids = np.zeros(self.n, np.uint32)
+        ids = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for plane in range(len(self.planes) - 1, -1, -1):
             on = np.unpackbits(self.planes[plane].view(np.uint8), count=self.n, bitorder="little").astype(bool)
             above = np.empty_like(ids)
             above[~on] = ids[: self.zeros[plane]]
-            above[on] = ids[self.zeros[plane] :] | np.uint32(1 << (len(self.planes) - 1 - plane))
+            above[on] = ids[self.zeros[plane] :] | ids.dtype.type(1 << (len(self.planes) - 1 - plane))
             ids = above
         return ids
 
@@ -163,11 +165,13 @@ class WaveletMatrix:
         )
 
 
-def cut_by_spaces(settings):
+def cut_by_spaces(path):
     """Whether the tokenizer always cuts before a space between two non-spaces.
 
     True of byte-level tokenizers that cut by their usual pattern and change no text first.
     """
+    with open(path, encoding="utf-8") as f:
+        settings = json.load(f)
     cutter = settings.get("pre_tokenizer") or {}
     added = settings.get("added_tokens") or []
     return (
@@ -177,8 +181,13 @@ def cut_by_spaces(settings):
     )
 
 
-def _solid(word):
-    return bool(word) and not word[0].isspace() and not word[-1].isspace()
+_EDGE = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
+
+
+def _solid(words):
+    """Which words of a string array are not empty and have no white space at either end."""
+    edged = pc.match_substring_regex(words, f"^$|^{_EDGE}|{_EDGE}$")
+    return ~edged.to_numpy(zero_copy_only=False)
 
 
 def pieces(text):
@@ -197,71 +206,166 @@ def pieces(text):
     return ["".join(p) for p in out]
 
 
+class WordTable:
+    """Ids of solid words, each with one character before it: the ids follow each other in ``pool``.
+
+    The first ``CACHE_WORDS`` words stay; further ones are encoded anew for every slice.
+    """
+
+    def __init__(self, encode, before, cut):
+        self.encode, self.before, self.cut = encode, before, cut
+        self.known, self.starts, self.sizes, self.pool = {}, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def find(self, words):
+        """(start, size, pool) of an array of distinct words; size -1 for those that are not solid."""
+        solid, words = _solid(words), words.to_pylist()
+        row = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+        start, size, pool = np.zeros(len(words), np.int64), np.full(len(words), -1, np.int64), self.pool
+        start[row >= 0], size[row >= 0] = self.starts[row[row >= 0]], self.sizes[row[row >= 0]]
+        new = np.flatnonzero((row < 0) & solid).tolist()
+        if new:
+            # One text for all: the tokenizer cuts at each of the characters in between.
+            ids = self.encode("".join([self.before + words[k] for k in new]))
+            starts, ends = self.cut(ids)
+            start[new], size[new] = starts + len(pool), ends - starts
+            pool = np.concatenate([pool, ids])
+            room = CACHE_WORDS - len(self.known)
+            if room >= len(new):
+                self.known.update(zip((words[k] for k in new), range(len(self.starts), len(self.starts) + len(new)), strict=True))
+                self.starts, self.sizes = np.concatenate([self.starts, start[new]]), np.concatenate([self.sizes, size[new]])
+                self.pool = pool
+        return start, size, pool
+
+
 class Encoder:
-    """Token ids of texts as bytes of little-endian 32-bit numbers, by the tokenizers library."""
+    """Token ids of texts by the tokenizers library.
+
+    Where the tokenizer cuts at spaces, the distinct words of a slice go to the
+    library in bulk: words within a line with the space before them, words that
+    start a line with a line feed before them, which between two non-spaces is a token of its own.
+    Texts with other white space take the plain way, piece by piece.
+    """
 
-    def __init__(self, path):
+    def __init__(self, path, by_word):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            settings = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_word = cut_by_spaces(settings)
-        self.known = {}
+        feed = self._encode("\n")
+        self.by_word = by_word and len(feed) == 1
+        if self.by_word:
+            after_space = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(self.tokenizer.get_vocab_size())])
 
-    def _encode(self, texts):
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            def at_spaces(ids):
+                cuts = np.flatnonzero(after_space[ids])
+                return cuts, np.append(cuts[1:], len(ids))
 
-    def encode(self, texts):
-        if not self.by_word:
-            return [self._encode([t])[0] for t in texts]
-        split = [t.split(" ") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        # Words inside a text, known with the space before them; first words have none.
-        words = {w for s in split for w in s[1:]}
-        new = [w for w in words if w not in self.known and _solid(w)]
-        self.known.update(zip(new, self._encode([f" {w}" for w in new]), strict=True))
-        heads = self._encode([s[0] for s in split])
-        out = []
-        for text, head, (first, *rest) in zip(texts, heads, split, strict=True):
-            found = list(map(self.known.get, rest)) if not rest or first and not first[-1].isspace() else [None]
-            out.append(b"".join([head, *found]) if None not in found else b"".join(self._encode(pieces(text))))
-        return out
+            def at_feeds(ids):
+                cuts = np.flatnonzero(ids == feed[0])
+                return cuts, np.append(cuts[1:], len(ids))
+
+            self.inner, self.first = WordTable(self._encode, " ", at_spaces), WordTable(self._encode, "\n", at_feeds)
 
+    def _encode(self, text):
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-def _shards(batches, path, depth, end_id, shard_tokens):
+    def _plain(self, text):
+        if not self.by_word:
+            return self._encode(text)
+        coded = self.tokenizer.encode_batch_fast(pieces(text), add_special_tokens=False)
+        return np.array([i for e in coded for i in e.ids], np.uint32)
+
+    def encode(self, texts):
+        """(ids, number of ids per text) of a string array without nulls."""
+        if not self.by_word:
+            found = [self._plain(t) for t in texts.to_pylist()]
+            return np.concatenate([np.empty(0, np.uint32), *found]), np.array([len(f) for f in found], np.int64)
+        lines = pc.split_pattern(texts, "\n")
+        words = pc.split_pattern(lines.flatten(), " ")
+        # Numbers of the lines of texts and of the words of lines; every text has a line, every line a word.
+        line_of = np.repeat(np.arange(len(texts)), lines.value_lengths().to_numpy())
+        word_counts = words.value_lengths().to_numpy()
+        leads = np.cumsum(word_counts) - word_counts
+        coded = pc.dictionary_encode(words.flatten())
+        word = coded.indices.to_numpy().astype(np.int64)
+        text_of = np.repeat(line_of, word_counts)
+        lead = np.zeros(len(word), bool)
+        lead[leads] = True
+        start, size = np.empty(len(word), np.int64), np.empty(len(word), np.int64)
+        pools = []
+        for table, on in ((self.inner, ~lead), (self.first, lead)):
+            marked = np.zeros(len(coded.dictionary), bool)
+            marked[word[on]] = True
+            used = np.flatnonzero(marked)
+            s, n, pool = table.find(coded.dictionary.take(pa.array(used)))
+            back = (np.cumsum(marked) - 1)[word[on]]
+            start[on], size[on] = s[back] + sum(map(len, pools)), n[back]
+            pools.append(pool)
+        # The first word of a text has no line feed before it.
+        opening = leads[np.concatenate([[True], line_of[1:] != line_of[:-1]])] if len(line_of) else leads
+        solid = size[opening] > 0
+        start[opening[solid]] += 1
+        size[opening[solid]] -= 1
+        plain = np.zeros(len(texts), bool)
+        plain[text_of[size < 0]] = True
+        size[plain[text_of]] = 0
+        counts = np.bincount(text_of, size, len(texts)).astype(np.int64)
+        pool = np.concatenate(pools)
+        ids = pool[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        if plain.any():
+            cuts, parts, done = np.cumsum(counts), [], 0
+            for k in np.flatnonzero(plain).tolist():
+                own = self._plain(texts[k].as_py())
+                parts += (ids[done : cuts[k]], own)
+                done, counts[k] = cuts[k], len(own)
+            ids = np.concatenate([*parts, ids[done:]])
+        return ids, counts
+
+
+_ENCODERS = {}
+
+
+def _shards(batches, path, by_word, depth, end_id, shard_tokens):
     """Shard rows from the sorted documents of one partition."""
-    encoder, part = Encoder(path), TaskContext.get().partitionId()
-    end = np.array([end_id], "<u4").tobytes()
+    # A worker keeps the tokenizer and its words for its next tasks.
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path, by_word)
+    encoder, part = _ENCODERS[path], TaskContext.get().partitionId()
     seq = before = held = 0
     ids, doc_ids, starts = [], [], []
 
-    def shard(kind):
-        m = WaveletMatrix.build(np.frombuffer(b"".join(ids), "<u4"), depth)
+    def shard():
+        m = WaveletMatrix.build(np.concatenate(ids), depth)
         columns = {
             "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "before": pa.array([before]), "n_tokens": pa.array([m.n]),
             "planes": pa.array([[p.tobytes() for p in m.planes]], pa.list_(pa.binary())),
             "ranks": pa.array([[r.tobytes() for r in m.ranks]], pa.list_(pa.binary())), "zeros": pa.array([m.zeros], pa.list_(pa.int64())),
-            "doc_id": pa.array([doc_ids], pa.list_(kind)), "doc_start": pa.array([starts], pa.list_(pa.int64())),
+            "doc_id": pa.ListArray.from_arrays(pa.array([0, sum(map(len, doc_ids))], pa.int32()), pa.concat_arrays(doc_ids)),
+            "doc_start": pa.array([np.concatenate(starts)], pa.list_(pa.int64())),
         }
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     for batch in batches:
-        kind = batch.schema.field(0).type
-        for first, texts in slices(batch.column(1)):
-            for doc, coded in zip(batch.column(0).slice(first, len(texts)).to_pylist(), encoder.encode(texts.to_pylist()), strict=True):
-                doc_ids.append(doc)
-                starts.append(held)
-                ids += (coded, end)
-                held += len(coded) // 4 + 1
+        for first, texts in slices(batch.column(1), SLICE):
+            coded, counts = encoder.encode(texts)
+            closes = np.cumsum(counts)
+            coded = np.insert(coded, closes, end_id)
+            ends = closes + np.arange(1, len(counts) + 1)
+            at = taken = 0
+            while at < len(counts):
+                # Documents up to the one that fills the shard.
+                last = min(int(np.searchsorted(ends, taken + shard_tokens - held)), len(counts) - 1)
+                ids.append(coded[taken : ends[last]])
+                doc_ids.append(batch.column(0).slice(first + at, last + 1 - at))
+                starts.append(held + np.concatenate([[taken], ends[at:last]]) - taken)
+                held += int(ends[last]) - taken
+                at, taken = last + 1, int(ends[last])
                 if held >= shard_tokens:
-                    yield shard(kind)
+                    yield shard()
                     seq, before, held = seq + 1, before + held, 0
                     ids, doc_ids, starts = [], [], []
     if held:
-        yield shard(kind)
+        yield shard()
 
 
 def write_shards(documents, path, tokenizer, id_col="doc_id", text_col="text", end_id=END_ID, shard_tokens=SHARD_TOKENS):
@@ -280,7 +384,8 @@ def write_shards(documents, path, tokenizer, id_col="doc_id", text_col="text", e
         {"__hash": F.xxhash64("__text"), "__row": F.monotonically_increasing_id()}
     )
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("__id", "__text")
-    shards = ordered.transform(mapped, lambda it: _shards(it, tokenizer, depth, end_id, shard_tokens), SHARD.format(kind=kind))
+    by_word = cut_by_spaces(tokenizer)
+    shards = ordered.transform(mapped, lambda it: _shards(it, tokenizer, by_word, depth, end_id, shard_tokens), SHARD.format(kind=kind))
     shards.write.option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(path)
 
 

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -34,18 +35,24 @@ def test_matrix_answers_like_an_array(n, top):
 
 def odd_texts(seed=3):
     rng = random.Random(seed)
-    bits = ["a", "Ab", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "　", "​", "'s", "don't", "12", "3.5", "<|endoftext|>", "é", "中文", "🙂", "#", "...", "\0"]
+    bits = ["a", "Ab", "word", " ", " ", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "　", "​", "'s", "don't", "12", "3.5", "<|endoftext|>", "é", "中文", "🙂", "#", "...", "\0"]
     return ["".join(rng.choice(bits) for _ in range(rng.randint(0, 60))) for _ in range(600)] + [" ", "", "x " * 3000, " " * 5000]
 
 
-def test_pieces_encode_like_the_whole():
+def test_pieces_encode_like_the_whole(monkeypatch):
+    monkeypatch.setattr(token_index, "CACHE_WORDS", 0)
     whole = Tokenizer.from_file(PATH)
-    encoder = token_index.Encoder(PATH)
+    encoder = token_index.Encoder(PATH, token_index.cut_by_spaces(PATH))
     assert encoder.by_word
     texts = odd_texts()
-    for text, got in zip(texts, encoder.encode(texts), strict=True):
-        assert np.frombuffer(got, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
-        assert "".join(token_index.pieces(text)) == text
+    for room in (400_000, 0):
+        token_index.CACHE_WORDS = room
+        for _ in range(2):  # the second time words are known
+            ids, counts = encoder.encode(pa.array(texts, pa.string()))
+            for text, got in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+                assert got.tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+                assert "".join(token_index.pieces(text)) == text
+        encoder = token_index.Encoder(PATH, token_index.cut_by_spaces(PATH))
 
 
 def plain(rows):
@@ -58,7 +65,7 @@ def plain(rows):
     return out
 
 
-@pytest.mark.parametrize("shard_tokens", [1 << 22, 500])
+@pytest.mark.parametrize("shard_tokens", [1 << 21, 500])
 def test_shards_hold_every_document(spark, tmp_path, shard_tokens):
     rows = awkward() + [(100 + k, t, "en", "a") for k, t in enumerate(odd_texts())]
     df = frame(spark, rows, part=1, start="x", planes=2.0, doc_start=3)
