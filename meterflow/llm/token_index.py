@@ -45,6 +45,8 @@ _WORDS = BLOCK // 64
 # Words whose ids a task remembers, and bytes of text that it works on at a time.
 CACHE_WORDS = 150_000
 SLICE = 1 << 21
+# Words that the library gets at a time: its working memory is some hundred times their text.
+BULK = 20_000
 # Positions that a shard is asked for at a time.
 CELL = 1 << 18
 SHARD = "part int, seq int, before long, n_tokens long, planes array<binary>, ranks array<binary>, zeros array<long>, doc_id array<{kind}>, doc_start array<long>"
@@ -224,11 +226,16 @@ class WordTable:
         start[row >= 0], size[row >= 0] = self.starts[row[row >= 0]], self.sizes[row[row >= 0]]
         new = np.flatnonzero((row < 0) & solid).tolist()
         if new:
-            # One text for all: the tokenizer cuts at each of the characters in between.
-            ids = self.encode("".join([self.before + words[k] for k in new]))
-            starts, ends = self.cut(ids)
-            start[new], size[new] = starts + len(pool), ends - starts
-            pool = np.concatenate([pool, ids])
+            parts, total = [pool], len(pool)
+            for a in range(0, len(new), BULK):
+                some = new[a : a + BULK]
+                # One text for all: the tokenizer cuts at each of the characters in between.
+                ids = self.encode("".join([self.before + words[k] for k in some]))
+                starts, ends = self.cut(ids)
+                start[some], size[some] = starts + total, ends - starts
+                parts.append(ids)
+                total += len(ids)
+            pool = np.concatenate(parts)
             room = CACHE_WORDS - len(self.known)
             if room >= len(new):
                 self.known.update(zip((words[k] for k in new), range(len(self.starts), len(self.starts) + len(new)), strict=True))
@@ -272,8 +279,11 @@ class Encoder:
     def _plain(self, text):
         if not self.by_word:
             return self._encode(text)
-        coded = self.tokenizer.encode_batch_fast(pieces(text), add_special_tokens=False)
-        return np.array([i for e in coded for i in e.ids], np.uint32)
+        cut, found = pieces(text), [np.empty(0, np.uint32)]
+        for a in range(0, len(cut), BULK):
+            coded = self.tokenizer.encode_batch_fast(cut[a : a + BULK], add_special_tokens=False)
+            found.append(np.array([i for e in coded for i in e.ids], np.uint32))
+        return np.concatenate(found)
 
     def encode(self, texts):
         """(ids, number of ids per text) of a string array without nulls."""
