@@ -82,7 +82,9 @@ def normality_by_order(df, column, group=()):
     below = normal_cdf((F.col("__v") - F.col("__mean")) / F.nullif("__sd", F.lit(0.0)))
     gap = F.greatest(F.col("__rank") / F.col("__n") - below, below - (F.col("__rank") - 1) / F.col("__n"))
     quantile = normal_quantile((F.col("__rank") - 0.375) / (F.col("__n") + 0.25))
-    spread = F.when(F.max("__v") > F.min("__v"), F.corr("__v", quantile))
+    # The squared correlation; without any spread there is none.
+    together = F.pow(F.covar_pop("__v", quantile), F.lit(2))
+    spread = F.var_pop("__v") * F.var_pop(quantile)
     return joined.groupBy(*group).agg(
-        F.count("*").alias("n"), F.max(F.when(below.isNotNull(), gap)).alias("ks"), F.pow(spread, F.lit(2)).alias("shapiro_francia"),
+        F.count("*").alias("n"), F.max(F.when(below.isNotNull(), gap)).alias("ks"), F.try_divide(together, F.nullif(spread, F.lit(0.0))).alias("shapiro_francia"),
     )
