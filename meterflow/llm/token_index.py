@@ -43,8 +43,8 @@ END_ID = 2
 BLOCK = 512
 _WORDS = BLOCK // 64
 # Words whose ids a task remembers, and bytes of text that it works on at a time.
-CACHE_WORDS = 150_000
-SLICE = 1 << 21
+CACHE_WORDS = 250_000
+SLICE = 1 << 22
 # Words that the library gets at a time: its working memory is some hundred times their text.
 BULK = 20_000
 # Positions that a shard is asked for at a time.
@@ -421,15 +421,15 @@ def _from_shards(shards, fn, schema, columns=()):
     return shards.select(*needed).transform(mapped, rows, schema)
 
 
-def documents_in(spark, path):
-    """(doc_id, start, n_tokens, tokens as little-endian 32-bit numbers) of every document, from the files."""
+def _per_document(spark, path, name, kind, value):
+    """(doc_id, start, n_tokens, ``value`` of the ids as little-endian 32-bit numbers) of every document, from the files."""
     shards = read_shards(spark, path)
-    kind = shards.schema["doc_id"].dataType.elementType.simpleString()
+    id_kind = shards.schema["doc_id"].dataType.elementType.simpleString()
 
     def rows(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {name: batch.column(name)[k].as_py() for name in ("start", "n_tokens", "planes", "ranks", "zeros")}
+                row = {field: batch.column(field)[k].as_py() for field in ("start", "n_tokens", "planes", "ranks", "zeros")}
                 listed = batch.column("doc_id")[k].values
                 starts = batch.column("doc_start")[k].values.to_numpy()
                 ids = WaveletMatrix.of_row(row).decode().astype("<u4")
@@ -437,12 +437,17 @@ def documents_in(spark, path):
                 for a in range(0, len(starts), 4096):
                     s, e = starts[a : a + 4096], ends[a : a + 4096]
                     yield pa.RecordBatch.from_arrays(
-                        [listed.slice(a, len(s)), pa.array(s + row["start"]), pa.array(e - s), pa.array([ids[i:j].tobytes() for i, j in zip(s, e, strict=True)], pa.binary())],
-                        names=["doc_id", "start", "n_tokens", "tokens"],
+                        [listed.slice(a, len(s)), pa.array(s + row["start"]), pa.array(e - s), pa.array([value(ids[i:j]) for i, j in zip(s, e, strict=True)])],
+                        names=["doc_id", "start", "n_tokens", name],
                     )
 
     needed = ["start", "n_tokens", "planes", "ranks", "zeros", "doc_id", "doc_start"]
-    return shards.select(*needed).transform(mapped, rows, f"doc_id {kind}, start long, n_tokens long, tokens binary")
+    return shards.select(*needed).transform(mapped, rows, f"doc_id {id_kind}, start long, n_tokens long, {name} {kind}")
+
+
+def documents_in(spark, path):
+    """(doc_id, start, n_tokens, tokens as little-endian 32-bit numbers) of every document, from the files."""
+    return _per_document(spark, path, "tokens", "binary", lambda ids: ids.tobytes())
 
 
 def tokens_at(spark, path, positions):
@@ -491,17 +496,9 @@ def occurrences(spark, path, token):
     return _from_shards(read_shards(spark, path), look, "position long")
 
 
-def _digest(batches):
-    for batch in batches:
-        sums = [zlib.crc32(t.as_py()) for t in batch.column(3)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-
 def op_index(documents, tokenizer, path=None, **options):
     """Write the shards (to the shared folder unless told where), read them back: a digest per document."""
     spark = documents.sparkSession
     path = path or work_dir(spark, "tokens")
     write_shards(documents, path, tokenizer, **options)
-    found = documents_in(spark, path)
-    kind = found.schema["doc_id"].dataType.simpleString()
-    return found.transform(mapped, _digest, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    return _per_document(spark, path, "ids_crc32", "long", zlib.crc32)
