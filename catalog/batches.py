@@ -103,10 +103,9 @@ def stream_fallback(spark, sf_dir):
     home = work_dir(spark, "stream_fallback")
     rows = _enriched(_events(spark, sf_dir, f"{home}/in"), spark, sf_dir)
     runner.run_all([monthly.start(
-        rows, "nostore://nowhere/out", f"{home}/state", fallback=f"{home}/spare", fmt="parquet", layout="folders",
-        available_now=True,
+        rows, "nostore://nowhere/out", f"{home}/state", fallback=f"{home}/spare", layout="log", available_now=True,
     )])
-    found = spark.read.parquet(f"{home}/spare").withColumns({
+    found = monthly.read_profile_log(spark, f"{home}/spare").withColumns({
         "year": F.col("year").cast("int"), "month": F.col("month").cast("int"),
         **{c: F.round(c, 9) for c in ("avg_electricity_usage_kwh", "avg_voltage")},
     })
@@ -132,10 +131,11 @@ def stream_district_total(spark, sf_dir):
 
 
 def _message_streams(spark, sf_dir, home):
-    """Household messages (some broken) and area messages, each in several files."""
+    """Household and area messages, some of either broken, each in several files."""
     _write(_messages(spark, sf_dir), f"{home}/in/household", "reading_id")
     area = area_totals(spark, sf_dir)
     text = F.to_json(F.struct(*area.columns), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"})
+    text = F.when(F.minute("timestamp") % 10 == 0, F.concat(F.lit("#"), text)).otherwise(text)
     _write(area.select("timestamp", text.cast("binary").alias("value")), f"{home}/in/area", "timestamp")
     return {
         "household": _stream(spark, f"{home}/in/household", "reading_id long, value binary, part int").select("value"),
@@ -158,7 +158,7 @@ SELECT '{name}' AS kind, count(*) AS records, count_if({good}) AS valid, count_i
 WITH {AREA_SQL}
 {_kind_counts("household", "(SELECT r.*, e.event_type FROM readings r JOIN events e ON e.event_id = r.reading_id)", "event_type <> 'error'")}
 UNION ALL
-{_kind_counts("area", "area", "true")}
+{_kind_counts("area", "area", """minute("timestamp") % 10 <> 0""")}
 """)
 def stream_two_kinds(spark, sf_dir):
     """Household and area messages through the live plan at once: what each output holds."""
@@ -178,7 +178,7 @@ def stream_two_kinds(spark, sf_dir):
         found = found.join(counts, "kind")
     bad = None
     for kind in ("household", "area"):
-        rows = spark.read.schema("raw string").parquet(f"{home}/out/quarantine/{kind}") if kind == "household" else spark.createDataFrame([], "raw string")
+        rows = spark.read.schema("raw string").parquet(f"{home}/out/quarantine/{kind}")
         one = rows.agg(F.lit(kind).alias("kind"), F.count("*").alias("quarantined"))
         bad = one if bad is None else bad.unionByName(one)
     return found.join(bad, "kind")

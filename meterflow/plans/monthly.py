@@ -3,7 +3,7 @@
 from ..checks import require_choice
 from ..operators import enrich, usage
 from ..operators.latest import latest_per_group
-from ..sinks.files import compact_batches, with_fallback, write_batch, write_partitioned
+from ..sinks.files import FallbackTarget, compact_batches, with_fallback, write_batch, write_partitioned
 from ..streaming.runner import run_batches
 from ..streaming.state import running_profile
 
@@ -60,15 +60,20 @@ def start(readings, path, checkpoint, fallback=None, fmt="csv", layout="log", **
     ``read_profile_log`` and fold it now and then with ``compact_profile_log``. A folder
     of the ``folders`` layout holds all households of its ward and month, so
     each batch must bring whole folders: complete mode, which writes everything
-    again.
+    again. With a ``fallback``, a store that failed is left alone for a while and
+    its batches go to the fallback path; a reader of the log reads both.
     """
     require_choice("layout", layout, ("folders", "log"))
     profile = enrich.with_month_key(running_profile(readings, HOUSEHOLD_WARD_MONTH, MEASURES))
-    if layout == "log":
-        return run_batches(
-            profile, write_profile_log, checkpoint, mode="update", bound={"path": path}, **run
-        )
-    return run_batches(
-        profile, write_profiles, checkpoint, mode="complete",
-        bound={"path": path, "fallback": fallback, "fmt": fmt}, **run,
-    )
+    target = FallbackTarget(path, fallback) if fallback else None
+
+    def process(batch, batch_id):
+        def write(to):
+            if layout == "log":
+                write_profile_log(batch, batch_id, to)
+            else:
+                write_profiles(batch, batch_id, to, fmt=fmt)
+
+        target.run(write) if target else write(path)
+
+    return run_batches(profile, process, checkpoint, mode="update" if layout == "log" else "complete", **run)

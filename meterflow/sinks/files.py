@@ -5,6 +5,7 @@ and a folder with most of the rows is split over several writers.
 """
 
 import logging
+import time
 
 from pyspark.sql import functions as F
 
@@ -160,3 +161,25 @@ def with_fallback(write, primary, fallback):
         except Exception as second:
             raise second from first
         return fallback
+
+
+class FallbackTarget:
+    """A path to write to and a spare one, for the batches of a stream.
+
+    A primary path that failed is left alone for ``retry_seconds``: until then
+    batches go to the spare path straight away, afterwards the primary is tried again.
+    """
+
+    def __init__(self, primary, fallback, retry_seconds=600.0):
+        self.primary, self.fallback, self.retry_seconds = primary, fallback, retry_seconds
+        self._down_until = 0.0
+
+    def run(self, write):
+        """Run ``write(path)``; returns the path that took the data."""
+        if time.monotonic() < self._down_until:
+            write(self.fallback)
+            return self.fallback
+        took = with_fallback(write, self.primary, self.fallback)
+        if took != self.primary:
+            self._down_until = time.monotonic() + self.retry_seconds
+        return took

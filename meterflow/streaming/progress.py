@@ -39,19 +39,22 @@ def recent_progress(spark, query):
 class ProgressLog(StreamingQueryListener):
     """Appends every batch and failure of a session's queries to a table at ``path``.
 
-    Rows wait in memory until ``flush_rows`` of them are there, a query ends or
-    ``flush`` is called; then they are written and forgotten. A batch that is
+    Rows wait in memory until ``flush_rows`` of them are there, the first has waited for
+    ``flush_seconds`` when another report comes, a query ends or ``flush`` is called; then they
+    are written and forgotten. A batch that is
     run again, or reported again, is one row when read.
     """
 
-    def __init__(self, spark, path, flush_rows=100):
-        self.spark, self.path, self.flush_rows = spark, path, flush_rows
+    def __init__(self, spark, path, flush_rows=100, flush_seconds=60.0):
+        self.spark, self.path, self.flush_rows, self.flush_seconds = spark, path, flush_rows, flush_seconds
+        self._since = None
         self._rows, self._lock, self._names, self._last = [], threading.Lock(), {}, {}
 
     def _add(self, row, write):
         with self._lock:
             self._rows.append(row)
-            write = write or len(self._rows) >= self.flush_rows
+            self._since = self._since or time.monotonic()
+            write = write or len(self._rows) >= self.flush_rows or time.monotonic() - self._since >= self.flush_seconds
         if write:
             self.flush()
 
@@ -64,7 +67,9 @@ class ProgressLog(StreamingQueryListener):
         self._add(row, False)
 
     def onQueryIdle(self, event):
-        pass
+        # An idle query reports too: rows never wait much longer than ``flush_seconds``.
+        if self._since is not None and time.monotonic() - self._since >= self.flush_seconds:
+            self.flush()
 
     def onQueryTerminated(self, event):
         name = self._names.pop(str(event.id), None)
@@ -89,7 +94,7 @@ class ProgressLog(StreamingQueryListener):
             if not self._rows:
                 return
             self.spark.createDataFrame(self._rows, SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
-            self._rows = []
+            self._rows, self._since = [], None
 
     def table(self):
         """One row per batch so far: the log the ``operators.progress`` functions read."""
