@@ -1,173 +1,193 @@
 """Toxicity: a subsequence string kernel machine with Nystroem landmarks.
 
-Sentences are cut into letter units: a token without its non-letters, or a run
-of single letters taken together, so ``i.d.i.o.t`` and ``i d i o t`` are units
-like the plain word. Two units are compared by the gap-weighted kernel over
-common subsequences of ``ORDER`` letters (a unit's start counts as a letter): a
-subsequence counts ``DECAY`` per letter skipped, so inserted or left out letters
-cost little.
-
-Units are learned from labelled sentences: those that toxic sentences hold far
-too often are positive, those of other sentences negative. Diverse units serve
-as landmarks; a support vector machine in their kernel space weighs them. A
-text is judged by the margins of its worst units and the number of units with a
-positive one; a logistic fitted on labelled texts turns these into a score.
-
-Null texts, empty texts and texts without letters have the least margins. Rows are scored alone, so repeated rows and ties agree.
-Without labels of both classes the score is the share of toxic labels (0
-without any).
+A text is taken as one sequence of letters: case, accents, spaces and all other
+signs are dropped, so ``i.d.i.o.t``, ``i d i o t``, ``id iot`` and an insult of
+several words are letters in a row like the plain word. The end of a sentence
+stands as one foreign letter in between. Letters beyond a-z are spelled with
+three codes. Two stretches of letters are compared by the gap-weighted kernel over
+common subsequences of ``ORDER`` and ``ORDER - 1`` letters: a subsequence counts
+``DECAY`` per letter skipped, so inserted or left out letters cost little.
+
+Training rows are stretches of ``STRETCH`` letters cut from the sentences of
+labelled texts, with the label of their text. From a toxic text come those
+that hold runs of letters which toxic texts have far too often, from other texts
+those that look most alike and some by hash. Unlike such runs serve as landmarks, with some
+stretches of clean texts; a support vector machine in their kernel space weighs
+them. Its weights fold into one table over subsequences, so every place of a text is scored
+by a few look-ups. A text is judged by its worst stretches and their number; a
+logistic fitted on labelled texts turns these into a score.
+
+Null texts, empty texts and texts without letters have the least margins and all
+the same score. Texts are scored whole and alone, so repeated rows and ties
+agree, and very long ones only take time in proportion: the working memory is that of a
+block of letters besides some bytes per letter. Where labels repeat or contradict each other, every labelled row counts. Without labels of
+both classes the score is the share of toxic labels (0 without any), so empty
+tables of labels or texts do no harm. A column of ``df`` that is called ``score`` is replaced; all others stay.
 """
 
 import itertools
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..shipping import mapped
-from .text import _powers, mix, slices
+from .text import slices
 
-# Bounds of the fit: labelled texts per class (in hash order), units and landmarks.
+# Bounds of the fit: labelled rows per class (in hash order), stretches per text, runs and landmarks.
 TOXIC_DOCS = 4_000
 OTHER_DOCS = 8_000
-POSITIVE_UNITS = 2_000
-NEGATIVE_UNITS = 20_000
-LANDMARKS = 64
+PER_TEXT = 3
+RUNS = 4_000
+FEWEST_RUNS = 200  # when none is beyond chance
+TOXIC_LANDMARKS = 96
+OTHER_LANDMARKS = 32
 
-ORDER = 3
+ORDER = 4
 SPAN = 8  # letters that a subsequence may stretch over
+SHORT_SPAN = 5
+SHORT_WEIGHT = 0.5
 DECAY = 0.6
-LONGEST = 13  # start and letters; longer units are looked at through windows
-STEP = 4
-CODES = 64
-START = 63
-WORST = 3  # units whose margins count one by one
+STRETCH = 24
+BITS = 5
+CODES = 1 << BITS
+BLOCK = 1 << 15
+WORST = 3  # stretches whose margins count one by one
 PENALTY = 10.0
-SLICE = 1 << 21
+SLICE = 1 << 20
 
+_SPACE, _MARK, _SKIP, _SPELLED, _BREAK = 100, 101, 102, 103, 0
 _TABLES = {}
 
 
-def _code(c):
-    """1 to 62 for a letter; letters beyond a-z share the upper codes."""
-    return START if c == "^" else ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 36
-
-
 def _code_table():
-    """Code per code point: 0 space, 255 other non-letters."""
+    """Code per code point: 1 to 26 for letters that reduce to a-z, else a kind of sign."""
     if "codes" not in _TABLES:
         def one(i):
             c = chr(i)
-            return _code(c) if c.isalpha() else 0 if c.isspace() else 255
+            if c in "\n\r。！？  ":
+                return _BREAK
+            if c in ".!?…":
+                return _MARK
+            if c.isspace():
+                return _SPACE
+            if not c.isalpha():
+                return _SKIP
+            base = unicodedata.normalize("NFKD", c)[0].lower()
+            return ord(base) - 96 if "a" <= base <= "z" else _SPELLED
         _TABLES["codes"] = np.fromiter(map(one, range(0x110000)), np.uint8, 0x110000)
     return _TABLES["codes"]
 
 
-class Units:
-    """Letter units of a list of texts: ``codes`` and the ranges of all pieces, by text."""
+class Letters:
+    """The letter codes of some texts in a row: text d holds ``codes[start[d]:end[d]]``."""
 
     def __init__(self, texts):
-        lowered = [t.lower() for t in texts]
+        # Texts stand apart by so many breaks that no subsequence reaches over.
+        lowered = [t.lower() + "\n" * SPAN for t in texts]
         ends = np.cumsum([0, *map(len, lowered)])
-        flat = _code_table()[np.frombuffer("".join(lowered).encode("utf-32-le", "replace"), np.uint32)]
-        border = flat == 0
-        first = np.zeros(len(flat) + 1, bool)
-        first[ends] = True
-        token = np.cumsum(border | first[:-1])
-        letter = np.flatnonzero((flat != 0) & (flat != 255))
-        self.codes = flat[letter]
-        text = np.searchsorted(ends, letter, "right") - 1
-        token = token[letter]
-        start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(letter) else np.empty(0, int)
-        size = np.diff(np.append(start, len(letter)))
-        owner = text[start]
-        joined = np.zeros(len(start), bool)
-        joined[1:] = (size[1:] == 1) & (size[:-1] == 1) & (owner[1:] == owner[:-1])
-        start, owner = start[~joined], owner[~joined]
-        # Every unit gets its start as a letter of its own.
-        self.codes = np.insert(self.codes, start, START)
-        start = start + np.arange(len(start))
-        size = np.diff(np.append(start, len(self.codes)))
-        # Long units become windows that overlap.
-        windows = np.where(size > LONGEST, -(-(size - LONGEST) // STEP) + 1, 1)
-        nth = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        self.start = np.repeat(start, windows) + np.minimum(nth * STEP, np.repeat(np.maximum(size - LONGEST, 0), windows))
-        self.size = np.minimum(np.repeat(size, windows), LONGEST)
-        self.text = np.repeat(owner, windows)
-
-    def hashes(self):
-        up, down = _powers(len(self.codes) + 1)
-        total = np.zeros(len(self.codes) + 1, np.uint64)
-        np.cumsum(mix(self.codes.astype(np.uint64) + np.uint64(7)) * up[: len(self.codes)], out=total[1:])
-        return mix((total[self.start + self.size] - total[self.start]) * down[self.start] + self.size.astype(np.uint64))
-
-    def matrix(self, chosen):
-        """Codes of the chosen pieces, a row each, 0 after the end."""
-        at = self.start[chosen, None] + np.arange(LONGEST)
-        held = np.arange(LONGEST) < self.size[chosen, None]
-        return np.where(held, self.codes[np.minimum(at, max(len(self.codes) - 1, 0))], 0).astype(np.int32)
-
-
-def _patterns():
-    """(places, weight) of all subsequences within a unit, by last place."""
-    return [
-        ((*places, k), DECAY ** (k - places[0] - ORDER + 1))
-        for k in range(ORDER - 1, LONGEST)
-        for places in itertools.combinations(range(max(0, k - SPAN + 1), k), ORDER - 1)
-    ]
-
-
-def _key(columns):
-    """One number per subsequence from its letters' codes."""
-    key = columns[0]
-    for c in columns[1:]:
-        key = key * CODES + c
-    return key
+        flat = np.frombuffer("".join(lowered).encode("utf-32-le", "replace"), np.uint32)
+        code = _code_table()[flat]
+        closing = np.flatnonzero(code == _MARK)
+        closing = closing[closing + 1 < len(code)]
+        after = code[closing + 1]
+        code[closing[(after == _SPACE) | (after == _BREAK)]] = _BREAK
+        kept = np.flatnonzero((code <= 26) | (code == _SPELLED))
+        size = np.where(code[kept] == _SPELLED, 3, 1)
+        bounds = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(kept, ends)]
+        codes = np.repeat(code[kept], size).astype(np.int64)
+        spelled = np.flatnonzero(code[kept] == _SPELLED)
+        if len(spelled):
+            at, point = (np.cumsum(size) - size)[spelled], flat[kept[spelled]].astype(np.int64)
+            codes[at], codes[at + 1], codes[at + 2] = 27 + point % 5, 1 + point // 5 % 31, 1 + point // 155 % 31
+        self.codes, self.start, self.end = codes, bounds[:-1], np.maximum(bounds[1:] - SPAN, bounds[:-1])
+
+
+def patterns():
+    """(distances of the earlier letters from the last one, falling; weight) of all subsequences."""
+    out = []
+    for order, span, scale in ((ORDER, SPAN, 1.0), (ORDER - 1, SHORT_SPAN, SHORT_WEIGHT)):
+        for back in itertools.combinations(range(span - 1, 0, -1), order - 1):
+            out.append((back, scale * DECAY ** (back[0] + 1 - order)))
+    return out
+
+
+def _key(parts):
+    """One number per subsequence; those of ``ORDER - 1`` letters lie behind the longer ones."""
+    key = parts[0]
+    for p in parts[1:]:
+        key = key << BITS | p
+    return key if len(parts) == ORDER else key + CODES**ORDER
+
+
+TABLE = CODES**ORDER + CODES ** (ORDER - 1)
 
 
 def _norms():
-    """Length of the weighted occurrence vector, by unit length."""
-    out = np.zeros(LONGEST + 1)
-    for places, weight in _patterns():
-        out[places[-1] + 1 :] += weight * weight
-    return np.sqrt(np.maximum(out, 1e-12))
-
-
-def unit_matrix(units):
-    """Code rows of unit strings of at most LONGEST letters."""
-    m = np.zeros((len(units), LONGEST), np.int32)
-    for r, unit in enumerate(units):
-        m[r, : len(unit)] = [_code(c) for c in unit]
+    """Length of the weighted occurrence vector of a stretch, by its letters (that of ``ORDER`` letters at least)."""
+    out = np.zeros(STRETCH + 1)
+    for back, weight in patterns():
+        for last in range(back[0], STRETCH):
+            out[last + 1 :] += weight * weight
+    return np.sqrt(np.maximum(out, out[ORDER]))
+
+
+def rows_of(stretches):
+    """Code rows of letter strings, 0 after their end."""
+    m = np.zeros((len(stretches), STRETCH), np.int64)
+    for r, s in enumerate(stretches):
+        codes = Letters([s]).codes[: len(s)][:STRETCH]
+        m[r, : len(codes)] = codes
     return m
 
 
-def kernel_features(matrix):
-    """(rows, subsequences, weights): the normalised sparse features of code rows."""
-    size = (matrix > 0).sum(1)
-    norm = _norms()[size]
-    rows, keys, weights = [], [], []
-    for places, weight in _patterns():
-        on = np.flatnonzero(size > places[-1])
-        rows.append(on)
-        keys.append(_key([matrix[on, p] for p in places]))
-        weights.append(weight / norm[on])
-    return np.concatenate(rows), np.concatenate(keys), np.concatenate(weights)
+def _features(matrix):
+    """(rows, keys, weight) of every pattern at every place of code rows; subsequences with a break are left out."""
+    for back, weight in patterns():
+        for last in range(back[0], matrix.shape[1]):
+            parts = [matrix[:, last - b] for b in (*back, 0)]
+            on = np.flatnonzero(np.minimum.reduce(parts) > 0)
+            if len(on):
+                yield on, _key([p[on] for p in parts]), weight
+
+
+def _sizes(matrix):
+    """Letters up to the last one of each row."""
+    return np.where(matrix > 0, np.arange(1, matrix.shape[1] + 1), 0).max(axis=1, initial=0)
+
+
+class Landmarks:
+    """Landmark rows, ready to be compared with others."""
+
+    def __init__(self, matrix):
+        found = [(on, keys, np.full(len(on), weight)) for on, keys, weight in _features(matrix)]
+        rows, keys, weights = (np.concatenate([f[k] for f in found]) if found else np.empty(0, int) for k in range(3))
+        weights = weights / _norms()[_sizes(matrix)][rows]
+        self.keys, place = np.unique(keys, return_inverse=True)
+        self.table = np.zeros((len(self.keys), len(matrix)), np.float32)
+        np.add.at(self.table, (place, rows), weights)
+        self.number = np.full(TABLE, -1, np.int32)
+        self.number[self.keys] = np.arange(len(self.keys))
+
+    def kernel(self, matrix):
+        """Kernel values of code rows with the landmarks."""
+        out = np.zeros((len(matrix), self.table.shape[1]), np.float32)
+        for on, keys, weight in _features(matrix):
+            number = self.number[keys]
+            hit = np.flatnonzero(number >= 0)
+            out[on[hit]] += np.float32(weight) * self.table[number[hit]]
+        return out / _norms()[_sizes(matrix)][:, None]
+
+    def folded(self, weights):
+        """One weight per subsequence for a weighted sum of the landmarks."""
+        out = np.zeros(TABLE, np.float32)
+        out[self.keys] = self.table @ weights
+        return out
 
 
 def kernel(matrix, against):
-    """Kernel values of code rows with the landmark rows ``against``."""
-    table = np.zeros((CODES**ORDER, len(against)), np.float32)
-    rows, keys, weights = kernel_features(against)
-    np.add.at(table, (keys, rows), weights)
-    out = np.zeros((len(matrix), len(against)))
-    for part in range(0, len(matrix), 2000):
-        rows, keys, weights = kernel_features(matrix[part : part + 2000])
-        order = np.argsort(rows, kind="stable")
-        rows, keys, weights = rows[order], keys[order], weights[order]
-        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else []
-        if len(rows):
-            out[part + rows[first]] = np.add.reduceat(table[keys] * weights[:, None], first, axis=0)
-    return out
+    return Landmarks(against).kernel(matrix)
 
 
 def diverse(matrix, importance, count):
@@ -180,7 +200,7 @@ def diverse(matrix, importance, count):
         chosen.append(best)
         near = kernel(matrix, matrix[[best]])[:, 0]
         left = np.minimum(left, importance * np.clip(1 - near, 0, 1))
-        left[best] = 0
+        left[chosen] = 0
     return chosen
 
 
@@ -200,6 +220,32 @@ def support_vector_machine(z, y, cost, rounds=30):
     return w[:-1], w[-1]
 
 
+def place_scores(codes, table):
+    """Sum of the table over all subsequences that end at each place."""
+    out = np.zeros(len(codes))
+    by_span = patterns()
+    for first in range(0, len(codes), BLOCK):
+        # A block with the letters before it; the missing ones of the first block are breaks.
+        part = codes[max(first - SPAN + 1, 0) : first + BLOCK]
+        part = np.concatenate([np.zeros(SPAN - 1 - min(first, SPAN - 1), np.int64), part])
+        n = len(part) - SPAN + 1
+        back = [part[SPAN - 1 - b : SPAN - 1 - b + n] for b in range(SPAN)]
+        pairs = {b: part[:-b] << BITS | part[b:] for b in range(1, SPAN)}  # by the place of the later letter, less b
+        total = np.zeros(n)
+        for distances, weight in by_span:
+            if len(distances) == ORDER - 1:
+                a, b, c = distances
+                head = pairs[a - b][SPAN - 1 - a : SPAN - 1 - a + n]
+                key = head << (2 * BITS) | pairs[c][SPAN - 1 - c : SPAN - 1 - c + n]
+                total += weight * table[key]
+            else:
+                a, b = distances
+                key = pairs[a - b][SPAN - 1 - a : SPAN - 1 - a + n] << BITS | back[0]
+                total += weight * table[CODES**ORDER + key]
+        out[first : first + BLOCK] = total
+    return out
+
+
 class Model:
     """``weights`` per subsequence, ``bias``, and the logistic over a text's evidence."""
 
@@ -207,42 +253,41 @@ class Model:
         self.weights, self.bias, self.share = weights, bias, share
         self.logistic = None
 
+    def margins(self, letters):
+        """(margin of the best stretch that ends in each block, first block of each text, blocks per text)."""
+        sums = np.concatenate([[0.0], np.cumsum(place_scores(letters.codes, self.weights))])
+        lengths = letters.end - letters.start
+        blocks = -(-lengths // STRETCH)
+        held = np.repeat(np.arange(len(lengths)), lengths)
+        place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at = letters.start[held] + place
+        size = np.minimum(place + 1, STRETCH)
+        margin = (sums[at + 1] - sums[at + 1 - size]) / _norms()[size] + self.bias
+        starts = np.flatnonzero(place % STRETCH == 0)
+        best = np.maximum.reduceat(margin, starts) if len(starts) else np.empty(0)
+        return best, np.cumsum(blocks) - blocks, blocks
+
     def evidence(self, texts):
-        """Per text: the largest unit margins, then the logs of its positive and of all units."""
+        """Per text: the largest block margins, then the logs of its positive and of all blocks."""
         least = -1.0
         out = np.full((len(texts), WORST + 2), least)
         out[:, WORST:] = 0
-        units = Units(texts)
-        if self.weights is None or not len(units.start):
+        if self.weights is None:
+            return out
+        best, first, blocks = self.margins(Letters(texts))
+        owner = np.flatnonzero(blocks)
+        if not len(owner):
             return out
-        _, chosen, back = np.unique(units.hashes(), return_index=True, return_inverse=True)
-        order = np.argsort(-units.size[chosen], kind="stable")
-        m = np.ascontiguousarray(units.matrix(chosen[order]).T)
-        size = units.size[chosen[order]]
-        active = np.searchsorted(-size, -np.arange(LONGEST), "left")
-        total = np.zeros(len(size))
-        for places, weight in _patterns():
-            n = active[places[-1]]
-            if n:
-                total[:n] += weight * self.weights[_key([m[p, :n] for p in places])]
-        total /= _norms()[size]
-        score = np.empty(len(size))
-        score[order] = total + self.bias
-        margin = np.maximum(score[back.ravel()], least)
-        first = np.flatnonzero(np.concatenate([[True], units.text[1:] != units.text[:-1]]))
-        owner = units.text[first]
-        size = np.diff(np.append(first, len(margin)))
-        out[owner, WORST] = np.log1p(np.add.reduceat((margin > 0).astype(np.int64), first))
+        first, size = first[owner], blocks[owner]
+        # Beyond the support vectors' margin a stretch is no stronger evidence.
+        best = np.clip(best, least, 1.0)
+        out[owner, WORST] = np.log1p(np.add.reduceat((best > 0).astype(np.int64), first))
         out[owner, WORST + 1] = np.log1p(size)
-        # The worst units one after another: take each text's largest margin, blank it, repeat.
-        margin = margin.copy()
+        text = np.repeat(np.arange(len(owner)), size)
+        ordered = best[np.lexsort((-best, text))]
         for k in range(WORST):
-            best = np.maximum.reduceat(margin, first)
-            # Beyond the support vectors' margin a unit is no stronger evidence.
-            out[owner, k] = np.clip(best, -1.0, 1.0)
-            at = np.flatnonzero(margin == np.repeat(best, size))
-            lead = at[np.unique(units.text[at], return_index=True)[1]]
-            margin[lead] = least
+            has = size > k
+            out[owner[has], k] = ordered[first[has] + k]
         return out
 
     def calibrate(self, evidence, toxic, rounds=60):
@@ -264,113 +309,164 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.evidence(texts) @ self.logistic[:-1] + self.logistic[-1], -60, 60)))
 
 
-def sentence_units(text):
-    """The distinct units (and windows of long ones) of each sentence of a text."""
-    lowered = text.lower()
-    for mark in "!?\n":
-        lowered = lowered.replace(mark, ". ")
-    for sentence in lowered.split(". "):
-        found, run = set(), ""
-        for token in [*sentence.split(), "  "]:
-            letters = "".join(c for c in token if c.isalpha())
-            if len(letters) == 1:
-                run += letters
-                continue
-            for unit in (f"^{run}", f"^{letters}"):
-                size = len(unit)
-                if size >= ORDER:
-                    found.update(unit[a : a + LONGEST] for a in range(0, max(size - LONGEST, 0) + STEP, STEP) if a == 0 or a < size - LONGEST + STEP)
-            run = ""
-        if found:
-            yield found
-
-
 def labelled_sample(documents, labels, label_col="toxic", id_col="doc_id", text_col="text"):
-    """At most TOXIC_DOCS and OTHER_DOCS labelled texts, in order of an id hash."""
+    """(__y, __text): at most TOXIC_DOCS and OTHER_DOCS labelled rows, in order of a hash of id and text.
+
+    Rows with the same id, text and label count once, so repeated ids do not pass the bound.
+    """
     rows = labels.select(F.col(id_col), F.col(label_col).cast("int").alias("__y")).where(F.col("__y").isin(0, 1))
-    by_hash = [F.xxhash64(id_col), F.col(id_col)]
-    sample = rows.where("__y = 1").orderBy(*by_hash).limit(TOXIC_DOCS).unionByName(
-        rows.where("__y = 0").orderBy(*by_hash).limit(OTHER_DOCS)
-    )
+    texts = documents.select(id_col, F.col(text_col).alias("__text"), F.xxhash64(text_col).alias("__h"))
+    known = texts.drop("__text").join(rows.distinct(), id_col).distinct()
+    order = [F.xxhash64(id_col, "__h"), F.col(id_col), F.col("__h")]
+    picked = known.where("__y = 1").orderBy(*order).limit(TOXIC_DOCS).unionByName(known.where("__y = 0").orderBy(*order).limit(OTHER_DOCS))
     # Bounded by the two limits.
-    return documents.select(id_col, text_col).join(F.broadcast(sample.distinct()), id_col).select("__y", F.col(text_col).alias("__text"))
+    joined = texts.join(F.broadcast(picked), [id_col, "__h"])
+    return joined.groupBy(id_col, "__h", "__y").agg(F.first("__text").alias("__text")).select("__y", "__text")
 
 
-def _unit_counts(batches):
+def _run_keys(codes):
+    """Key of the ``ORDER`` letters in a row that end at each place from the ORDER-th on; -1 across breaks."""
+    parts = [codes[k : len(codes) - ORDER + 1 + k] for k in range(ORDER)]
+    return np.where(np.minimum.reduce(parts) > 0, _key(parts), -1) if len(codes) >= ORDER else np.empty(0, np.int64)
+
+
+def _run_counts(batches):
+    """In how many texts of either class each run of letters occurs."""
+    counts = np.zeros((2, CODES**ORDER), np.int32)
+    for batch in batches:
+        for first, piece in slices(batch.column(1), SLICE):
+            letters = Letters(piece.to_pylist())
+            for y, a, b in zip(batch.column(0).slice(first, len(piece)).to_pylist(), letters.start, letters.end, strict=True):
+                keys = np.unique(_run_keys(letters.codes[a:b]))
+                counts[y, keys[keys >= 0]] += 1
+    seen = np.flatnonzero(counts.any(0))
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[1, seen].astype(np.int64)), pa.array(counts[0, seen].astype(np.int64))], names=["run", "pos", "neg"])
+
+
+def _stretches(batches, gains):
+    """(label, gain, codes) of some stretches per text: the most telling ones, from other texts also some by hash."""
+    rows = {"y": [], "gain": [], "codes": []}
     for batch in batches:
-        counts = {}
-        for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for found in sentence_units(text or ""):
-                for unit in found:
-                    pair = counts.setdefault(unit, [0, 0])
-                    pair[y] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.string()), pa.array([v[1] for v in counts.values()], pa.int64()), pa.array([v[0] for v in counts.values()], pa.int64())],
-            names=["unit", "pos", "neg"],
-        )
+        for first, piece in slices(batch.column(1), SLICE):
+            letters = Letters(piece.to_pylist())
+            for y, a, b in zip(batch.column(0).slice(first, len(piece)).to_pylist(), letters.start, letters.end, strict=True):
+                codes = letters.codes[a:b]
+                keys = _run_keys(codes)
+                if not len(keys):
+                    continue
+                gain = np.concatenate([np.zeros(ORDER - 1), np.where(keys >= 0, gains[keys], 0)])
+                sums = np.concatenate([[0.0], np.cumsum(gain)])
+                # Sums of the runs that lie in the stretch from each place on.
+                ends = np.minimum(np.arange(len(codes)) + STRETCH, len(codes))
+                inside = sums[ends] - sums[np.minimum(np.arange(len(codes)) + ORDER - 1, ends)]
+                places = []
+                for _ in range(PER_TEXT if y else 1):
+                    best = int(inside.argmax())
+                    if inside[best] <= 0:
+                        break
+                    # The telling runs stand in the middle of the stretch.
+                    held = np.flatnonzero(gain[best : best + STRETCH])
+                    middle = best + (held[0] + held[-1]) // 2
+                    places.append((max(0, min(middle - STRETCH // 2, len(codes) - STRETCH)), inside[best]))
+                    inside[max(best - STRETCH, 0) : best + STRETCH] = 0
+                if not y:
+                    hashed = int(codes.sum()) * 2654435761 % (1 << 32)
+                    places += [(hashed * (k + 3) // 7 % len(codes), 0.0) for k in range(PER_TEXT - 1)]
+                for at, g in places:
+                    rows["y"].append(y)
+                    rows["gain"].append(float(g))
+                    rows["codes"].append(codes[at : at + STRETCH].astype(np.uint8).tobytes())
+    yield pa.RecordBatch.from_arrays([pa.array(rows["y"], pa.int32()), pa.array(rows["gain"], pa.float64()), pa.array(rows["codes"], pa.binary())], names=["y", "gain", "codes"])
+
+
+def _matrix(codes):
+    """Code rows from bytes."""
+    m = np.zeros((len(codes), STRETCH), np.int64)
+    for r, c in enumerate(codes):
+        m[r, : len(c)] = np.frombuffer(c, np.uint8)
+    return m
+
+
+def telling_pieces(codes, gains):
+    """{codes of the letters that the telling runs cover: their gain} over stretches."""
+    found = {}
+    for stretch in codes:
+        keys = _run_keys(np.frombuffer(stretch, np.uint8).astype(np.int64))
+        gain = np.where(keys >= 0, gains[keys], 0)
+        on = np.flatnonzero(gain)
+        for group in np.split(on, np.flatnonzero(np.diff(on) > ORDER) + 1) if len(on) else ():
+            piece = stretch[group[0] : group[-1] + ORDER]
+            found[piece] = found.get(piece, 0.0) + float(gain[group].sum())
+    return found
 
 
 def train(documents, labels, label_col="toxic", id_col="doc_id", text_col="text"):
     """A Model from a bounded sample of the labelled texts."""
-    sample = labelled_sample(documents, labels, label_col, id_col, text_col)
-    counts = sample.transform(mapped, _unit_counts, "unit string, pos long, neg long").groupBy("unit").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
-    ).persist()
-    total = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count("*").alias("u")).first()
-    pos, neg = total["p"] or 0, total["n"] or 0
+    sample = labelled_sample(documents, labels, label_col, id_col, text_col).persist()
+    try:
+        return _train(sample)
+    finally:
+        sample.unpersist()
+
+
+def _train(sample):
+    spark = sample.sparkSession
+    texts = {r["__y"]: r["count"] for r in sample.groupBy("__y").count().collect()}
+    pos, neg = texts.get(1, 0), texts.get(0, 0)
     if not pos or not neg:
-        counts.unpersist()
         return Model(None, 0.0, 1.0 if pos else 0.0)
     base = pos / (pos + neg)
+    counts = sample.transform(mapped, _run_counts, "run long, pos long, neg long").groupBy("run").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     n = F.col("pos") + F.col("neg")
     share = F.col("pos") / n
     other = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
-    # How unlikely so many toxic sentences are by chance, against the number of units tried.
+    # How unlikely so many toxic texts are by chance; there are at most CODES ** ORDER runs.
     gain = n * (share * F.log(share / base) + other)
-    found = (
-        counts.where(F.col("pos") > 0).withColumn("gain", gain).where((share > (1 + base) / 2) & (F.col("gain") > float(np.log(total["u"]) + 3)))
-        .orderBy(F.desc("gain"), "unit").limit(POSITIVE_UNITS).collect()
-    )
-    usual = counts.where((F.col("neg") > 0) & (share <= base)).orderBy(F.desc("neg"), "unit").limit(NEGATIVE_UNITS // 4)
-    some = counts.where((F.col("neg") > 0) & (share <= base)).orderBy(F.xxhash64("unit")).limit(NEGATIVE_UNITS - NEGATIVE_UNITS // 4)
-    negative = {r["unit"]: r["neg"] for r in usual.unionByName(some).collect()}
-    counts.unpersist()
-    if not found or not negative:
+    found = counts.where(F.col("pos") > 0).withColumn("gain", gain).where(share > (1 + base) / 2).orderBy(F.desc("gain"), "run").limit(RUNS).toArrow()
+    least = np.log(CODES**ORDER) + 3
+    runs, gain = found["run"].to_numpy(), found["gain"].to_numpy()
+    sure = gain > least
+    use = sure if sure.any() else np.arange(len(gain)) < FEWEST_RUNS
+    gains = np.zeros(CODES**ORDER, np.float32)
+    gains[runs[use]] = gain[use]
+    shared = spark.sparkContext.broadcast(gains)
+    rows = sample.transform(mapped, lambda it: _stretches(it, shared.value), "y int, gain double, codes binary").toArrow()  # PER_TEXT per text at most
+    # The order of rows decides between equals, so it must not depend on tasks.
+    rows = rows.sort_by([("y", "ascending"), ("gain", "descending"), ("codes", "ascending")])
+    y, codes = rows["y"].to_numpy(), rows["codes"].to_pylist()
+    toxic = [c for c, label in zip(codes, y, strict=True) if label]
+    clean = [c for c, label in zip(codes, y, strict=True) if not label]
+    if not toxic or not clean:
         return Model(None, 0.0, float(base))
-    positive = {r["unit"]: r["gain"] for r in found}
-    model = fit_units(positive, negative, base)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    pieces = sorted(telling_pieces(toxic, gains).items(), key=lambda item: (-item[1], item[0]))[:RUNS]
+    model = fit_stretches(toxic, clean, pieces, base)
+    model_shared = spark.sparkContext.broadcast(model)
 
     def evidence(batches):
         for batch in batches:
             for first, piece in slices(batch.column(1), SLICE):
-                found = shared.value.evidence(piece.to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(piece)), pa.array(found.tolist())], names=["y", "x"])
+                found = model_shared.value.evidence(piece.to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(piece)), pa.array(found.tolist(), pa.list_(pa.float64()))], names=["y", "x"])
 
-    rows = sample.transform(mapped, evidence, "y int, x array<double>").collect()  # bounded like the sample
-    y = np.array([r["y"] for r in rows], float)
-    model.share = float(y.mean())
-    model.calibrate(np.array([r["x"] for r in rows]), y)
+    seen = sorted(map(tuple, sample.transform(mapped, evidence, "y int, x array<double>").collect()))  # bounded like the sample
+    model.calibrate(np.array([x for _, x in seen]), np.array([y for y, _ in seen], float))
     return model
 
 
-def fit_units(positive, negative, share):
-    """Model of unit margins from {unit: importance} of either class."""
-    pos, neg = unit_matrix(list(positive)), unit_matrix(list(negative))
+def fit_stretches(toxic, clean, pieces, share):
+    """Model of stretch margins from code strings of either class and {piece: importance} for landmarks."""
+    pos, neg, parts = _matrix(toxic), _matrix(clean), _matrix([p[:STRETCH] for p, _ in pieces])
     landmarks = np.concatenate([
-        pos[diverse(pos, np.sqrt(np.array(list(positive.values()))), LANDMARKS * 3 // 4)],
-        neg[diverse(neg[:500], np.sqrt(np.array(list(negative.values()), float))[:500], LANDMARKS // 4)],
+        parts[diverse(parts, np.sqrt(np.array([g for _, g in pieces])), TOXIC_LANDMARKS)],
+        neg[diverse(neg[: 4 * OTHER_LANDMARKS], np.ones(min(len(neg), 4 * OTHER_LANDMARKS)), OTHER_LANDMARKS)],
     ])
-    values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
+    known = Landmarks(landmarks)
+    values, vectors = np.linalg.eigh(known.kernel(landmarks).astype(float))
     root = vectors[:, values > 1e-6] / np.sqrt(values[values > 1e-6])
-    x = np.concatenate([pos, neg])
     y = np.concatenate([np.ones(len(pos)), -np.ones(len(neg))])
     cost = np.where(y > 0, PENALTY, PENALTY * np.sqrt(max(1.0, len(pos) / len(neg))))
-    w, bias = support_vector_machine(kernel(x, landmarks) @ root, y, cost)
-    rows, keys, weights = kernel_features(landmarks)
-    folded = np.zeros(CODES**ORDER)
-    np.add.at(folded, keys, weights * (root @ w)[rows])
-    return Model(folded.astype(np.float32), float(bias), share)
+    w, bias = support_vector_machine(known.kernel(np.concatenate([pos, neg])) @ root, y, cost)
+    return Model(known.folded(root @ w), float(bias), share)
 
 
 def score(df, model, text_col="text"):

@@ -1,5 +1,6 @@
 """Learned operators and benchmark leaks: held-out accuracy and brute force."""
 
+import itertools
 import random
 
 import numpy as np
@@ -112,14 +113,14 @@ def test_language_edge_cases(spark):
 
 
 def naive_kernel(s, t):
-    """Sum over common subsequences of three letters with their gaps."""
+    """Sum over common subsequences of four and three letters with their gaps."""
     def features(u):
         out = {}
-        for i in range(len(u)):
-            for j in range(i + 1, len(u)):
-                for k in range(j + 1, min(len(u), i + toxicity.SPAN)):
-                    key = u[i], u[j], u[k]
-                    out.setdefault(key, []).append(toxicity.DECAY ** (k - i - 2))
+        for order, span, scale in ((4, toxicity.SPAN, 1.0), (3, toxicity.SHORT_SPAN, toxicity.SHORT_WEIGHT)):
+            for places in itertools.combinations(range(len(u)), order):
+                wide = places[-1] - places[0] + 1
+                if wide <= span:
+                    out.setdefault(tuple(u[p] for p in places), []).append(scale * toxicity.DECAY ** (wide - order))
         return out
 
     def norm(f):
@@ -130,14 +131,98 @@ def naive_kernel(s, t):
 
 
 def test_kernel_equals_enumeration():
-    units = ["idiot", "idxiot", "idot", "banana", "abcabcabcabc", "ab"]
-    got = toxicity.kernel(toxicity.unit_matrix(units), toxicity.unit_matrix(units))
+    units = ["idiot", "idxiot", "idot", "banana", "abcabcabcabc", "heisanidiotindeed"]
+    got = toxicity.kernel(toxicity.rows_of(units), toxicity.rows_of(units))
     for a, s in enumerate(units):
         for b, t in enumerate(units):
             assert abs(got[a, b] - naive_kernel(s, t)) < 1e-5
     assert got[0, 1] > 0.4 > got[0, 3]
 
 
+def test_letters_run_across_signs():
+    texts = ["I d-i.o,t! Zoë", "", "id\n\nIOT", "中a", "..."]
+    found = toxicity.Letters(texts)
+    spelled = ["".join(chr(96 + c) if 0 < c < 27 else "|" if c == 0 else "#" for c in found.codes[a:b]) for a, b in zip(found.start, found.end)]
+    assert spelled[0] == "idiot|zoe" and spelled[1] == "" and spelled[2] == "id||iot" and spelled[4] in ("", "|")
+    assert len(spelled[3]) == 4 and spelled[3][-1] == "a" and spelled[3][0] == "#"
+
+
+def test_text_scores_equal_the_loop():
+    """A text's block margins against a plain loop over all subsequences."""
+    rng = np.random.default_rng(5)
+    model = toxicity.Model(rng.normal(size=toxicity.TABLE).astype(np.float32), 0.25, 0.5)
+    texts = ["abcdefghij klmno pqrst", "xy", "hello. there\nworld and much more of this text to see", "q" * 90]
+    letters = toxicity.Letters(texts)
+    best, first, blocks = model.margins(letters)
+    for d in range(len(texts)):
+        codes = letters.codes[letters.start[d] : letters.end[d]].tolist()
+        place = []
+        for p in range(len(codes)):
+            total = 0.0
+            for back, weight in toxicity.patterns():
+                if back[0] <= p:
+                    key = 0
+                    for b in (*back, 0):
+                        key = key << toxicity.BITS | codes[p - b]
+                    total += weight * float(model.weights[key + (0 if len(back) == 3 else toxicity.CODES**4)])
+                else:  # letters before the text are breaks
+                    key = 0
+                    for b in (*back, 0):
+                        key = key << toxicity.BITS | (codes[p - b] if p >= b else 0)
+                    total += weight * float(model.weights[key + (0 if len(back) == 3 else toxicity.CODES**4)])
+            place.append(total)
+        want = []
+        for a in range(0, len(codes), toxicity.STRETCH):
+            ends = range(a, min(a + toxicity.STRETCH, len(codes)))
+            want.append(max(sum(place[max(0, e - toxicity.STRETCH + 1) : e + 1]) / toxicity._norms()[min(e + 1, toxicity.STRETCH)] + 0.25 for e in ends))
+        assert np.allclose(best[first[d] : first[d] + blocks[d]], want, atol=1e-4)
+
+
+def insulted(seed, n, insult, decoys=()):
+    """Rows and labels; toxic ones hold ``insult(rng)``, all others now and then one of the decoys."""
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for k in range(n):
+        w, bad = words(rng, rng.randint(20, 80)), int(rng.random() < 0.3)
+        for d in decoys:
+            if rng.random() < 0.7:
+                w.insert(rng.randrange(len(w)), d)
+        if bad:
+            w.insert(rng.randrange(len(w)), insult(rng))
+        rows.append((k, " ".join(w), "en", "a"))
+        labels.append((k, bad, 1 - bad))
+    return rows, labels
+
+
+def inserted(rng):
+    w = list(rng.choice(["blockhead", "scoundrel"]))
+    w.insert(rng.randrange(2, len(w) - 1), rng.choice("xqz"))
+    return "".join(w)
+
+
+@pytest.mark.parametrize("insult, decoys", [
+    (lambda rng: "utter garden table", ("utter", "garden", "table")),  # a phrase of harmless words
+    (lambda rng: "nit wit" if rng.random() < 0.5 else "nitw it", ("nit", "wit")),  # cut in pieces
+    (inserted, ()),  # a further letter somewhere
+], ids=["phrase", "pieces", "inserted"])
+def test_toxicity_learns_from_sentences(spark, insult, decoys):
+    rows, labels = insulted(11, 900, insult, decoys)
+    model = toxicity.train(frame(spark, rows[:600]), spark.createDataFrame(labels, "doc_id long, toxic int, quality int"))
+    scores, y = model.score([t for _, t, *_ in rows[600:]]), np.array([bad for _, bad, _ in labels[600:]])
+    above = (scores[y == 1][:, None] > scores[y == 0]).mean() + 0.5 * (scores[y == 1][:, None] == scores[y == 0]).mean()
+    assert above > 0.9
+
+
+def test_repeated_ids_stay_within_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TOXIC_DOCS", 20)
+    monkeypatch.setattr(toxicity, "OTHER_DOCS", 30)
+    rng = random.Random(7)
+    rows = [(k % 3, text(rng, 20) if k % 5 else "same text", "en", "a") for k in range(300)]
+    labels = spark.createDataFrame([(0, 1), (0, 1), (1, 0), (2, 0), (2, 1)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(frame(spark, rows), labels).groupBy("__y").count().collect()
+    assert {r["__y"]: r["count"] for r in got} == {1: 20, 0: 30}
+
+
 def toxic_rows(seed, n=400):
     rng = random.Random(seed)
     rows, labels = [], []
