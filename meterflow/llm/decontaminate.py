@@ -13,7 +13,9 @@ sum of the larger shingle counts, at least ``THRESHOLD``.
 Words are lower-cased; shingles are five words, or the whole sequence of a
 shorter item. Null, blank and short texts hold no window; null and blank items
 match nothing. Repeated rows are reported once per id; repeated items each by
-their own id. Empty tables give no pairs.
+their own id. Empty tables give no pairs. Windows of equal similarity to an item are one pair of document
+and item. Very long texts are cut into windows whole; only the named columns are
+read, so others may have any name.
 """
 
 from pyspark.sql import functions as F

@@ -10,7 +10,9 @@ Texts are lower-cased; every run of non-letters counts as one space. Null
 texts and texts without a letter are ``und`` with score 0. Ties go to the
 first language by code point. Repeated rows agree. Without any labelled text
 every row is ``und``. The score is q / (p + q) for the phrase counts p of the
-best and q of the second language (1 with a single language).
+best and q of the second language (1 with a single language). Very long texts are parsed whole,
+slice by slice; an empty table gives no rows. All other columns stay; input columns called
+``lang_pred`` or ``score`` are replaced.
 """
 
 from collections import Counter

@@ -10,7 +10,9 @@ words in repeated windows, are rejected on their own statistics.
 Null and empty texts have no words and are rejected as short. A null host is a
 host of its own. Identical rows count as one document and get the same verdict;
 rows that share an id but not the text are judged apart. Lines without a word
-are ignored. Only DataFrame functions run here.
+are ignored. A line at a limit exactly stays, as does a document. Very long texts and
+lines are taken whole; empty tables give no rows. Only id, text and host are read, so other columns may
+have any name. Only DataFrame functions run here.
 """
 
 from pyspark.sql import functions as F

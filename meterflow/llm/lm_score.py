@@ -19,8 +19,10 @@ so that every word is a target exactly once; the copies are averaged, weighted
 by trained words, on the cluster, once per round.
 
 Null, empty and blank texts have no words: log-likelihood 0, null per word.
-Rows are scored alone, so repeated rows agree. On an empty table the network
-keeps its starting weights.
+Rows are scored alone, so repeated rows agree; words of equal counts take ids in the order of
+their hashes. Very long texts are scored whole, in batches of words. On an empty table the network
+keeps its starting weights. Other columns stay; input columns called ``n_words``, ``log_likelihood``
+or ``per_word`` are replaced.
 """
 
 import numpy as np

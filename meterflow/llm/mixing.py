@@ -13,8 +13,10 @@ is spread over many tasks.
 
 Null texts and texts without words have size 0 and take nothing. A null source
 is a source of its own, after all others. Repeated rows are documents of their
-own. An empty table gives an empty result; if no document has words, all
-targets are 0.
+own; documents that share an id follow each other by size. A very long text is one document of
+many words, of which only the count is used. An empty table gives an empty result; if
+no document has words, all targets are 0. Only id, text and source are read, whatever other columns
+are called.
 """
 
 from pyspark.sql import Window

@@ -2,12 +2,15 @@
 
 Kinds email, ip, card and phone are always reported when pattern and check
 hold. IBANs (mod-97) are a further kind that the checksum alone confirms.
-Digit runs near words such as "phone" or "call" are proposed as ``number`` and reported
-only when the context lifts their score over the threshold.
-
-Null and empty texts have no spans. A row keeps all its other columns; repeated
-rows and ids are each handled alone. All scans are linear in the text, so very
-long texts and long runs of digits or letters cost no more per character.
+Every span has a score from 0 to 1: words nearby that speak for its kind lift it, others
+("version" before an address, "order" before a card) lower it. Digit runs near words such
+as "phone" or "call" are proposed as ``number`` and reported only when the
+context lifts their score over the threshold.
+
+Null and empty texts have no spans, an empty table gives no rows. A row keeps all its other
+columns, whatever their names; repeated rows and ids are each handled alone. Where base kinds overlap all
+are reported; an iban or number never overlaps another span, the earlier one stays. All scans are
+linear in the text, so very long texts and long runs of digits or letters cost no more per character.
 """
 
 
@@ -24,10 +27,22 @@ KINDS = ("email", "ip", "card", "phone")
 EXTRA = ("iban", "number")
 CONTEXT_CHARS = 40
 THRESHOLD = 0.6
-_CONTEXT = {
+# Words nearby that speak for a kind, and words that speak against it.
+_FOR = {
+    "email": re.compile(r"(?i)\b(e-?mail|mail|contact|write|reach)\b"),
+    "ip": re.compile(r"(?i)\b(ip|address|host|server|login)\b"),
+    "card": re.compile(r"(?i)\b(card|visa|credit|debit|payment|cvv)\b"),
+    "phone": re.compile(r"(?i)\b(phone|tel|telephone|call|mobile|fax)\b"),
     "number": re.compile(r"(?i)\b(phone|tel|telephone|call|mobile|fax|ssn|passport|account)\b"),
     "iban": re.compile(r"(?i)\b(iban|account|bank|transfer)\b"),
 }
+_AGAINST = {
+    "email": re.compile(r"(?i)\b(example|sample|placeholder)\b"),
+    "ip": re.compile(r"(?i)\b(version|release|section|chapter)\b"),
+    "card": re.compile(r"(?i)\b(order|invoice|tracking|isbn|serial)\b"),
+    "phone": re.compile(r"(?i)\b(total|sum|score|coordinates)\b"),
+}
+_LIFT = 0.4
 _BASE_SCORE = {"email": 0.9, "ip": 0.8, "card": 0.9, "phone": 0.8, "iban": 0.9, "number": 0.3}
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -107,9 +122,13 @@ def _iban_end(text, start, end):
     return start
 
 
-def _near(kind, text, start, end):
+def _score(kind, text, start, end):
+    """The kind's score, lifted and lowered by words nearby, from 0 to 1."""
     around = text[max(0, start - CONTEXT_CHARS) : start] + " " + text[end : end + CONTEXT_CHARS]
-    return _CONTEXT[kind].search(around) is not None
+    score = _BASE_SCORE[kind] + (_LIFT if _FOR[kind].search(around) else 0.0)
+    if kind in _AGAINST and _AGAINST[kind].search(around):
+        score -= _LIFT
+    return min(1.0, max(0.0, round(score, 9)))
 
 
 def spans(text):
@@ -117,14 +136,14 @@ def spans(text):
     out = []
     has_digit = any(d in text for d in "0123456789")
     if "@" in text:
-        out += [("email", s, e, _BASE_SCORE["email"]) for s, e in emails(text)]
+        out += [("email", s, e, _score("email", text, s, e)) for s, e in emails(text)]
     if not has_digit:
         return out
     if "." in text:
-        out += [("ip", s, e, _BASE_SCORE["ip"]) for s, e in ips(text)]
-    out += [("card", s, e, _BASE_SCORE["card"]) for s, e in cards(text)]
+        out += [("ip", s, e, _score("ip", text, s, e)) for s, e in ips(text)]
+    out += [("card", s, e, _score("card", text, s, e)) for s, e in cards(text)]
     if "+" in text:
-        out += [("phone", s, e, _BASE_SCORE["phone"]) for s, e in phones(text)]
+        out += [("phone", s, e, _score("phone", text, s, e)) for s, e in phones(text)]
     taken = bytearray(len(text))
     for _, s, e, _ in out:
         taken[s:e] = b"\1" * (e - s)
@@ -135,7 +154,7 @@ def spans(text):
                 e = _iban_end(text, s, e)
             if e <= s or 1 in taken[s:e]:
                 continue
-            score = min(1.0, _BASE_SCORE[kind] + (0.4 if _near(kind, text, s, e) else 0.0))
+            score = _score(kind, text, s, e)
             if score >= THRESHOLD:
                 out.append((kind, s, e, score))
                 taken[s:e] = b"\1" * (e - s)

@@ -8,7 +8,9 @@ Cholesky factors that are computed once and shipped to the tasks.
 Null and empty texts have all statistics at zero words and get an ordinary
 score. Rows are scored one by one, so ties and repeated rows agree; labels of
 null value are not learned from. Without rows of both classes every score is
-the share of class 1 (0.5 without any label).
+the share of class 1 (0.5 without any label). Statistics cover whole texts, however long; an
+empty table gives no rows. Only id and text are read for scores; ``keep_good`` leaves all columns,
+whatever their names, as they are.
 """
 
 import numpy as np

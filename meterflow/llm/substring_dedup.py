@@ -8,10 +8,13 @@ such anchor, because some shift below the period puts both starts on the cover
 and ``PERIOD - 1 + ANCHOR <= WINDOW``. Passages around shared anchors are then
 extended to all windows of full length and compared by their hash.
 
-Word order inside a row is the input's; null and blank texts have no words. A
-null id counts as smaller than all others. Rows with the same id are the same
+Word order inside a row is the input's; null and blank texts have no words. Ids may be of any type
+with an order; a null id counts as smaller than all others. Rows with the same id are the same
 document for the order (equal starts are not earlier), but each row is reported.
-Identical rows get identical results. Texts shorter than a window are kept whole.
+Identical rows get identical results. Texts shorter than a window are kept whole, very long ones
+are worked on whole, one at a time. An empty table gives no rows; other columns are not read, whatever
+their names. Windows whose 64-bit hashes agree count as equal: among n different windows a
+false match is expected n * n / 2**65 times, about once in 6 * 10**9 windows.
 """
 
 import hashlib
@@ -21,6 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
+from ..operators.ordered import ranked
 from ..shipping import mapped
 from .blobs import BUCKETS_PER_PARTITION, all_blobs, bucket_of, partitions_for, rows_by_bucket, runs, unpack
 from .store import stored
@@ -33,6 +37,7 @@ ANCHOR = WINDOW - PERIOD + 1
 FLUSH = 1 << 19  # records sorted together before they leave a task
 SLICE_BYTES = 1 << 20
 _NULL_ID = np.int64(-(2**63))
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 _RECORD = (np.uint64, np.int64, np.int64, np.int32)  # hash, row key, id, word position
 
 
@@ -234,7 +239,13 @@ def remove_repeats(df, text_col="text", id_col="doc_id", with_text=False):
     """
     spark = df.sparkSession
     kind = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col), F.col(text_col))
+    rows, places = df.select(F.col(id_col), F.col(text_col)), None
+    if kind not in _WHOLE:
+        # Other ids stand in by their place in their own order.
+        named = df.select(F.col(id_col).alias("__name")).where(F.col("__name").isNotNull()).distinct()
+        places = stored(ranked(named, [], ["__name"], "__place"), "places")
+        rows = rows.join(places, F.col(id_col) == F.col("__name"), "left").select(F.col("__place").alias(id_col), text_col)
+        kind = "bigint"
     base = stored(rows.transform(mapped, _base, f"key long, id {kind}, n_words long, sha string"), "base")
     total = base.agg(F.sum("n_words")).first()[0] or 0
     parts = partitions_for(spark, total * len(COVER) // PERIOD)
@@ -254,6 +265,8 @@ def remove_repeats(df, text_col="text", id_col="doc_id", with_text=False):
         near.select("key", "own", "text").join(repeats, "key").select("key", "own", "text", "places")
         .transform(mapped, lambda it: _cut(it, with_text), fields).dropDuplicates(["key"])
     )
+    if places is not None:
+        base = base.join(places, F.col("id") == F.col("__place"), "left").withColumn("id", F.col("__name"))
     return base.join(cut, "key", "left").select(
         F.col("id").alias(id_col), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("kept_sha", "sha").alias("kept_sha256"), *(["kept_text"] * with_text),

@@ -241,6 +241,28 @@ def test_pii_context_and_checksums():
     assert pii.redact("x a@b.cc y", pii.spans("x a@b.cc y")) == "x [EMAIL] y"
 
 
+def test_pii_context_moves_every_kind():
+    def score(text, kind):
+        return {s[0]: s[3] for s in pii.spans(text)}[kind]
+
+    card = "4111 1111 1111 1111"
+    for kind, value, good, bad in (
+        ("email", "a@b.cc", "contact", "example"), ("ip", "10.0.0.1", "server", "version"), ("card", card, "visa", "invoice"), ("phone", "+1 555 123 4567", "call", "total"),
+    ):
+        plain = score(f"so {value} it is", kind)
+        assert score(f"{good} {value}", kind) > plain > score(f"{bad} {value}", kind) >= 0
+        assert score(f"{good} {'x' * 60} {value}", kind) == plain
+
+
+def test_repeats_with_text_ids(spark):
+    rows = [(i, t) for i, t, *_ in awkward() if i is not None]
+    df = spark.createDataFrame([(f"doc-{i:03d}", t) for i, t in rows] + [(None, rows[0][1])], "doc_id string, text string")
+    numbered = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string")
+    want = sorted((f"doc-{r['doc_id']:03d}" if r["doc_id"] is not None else "", *r[1:]) for r in substring_dedup.op_repeats(numbered).collect())
+    got = sorted((r["doc_id"] or "", *r[1:]) for r in substring_dedup.op_repeats(df).collect())
+    assert got == want
+
+
 def test_pii_keeps_columns_and_rows(spark):
     df = frame(spark, awkward(), **CLASHES)
     out = pii.redact_pii(df)
