@@ -228,9 +228,8 @@ outs AS (SELECT src, count(*) AS o FROM edges GROUP BY src),
 SELECT id, round(r * (SELECT count(*) / sum(r) FROM r{rounds}), 6) AS pagerank FROM r{rounds}"""
 
 
-@query("pagerank_hops", _hops_sql())
-def pagerank_hops(spark, sf_dir):
-    """Customers to nations to regions to suppliers to nations: ranks that change every round."""
+def _hops(spark, sf_dir):
+    """Customers to nations to regions to suppliers to nations: (vertex ids, edges)."""
     customer, supplier, nation = (table(spark, sf_dir, t) for t in ("customer", "supplier", "nation"))
 
     def named(letter, column):
@@ -241,10 +240,35 @@ def pagerank_hops(spark, sf_dir):
     edges = edges.unionByName(nation.select(named("N", "n_nationkey").alias("src"), named("R", "n_regionkey").alias("dst")))
     placed = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
     edges = edges.unionByName(placed.select(named("R", "n_regionkey").alias("src"), named("S", "s_suppkey").alias("dst")))
-    ids = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id"))).distinct()
+    return edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id"))).distinct(), edges
+
+
+@query("pagerank_hops", _hops_sql())
+def pagerank_hops(spark, sf_dir):
+    """Ranks that change every round."""
+    ids, edges = _hops(spark, sf_dir)
     return graph.rank_table(graph.pagerank(ids, edges)).withColumn("pagerank", F.round("pagerank", 6))
 
 
+@query("pagerank_converged", f"""
+WITH RECURSIVE {_HOPS_EDGES_SQL.strip()},
+ids AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges),
+outs AS (SELECT src, count(*) AS o FROM edges GROUP BY src),
+shares AS (SELECT src, dst, count(*) / any_value(o) AS share FROM edges JOIN outs USING (src) GROUP BY src, dst),
+passed(k, id, held) AS (
+  SELECT 0, id, 0.5::DOUBLE FROM ids
+  UNION ALL
+  SELECT k + 1, dst, 0.5 * sum(share * held) FROM passed JOIN shares ON src = id WHERE k < 60 GROUP BY k, dst),
+ranks AS (SELECT id, sum(held) AS r FROM passed GROUP BY id)
+SELECT id, round(r * (SELECT count(*) / sum(r) FROM ranks), 4) AS pagerank FROM ranks
+""")
+def pagerank_converged(spark, sf_dir):
+    """Ranks of the same graph, with a reset of one half, carried to their limit by a shrinking frontier."""
+    ids, edges = _hops(spark, sf_dir)
+    ranks, _ = graph.pagerank_to(ids, edges, reset=0.5, tolerance=1e-6)
+    return ranks.withColumn("pagerank", F.round("pagerank", 4))
+
+
 @query("unlinked_edges", f"""
 WITH {EDGES_SQL}
 SELECT src, dst FROM edges WHERE dst IN ({FAILED_SQL})

@@ -5,6 +5,7 @@ Both algorithms pre-aggregate messages before every shuffle, split hubs with
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,6 +137,78 @@ def pagerank(vertices, edges, reset=0.15, max_iter=10, checkpoint_every=5):
     return ranks.select("id", (F.col("pagerank") * F.lit(scale)).alias("pagerank"))
 
 
+# Frontiers that are summed up at a time.
+FOLD = 16
+
+
+def pagerank_to(vertices, edges, reset=0.15, tolerance=1e-6, max_rounds=1000):
+    """(ranks, moved): ranks within ``tolerance`` of the limit, and the rows moved per round.
+
+    Ranks are those of ``pagerank`` after endlessly many rounds, scaled in the same way; before the scaling
+    none is off by more than ``tolerance``. Every vertex starts with ``reset`` to pass on. A round takes what
+    the vertices of the frontier hold into their ranks and passes ``1 - reset`` of it along their
+    links; the next frontier is the vertices that received more than a bound. So the
+    frontier shrinks, and vertices that are settled cost nothing. What falls under the bound is dropped: over all
+    rounds at most ``tolerance * reset`` in sum, which can raise the ranks by ``tolerance`` at most.
+
+    ``moved`` has a row per round: ``round``, ``frontier`` (vertices) and ``sent`` (link rows). Every frontier is
+    stored, ``FOLD`` of them are folded into the ranks at a time; raises if ``max_rounds`` do not suffice.
+    """
+    if not 0 < reset <= 1 or not 0 < tolerance or max_rounds < 1:
+        raise ValueError("need 0 < reset <= 1, a tolerance above 0 and max_rounds >= 1")
+    spark = vertices.sparkSession
+    ids = durable(vertices.select("id").distinct())
+    size = ids.count()
+    links = edges.groupBy("src", "dst").agg(F.count("*").alias("n"))
+    links = Graph(ids, links).linked_edges()
+    out = links.groupBy("src").agg(F.sum("n").alias("out"), F.count("*").alias("rows"))
+    hot = hot_keys(links, ["src"])
+    shares = durable(skew_join(links, out, ["src"], hot=hot).select("src", "dst", (F.col("n") / F.col("out")).alias("share")))
+    counts = durable(out.select(F.col("src").alias("id"), "rows"))
+    # Laid out once as the rounds join it, hubs in pieces; only what is passed on moves.
+    on = ["src", "piece"] if hot else ["src"]
+    parts = _partitions(spark)
+    placed = with_pieces(shares, ["src"], hot).withColumn("piece", F.pmod(F.xxhash64("src", "dst"), F.col("__pieces")).cast("int")).drop("__pieces")
+    placed = placed.repartition(parts, *on).sortWithinPartitions(*on).persist()
+    placed.count()
+
+    def senders(frontier):
+        rows = frontier.select(F.col("id").alias("src"), "held")
+        if not hot:
+            return rows
+        rows = with_pieces(rows, ["src"], hot)
+        return rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("__pieces") - 1))).drop("__pieces")
+    # As many rounds as it takes the sum passed on to fall below the tolerance.
+    needed, left = 1, float(size) * reset
+    while left > tolerance * reset * reset / 2 and needed < max_rounds:
+        needed, left = needed + 1, left * (1 - reset)
+    bound = tolerance * reset / max(size, 1) / needed
+    frontier = durable(ids.select("id", F.lit(reset).alias("held"), F.lit(0).alias("round")))
+    folded, fresh = None, []
+    for number in range(1, max_rounds + 1):
+        fresh.append(frontier)
+        passed = placed.join(senders(frontier), on).groupBy(F.col("dst").alias("id")).agg((F.sum(F.col("share") * F.col("held")) * (1 - reset)).alias("held"))
+        frontier = durable(passed.where(F.col("held") > bound).withColumn("round", F.lit(number)))
+        done = frontier.isEmpty()
+        if done or len(fresh) == FOLD:
+            log = reduce(DataFrame.unionByName, fresh).join(counts, "id", "left")
+            log = log.groupBy("id").agg(F.sum("held").alias("held"), F.collect_list(F.struct("round", "rows")).alias("seen"))
+            per_round = log.select(F.inline("seen")).groupBy("round").agg(F.count("*").alias("frontier"), F.sum(F.coalesce("rows", F.lit(0))).alias("sent"))
+            log, per_round = durable(log.select("id", "held")), durable(per_round)
+            folded = (log, per_round) if folded is None else tuple(a.unionByName(b) for a, b in zip(folded, (log, per_round), strict=True))
+            fresh = []
+        if done:
+            break
+    else:
+        placed.unpersist()
+        raise RuntimeError(f"ranks are not within {tolerance} after {max_rounds} rounds")
+    placed.unpersist()
+    log, moved = folded
+    ranks = ids.join(log.groupBy("id").agg(F.sum("held").alias("pagerank")), "id", "left").select("id", F.coalesce("pagerank", F.lit(0.0)).alias("pagerank"))
+    total = ranks.agg(F.sum("pagerank")).first()[0]
+    return ranks.select("id", (F.col("pagerank") * F.lit(size / total if total else 1.0)).alias("pagerank")), moved
+
+
 def _turn(vertex, step):
     """A column's vertices in a pseudo-random order that is fresh to each round."""
     return F.struct(F.xxhash64(F.lit(step), F.col(vertex)).alias("turn"), F.col(vertex).alias("v"))

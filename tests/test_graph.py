@@ -190,3 +190,27 @@ def test_load_counts_households_once(spark):
     df = spark.createDataFrame([("T", "a", 1.0), ("T", "a", 2.0), ("T", "b", 3.0)],
                                "transformer_id string, household_id string, electricity_usage_kwh double")
     assert tuple(network.transformer_load(df).first()) == ("T", 6.0, 3, 2)
+
+
+def test_pagerank_to_a_tolerance(spark):
+    rng = random.Random(21)
+    names = [f"v{k}" for k in range(60)]
+    links = [(rng.choice(names[:40]), rng.choice(names)) for _ in range(150)] + [("v0", "v1")] * 3 + [("v2", "nowhere")]
+    ids = spark.createDataFrame([(n,) for n in names], "id string")
+    edges = spark.createDataFrame(links, "src string, dst string")
+    ranks, moved = graph.pagerank_to(ids, edges, reset=0.5, tolerance=1e-6)
+    known = [(a, b) for a, b in links if b in names]
+    out = {a: sum(x == a for x, _ in known) for a in names}
+    want = dict.fromkeys(names, 0.5)
+    for _ in range(300):
+        gain = dict.fromkeys(names, 0.0)
+        for a, b in known:
+            gain[b] += want[a] / out[a]
+        want = {n: 0.5 + 0.5 * gain[n] for n in names}
+    scale = len(names) / sum(want.values())
+    got = {r.id: r.pagerank for r in ranks.collect()}
+    assert set(got) == set(names) and max(abs(got[n] - want[n] * scale) for n in names) < 1e-5
+    rows = sorted(moved.collect(), key=lambda r: r["round"])
+    assert rows[0].frontier == 60 and rows[-1].frontier < rows[0].frontier and rows[-1].sent <= rows[0].sent
+    with pytest.raises(RuntimeError, match="not within"):
+        graph.pagerank_to(ids, edges, tolerance=1e-9, max_rounds=4)
