@@ -285,10 +285,10 @@ WITH {EDGES_SQL}
 SELECT p.reading_id, e.dst, p.date_part FROM parts p JOIN edges e ON p.household_id = e.src
 """)
 def household_edges_with_parts(spark, sf_dir):
-    """Readings joined back to their supply edge by a split join."""
-    from meterflow.skew import skew_join
-
+    """Readings joined back to their supply edge."""
     rows = enrich.add_time_parts(readings(spark, sf_dir))
     g = supply.supply_graph(rows, transformers(spark, sf_dir))
     edges = g.edges.select(F.col("src").alias("household_id"), "dst")
-    return skew_join(rows, edges, ["household_id"]).select("reading_id", "dst", "date_part")
+    return rows.join(edges, "household_id").select("reading_id", "dst", "date_part")
+
+

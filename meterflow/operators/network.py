@@ -9,6 +9,7 @@ from .latest import latest_per_group
 from .ordered import with_next
 
 PLACE = ("district", "ward")
+# Fixed value: the name that stands for no known transformer.
 UNKNOWN = "Unknown_Transformer"
 
 
