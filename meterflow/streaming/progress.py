@@ -9,14 +9,23 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 SCHEMA = (
     "query_id string, type string, batch_id long, ts string, records long, input_rate double, "
-    "processing_rate double, duration_ms long, error string"
+    "processing_rate double, duration_ms long, error string, state_rows long, state_bytes long, late_rows long, watermark string"
 )
 
 
 def progress_row(progress):
-    """One batch's progress (a mapping or a progress object) as a tuple."""
+    """One batch's progress (a mapping or a progress object) as a tuple.
+
+    The state figures are sums over the query's stateful operators: rows and bytes
+    held, and rows that came too late for them; null for a query without state.
+    """
     if not isinstance(progress, dict):
         progress = json.loads(progress.json)
+    state = progress.get("stateOperators") or []
+
+    def summed(name):
+        return sum(operator.get(name) or 0 for operator in state) if state else None
+
     return (
         str(progress.get("id")),
         progress.get("name"),
@@ -27,6 +36,10 @@ def progress_row(progress):
         float(progress.get("processedRowsPerSecond") or 0.0),
         progress.get("durationMs", {}).get("triggerExecution", 0),
         None,
+        summed("numRowsTotal"),
+        summed("memoryUsedBytes"),
+        summed("numRowsDroppedByWatermark"),
+        (progress.get("eventTime") or {}).get("watermark"),
     )
 
 
@@ -74,7 +87,7 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event):
         name = self._names.pop(str(event.id), None)
         if event.exception:
-            self._add((str(event.id), name, None, None, 0, 0.0, 0.0, 0, event.exception), True)
+            self._add((str(event.id), name, None, None, 0, 0.0, 0.0, 0, event.exception, None, None, None, None), True)
         else:
             self.flush()
 

@@ -125,3 +125,21 @@ def test_consumption_plan(spark, tmp_path):
     assert 0 < clean_rows.count() < 300
     fitted = consumption.fit(table)
     assert fitted.metrics.first().n == fitted.predictions.count() == fitted.normality.first().n > 0
+
+
+def test_class_probabilities_equal_the_models(spark):
+    """Expressions against Spark's own transform, for two and three classes, and null features."""
+    rng = np.random.default_rng(31)
+    for classes in (2, 3):
+        x = rng.normal(size=(120, 2))
+        y = np.digitize(x[:, 0] + 0.3 * rng.normal(size=120), [-0.4, 0.5] if classes == 3 else [0.0])
+        rows = spark.createDataFrame([(float(k), *map(float, r)) for k, r in zip(y, x)], "label double, a double, b double")
+        model = classify.fit_logistic(rows, ["a", "b"], params={"maxIter": 50, "regParam": 0.01})
+        ours = classify.predict_class(rows, model, ["a", "b"]).collect()
+        theirs = model.transform(features.assemble(rows, ["a", "b"])).collect()
+        for mine, other in zip(ours, theirs):
+            assert mine.probability == pytest.approx(other.probability.toArray().tolist(), abs=1e-12)
+            assert mine.prediction == other.prediction
+    gaps = rows.selectExpr("label", "CAST(NULL AS DOUBLE) AS a", "b").limit(1)
+    lone = classify.predict_class(gaps, model, ["a", "b"]).first()
+    assert lone.probability is None and lone.prediction is None

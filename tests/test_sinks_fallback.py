@@ -25,7 +25,7 @@ def test_failed_store_is_not_tried_in_every_batch():
 
 def test_progress_is_flushed_by_time(spark, tmp_path):
     log = progress.ProgressLog(spark, str(tmp_path / "log"), flush_rows=100, flush_seconds=0.2)
-    row = lambda b: ("q", "t", b, "2024-01-01T00:00:00Z", 1, 1.0, 1.0, 1, None)
+    row = lambda b: ("q", "t", b, "2024-01-01T00:00:00Z", 1, 1.0, 1.0, 1, None, None, None, None, None)
     log._add(row(0), False)
     assert not (tmp_path / "log").exists()
     time.sleep(0.3)
@@ -35,3 +35,12 @@ def test_progress_is_flushed_by_time(spark, tmp_path):
     time.sleep(0.3)
     log._add(row(2), False)
     assert spark.read.parquet(str(tmp_path / "log")).count() == 3
+
+
+def test_progress_rows_hold_state_figures():
+    report = {
+        "id": "q", "name": "t", "batchId": 3, "timestamp": "2024-01-01T00:00:00Z", "eventTime": {"watermark": "2023-12-31T23:00:00.000Z"},
+        "stateOperators": [{"numRowsTotal": 5, "memoryUsedBytes": 100, "numRowsDroppedByWatermark": 2}, {"numRowsTotal": 1, "memoryUsedBytes": 10, "numRowsDroppedByWatermark": 0}],
+    }
+    assert progress.progress_row(report)[-4:] == (6, 110, 2, "2023-12-31T23:00:00.000Z")
+    assert progress.progress_row({"id": "q", "batchId": 0, "timestamp": "x"})[-4:] == (None, None, None, None)
