@@ -9,7 +9,7 @@ once. The rest goes in exact steps:
   the classes shows to repeat come last in the order, so that a passage many
   documents share makes no groups of its own.
 * Groups with the same members are looked at once. From groups of a class's
-  very first shingles a few pairs are checked at once, and linked classes get
+  very first shingles a few pairs whose sizes and bitmaps allow a link are checked at once, and linked classes get
   a common label; then a few pairs across labels. That settles large families.
 * In every group that still holds several labels a signature tree is built:
   leaves hold classes close in size, inner nodes the OR of their bitmaps and
@@ -21,7 +21,11 @@ once. The rest goes in exact steps:
 Words are lower-cased (A-Z). A text of fewer words than a shingle is one shingle;
 null and blank texts have an empty set and link with nothing. Repeated rows
 share a class, so ids of equal texts link. A null id counts as larger than all
-others and becomes a component id only where no other is there.
+others and becomes a component id only where no other is there. Documents at exactly 3/4 link. Very long
+texts are compared whole; empty tables give no rows; columns other than id and text are not
+read, whatever their names. Classes and shingles are told apart by 64-bit hashes: among n different ones a
+false match is expected n * n / 2**65 times. The links given out are a spanning set: every class is linked
+to its component through some of its links, copies through their class.
 """
 
 import numpy as np
@@ -81,27 +85,48 @@ class Sets:
 
 
 def _profile(batches):
+    """(id, h, n, cls) of every row; with the first row of a class in a task its bitmap and compressed text."""
+    press, seen = zstandard.ZstdCompressor(level=1), set()
     for batch in batches:
         for first, texts in slices(batch.column(2), SLICE_BYTES):
             s = Sets(texts)
+            bits, data = [None] * len(s.n), [None] * len(s.n)
+            for d in np.flatnonzero(s.n > 0).tolist():
+                if s.cls[d] not in seen:
+                    seen.add(s.cls[d])
+                    bits[d] = _bitmap(s.keys[s.ptr[d] : s.ptr[d + 1]]).tobytes()
+                    data[d] = press.compress(texts[d].as_buffer())
             kept = [batch.column(k).slice(first, len(texts)) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(s.n), pa.array(s.cls)], names=["id", "h", "n", "cls"])
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(s.n), pa.array(s.cls), pa.array(bits, pa.binary()), pa.array(data, pa.binary())], names=["id", "h", "n", "cls", "bits", "text"]
+            )
 
 
-def _sampled(batches, buckets):
-    """The shingles of sampled classes by bucket, each class once per task."""
-    seen, held, size = set(), [], 0
+def _pressed_slices(batches):
+    """The compressed texts of a column as string-like arrays of about SLICE_BYTES."""
+    press = zstandard.ZstdDecompressor()
     for batch in batches:
-        for _, texts in slices(batch.column(0), SLICE_BYTES):
-            s = Sets(texts)
-            on = [d for d in np.flatnonzero((s.n > 0) & (mix(s.cls.view(np.uint64)) % np.uint64(SAMPLE) == 0)) if s.cls[d] not in seen]
-            seen.update(s.cls[on].tolist())
-            for d in on:
-                held.append((s.keys[s.ptr[d] : s.ptr[d + 1]], np.full(s.n[d], s.cls[d])))
-                size += s.n[d]
-            if size >= FLUSH:
-                yield _dealt(held, buckets)
+        held, size = [], 0
+        for value in batch.column(0):
+            held.append(press.decompress(value.as_buffer()))
+            size += len(held[-1])
+            if size >= SLICE_BYTES:
+                yield pa.array(held, pa.binary())
                 held, size = [], 0
+        if held:
+            yield pa.array(held, pa.binary())
+
+
+def _sampled(batches, buckets):
+    """The shingles of the classes by bucket."""
+    held, size = [], 0
+    for texts in _pressed_slices(batches):
+        s = Sets(texts)
+        held.append((s.keys, s.cls[s.doc]))
+        size += len(s.keys)
+        if size >= FLUSH:
+            yield _dealt(held, buckets)
+            held, size = [], 0
     if size:
         yield _dealt(held, buckets)
 
@@ -118,10 +143,11 @@ def _repeated(batches):
     yield pa.RecordBatch.from_arrays([pa.array(key[fresh][first[on]].view(np.int64)), pa.array((end - first)[on])], names=["key", "n"])
 
 
-def _common(documents, text_col, shingles):
+def _common(classes, shingles):
     """The most common shingles of the sample, at most COMMON_SHINGLES, sorted."""
-    parts = partitions_for(documents.sparkSession, shingles // SAMPLE)
-    posted = documents.select(text_col).transform(mapped, lambda it: _sampled(it, parts), "bucket int, data binary")
+    parts = partitions_for(classes.sparkSession, shingles // SAMPLE)
+    some = classes.where(F.pmod(F.xxhash64("cls"), F.lit(SAMPLE)) == 0).select("text")
+    posted = some.transform(mapped, lambda it: _sampled(it, parts), "bucket int, data binary")
     counted = posted.repartition(parts, "bucket").transform(mapped, _repeated, "key long, n long")
     top = counted.orderBy(F.desc("n"), "key").limit(COMMON_SHINGLES).select("key").toArrow()
     return np.sort(top.column(0).to_numpy().view(np.uint64))
@@ -129,23 +155,17 @@ def _common(documents, text_col, shingles):
 
 def _postings(batches, buckets, common):
     """(shingle, class, is it one of the first) records of every class's prefix, by bucket."""
-    held, size, seen = [], 0, set()
-    for batch in batches:
-        for _, texts in slices(batch.column(0), SLICE_BYTES):
-            s = Sets(texts, common)
-            new = np.zeros(len(s.n), bool)
-            for d in np.flatnonzero(s.n > 0):
-                if s.cls[d] not in seen:
-                    seen.add(s.cls[d])
-                    new[d] = True
-            prefix = s.n - (3 * s.n + 3) // 4 + 1
-            rank = np.arange(len(s.keys)) - s.ptr[s.doc]
-            take = new[s.doc] & (rank < prefix[s.doc])
-            held.append((s.keys[take], s.cls[s.doc[take]], (rank[take] < LEADS).astype(np.uint8)))
-            size += int(take.sum())
-            if size >= FLUSH:
-                yield _dealt(held, buckets)
-                held, size = [], 0
+    held, size = [], 0
+    for texts in _pressed_slices(batches):
+        s = Sets(texts, common)
+        prefix = s.n - (3 * s.n + 3) // 4 + 1
+        rank = np.arange(len(s.keys)) - s.ptr[s.doc]
+        take = rank < prefix[s.doc]
+        held.append((s.keys[take], s.cls[s.doc[take]], (rank[take] < LEADS).astype(np.uint8)))
+        size += int(take.sum())
+        if size >= FLUSH:
+            yield _dealt(held, buckets)
+            held, size = [], 0
     if size:
         yield _dealt(held, buckets)
 
@@ -228,18 +248,6 @@ def _members(batches):
         )
 
 
-def _class_texts(batches):
-    """(class, compressed text), each class once per task."""
-    pressed, seen = zstandard.ZstdCompressor(level=1), set()
-    for batch in batches:
-        for _, texts in slices(batch.column(0), SLICE_BYTES):
-            s = Sets(texts)
-            on = [d for d in np.flatnonzero(s.n > 0) if s.cls[d] not in seen]
-            seen.update(s.cls[on].tolist())
-            data = [pressed.compress(texts[int(d)].as_buffer()) for d in on]
-            yield pa.RecordBatch.from_arrays([pa.array(s.cls[on]), pa.array(data, pa.binary())], names=["cls", "text"])
-
-
 def _bitmap(keys):
     """One bit per shingle in the next power of two of the set's size, 64 at least."""
     width = max(64, 1 << int(len(keys) - 1).bit_length())
@@ -248,16 +256,18 @@ def _bitmap(keys):
     return np.packbits(bits, bitorder="little")
 
 
-def _signatures(batches):
-    press = zstandard.ZstdDecompressor()
+def _within_bounds(batches):
+    """The (a, b) pairs that sizes and bitmaps do not rule out."""
     for batch in batches:
-        n, maps = [], []
-        texts = pa.array([press.decompress(v.as_buffer()) for v in batch.column(1)], pa.binary())
-        for _, piece in slices(texts, SLICE_BYTES):
-            s = Sets(piece)
-            n += s.n.tolist()
-            maps += [_bitmap(s.keys[s.ptr[d] : s.ptr[d + 1]]).tobytes() for d in range(len(s.n))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(maps, pa.binary())], names=["cls", "n", "bits"])
+        n, m = (batch.column(k).to_numpy() for k in (2, 3))
+        keep = 4 * np.minimum(n, m) >= 3 * np.maximum(n, m)
+        for r in np.flatnonzero(keep).tolist():
+            x, y = (np.frombuffer(batch.column(k)[r].as_buffer(), np.uint64) for k in (4, 5))
+            width = min(len(x), len(y))
+            x, y = _fold(x, width), _fold(y, width)
+            most = min(n[r] - _ones(x), m[r] - _ones(y)) + _ones(x & y)
+            keep[r] = 7 * most >= 3 * (n[r] + m[r])
+        yield batch.filter(pa.array(keep)).select([0, 1])
 
 
 def _similar(pairs, texts):
@@ -474,11 +484,19 @@ def _search(table):
     return pa.table({"a": a, "b": b})
 
 
-def shared_groups(df, shingles, text_col="text"):
-    """(gid, lead, members): distinct lists of classes that share a prefix shingle."""
-    spark = df.sparkSession
-    rows = df.select(text_col)
-    common = spark.sparkContext.broadcast(_common(df, text_col, shingles))
+def possible(pairs, signs):
+    """The (a, b) pairs whose sizes and bitmaps allow a link."""
+    left = signs.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
+    right = signs.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "xa", "xb")
+    return joined.transform(mapped, _within_bounds, "a long, b long")
+
+
+def shared_groups(classes, shingles):
+    """(gid, lead, members): distinct lists of classes that share a prefix shingle, from (cls, text) rows."""
+    spark = classes.sparkSession
+    rows = classes.select("text")
+    common = spark.sparkContext.broadcast(_common(classes, shingles))
     parts = partitions_for(spark, shingles // 4)
     buckets = parts * BUCKETS_PER_PARTITION
     posted = rows.transform(mapped, lambda it: _postings(it, buckets, common.value), "bucket int, data binary")
@@ -493,19 +511,20 @@ def families(df, text_col="text", id_col="doc_id"):
     pairs of classes that link; with equal sets they connect all that links connect."""
     kind = df.schema[id_col].dataType.simpleString()
     hashed = df.select(F.col(id_col), F.xxhash64(text_col).alias("h"), F.col(text_col))
-    profile = stored(hashed.transform(mapped, _profile, f"id {kind}, h long, n long, cls long"), "sets")
+    profile = stored(hashed.transform(mapped, _profile, f"id {kind}, h long, n long, cls long, bits binary, text binary"), "sets")
     shingles = profile.agg(F.sum("n")).first()[0] or 0
-    groups = stored(shared_groups(df, shingles, text_col), "groups")
+    # Once per class and task; the same class from several tasks is as good as one.
+    classes = profile.where("text IS NOT NULL").select("cls", "n", "bits", "text")
+    groups = stored(shared_groups(classes, shingles), "groups")
     wanted = groups.select("gid", "members").transform(mapped, _members, "gid long, cls long").select("cls").distinct()
-    texts = df.select(text_col).transform(mapped, _class_texts, "cls long, text binary")
-    texts = stored(texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")), "texts")
+    one = F.first(F.struct("n", "bits", "text")).alias("c")
+    texts = stored(classes.join(wanted, "cls", "left_semi").groupBy("cls").agg(one).select("cls", "c.*"), "texts")
+    signs = texts.select("cls", "n", "bits")
 
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     tried = durable(groups.select("lead", "members").transform(mapped, _first_pairs, "a long, b long").select(*ordered).distinct())
-    links = durable(verified(tried, texts))
+    links = durable(verified(possible(tried, signs), texts))
     members = groups.where(F.octet_length("members") > 16).select("gid", "members").transform(mapped, _members, "gid long, cls long")
-    signs = texts.join(members.select("cls").distinct(), "cls", "left_semi")
-    signs = durable(signs.transform(mapped, _signatures, "cls long, n long, bits binary"))
     # A few pairs across labels first, then every pair that is still open.
     for search in (_across, _search):
         labels = components(links).withColumnRenamed("node", "cls")
@@ -514,7 +533,7 @@ def families(df, text_col="text", id_col="doc_id"):
         several = several.join(mixed.where("lo <> hi").select("gid", "m"), "gid")
         if search is _search:
             # Open pairs of a large group would be many: it is settled whole, and yields links only.
-            large = several.where(F.col("m") > LARGE).drop("m").join(texts, "cls").select("gid", "cls", "label", "text")
+            large = several.where(F.col("m") > LARGE).drop("m").join(texts.select("cls", "text"), "cls").select("gid", "cls", "label", "text")
             links = durable(links.unionByName(large.groupBy("gid").applyInArrow(_settle, "a long, b long").distinct()))
             several = several.where(F.col("m") <= LARGE)
         found = several.drop("m").join(signs, "cls").groupBy("gid").applyInArrow(search, "a long, b long")
@@ -524,7 +543,8 @@ def families(df, text_col="text", id_col="doc_id"):
     discard(texts, groups)
 
     roots = components(links).withColumnRenamed("node", "cls")
-    return profile.join(roots, "cls", "left").withColumn("family", F.coalesce("root", "cls")).drop("root"), links
+    rows = profile.select("id", "h", "n", "cls")
+    return rows.join(roots, "cls", "left").withColumn("family", F.coalesce("root", "cls")).drop("root"), links
 
 
 def jaccard_components(df, text_col="text", id_col="doc_id"):
