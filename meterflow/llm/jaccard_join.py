@@ -38,9 +38,10 @@ from ..shipping import mapped
 from .blobs import BUCKETS_PER_PARTITION, all_blobs, bucket_of, partitions_for, rows_by_bucket, runs, unpack
 from .components import components
 from .store import discard, stored
-from .text import SLICE_BYTES, Words, mix, per_text_sum, slices, whole, windows
+from .text import Words, mix, per_text_sum, slices, whole, windows
 
 SHINGLE = 5
+SLICE_BYTES = 1 << 19  # of text that a task works on at a time
 FLUSH = 1 << 19
 LEADS = 3  # first shingles whose groups are searched for large families
 SAMPLE = 8  # one class in so many shows which shingles are common
@@ -511,14 +512,14 @@ def families(df, text_col="text", id_col="doc_id"):
     pairs of classes that link; with equal sets they connect all that links connect."""
     kind = df.schema[id_col].dataType.simpleString()
     hashed = df.select(F.col(id_col), F.xxhash64(text_col).alias("h"), F.col(text_col))
-    profile = stored(hashed.transform(mapped, _profile, f"id {kind}, h long, n long, cls long, bits binary, text binary"), "sets")
+    profile = stored(hashed.transform(mapped, _profile, f"id {kind}, h long, n long, cls long, bits binary, text binary"), "sets", "uncompressed")  # texts are compressed already
     shingles = profile.agg(F.sum("n")).first()[0] or 0
     # Once per class and task; the same class from several tasks is as good as one.
     classes = profile.where("text IS NOT NULL").select("cls", "n", "bits", "text")
     groups = stored(shared_groups(classes, shingles), "groups")
     wanted = groups.select("gid", "members").transform(mapped, _members, "gid long, cls long").select("cls").distinct()
     one = F.first(F.struct("n", "bits", "text")).alias("c")
-    texts = stored(classes.join(wanted, "cls", "left_semi").groupBy("cls").agg(one).select("cls", "c.*"), "texts")
+    texts = stored(classes.join(wanted, "cls", "left_semi").groupBy("cls").agg(one).select("cls", "c.*"), "texts", "uncompressed")
     signs = texts.select("cls", "n", "bits")
 
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]

@@ -3,10 +3,10 @@
 from ..durable import remove_folders, work_dir
 
 
-def stored(df, label):
+def stored(df, label, compression="snappy"):
     """``df`` as a Parquet table in the shared folder: computed once, lineage cut."""
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._stored_at = path
     return table
