@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..checks import require_columns
 from ..functions.timeparts import parse_date
 from .latest import latest_per_group
-from .ordered import carried_last, with_next
+from .ordered import with_next
 
 # Slots that one row makes at a time.
 SLOTS = 10_000
@@ -26,9 +26,9 @@ def regular(df, group, ts, columns, step="1 hour", tiebreak=()):
     """One row per group and time step from the group's first to its last: (group, slot, columns, filled).
 
     A step holds its newest reading (ties by ``tiebreak``); a step without any repeats the last known
-    one, with ``filled`` true. Steps count from 1970 in the session's zone if ``ts`` has none. The steps of a
-    group are made in pieces and the last reading is carried over range slices, so one long
-    device may span any number of tasks. Rows without a time are left out.
+    one, with ``filled`` true. Steps count from 1970 in the session's zone if ``ts`` has none. Only readings are
+    shuffled: each takes the step of the one after it over range slices and makes the steps up to there
+    in pieces where it lies, so one long device may span any number of tasks. Rows without a time are left out.
     """
     group, columns = list(group), list(columns)
     require_columns(df, *group, ts, *columns, *tiebreak)
@@ -40,14 +40,12 @@ def regular(df, group, ts, columns, step="1 hour", tiebreak=()):
     slotted = slotted.withColumn("__slot", F.floor(micros / width).cast("long"))
     newest = latest_per_group(slotted, [*group, "__slot"], ts, tiebreak)
     held = newest.select(*group, "__slot", F.struct(*columns).alias("__row"))
-    spans = held.groupBy(*group).agg(F.min("__slot").alias("__a"), F.max("__slot").alias("__b"))
-    pieces = spans.select(*group, "__b", F.explode(F.sequence("__a", "__b", F.lit(SLOTS))).alias("__a"))
-    every = pieces.select(*group, F.explode(F.sequence("__a", F.least("__b", F.col("__a") + SLOTS - 1))).alias("__slot"))
-    every = every.withColumn("__row", F.lit(None).cast(held.schema["__row"].dataType))
-    slots = every.unionByName(held).groupBy(*group, "__slot").agg(F.max_by("__row", F.col("__row").isNotNull()).alias("__row"))
-    carried = carried_last(slots, group, ["__slot"], ["__row"])
-    at = F.timestamp_add("MICROSECOND", F.col("__slot") * width, F.lit("1970-01-01").cast(kind))
-    return carried.select(*group, at.alias("slot"), *[F.col(f"last___row.{c}").alias(c) for c in columns], F.col("__row").isNull().alias("filled"))
+    linked = with_next(held, group, ["__slot"], ["__slot"])
+    linked = linked.withColumn("__b", F.coalesce(F.col("next___slot") - 1, "__slot")).drop("next___slot")
+    pieces = linked.withColumn("__a", F.explode(F.sequence("__slot", "__b", F.lit(SLOTS))))
+    every = pieces.withColumn("__at", F.explode(F.sequence("__a", F.least("__b", F.col("__a") + SLOTS - 1))))
+    at = F.timestamp_add("MICROSECOND", F.col("__at") * width, F.lit("1970-01-01").cast(kind))
+    return every.select(*group, at.alias("slot"), *[F.col(f"__row.{c}").alias(c) for c in columns], (F.col("__at") > F.col("__slot")).alias("filled"))
 
 
 def layout_votes(df, column, layouts=LAYOUTS):

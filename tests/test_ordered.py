@@ -153,6 +153,23 @@ def test_regular_series(spark):
     assert out.count() == 30_001 and out.where("x = 1").count() == 30_000
 
 
+def test_regular_series_moves_readings_only(spark, monkeypatch):
+    stored = []
+
+    def watched(df):
+        out = durable(df)
+        stored.append(out.count())
+        return out
+
+    durable = ordered.durable
+    monkeypatch.setattr(ordered, "durable", watched)
+    t = lambda h: dt.datetime(2024, 3, 9) + dt.timedelta(hours=h)
+    rows = spark.createDataFrame([(d, t(h), h) for d in range(20) for h in (0, 700)], "d int, ts timestamp_ntz, x int")
+    out = series.regular(rows, ["d"], "ts", ["x"])
+    assert out.count() == 20 * 701 and out.where("filled").agg(F.max("x")).first()[0] == 0
+    assert stored == [40]  # no step is shuffled
+
+
 def test_date_layout(spark):
     day = dt.date(2019, 1, 1)
     every = [day + dt.timedelta(days=k) for k in range(400)]
