@@ -2,6 +2,7 @@
 
 import logging
 import time
+from contextlib import contextmanager
 
 from ..checks import require_choice
 
@@ -25,6 +26,20 @@ def _start(writer, checkpoint, name, mode, interval, available_now):
     return writer.start()
 
 
+@contextmanager
+def _adaptive(session):
+    """Adaptive plans for what is built on a batch: Spark turns them off for the session of a stateful
+    query, and writes then drop their rebalancing: every state partition opens a file in every folder."""
+    key = "spark.sql.adaptive.enabled"
+    before = session.conf.get(key)
+    session.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        # The next batch of the query itself is planned as Spark wants it.
+        session.conf.set(key, before)
+
+
 def run_batches(df, process, checkpoint, name=None, mode="append", interval=INTERVAL,
                 available_now=False, bound=None, stateful=None):
     """Hand each micro-batch with rows to ``process(batch, batch_id, **bound)``.
@@ -36,7 +51,8 @@ def run_batches(df, process, checkpoint, name=None, mode="append", interval=INTE
     Batches of stateful queries are handed over unseen: their state is kept
     only when every partition has run, so a look at a few rows would be a second,
     partial run. ``process`` should write such a batch in one job; an empty one
-    writes nothing to partitioned folders. ``stateful`` defaults to update and
+    writes nothing to partitioned folders. What ``process`` builds on such a batch is planned
+    adaptively, as on a table; the query itself is not. ``stateful`` defaults to update and
     complete mode; set it for append queries with a watermark, and where the
     progress counts must not hold the rows of that look.
     """
@@ -48,7 +64,10 @@ def run_batches(df, process, checkpoint, name=None, mode="append", interval=INTE
         if not stateful and batch.isEmpty():
             log.info("%s batch %s: no data", name or "query", batch_id)
             return
-        process(batch, batch_id, **bound)
+        if not stateful:
+            return process(batch, batch_id, **bound)
+        with _adaptive(batch.sparkSession):
+            process(batch, batch_id, **bound)
 
     return _start(df.writeStream.foreachBatch(handle), checkpoint, name, mode, interval, available_now)
 

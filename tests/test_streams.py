@@ -342,3 +342,20 @@ def test_live_plan(spark, tmp_path):
     assert totals == {"household": 4, "area": 1, "total": 5}
     with pytest.raises(ValueError, match="unknown kinds"):
         live.start({"city": streams["area"]}, out, "x")
+
+
+def test_stateful_batches_open_few_files(spark, data, tmp_path):
+    """State partitions do not each write a file into every folder, and the query's own setting stays off."""
+    folder, batch = data
+    newest = state.latest_stream(source(spark, folder), ["device_id"], "hour", tiebreak=["rid"])
+    seen = []
+
+    def process(rows, batch_id):
+        seen.append(rows.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        sinks.write_latest_log(rows, batch_id, str(tmp_path / "log"))
+
+    runner.run_all([runner.run_batches(newest, process, str(tmp_path / "s"), mode="update", available_now=True)])
+    files = [str(f.parent) for f in (tmp_path / "log").rglob("*.parquet")]
+    assert set(seen) == {"true"} and len(files) == len(set(files))
+    got = sinks.read_latest_log(spark, str(tmp_path / "log"), "hour", tiebreak=["rid"])
+    assert ids(got) == ids(latest.latest_at(batch, ["device_id"], "hour", tiebreak=["rid"]))
