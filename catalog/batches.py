@@ -1,7 +1,8 @@
 """Streams that take the events in several batches, out of time order.
 
-The events are first written as several files by a hash of their id; a stream
-reads one file per batch, so every batch but the first brings late rows.
+The events are first written in several parts by a hash of their id; a stream reads
+about a part per batch, so every batch but the first brings late rows. However many
+files a part takes, the number of batches stays below twice that of parts.
 """
 
 from pyspark.sql import functions as F
@@ -26,20 +27,22 @@ FILES = 5
 
 
 def _write(rows, path, key, parts=range(FILES)):
-    """The rows of some of the parts, a file each."""
+    """The rows of some of the parts, a folder each."""
     part = F.pmod(F.xxhash64(key), F.lit(FILES)).cast("int")
     rows = rows.withColumn("part", part).filter(F.col("part").isin(list(parts)))
     sinks.write_partitioned(rows, path, ["part"])
 
 
-def _stream(spark, path, schema):
-    return sources.file_stream(spark, path, schema, max_files=1).drop("part")
+def _stream(spark, path, schema, parts=FILES):
+    """What lies at ``path`` in at least as many batches as parts (a file each where there are fewer files)."""
+    files = len(spark.read.schema(schema).parquet(path).inputFiles())
+    return sources.file_stream(spark, path, schema, max_files=max(1, files // parts)).drop("part")
 
 
 def _events(spark, sf_dir, path, parts=range(FILES)):
     events = table(spark, sf_dir, "events")
     _write(events, path, "event_id", parts)
-    return _stream(spark, path, events.schema)
+    return _stream(spark, path, events.schema, len(parts))
 
 
 def _enriched(events, spark, sf_dir):

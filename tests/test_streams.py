@@ -8,6 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import batches
 from meterflow.operators import enrich, latest, network, usage
 from meterflow.operators.progress import summary
 from meterflow.plans import live, monthly
@@ -359,3 +360,15 @@ def test_stateful_batches_open_few_files(spark, data, tmp_path):
     assert set(seen) == {"true"} and len(files) == len(set(files))
     got = sinks.read_latest_log(spark, str(tmp_path / "log"), "hour", tiebreak=["rid"])
     assert ids(got) == ids(latest.latest_at(batch, ["device_id"], "hour", tiebreak=["rid"]))
+
+
+def test_many_files_make_few_batches(spark, tmp_path):
+    spark.range(400).repartition(40).write.parquet(str(tmp_path / "in"))
+    seen = {}
+
+    def process(rows, batch_id):
+        seen[batch_id] = rows.count()
+
+    stream = batches._stream(spark, str(tmp_path / "in"), "id long, part int")
+    runner.run_all([runner.run_batches(stream, process, str(tmp_path / "s"), available_now=True)])
+    assert batches.FILES <= len(seen) < 2 * batches.FILES and sum(seen.values()) == 400
