@@ -3,9 +3,10 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from meterflow.durable import work_dir
+from meterflow.durable import durable, work_dir
 from meterflow.operators import classify, features, regression, series, stats
 from meterflow.plans import consumption
+from meterflow.skew import partitions_for
 from meterflow.sources.files import read_delimited
 
 from .registry import query
@@ -74,16 +75,23 @@ SELECT count(*) AS n, 0 AS in_both, 0 AS lost, true AS share_fits
 FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem)
 """)
 def random_split(spark, sf_dir):
-    """Which row falls where is up to chance; that the parts are whole, apart and of their size is not."""
+    """Which row falls where is up to chance; that the parts are whole, apart and of their size is not.
+
+    The rows are stored once, so that both parts are drawn from the same ones, in as many pieces as keep
+    a task's sort small; rows and parts then meet in one grouping of as many pieces.
+    """
     keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    rows = _lines(spark, sf_dir).select(*keys).distinct()
+    lines = _lines(spark, sf_dir).select(*keys)
+    pieces = partitions_for(spark, lines.count())
+    rows = durable(lines.repartition(pieces, *keys).distinct())
     train, test = features.split_random(rows)
-    tagged = train.withColumn("a", F.lit(1)).unionByName(test.withColumn("b", F.lit(1)), allowMissingColumns=True)
-    parts = tagged.groupBy(*keys).agg(F.count("a").alias("a"), F.count("b").alias("b"))
-    parts = rows.withColumn("of", F.lit(1)).join(parts, keys, "left")
+    tagged = rows.withColumn("of", F.lit(1))
+    for part, name in ((train, "a"), (test, "b")):
+        tagged = tagged.unionByName(part.withColumn(name, F.lit(1)), allowMissingColumns=True)
+    parts = tagged.repartition(pieces, *keys).groupBy(*keys).agg(*[F.count(c).alias(c) for c in ("of", "a", "b")])
     return parts.agg(
-        F.count("*").alias("n"), F.count_if(F.col("a") + F.col("b") > 1).cast("int").alias("in_both"),
-        F.count_if(F.col("a").isNull()).cast("int").alias("lost"),
+        F.count_if(F.col("of") > 0).alias("n"), F.count_if(F.col("a") + F.col("b") > 1).cast("int").alias("in_both"),
+        F.count_if((F.col("of") > 0) & (F.col("a") + F.col("b") == 0)).cast("int").alias("lost"),
         (F.abs(F.avg("a") - 0.7) < 0.03).alias("share_fits"),
     )
 

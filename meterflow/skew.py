@@ -22,6 +22,8 @@ HOT_ROWS = 100_000
 _INLINE = 64
 _MOST_KEYS = 100_000
 _UNKNOWN = 1 << 60
+# Rows that a task sorts or hashes with ease.
+ROWS_PER_TASK = 1_000_000
 _FIXED = "tinyint smallint int bigint float double boolean date timestamp timestamp_ntz".split()
 
 
@@ -69,6 +71,11 @@ def _partitions(spark):
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def partitions_for(spark, rows, rows_per_task=ROWS_PER_TASK):
+    """As many partitions as keep a task at its rows, the session's number at least."""
+    return max(_partitions(spark), -(-rows // rows_per_task))
+
+
 def key_profile(df, keys, min_rows=None):
     """(rows, {hash of key: number of pieces} for the hot keys) of ``df``.
 

@@ -5,6 +5,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Correlation
 from pyspark.sql import functions as F
 
+from catalog import models as catalog_models
+from meterflow import skew
 from meterflow.operators import classify, features, regression, stats
 from meterflow.plans import consumption
 
@@ -32,6 +34,24 @@ def test_splits_are_whole_and_apart(line):
     assert (train.count(), test.count()) == (140, 60)
 
 
+def test_random_split_grows_in_pieces(spark, sf, monkeypatch):
+    """Rows are stored in as many pieces as their number asks for, and both parts are drawn from those."""
+    stored = []
+
+    def watched(df):
+        stored.append(durable(df))
+        return stored[-1]
+
+    durable = catalog_models.durable
+    monkeypatch.setattr(catalog_models, "durable", watched)
+    monkeypatch.setattr(catalog_models, "partitions_for", lambda session, rows: skew.partitions_for(session, rows, 100))
+    row = catalog_models.random_split(spark, sf).first()
+    assert (row.in_both, row.lost, row.share_fits) == (0, 0, True) and stored[0].count() == row.n
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert stored[0].rdd.getNumPartitions() == -(-lines // 100) > 8
+    assert skew.partitions_for(spark, 0) == 8 and skew.partitions_for(spark, 10**9) == 1000
+
+
 def test_linear_fit_and_metrics(spark, line):
     model = regression.fit_linear(line, ["a", "b"], "y")
     terms = {r.term: r.coefficient for r in regression.coefficients(spark, model, ["a", "b"]).collect()}
