@@ -184,8 +184,8 @@ reach(id) AS (SELECT id FROM lone UNION SELECT b.dst FROM reach r JOIN sym b ON
 SELECT DISTINCT src AS id, CASE WHEN src IN (SELECT id FROM reach) THEN (SELECT id FROM lone) END AS component FROM sym
 """)
 def components_trade(spark, sf_dir):
-    vertices, edges = _trade(spark, sf_dir)
-    return graph.component_table(graph.connected_components(vertices, edges))
+    edges = _trade(spark, sf_dir)[1]
+    return graph.component_table(graph.connected_components(None, edges))
 
 
 def _mixed_key(column):

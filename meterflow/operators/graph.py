@@ -214,40 +214,50 @@ def _turn(vertex, step):
     return F.struct(F.xxhash64(F.lit(step), F.col(vertex)).alias("turn"), F.col(vertex).alias("v"))
 
 
+def _undirected(edges):
+    """Every edge once, its smaller end first."""
+    return edges.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+
+
 def connected_components(vertices, edges, max_rounds=200):
     """(id, component) with the smallest vertex id as the component's label.
 
-    Randomised contraction: in each round every vertex joins the first vertex,
-    in a fresh random order, that it can reach in two steps. Edges are
-    rewritten to those representatives; loops and copies fall away. The number
-    of vertices shrinks by a constant factor per round whatever the shape of
-    the graph, and a hub with its leaves is gone in one. The rounds' maps are
+    ``vertices`` may be None: then they are the ends of the edges, and no edge has to be checked for unknown ones.
+
+    Randomised contraction: in each round every vertex points to its first
+    neighbour in a fresh random order, and joins the first of that one and the one it
+    points to. Edges are rewritten to those representatives; loops and copies fall
+    away. The number of vertices shrinks by a constant factor per round whatever the shape of
+    the graph, and a hub with its leaves is gone in one. Edges are kept once, not
+    in both directions, and pointers are followed over vertices, not over edges. The rounds' maps are
     then followed back from the last to the first.
     """
-    ids = durable(vertices.select("id").distinct())
-    links = durable(edges.select("src", "dst").filter("src <> dst").distinct())
-    links = Graph(ids, links).linked_edges()
-    both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    live = durable(both.distinct())
+    live = durable(_undirected(edges.select("src", "dst").filter("src IS NOT NULL AND dst IS NOT NULL")))
+    if vertices is None:
+        ids = durable(live.select(F.explode(F.array("src", "dst")).alias("id")).distinct())
+        live = live.filter("src <> dst")
+    else:
+        ids = durable(vertices.select("id").distinct())
+        live = durable(Graph(ids, live.filter("src <> dst")).linked_edges())
 
     maps = []
     while True:
-        # Edges go both ways, so sources and targets have the same hot keys.
-        rows, hot = key_profile(live, ["src"])
+        both = live.unionByName(live.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        rows, hot = key_profile(both, ["src"])
         if not rows:
             break
         step = len(maps)
         if step == max_rounds:
             raise RuntimeError("components did not converge")
-        near = live.groupBy(F.col("src").alias("dst")).agg(F.min(_turn("dst", step)).alias("near"))
-        near = near.select("dst", F.least("near", _turn("dst", step)).alias("near"))
-        reach = skew_join(live, near, ["dst"], hot=hot).groupBy("src").agg(F.min("near").alias("near"))
-        chosen = durable(reach.select("src", F.col("near.v").alias("rep")))
+        near = durable(both.groupBy("src").agg(F.min(_turn("dst", step)).alias("near")))
+        after = near.select(F.col("src").alias("at"), F.col("near").alias("after"))
+        reach = skew_join(near.withColumn("at", F.col("near.v")), after, ["at"])
+        chosen = durable(reach.select("src", F.least("near", "after").getField("v").alias("rep")))
         maps.append(chosen)
         moved = skew_join(live, chosen, ["src"], hot=hot).select(F.col("rep").alias("src"), "dst")
         far = chosen.select(F.col("src").alias("dst"), F.col("rep").alias("far"))
         moved = skew_join(moved, far, ["dst"], hot=hot).select("src", F.col("far").alias("dst"))
-        live = durable(moved.filter("src <> dst").distinct())
+        live = durable(_undirected(moved.filter("src <> dst")))
 
     # Follow the maps back: (vertex, representative) of ever earlier rounds.
     found = None

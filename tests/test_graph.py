@@ -214,3 +214,12 @@ def test_pagerank_to_a_tolerance(spark):
     assert rows[0].frontier == 60 and rows[-1].frontier < rows[0].frontier and rows[-1].sent <= rows[0].sent
     with pytest.raises(RuntimeError, match="not within"):
         graph.pagerank_to(ids, edges, tolerance=1e-9, max_rounds=4)
+
+
+def test_components_of_edges_alone(spark):
+    """Without a vertex table the ends are the vertices, those of loops too; edges without an end are none."""
+    edges = [(f"h{k % 3}", f"leaf{k}") for k in range(60)] + [(f"p{k:02d}", f"p{k + 1:02d}") for k in range(30)]
+    edges += [("p05", "p04"), ("p05", "p04"), ("lone", "lone"), (None, "p01"), ("h0", None), (None, None)]
+    got = {r.id: r.component for r in graph.connected_components(None, spark.createDataFrame(edges, "src string, dst string")).collect()}
+    want = {f"leaf{k}": f"h{k % 3}" for k in range(60)} | {f"h{k}": f"h{k}" for k in range(3)} | {f"p{k:02d}": "p00" for k in range(31)} | {"lone": "lone"}
+    assert got == want
