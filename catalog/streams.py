@@ -39,6 +39,10 @@ def _reading_stream(spark, sf_dir):
     return enrich.enrich_household(rows, measure_type="double")
 
 
+def messages_tasks(spark):
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def _finish(query_run):
     runner.run_all([query_run])
 
@@ -127,7 +131,9 @@ QUALIFY row_number() OVER (PARTITION BY device_id, date_part, "hour"
 def stream_messages(spark, sf_dir):
     """JSON messages, some of them broken, through the whole live plan."""
     home = work_dir(spark, "stream_messages")
-    events = _event_stream(spark, sf_dir)
+    # Few, densely packed files hold the events: dealt anew, so that all cores make and parse messages.
+    events = _event_stream(spark, sf_dir).select("event_id", "ts", "user_id", "event_type", "value")
+    events = events.repartition(messages_tasks(spark))
     rows = as_readings(events, spark, sf_dir, keep=["event_type"])
     location = F.struct(*PLACE_COLUMNS).alias("location")
     fields = ["type", "household_id", "device_id", "timestamp", "electricity_usage_kwh", "voltage",

@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from catalog import batches
+from catalog import batches, streams
 from meterflow.operators import enrich, latest, network, usage
 from meterflow.operators.progress import summary
 from meterflow.plans import live, monthly
@@ -372,3 +372,19 @@ def test_many_files_make_few_batches(spark, tmp_path):
     stream = batches._stream(spark, str(tmp_path / "in"), "id long, part int")
     runner.run_all([runner.run_batches(stream, process, str(tmp_path / "s"), available_now=True)])
     assert batches.FILES <= len(seen) < 2 * batches.FILES and sum(seen.values()) == 400
+
+
+def test_messages_are_made_by_all_cores(spark, sf, monkeypatch, tmp_path):
+    """However few files hold the events, their messages lie in many partitions."""
+    taken, sizes = {}, []
+    monkeypatch.setattr(streams.live, "start", lambda found, *_, **__: taken.update(found) or [])
+    monkeypatch.setattr(streams.sinks, "read_latest_log", lambda *_: (_ for _ in ()).throw(StopIteration))
+    with pytest.raises(StopIteration):
+        streams.stream_messages(spark, sf)
+
+    def process(rows, batch_id):
+        sizes.append((rows.rdd.getNumPartitions(), rows.count()))
+
+    runner.run_all([runner.run_batches(taken["household"], process, str(tmp_path / "s"), available_now=True)])
+    events = spark.read.parquet(f"{sf}/events.parquet").count()
+    assert [n for _, n in sizes] == [events] and sizes[0][0] >= 2 * spark.sparkContext.defaultParallelism
