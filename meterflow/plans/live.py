@@ -63,8 +63,9 @@ def write_latest_state(batch, batch_id, path, keys=("device_id",), layout="log",
         minute.unpersist()
 
 
-LOG_SCHEMA = (
-    "type string, batch_id long, ts timestamp, records long, valid long, refused long, duration_ms long"
+LOG_COLUMNS = (
+    ("type", "string"), ("batch_id", "long"), ("ts", "timestamp"), ("records", "long"), ("valid", "long"),
+    ("refused", "long"), ("duration_ms", "long"),
 )
 
 
@@ -91,10 +92,11 @@ def process_messages(batch, batch_id, kind, path, layout="log"):
         kind, batch_id, datetime.fromtimestamp(begun), seen["records"], seen["valid"], seen["refused"],
         round((time.time() - begun) * 1000),
     )
-    log = batch.sparkSession.createDataFrame([entry], LOG_SCHEMA)
+    # One row of literals: no Python worker, one task.
+    log = batch.sparkSession.range(0, 1, 1, 1).select(*[F.lit(value).cast(of).alias(name) for value, (name, of) in zip(entry, LOG_COLUMNS, strict=True)])
     write_partitioned(
         log.withColumn("batch", F.lit(batch_id)), f"{path}/progress", ["type", "batch"],
-        mode="overwrite_partitions",
+        mode="overwrite_partitions", rebalance=False,
     )
 
 
