@@ -525,25 +525,29 @@ def families(df, text_col="text", id_col="doc_id"):
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     tried = durable(groups.select("lead", "members").transform(mapped, _first_pairs, "a long, b long").select(*ordered).distinct())
     links = durable(verified(possible(tried, signs), texts))
+    labels = components(links)
     members = groups.where(F.octet_length("members") > 16).select("gid", "members").transform(mapped, _members, "gid long, cls long")
     # A few pairs across labels first, then every pair that is still open.
     for search in (_across, _search):
-        labels = components(links).withColumnRenamed("node", "cls")
-        several = members.join(labels, "cls", "left").select("gid", "cls", F.coalesce("root", "cls").alias("label"))
+        several = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("gid", "cls", F.coalesce("root", "cls").alias("label"))
         mixed = several.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
         several = several.join(mixed.where("lo <> hi").select("gid", "m"), "gid")
+        settled = None
         if search is _search:
             # Open pairs of a large group would be many: it is settled whole, and yields links only.
             large = several.where(F.col("m") > LARGE).drop("m").join(texts.select("cls", "text"), "cls").select("gid", "cls", "label", "text")
-            links = durable(links.unionByName(large.groupBy("gid").applyInArrow(_settle, "a long, b long").distinct()))
+            settled = large.groupBy("gid").applyInArrow(_settle, "a long, b long").distinct()
             several = several.where(F.col("m") <= LARGE)
         found = several.drop("m").join(signs, "cls").groupBy("gid").applyInArrow(search, "a long, b long")
         more = durable(found.distinct().join(tried, ["a", "b"], "left_anti"))
-        links = durable(links.unionByName(verified(more, texts)))
-        tried = tried.unionByName(more)
+        fresh = verified(more, texts)
+        fresh = durable(fresh if settled is None else fresh.unionByName(settled))
+        tried, links = tried.unionByName(more), links.unionByName(fresh)
+        # What is known of the components stands for all links before.
+        labels = components(labels.toDF("a", "b").unionByName(fresh))
     discard(texts, groups)
 
-    roots = components(links).withColumnRenamed("node", "cls")
+    roots = labels.withColumnRenamed("node", "cls")
     rows = profile.select("id", "h", "n", "cls")
     return rows.join(roots, "cls", "left").withColumn("family", F.coalesce("root", "cls")).drop("root"), links
 

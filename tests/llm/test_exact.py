@@ -7,6 +7,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from meterflow.durable import durable
+from meterflow.llm import components as link_components
 from meterflow.llm import jaccard_join, line_rules, mixing, native, pii, substring_dedup
 
 from .samples import awkward, frame, space_words, text
@@ -80,6 +82,24 @@ def test_jaccard_large_groups_are_settled_whole(spark, monkeypatch):
     assert found(jaccard_join.jaccard_components(frame(spark, rows))) == families(rows)
 
 
+def test_links_of_any_shape_settle_in_few_rounds(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(link_components, "durable", lambda df: stored.append(1) or durable(df))
+    chain = [(k, k + 1) for k in range(300)]
+    star = [(1_000 + k, 500) for k in range(200)]
+    rng = random.Random(4)
+    loose = [(rng.randrange(2_000, 2_400), rng.randrange(2_000, 2_400)) for _ in range(250)]
+    links = chain + star + loose + [(7, 7), (-5, 3_000), (3_000, -5)]
+    rows = spark.createDataFrame(links, "a long, b long").repartition(7)
+    got = [tuple(r) for r in link_components.components(rows).collect()]
+    least = {}
+    for a, b in links:
+        x, y = ({c, *[k for k, v in least.items() if v == least.get(c, c)]} for c in (a, b))
+        least.update(dict.fromkeys(x | y, min(least.get(c, c) for c in (a, b))))
+    assert sorted(got) == sorted((k, v) for k, v in least.items() if k != v)
+    assert len(stored) <= 10
+
+
 def test_jaccard_blocks_of_a_group():
     import numpy as np
     import pyarrow as pa
