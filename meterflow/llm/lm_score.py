@@ -25,6 +25,8 @@ keeps its starting weights. Other columns stay; input columns called ``n_words``
 or ``per_word`` are replaced.
 """
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -41,8 +43,9 @@ VOCABULARY = KNOWN + BUCKETS  # the smallest
 SIDE = 3
 HIDDEN = 24
 ROUNDS = 2  # of training; each takes one position in ROUNDS, together all
-BATCH = 4096  # words scored at once
+BATCH = 1024  # words scored at once, so that their numbers stay in a core's cache
 STEP = 512  # masked words of a training step
+HELD = 4096  # masked words gathered before steps are made of them
 RATE = 0.1
 CHUNK = 1024  # parameters per row when copies are averaged
 SLICE = 1 << 20
@@ -105,6 +108,10 @@ class Vocabulary:
         self.size = int(np.prod(grid(self.known + BUCKETS)))
         self.log_bucket = np.zeros(self.size - self.known)
         self.rest = None
+        # Where the words with each value of the upper bits start, two to four values to a word.
+        bits = len(self.words).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.searchsorted(self.sorted >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
 
     def __getstate__(self):
         return self.__dict__ | {"rest": None}
@@ -113,8 +120,16 @@ class Vocabulary:
         other = self.known + (mix(hashes) % np.uint64(self.size - self.known)).astype(np.int64)
         if not len(self.words):
             return other
-        at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.words) - 1)
-        return np.where(self.sorted[at] == hashes, self.order[at], other)
+        upper = (hashes >> self.shift).astype(np.int64)
+        at, end = self.starts.take(upper), self.starts.take(upper + 1)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            here = at.take(left)
+            found = self.sorted.take(here) == hashes.take(left)
+            other[left[found]] = self.order.take(here[found])
+            at[left] += 1
+            left = left[~found & (here + 1 < end.take(left))]
+        return other
 
 
 def _bucket_counts(batches, words):
@@ -173,52 +188,110 @@ def start_weights(log_frequency, seed=7):
     return {k: v.astype(np.float32) for k, v in weights.items()}
 
 
-def neighbours(ids, ptr, edge):
-    """Ids around every word, by place; ``edge`` stands beyond the text's ends."""
-    n = len(ids)
-    text = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
-    out = np.full((n, len(_PLACES)), edge, np.int64)
-    for column, k in enumerate(_PLACES):
-        if abs(k) >= n:
-            continue
-        here = slice(max(0, -k), n - max(0, k))
-        there = slice(max(0, k), n + min(0, k))
-        same = text[here] == text[there]
-        out[here, column] = np.where(same, ids[there], edge)
+def laid_out(ids, ptr, edge, turn=0, rounds=1):
+    """(ids in lines of ``rounds``, lines whose first id is a target of this round).
+
+    ``edge`` fills up lines and stands at least SIDE times around every text.
+    Over all rounds every word is a target once.
+    """
+    count = np.diff(ptr)
+    before = -(-SIDE // rounds) * rounds
+    # The mask moves with the text, so that it does not fall on the same places of all.
+    lead = np.where(count > 0, before + (per_text_sum(ids, ptr) - turn) % rounds, 0)
+    size = -(-(lead + count) // rounds) * rounds
+    at = np.arange(len(ids)) + np.repeat(np.cumsum(size) - size + lead - ptr[:-1], count)
+    lines = np.full((int(size.sum()) + before) // rounds * rounds, edge, np.int64)
+    lines[at] = ids
+    return lines.reshape(-1, rounds), at[at % rounds == 0] // rounds
+
+
+def _reach(rounds):
+    """Lines before and after its own that a target's neighbours lie in."""
+    return -(-SIDE // rounds), SIDE // rounds
+
+
+@functools.cache
+def _blocks(rounds):
+    """(line, part of its vectors, part of ``place``) of a target's neighbours; lines count from the first in reach."""
+    before, after = _reach(rounds)
+    out = []
+    for line in range(-before, after + 1):
+        held = [k for k in range(line * rounds, (line + 1) * rounds) if k in _PLACES]
+        if held:
+            column, place = held[0] - line * rounds, _PLACES.index(held[0])
+            out.append((line + before, slice(column * HIDDEN, (column + len(held)) * HIDDEN), slice(place * HIDDEN, (place + len(held)) * HIDDEN)))
     return out
 
 
-def _hidden(w, around):
-    """(embeddings of all places side by side, hidden units)."""
-    near = w["embed"][around].reshape(len(around), -1)
-    return near, np.tanh(near @ w["place"] + w["hidden_bias"])
+def _vectors(w, lines):
+    return w["embed"].take(lines.ravel(), 0).reshape(len(lines), -1)
+
+
+def _hidden(w, vectors, rounds):
+    """Hidden units of the first word of every line but those that are only reached by others."""
+    n = len(vectors) - sum(_reach(rounds))
+    x = np.zeros((n, HIDDEN), np.float32)
+    for line, part, place in _blocks(rounds):
+        x += vectors[line : line + n, part] @ w["place"][place]
+    x += w["hidden_bias"]
+    return np.tanh(x, out=x)
 
 
 def _digits(w, ids):
     """(bias row, digit) per level."""
     b, c = w["to_1"].shape[1], w["to_2"].shape[1]
-    top, middle = ids // (b * c), ids // c
-    return [(np.zeros_like(ids), top), (top, middle % b), (middle, ids % c)]
+    middle = ids // c
+    top = middle // b
+    return [(np.zeros_like(ids), top), (top, middle - top * b), (middle, ids - middle * c)]
 
 
-def _exp(w, hidden, level, row):
-    """Logits of a level and their exponentials, both less the row's maximum."""
+def _logits(w, hidden, level, row):
     x = hidden @ w[f"to_{level}"]
-    x += w[f"bias_{level}"][row]
-    x -= x.max(1, keepdims=True)
-    return x, np.exp(x)
+    x += w[f"bias_{level}"].take(row, 0) if level else w["bias_0"]
+    return x
+
+
+def _exp(w, hidden, level, row, digit):
+    """(places of the digits, their logits, exponentials of all logits, sums of these); a row's logits may be shifted."""
+    x = _logits(w, hidden, level, row)
+    at = np.arange(0, x.size, x.shape[1]) + digit
+    own = x.ravel()[at]
+    ones = np.ones(x.shape[1], np.float32)
+    with np.errstate(over="ignore"):
+        total = np.exp(x, out=x) @ ones
+    if len(x) and not 1e-30 < total.min() <= total.max() < 1e30:  # too far from 1 for a float
+        x = _logits(w, hidden, level, row)
+        x -= x.max(1, keepdims=True)
+        own = x.ravel()[at]
+        total = np.exp(x, out=x) @ ones
+    return at, own, x, total
+
+
+def _log_digits(w, hidden, ids):
+    out = np.zeros(len(ids), np.float64)
+    for level, (row, digit) in enumerate(_digits(w, ids)):
+        _, own, _, total = _exp(w, hidden, level, row, digit)
+        out += own - np.log(total)
+    return out
 
 
 def log_probabilities(w, around, ids):
-    """Log-probability of every id given its neighbours."""
+    """Log-probability of every id given its neighbours, by place."""
     out = np.zeros(len(ids), np.float64)
     for a in range(0, len(ids), BATCH):
-        b = min(a + BATCH, len(ids))
-        _, hidden = _hidden(w, around[a:b])
-        at = np.arange(b - a)
-        for level, (row, digit) in enumerate(_digits(w, ids[a:b])):
-            x, e = _exp(w, hidden, level, row)
-            out[a:b] += x[at, digit] - np.log(e @ np.ones(e.shape[1], np.float32))
+        near = w["embed"][around[a : a + BATCH]].reshape(-1, len(_PLACES) * HIDDEN)
+        out[a : a + BATCH] = _log_digits(w, np.tanh(near @ w["place"] + w["hidden_bias"]), ids[a : a + BATCH])
+    return out
+
+
+def text_log_probabilities(w, ids, ptr):
+    """Log-probability of every word of whole texts; a word's vector is fetched once, not once per neighbour."""
+    lines, at = laid_out(ids, ptr, len(w["embed"]) - 1)
+    out = np.zeros(len(ids), np.float64)
+    for a in range(0, len(ids), BATCH):
+        here = at[a : a + BATCH]
+        hidden = _hidden(w, _vectors(w, lines[here[0] - SIDE : here[-1] + SIDE + 1]), 1)
+        out[a : a + BATCH] = _log_digits(w, hidden.take(here - here[0], 0), ids[a : a + BATCH])
     return out
 
 
@@ -228,36 +301,55 @@ def _adagrad(w, squares, name, g, rate):
 
 
 def _adagrad_rows(w, squares, name, key, g, rate):
-    """Sum the gradients of equal rows, then touch each row once."""
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first, _ = runs(key)
-    g = np.add.reduceat(g[order], first, axis=0)
+    """Sum the gradients of equal rows, which lie together, then touch each row once."""
+    new = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    # Two floats go as one complex number, which halves the additions.
+    g = np.add.reduceat(g.view(np.complex64), first, axis=0).view(np.float32)
     at = key[first]
-    new = squares[name][at] + g * g
+    new = squares[name].take(at, 0)
+    new += g * g
     squares[name][at] = new
-    w[name][at] -= rate * g / np.sqrt(new + 1e-8)
+    new += np.float32(1e-8)
+    np.sqrt(new, out=new)
+    g *= np.float32(rate)
+    g /= new
+    w[name][at] = w[name].take(at, 0) - g
 
 
 def _step(w, squares, around, ids, rate):
-    """One Adagrad step on a batch of masked words."""
-    near, hidden = _hidden(w, around)
-    at, back, levels = np.arange(len(ids)), 0, []
+    """One Adagrad step on a batch of masked words; ``around``: lines of ids and the lines that the words begin."""
+    lines, at = around
+    rounds = lines.shape[1]
+    vectors = _vectors(w, lines)
+    every = _hidden(w, vectors, rounds)
+    # In the order of the ids, the words of a bias row lie together on every level.
+    order = np.argsort(ids)
+    ids, at = ids[order], at[order] - _reach(rounds)[0]
+    hidden, back, share = every.take(at, 0), 0, np.float32(1 / len(ids))
     for level, (row, digit) in enumerate(_digits(w, ids)):
-        _, p = _exp(w, hidden, level, row)
-        p /= (p @ np.ones(p.shape[1], np.float32))[:, None]
-        p[at, digit] -= 1
-        p /= np.float32(len(ids))
+        own, _, p, total = _exp(w, hidden, level, row, digit)
+        p *= (share / total)[:, None]
+        p.ravel()[own] -= share
         back = back + p @ w[f"to_{level}"].T
-        levels.append((row, p))
-    back *= 1 - hidden * hidden
-    to_near = (back @ w["place"].T).reshape(-1, HIDDEN)
-    for level, (row, p) in enumerate(levels):
         _adagrad(w, squares, f"to_{level}", hidden.T @ p, rate)
-        _adagrad_rows(w, squares, f"bias_{level}", row, p, rate)
-    _adagrad(w, squares, "hidden_bias", back.sum(0), rate)
-    _adagrad(w, squares, "place", near.T @ back, rate)
-    _adagrad_rows(w, squares, "embed", around.ravel(), to_near, rate)
+        if level:
+            _adagrad_rows(w, squares, f"bias_{level}", row, p, rate)
+        else:
+            _adagrad(w, squares, "bias_0", np.ones((1, len(p)), np.float32) @ p, rate)
+    back *= 1 - hidden * hidden
+    _adagrad(w, squares, "hidden_bias", np.ones(len(back), np.float32) @ back, rate)
+    spread = np.zeros_like(every)
+    spread[at] = back
+    n, to_vectors, to_place = len(every), np.zeros_like(vectors), np.empty_like(w["place"])
+    for line, part, place in _blocks(rounds):
+        to_vectors[line : line + n, part] += spread @ w["place"][place].T
+        to_place[place] = vectors[line : line + n, part].T @ spread
+    _adagrad(w, squares, "place", to_place, rate)
+    key = lines.ravel()
+    order = np.argsort(key)
+    _adagrad_rows(w, squares, "embed", key[order], to_vectors.reshape(-1, HIDDEN).take(order, 0), rate)
 
 
 def _flat(w):
@@ -272,37 +364,32 @@ def _shaped(flat, like):
     return out
 
 
-def _masked(ids, ptr, turn, rounds):
-    """Which words are targets of this round; over all rounds every word is, once."""
-    # The mask moves with the text, so that it does not fall on the same places of all.
-    count = np.diff(ptr)
-    shift = np.repeat(per_text_sum(ids, ptr), count)
-    place = np.arange(len(ids)) - np.repeat(ptr[:-1], count)
-    return (place + shift) % rounds == turn
-
-
 def _train_copy(batches, words, start, turn, rounds, rate):
     """Rows (chunk, words trained on, weights) of a copy trained on one partition."""
     w = {k: v.copy() for k, v in start.items()}
     squares = {k: np.full(v.shape, 1e-4, np.float32) for k, v in w.items()}
-    trained, held, size = 0, [], 0
+    trained, held, size, length = 0, [], 0, 0
+    before, after = _reach(rounds)
 
     def step():
-        around, ids = (np.concatenate(x) for x in zip(*held, strict=True))
-        for a in range(0, len(ids), STEP):
-            _step(w, squares, around[a : a + STEP], ids[a : a + STEP], rate)
-        return len(ids)
+        lines, targets = (np.concatenate(x) for x in zip(*held, strict=True))
+        for a in range(0, len(targets), STEP):
+            at = targets[a : a + STEP]
+            first = at[0] - before
+            _step(w, squares, (lines[first : at[-1] + after + 1], at - first), lines[at, 0], rate)
+        return len(targets)
 
     for batch in batches:
         for _, texts in slices(batch.column(0), SLICE):
             t = Words(texts)
             ids = words.ids(t.hashes(lower=True))
-            hidden = _masked(ids, t.ptr, turn, rounds)
-            held.append((neighbours(ids, t.ptr, words.size)[hidden], ids[hidden]))
-            size += int(hidden.sum())
-            if size >= BATCH:
+            lines, at = laid_out(ids, t.ptr, words.size, turn, rounds)
+            held.append((lines, at + length))
+            size += len(at)
+            length += len(lines)
+            if size >= HELD:
                 trained += step()
-                held, size = [], 0
+                held, size, length = [], 0, 0
     if size:
         trained += step()
     if trained:
@@ -370,7 +457,7 @@ def score(df, words, weights, text_col="text"):
                 t = Words(texts)
                 hashes = t.hashes(lower=True)
                 ids = words.ids(hashes)
-                value = log_probabilities(weights, neighbours(ids, t.ptr, words.size), ids)
+                value = text_log_probabilities(weights, ids, t.ptr)
                 other = np.flatnonzero(ids >= words.known)
                 value[other] -= words.log_bucket[ids[other] - words.known]
                 counts.append(t.count)

@@ -375,6 +375,88 @@ def test_every_word_is_trained_on_once(spark, monkeypatch, rounds):
     assert max(seen) < 1.1 * min(seen)
 
 
+def around_by_loop(ids, ptr, edge):
+    text = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
+    places = [k for k in range(-lm_score.SIDE, lm_score.SIDE + 1) if k]
+    return np.array([[ids[t + k] if 0 <= t + k < len(ids) and text[t + k] == text[t] else edge for k in places] for t in range(len(ids))])
+
+
+def small_model(seed):
+    rng = np.random.default_rng(seed)
+    weights = lm_score.start_weights(np.log(rng.dirichlet(np.ones(lm_score.VOCABULARY))))
+    count = np.array([0, 1, 2, 7, 0, 40, 3, 25, 1, 0])
+    ids = rng.integers(0, 60, count.sum()) * rng.integers(1, 30, count.sum())
+    return weights, ids, np.concatenate([[0], np.cumsum(count)])
+
+
+def test_word_ids_equal_a_dictionary():
+    rng = np.random.default_rng(4)
+    near = rng.integers(-(2**63), 2**63, 40)
+    for words in ([], [7], np.unique(np.concatenate([near, near[:20] + 1, rng.integers(-(2**63), 2**63, 5000)]))):
+        known = lm_score.Vocabulary(words)
+        hashes = np.concatenate([np.array(words, np.int64), near + 2, [7]]).view(np.uint64)
+        by_word = {w: k for k, w in enumerate(np.array(words, np.int64).view(np.uint64).tolist())}
+        got = known.ids(hashes).tolist()
+        assert all(by_word[h] == k if h in by_word else k >= known.known for h, k in zip(hashes.tolist(), got, strict=True))
+
+
+def test_texts_score_like_their_words():
+    weights, ids, ptr = small_model(5)
+    want = lm_score.log_probabilities(weights, around_by_loop(ids, ptr, lm_score.VOCABULARY), ids)
+    assert np.allclose(lm_score.text_log_probabilities(weights, ids, ptr), want, atol=1e-4)
+    # Logits beyond a float's exponentials.
+    weights["bias_1"][:, 0] += 200
+    want = lm_score.log_probabilities(weights, around_by_loop(ids, ptr, lm_score.VOCABULARY), ids)
+    assert np.isfinite(want).all() and np.allclose(lm_score.text_log_probabilities(weights, ids, ptr), want, atol=1e-2)
+    assert len(lm_score.text_log_probabilities(weights, ids[:0], ptr[:1])) == 0
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3, 5])
+def test_a_training_step_follows_the_gradient(rounds):
+    start, ids, ptr = small_model(rounds)
+    around = around_by_loop(ids, ptr, lm_score.VOCABULARY)
+    shift = [ids[a:b].sum() for a, b in zip(ptr, ptr[1:], strict=False)]
+    for turn in range(rounds):
+        lines, at = lm_score.laid_out(ids, ptr, lm_score.VOCABULARY, turn, rounds)
+        target = np.array([a + k for a, b, s in zip(ptr, ptr[1:], shift, strict=False) for k in range(b - a) if (k + s) % rounds == turn])
+        assert lines[at, 0].tolist() == ids[target].tolist()
+        got = {k: v.copy() for k, v in start.items()}
+        lm_score._step(got, {k: np.full(v.shape, 1e-4, np.float32) for k, v in got.items()}, (lines, at), lines[at, 0], 0.1)
+        # The same, word by word.
+        gradient = {k: np.zeros(v.shape) for k, v in start.items()}
+        sizes = lm_score.grid(lm_score.VOCABULARY)
+        for t in target:
+            near = start["embed"][around[t]].ravel().astype(float)
+            hidden, back, row = np.tanh(near @ start["place"] + start["hidden_bias"]), 0, 0
+            for level, digit in enumerate(np.unravel_index(ids[t], sizes)):
+                p = np.exp(hidden @ start[f"to_{level}"] + start[f"bias_{level}"][row])
+                p /= p.sum()
+                p[digit] -= 1
+                gradient[f"bias_{level}"][row] += p
+                gradient[f"to_{level}"] += np.outer(hidden, p)
+                back = back + start[f"to_{level}"] @ p
+                row = row * sizes[level] + digit
+            back *= 1 - hidden**2
+            gradient["hidden_bias"] += back
+            gradient["place"] += np.outer(near, back)
+            np.add.at(gradient["embed"], around[t], (start["place"] @ back).reshape(-1, lm_score.HIDDEN))
+        for name, g in gradient.items():
+            g /= len(target)
+            assert np.allclose(got[name], start[name] - 0.1 * g / np.sqrt(1e-4 + g * g + 1e-8), atol=1e-5), name
+
+
+def test_a_step_fetches_a_word_once_not_once_per_neighbour(spark, monkeypatch):
+    rng = random.Random(9)
+    df = frame(spark, [(k, " ".join(words(rng, 200)), None, None) for k in range(50)])
+    known = lm_score.vocabulary(df)[0]
+    fetched = []
+    monkeypatch.setattr(lm_score, "_step", lambda w, squares, around, ids, rate: fetched.append((np.size(around if isinstance(around, np.ndarray) else around[0]), len(ids))))
+    start = lm_score.start_weights(np.log(np.full(known.size, 1 / known.size)))
+    for turn in range(2):
+        list(lm_score._train_copy(df.select("text").toArrow().to_batches(), known, start, turn, 2, 0.1))
+    assert sum(n for n, _ in fetched) < 2.5 * sum(n for _, n in fetched)
+
+
 def grams(w):
     return [tuple(w[k : k + 5]) for k in range(len(w) - 4)] if len(w) >= 5 else ([tuple(w)] if w else [])
 
