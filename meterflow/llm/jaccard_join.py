@@ -11,10 +11,14 @@ once. The rest goes in exact steps:
 * Groups with the same members are looked at once. From groups of a class's
   very first shingles a few pairs whose sizes and bitmaps allow a link are checked at once, and linked classes get
   a common label; then a few pairs across labels. That settles large families.
+* Large groups that begin with the same class, in an order by hash, are searched
+  as one where that takes no more pairs: the groups of a family hold much the same classes.
 * In every group that still holds several labels a signature tree is built:
   leaves hold classes close in size, inner nodes the OR of their bitmaps and
   their size range. Pairs of nodes are followed down together, and dropped if the
   sizes, the bitmaps' largest possible overlap or the labels rule out a new link.
+  Bitmaps of a large group are made for it: the shingles that most of its classes
+  hold have a bit of their own.
 * Remaining pairs are compared shingle by shingle: those of large groups at once
   and only while their labels are apart, those of others one by one.
 
@@ -50,6 +54,8 @@ COMMON_SHINGLES = 500_000  # most of them that are put last (a plan choice, not
 FAMILY = 64  # classes of a family compared with one of them
 LARGE = 128  # members of a group from which its open pairs are compared where they are found
 BLOCK = 4096  # members of a group handled together
+PIECE_SHINGLES = 4_000_000  # of the members handled together, about
+BITS = 4096  # of a bitmap made for a group
 LEAF = 32
 FAN = 8
 _TOP = np.uint64(1 << 63)
@@ -249,6 +255,21 @@ def _members(batches):
         )
 
 
+def _keyed_members(batches):
+    """(gid, key, m, cls): the members of groups with the group's size and its first member in an order by hash."""
+    for batch in batches:
+        gid, key, size, flat = [], [], [], [np.empty(0, np.int64)]
+        for g, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            m = np.frombuffer(value.as_buffer(), np.int64)
+            gid.append(g)
+            key.append(m[np.argmin(mix(m.view(np.uint64)))])
+            size.append(len(m))
+            flat.append(m)
+        size = np.array(size, np.int64)
+        columns = [np.repeat(np.array(c, np.int64), size) for c in (gid, key, size)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in [*columns, np.concatenate(flat)]], names=["gid", "key", "m", "cls"])
+
+
 def _bitmap(keys):
     """One bit per shingle in the next power of two of the set's size, 64 at least."""
     width = max(64, 1 << int(len(keys) - 1).bit_length())
@@ -338,8 +359,30 @@ def _ones(bits):
     return np.bitwise_count(bits).sum(-1, dtype=np.int64)
 
 
-def signature_tree(n, bits, labels):
-    """Root over rows sorted by size. ``bits``: a word array per row."""
+def shared_bitmaps(sets):
+    """(held, bits): how many shingles of each set another one holds too, and a
+    bitmap of these, of one width for all sets. The most frequent have a bit of
+    their own, as have all where BITS are enough; the others share bits."""
+    keys, times = np.unique(np.concatenate(sets), return_counts=True)
+    keys, times = keys[times > 1], times[times > 1]
+    bit = np.empty(len(keys), np.int64)
+    bit[np.argsort(-times, kind="stable")] = np.arange(len(keys))
+    width = min(BITS, max(64, 1 << max(0, len(keys) - 1).bit_length()))
+    if len(keys) > width:
+        half = width // 2
+        bit = np.where(bit < half, bit, half + bit % half)
+    held, bits = np.zeros(len(sets), np.int64), np.zeros((len(sets), width), np.uint8)
+    for k, own in enumerate(sets if len(keys) else ()):
+        at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+        at = at[keys[at] == own]
+        held[k] = len(at)
+        bits[k, bit[at]] = 1
+    return held, np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+
+
+def signature_tree(n, bits, labels, held=None):
+    """Root over rows sorted by size. ``bits``: a word array per row, of ``held`` shingles (all, if not given)."""
+    held = n if held is None else held
     level = []
     for lo in range(0, len(n), LEAF):
         hi = min(lo + LEAF, len(n))
@@ -347,7 +390,7 @@ def signature_tree(n, bits, labels):
         own = np.stack([_fold(b, width) for b in bits[lo:hi]])
         label = labels[lo] if (labels[lo:hi] == labels[lo]).all() else None
         # A set has at most this many more shingles than bits.
-        slack = int((n[lo:hi] - _ones(own)).max())
+        slack = int((held[lo:hi] - _ones(own)).max())
         level.append(Node(lo, hi, None, own, int(n[lo]), int(n[hi - 1]), slack, label))
     tops = [(node, np.bitwise_or.reduce(node.bits, axis=0)) for node in level]
     while len(tops) > 1:
@@ -378,10 +421,11 @@ def _may_link(x, ux, y, uy):
     return 7 * most >= 3 * (x.least + y.least)
 
 
-def open_pairs(n, bits, labels):
+def open_pairs(n, bits, labels, held=None):
     """(rows, rows) arrays, leaf by leaf, of the pairs with different labels that
     the tree over rows sorted by size cannot rule out."""
-    root = signature_tree(n, bits, labels)
+    held = n if held is None else held
+    root = signature_tree(n, bits, labels, held)
     todo = [(root, root)]
     while todo:
         (x, ux), (y, uy) = todo.pop()
@@ -394,7 +438,8 @@ def open_pairs(n, bits, labels):
             bx, by = _fold(x.bits, width), _fold(y.bits, width)
             nx, ny = n[x.lo : x.hi, None], n[None, y.lo : y.hi]
             common = _ones(bx[:, None, :] & by[None, :, :])
-            most = np.minimum(nx - _ones(bx)[:, None], ny - _ones(by)[None, :]) + common
+            spare = [held[z.lo : z.hi] - _ones(b) for z, b in ((x, bx), (y, by))]
+            most = np.minimum(spare[0][:, None], spare[1][None, :]) + common
             fit = (7 * most >= 3 * (nx + ny)) & (4 * np.minimum(nx, ny) >= 3 * np.maximum(nx, ny))
             fit &= labels[x.lo : x.hi, None] != labels[None, y.lo : y.hi]
             i, j = np.nonzero(np.triu(fit, 1) if x is y else fit)
@@ -420,14 +465,15 @@ def tree_pairs(cls, n, bits, labels):
 
 
 def spanning_links(cls, sets, labels):
-    """Links among the rows that join all labels that any link joins, each pair
-    compared in full as long as its labels are apart: fewer links than rows."""
+    """Links among the rows that join all labels that any link joins, each pair that
+    the group's bitmaps allow compared in full while its labels are apart: fewer links than rows."""
     n = np.array([len(s) for s in sets])
     order = np.lexsort((cls, n))
     cls, n, labels = cls[order], n[order], labels[order].copy()
     sets = [sets[k] for k in order]
     left, right = [], []
-    for rows, others in open_pairs(n, [_bitmap(s).view(np.uint64) for s in sets], labels.copy()):
+    held, bits = shared_bitmaps(sets)
+    for rows, others in open_pairs(n, bits, labels.copy(), held):
         apart = labels[rows] != labels[others]
         for i, j in zip(rows[apart].tolist(), others[apart].tolist(), strict=True):
             if labels[i] != labels[j] and _enough(sets[i], sets[j]):
@@ -506,6 +552,38 @@ def shared_groups(classes, shingles):
     return found.groupBy("gid").agg(F.max("lead").alias("lead"), F.first("members").alias("members"))
 
 
+def searched(groups, signs):
+    """(gid, cls, pieces): the members of groups of more than two classes. Large groups with the
+    same first member become one where its pairs are no more than theirs together. ``pieces``: how
+    many a large group has to be cut into; null for others."""
+    size = F.octet_length("members") / 8
+    small = groups.where((size > 2) & (size <= LARGE)).select("gid", "members").transform(mapped, _members, "gid long, cls long")
+    rows = groups.where((size > 2) & (size > LARGE)).select("gid", "members").transform(mapped, _keyed_members, "gid long, key long, m long, cls long")
+    # A group's size once per member: its pairs, twice.
+    union = rows.groupBy("key", "cls").agg(F.sum("m").alias("pairs"))
+    joint = union.groupBy("key").agg(F.count("*").alias("m"), F.sum("pairs").alias("pairs")).where("m * m <= pairs").select("key")
+    large = union.join(joint, "key", "left_semi").select(F.col("key").alias("gid"), "cls")
+    large = large.unionByName(rows.join(joint, "key", "left_anti").select("gid", "cls"))
+    sizes = large.join(signs.select("cls", "n"), "cls").groupBy("gid").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    whole_one = (F.col("m") <= BLOCK) & (F.col("n") <= PIECE_SHINGLES)
+    pieces = F.when(whole_one, 1).otherwise(F.greatest(F.ceil(F.col("m") * 2 / BLOCK), F.ceil(F.col("n") * 2 / PIECE_SHINGLES), F.lit(2)))
+    large = large.join(sizes.select("gid", pieces.cast("int").alias("pieces")), "gid")
+    return small.withColumn("pieces", F.lit(None).cast("int")).unionByName(large)
+
+
+def cut(rows, in_pairs):
+    """(gid, ...) rows with groups of several ``pieces`` cut by a hash of the class: into the pieces, or
+    ``in_pairs`` into all pairs of them, so that any two members still meet."""
+    rows = rows.withColumn("__own", F.pmod(F.xxhash64("cls"), F.coalesce("pieces", F.lit(1))).cast("int"))
+    if in_pairs:
+        others = F.filter(F.sequence(F.lit(0), F.col("pieces") - 1), lambda o: o != F.col("__own"))
+        gids = F.transform(others, lambda o: F.xxhash64("gid", F.least(o, "__own"), F.greatest(o, "__own")))
+    else:
+        gids = F.array(F.xxhash64("gid", "__own"))
+    gids = F.when(F.col("pieces") > 1, gids).otherwise(F.array("gid"))
+    return rows.withColumn("gid", F.explode(gids)).drop("__own")
+
+
 def families(df, text_col="text", id_col="doc_id"):
     """(rows, links). ``rows``: id, text hash ``h``, set size ``n``, class ``cls``
     and ``family``, the same for all rows that links connect. ``links``: (a, b)
@@ -526,26 +604,27 @@ def families(df, text_col="text", id_col="doc_id"):
     tried = durable(groups.select("lead", "members").transform(mapped, _first_pairs, "a long, b long").select(*ordered).distinct())
     links = durable(verified(possible(tried, signs), texts))
     labels = components(links)
-    members = groups.where(F.octet_length("members") > 16).select("gid", "members").transform(mapped, _members, "gid long, cls long")
+    members = stored(searched(groups, signs), "members")
+    discard(groups)
     # A few pairs across labels first, then every pair that is still open.
     for search in (_across, _search):
-        several = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("gid", "cls", F.coalesce("root", "cls").alias("label"))
-        mixed = several.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
-        several = several.join(mixed.where("lo <> hi").select("gid", "m"), "gid")
+        several = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("gid", "cls", "pieces", F.coalesce("root", "cls").alias("label"))
+        mixed = several.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        several = cut(several.join(mixed.where("lo <> hi").select("gid"), "gid"), search is _search)
         settled = None
         if search is _search:
             # Open pairs of a large group would be many: it is settled whole, and yields links only.
-            large = several.where(F.col("m") > LARGE).drop("m").join(texts.select("cls", "text"), "cls").select("gid", "cls", "label", "text")
+            large = several.where("pieces IS NOT NULL").join(texts.select("cls", "text"), "cls").select("gid", "cls", "label", "text")
             settled = large.groupBy("gid").applyInArrow(_settle, "a long, b long").distinct()
-            several = several.where(F.col("m") <= LARGE)
-        found = several.drop("m").join(signs, "cls").groupBy("gid").applyInArrow(search, "a long, b long")
+            several = several.where("pieces IS NULL")
+        found = several.drop("pieces").join(signs, "cls").groupBy("gid").applyInArrow(search, "a long, b long")
         more = durable(found.distinct().join(tried, ["a", "b"], "left_anti"))
         fresh = verified(more, texts)
         fresh = durable(fresh if settled is None else fresh.unionByName(settled))
         tried, links = tried.unionByName(more), links.unionByName(fresh)
         # What is known of the components stands for all links before.
         labels = components(labels.toDF("a", "b").unionByName(fresh))
-    discard(texts, groups)
+    discard(texts, members)
 
     roots = labels.withColumnRenamed("node", "cls")
     rows = profile.select("id", "h", "n", "cls")

@@ -116,6 +116,97 @@ def test_jaccard_blocks_of_a_group():
     assert len(np.unique(np.concatenate(lists))) == n
 
 
+def variants(seed, size, words, least, most):
+    """Sets of 64-bit shingles: parts of one base, each with own shingles and some that a few share."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    base, rare = (rng.integers(0, 2**62, k).astype(np.uint64) for k in (words, 40 * size))
+    out = []
+    for _ in range(size):
+        own = base[rng.random(words) > rng.uniform(least, most)]
+        out.append(np.unique(np.concatenate([own, rng.choice(rare, words // 30), rng.integers(0, 2**62, words // 30).astype(np.uint64)])))
+    return out
+
+
+@pytest.mark.parametrize("bits", [64, 4096])
+def test_jaccard_large_groups_compare_few_pairs_in_full(monkeypatch, bits):
+    import numpy as np
+
+    monkeypatch.setattr(jaccard_join, "BITS", bits)
+    sets = variants(2, 200, 400, 0.05, 0.5)
+    compared, enough = [], jaccard_join._enough
+    monkeypatch.setattr(jaccard_join, "_enough", lambda x, y: compared.append(1) or enough(x, y))
+    a, b = jaccard_join.spanning_links(np.arange(len(sets)), sets, np.arange(len(sets)))
+    labels = list(range(len(sets)))
+    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+        assert enough(sets[i], sets[j]) and labels[i] != labels[j]
+        labels = [labels[i] if x == labels[j] else x for x in labels]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if enough(sets[i], sets[j])]
+    assert pairs and all(labels[i] == labels[j] for i, j in pairs)
+    assert 1 < len(set(labels)) < len(sets)
+    # A pair that does not link is hardly ever looked at shingle by shingle.
+    assert bits < 4096 or len(compared) < 2 * len(sets)
+
+
+def grouped(spark, lists):
+    import numpy as np
+
+    rows = [(g, bytearray(np.array(sorted(m), np.int64).tobytes())) for g, m in enumerate(lists)]
+    signs = spark.createDataFrame([(c, 10) for c in sorted(set().union(*lists))], "cls long, n long")
+    out = {}
+    for r in jaccard_join.searched(spark.createDataFrame(rows, "gid long, members binary"), signs).collect():
+        out.setdefault((r["gid"], r["pieces"]), []).append(r["cls"])
+    return sorted(((sorted(m), pieces) for (_, pieces), m in out.items()), key=repr)
+
+
+def test_jaccard_groups_of_a_family_are_searched_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LARGE", 8)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 50)
+    rng = random.Random(6)
+    family = [rng.randrange(2**40) for _ in range(60)]
+    lists = [set(rng.sample(family, 50)) for _ in range(40)] + [set(family[:5]), {1, 2}]
+    got = grouped(spark, lists)
+    for m in lists[:-1]:
+        assert any(m <= set(x) for x, _ in got)
+    assert sum(len(x) for x, _ in got) < 600  # 2,005 members before
+    assert (sorted(family[:5]), None) in got and all(len(x) > 2 for x, _ in got)
+    assert all(pieces == (1 if len(x) <= 50 else 3) for x, pieces in got if len(x) > 8)
+
+
+def test_jaccard_groups_with_little_in_common_stay_apart(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(jaccard_join, "LARGE", 8)
+    first = int(np.argmin(jaccard_join.mix(np.arange(1000, dtype=np.uint64))))
+    others = [c for c in range(1000) if c != first]
+    lists = [{first, *others[k : k + 20]} for k in (0, 100, 200)]
+    # As one they would make 1,830 pairs instead of 630.
+    assert grouped(spark, lists) == sorted([(sorted(m), 1) for m in lists], key=repr)
+
+
+def test_jaccard_cut_groups_lose_no_pair(spark):
+    rows = spark.createDataFrame([(1, c, 4) for c in range(40)] + [(2, c, 1) for c in range(5)] + [(3, 7, None), (3, 8, None)], "gid long, cls long, pieces int")
+    for in_pairs in (False, True):
+        groups = {}
+        for r in jaccard_join.cut(rows, in_pairs).collect():
+            groups.setdefault((r["gid"], r["pieces"]), set()).add(r["cls"])
+        large = [m for (_, pieces), m in groups.items() if pieces == 4]
+        assert groups[2, 1] == set(range(5)) and groups[3, None] == {7, 8}
+        assert set().union(*large) == set(range(40)) and max(map(len, large)) < 40
+        assert len(large) == (6 if in_pairs else 4)
+        if in_pairs:
+            assert all(any({a, b} <= m for m in large) for a in range(40) for b in range(a))
+
+
+def test_jaccard_large_groups_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LARGE", 8)
+    monkeypatch.setattr(jaccard_join, "LEADS", 0)
+    monkeypatch.setattr(jaccard_join, "PIECE_SHINGLES", 1500)
+    rows = copies(7, 2, 60) + [(1000 + k, t, s, u) for k, t, s, u in copies(8, 3, 40)]
+    assert found(jaccard_join.jaccard_components(frame(spark, rows))) == families(rows)
+
+
 def test_signature_tree_loses_no_pair():
     import numpy as np
 
