@@ -61,7 +61,8 @@ def stream_late_latest(spark, sf_dir):
         if batch_id == 2:
             sinks.compact_latest_log(spark, f"{home}/log", "hour", tiebreak=TIE)
 
-    runner.run_all([runner.run_batches(newest, process, f"{home}/state", mode="update", available_now=True)])
+    # A row of state for every device and hour: more than the workers' memory.
+    runner.run_all([runner.run_batches(newest, process, f"{home}/state", mode="update", available_now=True, state_on_disk=True)])
     sinks.compact_latest_log(spark, f"{home}/log", "hour", tiebreak=TIE)
     # Folded to the end: every row of the log is current.
     return _shown(spark.read.parquet(f"{home}/log").drop("log_day", "log_batch"), "hour")

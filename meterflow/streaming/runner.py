@@ -10,6 +10,30 @@ log = logging.getLogger(__name__)
 
 MODES = ("append", "update", "complete")
 INTERVAL = "10 seconds"
+# State in RocksDB files below the workers' local folders instead of their heaps. One bound holds for all
+# partitions of a worker; a batch stores its changes in the checkpoint, whole copies follow in the background.
+STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting rows would read every key before it is written.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
+
+@contextmanager
+def _settings(session, values):
+    """Settings that a query started meanwhile keeps; the session has its own again afterwards."""
+    before = {key: session.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        session.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            session.conf.unset(key) if value is None else session.conf.set(key, value)
 
 
 def _start(writer, checkpoint, name, mode, interval, available_now):
@@ -41,7 +65,7 @@ def _adaptive(session):
 
 
 def run_batches(df, process, checkpoint, name=None, mode="append", interval=INTERVAL,
-                available_now=False, bound=None, stateful=None):
+                available_now=False, bound=None, stateful=None, state_on_disk=False):
     """Hand each micro-batch with rows to ``process(batch, batch_id, **bound)``.
 
     A failing ``process`` fails the batch, which is run again from the
@@ -55,6 +79,9 @@ def run_batches(df, process, checkpoint, name=None, mode="append", interval=INTE
     adaptively, as on a table; the query itself is not. ``stateful`` defaults to update and
     complete mode; set it for append queries with a watermark, and where the
     progress counts must not hold the rows of that look.
+
+    ``state_on_disk`` is for state of many keys: it lies in files, and memory does
+    not grow with it. A checkpoint goes on with the kind of state it began with.
     """
     bound = dict(bound or {})
     if stateful is None:
@@ -69,7 +96,8 @@ def run_batches(df, process, checkpoint, name=None, mode="append", interval=INTE
         with _adaptive(batch.sparkSession):
             process(batch, batch_id, **bound)
 
-    return _start(df.writeStream.foreachBatch(handle), checkpoint, name, mode, interval, available_now)
+    with _settings(df.sparkSession, STATE_ON_DISK if state_on_disk else {}):
+        return _start(df.writeStream.foreachBatch(handle), checkpoint, name, mode, interval, available_now)
 
 
 def run_console(df, checkpoint, name=None, mode="append", interval=INTERVAL, available_now=False,

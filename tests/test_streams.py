@@ -62,6 +62,36 @@ def test_latest_stream_equals_batch(spark, data, tmp_path):
     assert ids(got) == ids(latest.latest_at(batch, ["device_id"], "hour", tiebreak=["rid"]))
 
 
+def on_disk(query):
+    """Does RocksDB report on the query's state?"""
+    return all(any(k.startswith("rocksdb") for k in op.customMetrics) for p in query.recentProgress for op in p.stateOperators)
+
+
+def test_late_latest_keeps_its_state_on_disk(spark, sf, monkeypatch):
+    seen, run_all = [], runner.run_all
+    monkeypatch.setattr(runner, "run_all", lambda queries: run_all(queries) or seen.extend(queries))
+    before = {key: spark.conf.get(key, None) for key in runner.STATE_ON_DISK}
+    batches.stream_late_latest(spark, sf)
+    assert len(seen) == 1 and len(seen[0].recentProgress) > 1 and on_disk(seen[0])
+    # Other queries of the session are not concerned.
+    assert {key: spark.conf.get(key, None) for key in runner.STATE_ON_DISK} == before
+
+
+def test_state_on_disk_goes_on_after_a_restart(spark, tmp_path):
+    folder, log = str(tmp_path / "in"), str(tmp_path / "log")
+    for part in range(2):
+        batch = enrich.add_time_parts(write_files(spark, folder, True, parts=4))
+        newest = state.latest_stream(source(spark, folder), ["device_id"], "hour", tiebreak=["rid"])
+        query = runner.run_batches(
+            newest, lambda b, i: sinks.write_latest_log(b, i, log), str(tmp_path / "state"), mode="update", available_now=True,
+            state_on_disk=part == 0,  # the checkpoint knows
+        )
+        runner.run_all([query])
+        assert query.recentProgress and on_disk(query)
+    got = sinks.read_latest_log(spark, log, "hour", tiebreak=["rid"])
+    assert ids(got) == ids(latest.latest_at(batch, ["device_id"], "hour", tiebreak=["rid"]))
+
+
 def test_latest_objects_hold_the_newest_despite_late_data(spark, data, tmp_path):
     folder, batch = data
     newest = state.latest_stream(source(spark, folder), ["device_id"], "day", tiebreak=["rid"])
