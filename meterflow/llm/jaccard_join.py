@@ -560,14 +560,15 @@ def searched(groups, signs):
     small = groups.where((size > 2) & (size <= LARGE)).select("gid", "members").transform(mapped, _members, "gid long, cls long")
     rows = groups.where((size > 2) & (size > LARGE)).select("gid", "members").transform(mapped, _keyed_members, "gid long, key long, m long, cls long")
     # A group's size once per member: its pairs, twice.
+    # What is known of each large group goes to the rows: the rows of a family would meet in one task.
     union = rows.groupBy("key", "cls").agg(F.sum("m").alias("pairs"))
     joint = union.groupBy("key").agg(F.count("*").alias("m"), F.sum("pairs").alias("pairs")).where("m * m <= pairs").select("key")
-    large = union.join(joint, "key", "left_semi").select(F.col("key").alias("gid"), "cls")
-    large = large.unionByName(rows.join(joint, "key", "left_anti").select("gid", "cls"))
+    large = union.join(F.broadcast(joint), "key", "left_semi").select(F.col("key").alias("gid"), "cls")
+    large = large.unionByName(rows.join(F.broadcast(joint), "key", "left_anti").select("gid", "cls"))
     sizes = large.join(signs.select("cls", "n"), "cls").groupBy("gid").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
     whole_one = (F.col("m") <= BLOCK) & (F.col("n") <= PIECE_SHINGLES)
     pieces = F.when(whole_one, 1).otherwise(F.greatest(F.ceil(F.col("m") * 2 / BLOCK), F.ceil(F.col("n") * 2 / PIECE_SHINGLES), F.lit(2)))
-    large = large.join(sizes.select("gid", pieces.cast("int").alias("pieces")), "gid")
+    large = large.join(F.broadcast(sizes.select("gid", pieces.cast("int").alias("pieces"))), "gid")
     return small.withColumn("pieces", F.lit(None).cast("int")).unionByName(large)
 
 
